@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference is a bounded batch pipeline; it has no streams, watermarks,
+windows over time or state (see the README). Nothing is built here.
+"""
