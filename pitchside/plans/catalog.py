@@ -186,3 +186,153 @@ def e1(wh: Warehouse) -> DataFrame:
 @register("e2_efficiency_table")
 def e2(wh: Warehouse) -> DataFrame:
     return q.e2_efficiency_table(wh)
+
+
+# ---------------------------------------------------------------- model
+from pitchside.functions.columns import round_half_away  # noqa: E402
+from pitchside.operators import model  # noqa: E402
+from pitchside.plans import backtest as bt  # noqa: E402
+from pitchside.plans import predict as pr  # noqa: E402
+
+
+def _pooled_stats(wh: Warehouse) -> DataFrame:
+    return model.team_stats(wh.int_team_matches, None, wh.team_strength_inputs)
+
+
+@register("a5_team_stats_scoped")
+def a5(wh: Warehouse) -> DataFrame:
+    """Training-scope stats straight from the team-match grain (unrounded xG)."""
+    return model.team_stats(wh.int_team_matches, wh.scope.train_years)
+
+
+@register("a14_league_average")
+def a14(wh: Warehouse) -> DataFrame:
+    """Pooled and training-scope league averages for the default (k, w)."""
+    grid = model.default_grid()
+    pooled = model.league_average(_pooled_stats(wh), grid).withColumn("scope", F.lit("pooled"))
+    train = model.league_average(model.team_stats(wh.int_team_matches, wh.scope.train_years), grid).withColumn(
+        "scope", F.lit("train")
+    )
+    return pooled.unionByName(train)
+
+
+@register("m1_strength_pooled")
+def m1(wh: Warehouse) -> DataFrame:
+    """Shrunk attack/defense from pooled stats (J8: league average joined on the grid key)."""
+    return model.team_strength(_pooled_stats(wh), model.default_grid())
+
+
+@register("m2_strength_train")
+def m2(wh: Warehouse) -> DataFrame:
+    return model.team_strength(model.team_stats(wh.int_team_matches, wh.scope.train_years), model.default_grid())
+
+
+@register("u4_schedule_teams")
+def u4(wh: Warehouse) -> DataFrame:
+    return model.schedule_teams(wh.raw.schedule)
+
+
+@register("u5_edition_teams")
+def u5(wh: Warehouse) -> DataFrame:
+    return model.edition_teams(wh.int_team_matches, wh.scope.test_year)
+
+
+@register("m3_team_rankings")
+def m3(wh: Warehouse) -> DataFrame:
+    """Schedule universe with rank and points of the prediction cycle."""
+    return pr.prediction_model(wh).rankings
+
+
+@register("j4_test_rankings")
+def j4(wh: Warehouse) -> DataFrame:
+    """Test-edition universe with rank and points of the test cycle (cycle in the join)."""
+    return bt.backtest_model(wh, model.default_grid()).rankings
+
+
+@register("m4_team_features")
+def m4(wh: Warehouse) -> DataFrame:
+    """Rankings left-joined with pooled strength (J5) and has_history."""
+    return pr.prediction_model(wh).features
+
+
+@register("m5_fallback_fit")
+def m5(wh: Warehouse) -> DataFrame:
+    """attack/defense ~ points on teams with history."""
+    return pr.prediction_model(wh).fit
+
+
+@register("m6_apply_fallback")
+def m6(wh: Warehouse) -> DataFrame:
+    return pr.prediction_model(wh).full
+
+
+@register("j6_schedule_strength")
+def j6(wh: Warehouse) -> DataFrame:
+    """Each fixture with both sides' filled strength (the two-role join)."""
+    sm = pr.prediction_model(wh)
+    return sm.score(pr.schedule(wh)).select(
+        "round", "date", "home_team", "away_team", "attack_home", "defense_home", "attack_away", "defense_away"
+    )
+
+
+@register("m9_outcome_probs")
+def m9(wh: Warehouse) -> DataFrame:
+    """Expected goals and W/D/L probabilities of every distinct test pairing."""
+    sm = bt.backtest_model(wh, model.default_grid())
+    pairs = bt.test_matches(wh).select("home_team", "away_team").distinct()
+    return sm.score(pairs).select("home_team", "away_team", "mu_home", "mu_away", "prob_home_win", "prob_draw", "prob_away_win")
+
+
+@register("m10_predictions")
+def m10(wh: Warehouse) -> DataFrame:
+    return pr.predictions(wh)
+
+
+@register("a20_prob_sum_check")
+def a20(wh: Warehouse) -> DataFrame:
+    return pr.probability_sum_check(pr.predictions(wh))
+
+
+@register("m11_predicted_label")
+def m11(wh: Warehouse) -> DataFrame:
+    return bt.scored_test_matches(wh).select(*MATCH_KEYS, "actual", "predicted")
+
+
+@register("m12_favorite_label")
+def m12(wh: Warehouse) -> DataFrame:
+    return bt.scored_test_matches(wh).select(*MATCH_KEYS, "actual", "favorite_pred")
+
+
+@register("m13_scored_test_matches")
+def m13(wh: Warehouse) -> DataFrame:
+    return bt.scored_test_matches(wh).select(
+        *MATCH_KEYS, "home_score", "away_score", "actual", "prob_home_win", "prob_draw", "prob_away_win",
+        "predicted", "favorite_pred", *bt.METRICS,
+    )
+
+
+@register("a16_naive_baseline")
+def a16(wh: Warehouse) -> DataFrame:
+    return bt.naive_baseline(wh)
+
+
+@register("a17_accuracy")
+def a17(wh: Warehouse) -> DataFrame:
+    per = bt.scored_test_matches(wh)
+    return per.agg(*[round_half_away(F.avg(m), 6).alias(m) for m in ("model_acc", "naive_acc", "favorite_acc")])
+
+
+@register("a18_log_loss")
+def a18(wh: Warehouse) -> DataFrame:
+    per = bt.scored_test_matches(wh)
+    return per.agg(*[round_half_away(F.avg(m), 6).alias(m) for m in ("model_ll", "naive_ll")])
+
+
+@register("m14_backtest")
+def m14(wh: Warehouse) -> DataFrame:
+    return bt.backtest(wh)
+
+
+@register("m16_sweep")
+def m16(wh: Warehouse) -> DataFrame:
+    return bt.sweep(wh)
