@@ -104,6 +104,22 @@ MATCH_HASH = (
     "home_score", "away_score", "home_pens", "away_pens", "home_manager", "away_manager", "referee", "notes",
 )
 METRICS = ("model_acc", "model_ll", "naive_acc", "naive_ll", "favorite_acc")
+def _mix_layers(src: str, col: str, keep: str) -> str:
+    """Nested selects: two multiply-xorshift rounds and a final xorshift of ``col``."""
+    for _ in range(2):
+        src = f"(SELECT {keep}, ((xor({col} >> 16, {col}) * 73244475) & 4294967295) AS {col} FROM {src})"
+    return f"(SELECT {keep}, xor({col} >> 16, {col}) AS {col} FROM {src})"
+
+
+def _draws_sql(idx: str, n: str, resamples: int, seed: int) -> str:
+    src = f"(SELECT r.b, i.row_idx AS d, xor(CAST({seed} AS BIGINT), r.b & 4294967295) AS h FROM {idx} i, range(0, {resamples}) AS r(b))"
+    src = _mix_layers(src, "h", "b, d")
+    src = _mix_layers(f"(SELECT b, d, xor(h, d & 4294967295) AS h FROM {src})", "h", "b, d")
+    src = _mix_layers(f"(SELECT b, d, xor(h, d >> 32) AS h FROM {src})", "h", "b, d")
+    src = _mix_layers(f"(SELECT b, d, h, xor(h, 2654435769) AS hi FROM {src})", "hi", "b, d, h")
+    return f"SELECT b, ((hi & 2147483647) * 4294967296 + h) % (SELECT n FROM {n}) AS pick FROM {src}"
+
+
 _ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in MATCH_ORDER)
 _HASH_TEXT = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in MATCH_HASH) + ")"
 
@@ -180,11 +196,8 @@ bt_idx AS (
     SELECT b.*, CAST(o.off + row_number() OVER (PARTITION BY b.bucket ORDER BY {_ORDER_SQL}) - 1 AS BIGINT) AS row_idx
     FROM bt_bucketed b JOIN bt_offsets o USING (bucket)
 ),
-bt_draws AS (
-    SELECT r.b, CAST(('0x' || substr(md5(concat('12345', ':', CAST(r.b AS VARCHAR), ':', CAST(i.row_idx AS VARCHAR))), 1, 8)) AS BIGINT)
-                % (SELECT count(*) FROM bt_idx) AS pick
-    FROM bt_idx i, range(0, 1000) AS r(b)
-),
+bt_n AS (SELECT count(*) AS n FROM bt_idx),
+bt_draws AS ({_draws_sql("bt_idx", "bt_n", 1000, 12345)}),
 bt_means AS (
     SELECT d.b, {", ".join(f"avg(x.{m}) AS {m}" for m in METRICS)}
     FROM bt_draws d JOIN bt_idx x ON x.row_idx = d.pick GROUP BY d.b

@@ -9,12 +9,14 @@ of their integer/string/date columns, numbered inside each bucket by the
 total order, and shifted by the row count of the lower buckets. Only exact
 duplicates share a bucket key, and those are interchangeable.
 
-Bootstrap. Draw ``d`` of resample ``b`` picks row
-``hash(seed:b:d) mod n``; the same picks serve every metric, so the
-intervals are jointly consistent. Draws are generated next to the data they
-index (a generator over each row, no driver loop), joined to the metrics by
-row index, and reduced by partial aggregation to one mean per (resample,
-metric). The cost is n x B rows, which is the exact method's cost.
+Bootstrap. Draw ``d`` of resample ``b`` picks row ``mix(seed, b, d) mod n``
+(an integer mixing hash, three multiply-xorshift rounds kept below 2^63 so
+no engine overflows); the same picks serve every metric, so the intervals
+are jointly consistent. Draws come from ``spark.range(n * B)``, whose row
+count the planner knows, so only the n-row metric side can be chosen for a
+broadcast (and only if it passes the size threshold); the join on the row
+index is followed by a partial aggregate per (resample). The cost is n x B
+generated rows, the exact method's cost.
 """
 
 from __future__ import annotations
@@ -55,19 +57,51 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], hash_cols: Sequence[st
     )
 
 
-def draw_pick(seed: int, b: Column, d: Column, n: Column) -> Column:
-    key = F.concat(F.lit(str(seed)), F.lit(":"), b.cast("string"), F.lit(":"), d.cast("string"))
-    return F.pmod(md5_int(key), n)
+_M32 = 0xFFFFFFFF
+_MIX = 0x45D9F3B  # odd multiplier below 2^27: products stay below 2^59
+_SALT = 0x9E3779B9
+
+
+def _mix32(df: DataFrame, c: str) -> DataFrame:
+    """Two multiply-xorshift rounds and a final xorshift on column ``c``.
+
+    Each round is its own projection: a round reads its input twice, and
+    nesting them in one expression would grow the tree exponentially."""
+    x = F.col(c)
+    for _ in range(2):
+        df = df.withColumn(c, (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(_MIX)).bitwiseAND(F.lit(_M32)))
+    return df.withColumn(c, F.shiftright(x, 16).bitwiseXOR(x))
+
+
+def with_mix_hash(df: DataFrame, seed: int, b: str, d: str, out: str) -> DataFrame:
+    """Add ``out`` = non-negative 63-bit hash of (seed, b, d), exact in 64-bit integers."""
+    m32 = F.lit(_M32)
+    df = _mix32(df.withColumn("_h", F.lit(seed & _M32).cast("bigint").bitwiseXOR(F.col(b).bitwiseAND(m32))), "_h")
+    df = _mix32(df.withColumn("_h", F.col("_h").bitwiseXOR(F.col(d).bitwiseAND(m32))), "_h")
+    df = _mix32(df.withColumn("_h", F.col("_h").bitwiseXOR(F.shiftright(F.col(d), 32))), "_h")
+    df = _mix32(df.withColumn("_hi", F.col("_h").bitwiseXOR(F.lit(_SALT))), "_hi")
+    return df.withColumn(
+        out, F.col("_hi").bitwiseAND(F.lit(0x7FFFFFFF)) * F.lit(1 << 32) + F.col("_h")
+    ).drop("_h", "_hi")
 
 
 def bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx") -> DataFrame:
-    """Mean of each metric per resample: columns ``b`` and the metrics."""
-    n = indexed.agg(F.count(F.lit(1))).scalar()
-    draws = indexed.select(
-        F.col(idx).alias("_d"), F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("b")
-    ).select("b", draw_pick(seed, F.col("b"), F.col("_d"), n).alias(idx))
+    """Mean of each metric per resample: columns ``resample`` and the metrics."""
+    spark = indexed.sparkSession
+    n = indexed.count()  # one number to the driver: the size of the draw space
+    total = n * n_resamples
+    parts = max(spark.sparkContext.defaultParallelism, -(-total // 4_000_000))
+    draws = spark.range(0, total, 1, parts).select(
+        (F.col("id") / F.lit(n)).cast("bigint").alias("resample"),
+        (F.col("id") % F.lit(n)).alias("_d"),
+    )
+    # non-nullable key: otherwise the join's inferred IS NOT NULL filter is
+    # pushed below the staged projections with every alias substituted
+    draws = with_mix_hash(draws, seed, "resample", "_d", "_u").select(
+        "resample", F.coalesce(F.pmod(F.col("_u"), F.lit(n)), F.lit(-1)).alias(idx)
+    )
     values = indexed.select(idx, *metrics)
-    return draws.join(values, idx).groupBy("b").agg(*[F.avg(m).alias(m) for m in metrics])
+    return draws.join(values, idx).groupBy("resample").agg(*[F.avg(m).alias(m) for m in metrics])
 
 
 def bootstrap_cis(

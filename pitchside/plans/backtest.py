@@ -16,6 +16,7 @@ from pitchside import config
 from pitchside.functions.columns import argmax_label, log_loss_term, prob_of_outcome, round_half_away
 from pitchside.operators import model, resample
 from pitchside.plans.layers import Warehouse
+from pitchside.sources import store
 
 OUTCOMES = ("home_win", "draw", "away_win")
 # Every column of a match row: the total order behind the bootstrap index.
@@ -137,7 +138,11 @@ def backtest(
     point_long = point.select(
         F.inline(F.array(*[F.struct(F.lit(mod).alias("model"), F.lit(met).alias("metric"), F.lit(key).alias("key"), F.col(key).alias("value")) for mod, met, key in rows]))
     )
-    indexed = resample.dense_index(per_match.select(*MATCH_ORDER, *METRICS), MATCH_ORDER, MATCH_HASH, buckets)
+    # written once: the draws, the values and the row count all read it
+    indexed = store.materialize(
+        resample.dense_index(per_match.select(*MATCH_ORDER, *METRICS), MATCH_ORDER, MATCH_HASH, buckets),
+        "bootstrap_input",
+    )
     cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles).withColumnRenamed("metric", "key")
     return (
         point_long.join(F.broadcast(cis), "key")  # one row per metric

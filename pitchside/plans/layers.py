@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pitchside.config import DEFAULT_SCOPE, Scope
 from pitchside.operators import marts, staging
-from pitchside.sources import bridge
+from pitchside.sources import bridge, store
 from pitchside.sources.bridge import RawTables
 
 
@@ -24,9 +24,17 @@ class Warehouse:
         self.scope = scope
 
     @classmethod
-    def from_star(cls, spark: SparkSession, sf_dir: str, scope: Scope = DEFAULT_SCOPE) -> Warehouse:
-        """Layers over the star-schema bridge; the scan of orders is pruned to the scope years."""
-        return cls(bridge.load_raw(spark, sf_dir, years=scope.years), scope)
+    def from_star(
+        cls, spark: SparkSession, sf_dir: str, scope: Scope = DEFAULT_SCOPE, materialize: bool = True
+    ) -> Warehouse:
+        """Layers over the star-schema bridge; the scan of orders is pruned to
+        the scope years. With ``materialize`` the scoped raw match table is
+        written once (like the reference's raw tables) so that the many
+        branches of a plan read it instead of re-running the bridge joins."""
+        raw = bridge.load_raw(spark, sf_dir, years=scope.years)
+        if materialize:
+            raw.matches = store.materialize(raw.matches, "raw_matches")
+        return cls(raw, scope)
 
     # seeds
     @property
