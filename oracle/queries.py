@@ -84,6 +84,8 @@ _BODIES: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle import model  # noqa: F401  (registers model bodies)
+    from oracle import model  # noqa: I001  registers CTEs; order matters: dashboard reads model CTEs
+    from oracle import dashboard
 
-    return {name: with_ctes(body) for name, body in {**_BODIES, **model.BODIES}.items()}
+    bodies = {**_BODIES, **model.BODIES, **dashboard.BODIES}
+    return {name: with_ctes(body) for name, body in bodies.items()}

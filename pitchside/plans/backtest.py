@@ -132,17 +132,17 @@ def backtest(
     """(model, metric, value, ci_lo, ci_hi) for the model and both
     baselines (A17 accuracy, A18 log-loss, M15 intervals). Values are
     reported to ``digits`` decimals."""
-    per_match = scored_test_matches(wh, k, w)
+    # written once: the point estimates and the bootstrap index both read it
+    per_match = store.materialize(
+        scored_test_matches(wh, k, w).select(*MATCH_ORDER, *METRICS), "backtest_per_match"
+    )
     point = per_match.agg(*[F.avg(m).alias(m) for m in METRICS])
     rows = _metric_rows()
     point_long = point.select(
         F.inline(F.array(*[F.struct(F.lit(mod).alias("model"), F.lit(met).alias("metric"), F.lit(key).alias("key"), F.col(key).alias("value")) for mod, met, key in rows]))
     )
     # written once: the draws, the values and the row count all read it
-    indexed = store.materialize(
-        resample.dense_index(per_match.select(*MATCH_ORDER, *METRICS), MATCH_ORDER, MATCH_HASH, buckets),
-        "bootstrap_input",
-    )
+    indexed = store.materialize(resample.dense_index(per_match, MATCH_ORDER, MATCH_HASH, buckets), "bootstrap_input")
     cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles).withColumnRenamed("metric", "key")
     return (
         point_long.join(F.broadcast(cis), "key")  # one row per metric

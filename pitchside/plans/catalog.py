@@ -336,3 +336,106 @@ def m14(wh: Warehouse) -> DataFrame:
 @register("m16_sweep")
 def m16(wh: Warehouse) -> DataFrame:
     return bt.sweep(wh)
+
+
+# ---------------------------------------------------------------- dashboard and EDA
+from pitchside.plans import dashboard as db  # noqa: E402
+
+LOOKUP_TEAM, LOOKUP_YEAR = "nation_7", 2000  # lower case on purpose: the match is case-insensitive
+FIXTURE_A, FIXTURE_B = "europe", "NATION_3"  # scheduled as NATION_3 (home) v EUROPE (away)
+
+
+@register("p14_eda_matches")
+def p14(wh: Warehouse) -> DataFrame:
+    return db.matches_eda(wh)
+
+
+@register("p15_calibration")
+def p15(wh: Warehouse) -> DataFrame:
+    return db.calibration(wh)
+
+
+@register("p16_min_sample")
+def p16(wh: Warehouse) -> DataFrame:
+    """Team-editions with at least 4 matches (minimum-sample filter)."""
+    return wh.team_performance.where(F.col("matches") >= 4)
+
+
+@register("p17_team_lookup")
+def p17(wh: Warehouse) -> DataFrame:
+    return db.team_lookup(wh, LOOKUP_TEAM, LOOKUP_YEAR)
+
+
+@register("p18_fixture_lookup")
+def p18(wh: Warehouse) -> DataFrame:
+    return db.fixture_lookup(pr.predictions(wh), FIXTURE_A, FIXTURE_B)
+
+
+@register("p19_shootouts")
+def p19(wh: Warehouse) -> DataFrame:
+    return db.shootouts(wh)
+
+
+@register("p20_sample_size_label")
+def p20(wh: Warehouse) -> DataFrame:
+    return db.sample_size_labels(wh)
+
+
+@register("a8_favorite_by_round")
+def a8(wh: Warehouse) -> DataFrame:
+    return db.favorite_by_round(wh)
+
+
+@register("a10_goals_histogram")
+def a10(wh: Warehouse) -> DataFrame:
+    return db.goals_histogram(wh)
+
+
+@register("a11_global_kpis")
+def a11(wh: Warehouse) -> DataFrame:
+    return db.global_kpis(wh)
+
+
+@register("a12_round_frequency")
+def a12(wh: Warehouse) -> DataFrame:
+    return q.d1_round_frequency(wh)
+
+
+@register("a13_team_win_prob")
+def a13(wh: Warehouse) -> DataFrame:
+    return db.team_win_prob(pr.predictions(wh))
+
+
+@register("u2_prediction_perspective")
+def u2(wh: Warehouse) -> DataFrame:
+    return db.prediction_perspective(pr.predictions(wh))
+
+
+@register("a21_total_decided")
+def a21(wh: Warehouse) -> DataFrame:
+    return db.total_decided(wh)
+
+
+@register("m17_compounding")
+def m17(wh: Warehouse) -> DataFrame:
+    return db.compounding(wh)
+
+
+@register("m18_efficiency_quadrant")
+def m18(wh: Warehouse) -> DataFrame:
+    return db.efficiency_quadrant(wh)
+
+
+@register("s13_extract_matches")
+def s13m(wh: Warehouse) -> DataFrame:
+    return db.matches_extract(wh)
+
+
+@register("s13_extract_predictions")
+def s13p(wh: Warehouse) -> DataFrame:
+    return db.predictions_extract(wh)
+
+
+@register("s5_layer_counts")
+def s5(wh: Warehouse) -> DataFrame:
+    return wh.layer_counts()

@@ -47,8 +47,9 @@ def q4_knockout(wh: Warehouse) -> DataFrame:
     )
 
 
-def favorite_rate(df: DataFrame, *keys) -> DataFrame:
-    """Decided matches, favourite wins and their share per group."""
+def favorite_rate(df: DataFrame, *keys, extra=()) -> DataFrame:
+    """Decided matches, favourite wins and their share per group
+    (the share is NULL, not an error, when nothing was decided)."""
     fw = F.col("favorite_won")
     decided = F.count_if(fw.isNotNull())
     wins = F.count_if(fw)
@@ -56,6 +57,7 @@ def favorite_rate(df: DataFrame, *keys) -> DataFrame:
         decided.alias("decided"),
         wins.alias("favorite_won"),
         rate_pct(wins, decided, 1).alias("favorite_win_pct"),
+        *extra,
     )
 
 
