@@ -275,7 +275,7 @@ def j6(wh: Warehouse) -> DataFrame:
     )
 
 
-@register("m9_outcome_probs")
+@register("m9_outcome_probs", materialize=True)
 def m9(wh: Warehouse) -> DataFrame:
     """Expected goals and W/D/L probabilities of every distinct test pairing."""
     sm = bt.backtest_model(wh, model.default_grid())
@@ -293,17 +293,17 @@ def a20(wh: Warehouse) -> DataFrame:
     return pr.probability_sum_check(pr.predictions(wh))
 
 
-@register("m11_predicted_label")
+@register("m11_predicted_label", materialize=True)
 def m11(wh: Warehouse) -> DataFrame:
     return bt.scored_test_matches(wh).select(*MATCH_KEYS, "actual", "predicted")
 
 
-@register("m12_favorite_label")
+@register("m12_favorite_label", materialize=True)
 def m12(wh: Warehouse) -> DataFrame:
     return bt.scored_test_matches(wh).select(*MATCH_KEYS, "actual", "favorite_pred")
 
 
-@register("m13_scored_test_matches")
+@register("m13_scored_test_matches", materialize=True)
 def m13(wh: Warehouse) -> DataFrame:
     return bt.scored_test_matches(wh).select(
         *MATCH_KEYS, "home_score", "away_score", "actual", "prob_home_win", "prob_draw", "prob_away_win",
@@ -316,24 +316,24 @@ def a16(wh: Warehouse) -> DataFrame:
     return bt.naive_baseline(wh)
 
 
-@register("a17_accuracy")
+@register("a17_accuracy", materialize=True)
 def a17(wh: Warehouse) -> DataFrame:
     per = bt.scored_test_matches(wh)
     return per.agg(*[round_half_away(F.avg(m), 6).alias(m) for m in ("model_acc", "naive_acc", "favorite_acc")])
 
 
-@register("a18_log_loss")
+@register("a18_log_loss", materialize=True)
 def a18(wh: Warehouse) -> DataFrame:
     per = bt.scored_test_matches(wh)
     return per.agg(*[round_half_away(F.avg(m), 6).alias(m) for m in ("model_ll", "naive_ll")])
 
 
-@register("m14_backtest")
+@register("m14_backtest", materialize=True)
 def m14(wh: Warehouse) -> DataFrame:
     return bt.backtest(wh)
 
 
-@register("m16_sweep")
+@register("m16_sweep", materialize=True)
 def m16(wh: Warehouse) -> DataFrame:
     return bt.sweep(wh)
 

@@ -19,18 +19,19 @@ from pitchside.sources.bridge import RawTables
 
 
 class Warehouse:
-    def __init__(self, raw: RawTables, scope: Scope = DEFAULT_SCOPE):
+    def __init__(self, raw: RawTables | bridge.LazyRawTables, scope: Scope = DEFAULT_SCOPE):
         self.raw = raw
         self.scope = scope
 
     @classmethod
     def from_star(
-        cls, spark: SparkSession, sf_dir: str, scope: Scope = DEFAULT_SCOPE, materialize: bool = True
+        cls, spark: SparkSession, sf_dir: str, scope: Scope = DEFAULT_SCOPE, materialize: bool = False
     ) -> Warehouse:
         """Layers over the star-schema bridge; the scan of orders is pruned to
         the scope years. With ``materialize`` the scoped raw match table is
-        written once (like the reference's raw tables) so that the many
-        branches of a plan read it instead of re-running the bridge joins."""
+        written once (like the reference's raw tables) so that plans with
+        many branches over it (model, back-test) read files instead of
+        re-running the bridge joins once per branch."""
         raw = bridge.load_raw(spark, sf_dir, years=scope.years)
         if materialize:
             raw.matches = store.materialize(raw.matches, "raw_matches")

@@ -16,10 +16,13 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
 
 
-def register(name: str):
+def register(name: str, materialize: bool = False):
+    """``materialize``: write the scoped match table first, for plans that
+    read it in many branches (model fitting, scoring, back-test)."""
+
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Warehouse.from_star(spark, sf_dir))
+            return fn(Warehouse.from_star(spark, sf_dir, materialize=materialize))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.sources import seeds
 
-STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+STAR_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 # Fixed values of the bridge: round name by line number.
 ROUND_BY_LINE: tuple[tuple[int, str], ...] = (
@@ -52,8 +53,33 @@ class RawTables:
     extra: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR_TABLES}
+# Opened star tables per (application, folder): like catalog tables, a table's
+# file listing and schema are resolved once per application, not per query.
+_OPENED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+class StarTables(dict):
+    """The star tables of one folder, each opened on first use (a query that
+    needs three tables lists and opens three files)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in STAR_TABLES:
+            raise KeyError(name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        df = _OPENED.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            _OPENED[key] = df
+        self[name] = df
+        return df
+
+
+def read_star(spark: SparkSession, sf_dir: str) -> StarTables:
+    return StarTables(spark, sf_dir)
 
 
 def _ntz(d: dt.date) -> Column:
@@ -228,13 +254,36 @@ def raw_schedule(star: dict[str, DataFrame]) -> DataFrame:
     return vs_region.unionByName(vs_next).withColumn("Notes", F.lit(None).cast("string"))
 
 
-def load_raw(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> RawTables:
+class LazyRawTables:
+    """The raw layer over the star tables; each input is defined on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None):
+        self.spark = spark
+        self.star = read_star(spark, sf_dir)
+        self.years = years
+        self.extra: dict[str, DataFrame] = {}
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return raw_matches(self.star, self.years)
+
+    @cached_property
+    def world_cup(self) -> DataFrame:
+        return raw_world_cup(self.star)
+
+    @cached_property
+    def schedule(self) -> DataFrame:
+        return raw_schedule(self.star)
+
+    @cached_property
+    def rankings(self) -> dict[str, DataFrame]:
+        return {name: raw_ranking(self.star, name) for name in ("ranking_old", "ranking_new")}
+
+    @cached_property
+    def crosswalk(self) -> DataFrame:
+        return seeds.team_crosswalk(self.spark)
+
+
+def load_raw(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> LazyRawTables:
     """The raw layer derived from the star tables under ``sf_dir``."""
-    star = read_star(spark, sf_dir)
-    return RawTables(
-        matches=raw_matches(star, years),
-        world_cup=raw_world_cup(star),
-        schedule=raw_schedule(star),
-        rankings={name: raw_ranking(star, name) for name in ("ranking_old", "ranking_new")},
-        crosswalk=seeds.team_crosswalk(spark),
-    )
+    return LazyRawTables(spark, sf_dir, years)

@@ -33,4 +33,4 @@ def spark():
 def wh(spark):
     from pitchside.plans.layers import Warehouse
 
-    return Warehouse.from_star(spark, SF_SMALL)
+    return Warehouse.from_star(spark, SF_SMALL, materialize=True)

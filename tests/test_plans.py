@@ -19,7 +19,7 @@ def test_scope_filter_reaches_the_orders_scan(spark):
 
 
 def test_unpivot_scans_match_input_once(spark):
-    wh = Warehouse.from_star(spark, SF_SMALL)
+    wh = Warehouse.from_star(spark, SF_SMALL, materialize=True)
     plan = _plan(wh.int_team_matches)
     assert plan.count("FileScan parquet") == 1  # one scan of the materialised match table
     assert "Generate" in plan and "Union" not in plan
