@@ -120,6 +120,21 @@ def _draws_sql(idx: str, n: str, resamples: int, seed: int) -> str:
     return f"SELECT b, ((hi & 2147483647) * 4294967296 + h) % (SELECT n FROM {n}) AS pick FROM {src}"
 
 
+def _poisson_sql(idx: str, resamples: int, seed: int) -> str:
+    import math
+
+    cdf = [sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(13)]
+    src = f"(SELECT r.b, i.*, xor(CAST({seed} AS BIGINT), r.b & 4294967295) AS h FROM {idx} i, range(0, {resamples}) AS r(b))"
+    keep = "b, " + ", ".join(METRICS) + ", row_idx"
+    src = _mix_layers(src, "h", keep)
+    src = _mix_layers(f"(SELECT {keep}, xor(h, row_idx & 4294967295) AS h FROM {src})", "h", keep)
+    src = _mix_layers(f"(SELECT {keep}, xor(h, row_idx >> 32) AS h FROM {src})", "h", keep)
+    src = _mix_layers(f"(SELECT {keep}, h, xor(h, 2654435769) AS hi FROM {src})", "hi", keep + ", h")
+    u = "CAST((hi & 2147483647) * 4294967296 + h AS DOUBLE) / 9223372036854775808.0"
+    w = " + ".join(f"CAST(u >= {c!r} AS INTEGER)" for c in cdf)
+    return f"SELECT b, {', '.join(METRICS)}, {w} AS w FROM (SELECT *, {u} AS u FROM {src})"
+
+
 _ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in MATCH_ORDER)
 _HASH_TEXT = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in MATCH_HASH) + ")"
 
@@ -217,6 +232,19 @@ backtest AS (
         round(c.ci_lo, 6) AS ci_lo, round(c.ci_hi, 6) AS ci_hi
     FROM bt_point p CROSS JOIN bt_means_all a JOIN bt_ci c ON c.key = p.key
 ),
+bt_pw AS ({_poisson_sql("bt_idx", 1000, 12345)}),
+bt_pmeans AS (
+    SELECT b, {", ".join(f"sum(w * {m}) / nullif(sum(w), 0) AS {m}" for m in METRICS)} FROM bt_pw GROUP BY b
+),
+bt_pci AS (
+    {" UNION ALL ".join(f"SELECT '{m}' AS key, quantile_cont({m}, 0.05) AS ci_lo, quantile_cont({m}, 0.95) AS ci_hi FROM bt_pmeans" for m in METRICS)}
+),
+backtest_poisson AS (
+    SELECT p.model, p.metric,
+        round(CASE p.key {" ".join(f"WHEN '{m}' THEN a.{m}" for m in METRICS)} END, 6) AS value,
+        round(c.ci_lo, 6) AS ci_lo, round(c.ci_hi, 6) AS ci_hi
+    FROM bt_point p CROSS JOIN bt_means_all a JOIN bt_pci c ON c.key = p.key
+),
 sw_counts AS (
     SELECT home_team, away_team, result_regulation AS actual, count(*) AS n FROM test_m GROUP BY ALL
 ),
@@ -266,5 +294,6 @@ BODIES: dict[str, str] = {
     "a17_accuracy": "SELECT round(avg(model_acc), 6) AS model_acc, round(avg(naive_acc), 6) AS naive_acc, round(avg(favorite_acc), 6) AS favorite_acc FROM bt_per_match",
     "a18_log_loss": "SELECT round(avg(model_ll), 6) AS model_ll, round(avg(naive_ll), 6) AS naive_ll FROM bt_per_match",
     "m14_backtest": "SELECT * FROM backtest ORDER BY model, metric",
+    "m15_bootstrap_poisson": "SELECT * FROM backtest_poisson ORDER BY model, metric",
     "m16_sweep": "SELECT * FROM sweep ORDER BY log_loss, k, blend_weight",
 }

@@ -21,6 +21,7 @@ generated rows, the exact method's cost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -104,6 +105,42 @@ def bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int
     return draws.join(values, idx).groupBy("resample").agg(*[F.avg(m).alias(m) for m in metrics])
 
 
+# Poisson(1) cumulative probabilities P(X <= k), k = 0..POISSON_MAX_K, built
+# from the rule e^-1 * sum 1/j!; the mass above the last one is below 1e-10.
+POISSON_MAX_K = 12
+POISSON1_CDF: tuple[float, ...] = tuple(
+    sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(POISSON_MAX_K + 1)
+)
+_TWO63 = float(2**63)
+
+
+def poisson_weight(u: Column) -> Column:
+    """Poisson(1) draw from a uniform ``u`` in [0, 1) by the inverse CDF."""
+    w = None
+    for c in POISSON1_CDF:
+        term = (u >= F.lit(c)).cast("int")
+        w = term if w is None else w + term
+    return w
+
+
+def poisson_bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx") -> DataFrame:
+    """Poisson bootstrap: every row gets an independent Poisson(1) weight per
+    resample; the resample mean is sum(w * x) / sum(w). No join and no row
+    count: the n x B weights are generated next to their rows and reduced by
+    partial aggregation, so only B rows per task are shuffled. An
+    approximation of the multinomial draw, for data too large for it."""
+    rows = indexed.select(idx, *metrics, F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("resample"))
+    rows = with_mix_hash(rows, seed, "resample", idx, "_u")
+    weighted = rows.select(
+        "resample", *metrics, poisson_weight(F.col("_u").cast("double") / F.lit(_TWO63)).alias("_w")
+    )
+    sums = [F.sum(F.col("_w") * F.col(m)).alias(f"_s_{m}") for m in metrics]
+    agg = weighted.groupBy("resample").agg(F.sum("_w").alias("_sw"), *sums)
+    return agg.select(
+        "resample", *[(F.col(f"_s_{m}") / F.nullif(F.col("_sw"), F.lit(0))).alias(m) for m in metrics]
+    )
+
+
 def bootstrap_cis(
     indexed: DataFrame,
     metrics: Sequence[str],
@@ -111,11 +148,19 @@ def bootstrap_cis(
     seed: int = config.BOOTSTRAP_SEED,
     percentiles: tuple[float, float] = config.BOOTSTRAP_PERCENTILES,
     idx: str = "row_idx",
+    method: str = "exact",
 ) -> DataFrame:
     """Percentile interval of the mean of each metric: (metric, ci_lo, ci_hi).
 
-    ``indexed`` has one row per observation and a dense ``idx`` column."""
-    means = bootstrap_means(indexed, metrics, n_resamples, seed, idx)
+    ``indexed`` has one row per observation and a dense ``idx`` column.
+    ``method="exact"`` resamples n rows with replacement (the reference's
+    method); ``method="poisson"`` uses independent Poisson(1) weights."""
+    if method == "exact":
+        means = bootstrap_means(indexed, metrics, n_resamples, seed, idx)
+    elif method == "poisson":
+        means = poisson_bootstrap_means(indexed, metrics, n_resamples, seed, idx)
+    else:
+        raise ValueError(f"unknown bootstrap method {method!r}")
     long = means.select(
         F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("mean")) for m in metrics]))
     )

@@ -128,10 +128,12 @@ def backtest(
     percentiles: tuple[float, float] = config.BOOTSTRAP_PERCENTILES,
     buckets: int = 64,
     digits: int = 6,
+    method: str = "exact",
 ) -> DataFrame:
     """(model, metric, value, ci_lo, ci_hi) for the model and both
     baselines (A17 accuracy, A18 log-loss, M15 intervals). Values are
-    reported to ``digits`` decimals."""
+    reported to ``digits`` decimals. ``method`` picks the bootstrap (exact
+    multinomial resampling, or Poisson weights for very large test sets)."""
     # written once: the point estimates and the bootstrap index both read it
     per_match = store.materialize(
         scored_test_matches(wh, k, w).select(*MATCH_ORDER, *METRICS), "backtest_per_match"
@@ -143,7 +145,9 @@ def backtest(
     )
     # written once: the draws, the values and the row count all read it
     indexed = store.materialize(resample.dense_index(per_match, MATCH_ORDER, MATCH_HASH, buckets), "bootstrap_input")
-    cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles).withColumnRenamed("metric", "key")
+    cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles, method=method).withColumnRenamed(
+        "metric", "key"
+    )
     return (
         point_long.join(F.broadcast(cis), "key")  # one row per metric
         .select(

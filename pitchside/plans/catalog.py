@@ -333,6 +333,12 @@ def m14(wh: Warehouse) -> DataFrame:
     return bt.backtest(wh)
 
 
+@register("m15_bootstrap_poisson", materialize=True)
+def m15(wh: Warehouse) -> DataFrame:
+    """The back-test table with Poisson-weight bootstrap intervals (the scale path)."""
+    return bt.backtest(wh, method="poisson")
+
+
 @register("m16_sweep", materialize=True)
 def m16(wh: Warehouse) -> DataFrame:
     return bt.sweep(wh)

@@ -54,3 +54,21 @@ def test_dense_index_is_a_bijection(spark):
     again = resample.dense_index(df.repartition(3), ["g", "s", "v"], ["g", "s", "v"], buckets=16)
     key = lambda d: sorted((r["v"], r["row_idx"]) for r in d.select("v", "row_idx").collect())
     assert key(idx) == key(again)
+
+
+def test_poisson_method_deterministic_and_brackets_mean(spark):
+    df = _indexed(spark, ACC)
+    a = _cis(df, ["a", "b"], n_resamples=400, seed=11, method="poisson")
+    b = _cis(df, ["a", "b"], n_resamples=400, seed=11, method="poisson")
+    assert a == b
+    lo, hi = a["a"]
+    assert lo <= 0.6 <= hi and lo < hi
+    assert a["a"] == a["b"]  # the same weights serve every metric
+
+
+def test_poisson_weights_have_unit_mean(spark):
+    from pyspark.sql import functions as F
+
+    u = spark.range(200_000).select((F.col("id").cast("double") + 0.5) / F.lit(200_000.0)).toDF("u")
+    mean = u.select(resample.poisson_weight(F.col("u")).alias("w")).agg(F.avg("w")).first()[0]
+    assert abs(mean - 1.0) < 1e-3
