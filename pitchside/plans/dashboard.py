@@ -103,12 +103,17 @@ def prediction_perspective(preds: DataFrame) -> DataFrame:
 
 
 def team_win_prob(preds: DataFrame, k: int = 15) -> DataFrame:
-    """Mean projected win probability per team (percent), top k."""
+    """Mean projected win probability per team (percent), top k.
+
+    The probabilities are 4-decimal numbers, so the mean is taken in exact
+    decimal arithmetic: a mean that is exactly on a rounding boundary
+    (36.95) rounds the same way on every cluster, whatever the summation order."""
+    pct = F.round(F.avg(F.col("win_prob").cast("decimal(12,4)")) * F.lit(100), 1).cast("double")
     return (
         prediction_perspective(preds)
         .groupBy("team")
         .agg(
-            round_half_away(F.lit(100.0) * F.avg("win_prob"), 1).alias("avg_win_pct"),
+            pct.alias("avg_win_pct"),
             F.count(F.lit(1)).alias("matches"),
         )
         .orderBy(F.col("avg_win_pct").desc(), "team")
