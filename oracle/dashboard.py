@@ -76,6 +76,9 @@ BODIES: dict[str, str] = {
         WHERE matches >= 4 ORDER BY attack_vs_xg + defense_vs_xg DESC, team, year""",
     "s13_extract_matches": "SELECT * FROM mx",
     "s13_extract_predictions": "SELECT * FROM predictions ORDER BY date, home_team",
+    "g1_governed_query": """
+        SELECT team, year, matches, attack_vs_xg, defense_vs_xg FROM team_performance
+        WHERE year = 2000 ORDER BY attack_vs_xg + defense_vs_xg DESC, team LIMIT 10""",
     "s5_layer_counts": """
         SELECT 'stg.matches' AS relation, count(*) AS n_rows FROM stg_matches
         UNION ALL SELECT 'mart.int_team_matches', count(*) FROM int_team_matches

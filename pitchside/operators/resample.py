@@ -6,8 +6,9 @@ and give the same numbers on every run and every cluster size.
 Dense index. A total order over all columns numbers the rows 0..n-1; to
 avoid a global sort in one task, rows are spread over ``buckets`` by an MD5
 of their integer/string/date columns, numbered inside each bucket by the
-total order, and shifted by the row count of the lower buckets. Only exact
-duplicates share a bucket key, and those are interchangeable.
+total order, and shifted by the row count of the lower buckets. Exact
+copies are collapsed with a multiplicity first and expanded afterwards in
+blocks, so a hot group of copies is split over tasks.
 
 Bootstrap. Draw ``d`` of resample ``b`` picks row ``mix(seed, b, d) mod n``
 (an integer mixing hash, three multiply-xorshift rounds kept below 2^63 so
@@ -40,22 +41,56 @@ def bucket_of(hash_cols: Sequence[str], buckets: int) -> Column:
     return F.pmod(md5_int(text), F.lit(buckets))
 
 
-def dense_index(df: DataFrame, order_cols: Sequence[str], hash_cols: Sequence[str], buckets: int = 64, name: str = "row_idx") -> DataFrame:
-    """Add ``name`` = rank of the row (0-based) in the order (bucket, order_cols)."""
+def dense_index(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    hash_cols: Sequence[str],
+    buckets: int = 64,
+    name: str = "row_idx",
+    block: int = 100_000,
+) -> DataFrame:
+    """Add ``name`` = rank of the row (0-based) in the order (bucket, order_cols).
+
+    Exact copies are first collapsed to one row with a multiplicity, so a
+    group of copies holding a large share of the data is never sorted or
+    buffered by one window task; each distinct row gets the contiguous range
+    of ranks its copies would have had, and the range is expanded in two
+    steps (blocks of ``block`` ranks, spread over tasks, then ranks), so no
+    single task generates a hot group either."""
+    cols = list(df.columns)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    tagged = df.withColumn("_bucket", bucket_of(hash_cols, buckets))
-    local = tagged.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1)
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).withColumn("_bucket", bucket_of(hash_cols, buckets))
+    w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = distinct.withColumn("_local", F.sum("_m").over(w) - F.col("_m"))
+    counts = distinct.groupBy("_bucket").agg(F.sum("_m").alias("_n"))
     # at most ``buckets`` rows: a one-task running sum and a bounded broadcast
     offsets = counts.select(
         "_bucket",
         (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_off"),
     )
-    return (
-        local.join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_off") + F.col("_local"))
-        .drop("_bucket", "_local", "_off")
+    starts = local.join(F.broadcast(offsets), "_bucket").select(
+        *cols, (F.col("_off") + F.col("_local")).alias("_start"), "_m"
+    )
+    # small groups (the common case: single rows) expand where they are
+    small = starts.where(F.col("_m") <= block).select(
+        *cols, "_start", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_t")
+    ).select(*cols, (F.col("_start") + F.col("_t")).alias(name))
+    # large groups of copies: cut into blocks, spread the blocks over tasks,
+    # then expand each block (only the few block rows are shuffled)
+    blocks = starts.where(F.col("_m") > block).select(
+        *cols, "_start", "_m",
+        F.explode(F.sequence(F.lit(0), ((F.col("_m") - 1) / F.lit(block)).cast("bigint"))).alias("_j"),
+    ).select(
+        *cols,
+        (F.col("_start") + F.col("_j") * F.lit(block)).alias("_from"),
+        F.least(F.lit(block), F.col("_m") - F.col("_j") * F.lit(block)).alias("_len"),
+    )
+    large = (
+        blocks.repartition("_from")
+        .select(*cols, "_from", F.explode(F.sequence(F.lit(0), F.col("_len") - 1)).alias("_t"))
+        .select(*cols, (F.col("_from") + F.col("_t")).alias(name))
     )
+    return small.unionByName(large)
 
 
 _M32 = 0xFFFFFFFF

@@ -445,3 +445,28 @@ def s13p(wh: Warehouse) -> DataFrame:
 @register("s5_layer_counts")
 def s5(wh: Warehouse) -> DataFrame:
     return wh.layer_counts()
+
+
+# ---------------------------------------------------------------- governed access
+from pitchside.plans import access  # noqa: E402
+from pitchside.session import checkpoint_dir  # noqa: E402
+from pitchside.sources import sinks  # noqa: E402
+
+GOVERNED_SQL = """
+    SELECT team, year, matches, attack_vs_xg, defense_vs_xg
+    FROM mart.team_performance
+    WHERE year = 2000
+    ORDER BY attack_vs_xg + defense_vs_xg DESC, team
+"""
+
+
+@register("g1_governed_query")
+def g1(wh: Warehouse) -> DataFrame:
+    """Publish the mart (S9, with dictionary comments), then run a
+    user query through the gate with a row cap of 10."""
+    spark = wh.stg_matches.sparkSession
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pitchside/published-{uuid.uuid4().hex}/mart.team_performance"
+    sinks.save_table(spark, access.with_comments(wh.team_performance, "mart.team_performance"), "mart.team_performance", path)
+    return access.bounded_query(spark, GOVERNED_SQL, max_rows=10)

@@ -72,3 +72,21 @@ def test_poisson_weights_have_unit_mean(spark):
     u = spark.range(200_000).select((F.col("id").cast("double") + 0.5) / F.lit(200_000.0)).toDF("u")
     mean = u.select(resample.poisson_weight(F.col("u")).alias("w")).agg(F.avg("w")).first()[0]
     assert abs(mean - 1.0) < 1e-3
+
+
+def test_dense_index_splits_a_hot_group_of_copies(spark):
+    """A third of the rows are exact copies; they keep contiguous ranks and the
+    index is still the same bijection as without the split."""
+    from pyspark.sql import functions as F
+
+    base = spark.range(600).select((F.col("id") % 11).alias("g"), F.col("id").cast("string").alias("s"))
+    copies = spark.range(300).select(F.lit(5).cast("bigint").alias("g"), F.lit("hot").alias("s"))
+    df = base.unionByName(copies)
+    small_blocks = resample.dense_index(df, ["g", "s"], ["g", "s"], buckets=8, block=7)
+    one_block = resample.dense_index(df, ["g", "s"], ["g", "s"], buckets=8, block=10_000)
+    rows = lambda d: sorted((r["row_idx"], r["g"], r["s"]) for r in d.collect())
+    got = rows(small_blocks)
+    assert [r[0] for r in got] == list(range(900))
+    assert got == rows(one_block)
+    hot = [r[0] for r in got if r[2] == "hot"]
+    assert hot == list(range(hot[0], hot[0] + 300))
