@@ -41,6 +41,15 @@ def bucket_of(hash_cols: Sequence[str], buckets: int) -> Column:
     return F.pmod(md5_int(text), F.lit(buckets))
 
 
+def index_buckets(n: int, rows_per_bucket: int = 2_000_000, minimum: int = 64) -> int:
+    """Bucket count of the dense index: a power of two that keeps about
+    ``rows_per_bucket`` rows per window task (64 up to 128M rows)."""
+    b = minimum
+    while b * rows_per_bucket < n:
+        b *= 2
+    return b
+
+
 def dense_index(
     df: DataFrame,
     order_cols: Sequence[str],

@@ -126,7 +126,7 @@ def backtest(
     n_resamples: int = config.BOOTSTRAP_RESAMPLES,
     seed: int = config.BOOTSTRAP_SEED,
     percentiles: tuple[float, float] = config.BOOTSTRAP_PERCENTILES,
-    buckets: int = 64,
+    buckets: int | None = None,
     digits: int = 6,
     method: str = "exact",
 ) -> DataFrame:
@@ -144,6 +144,8 @@ def backtest(
         F.inline(F.array(*[F.struct(F.lit(mod).alias("model"), F.lit(met).alias("metric"), F.lit(key).alias("key"), F.col(key).alias("value")) for mod, met, key in rows]))
     )
     # written once: the draws, the values and the row count all read it
+    if buckets is None:
+        buckets = resample.index_buckets(per_match.count())
     indexed = store.materialize(resample.dense_index(per_match, MATCH_ORDER, MATCH_HASH, buckets), "bootstrap_input")
     cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles, method=method).withColumnRenamed(
         "metric", "key"
