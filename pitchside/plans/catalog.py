@@ -470,3 +470,15 @@ def g1(wh: Warehouse) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/pitchside/published-{uuid.uuid4().hex}/mart.team_performance"
     sinks.save_table(spark, access.with_comments(wh.team_performance, "mart.team_performance"), "mart.team_performance", path)
     return access.bounded_query(spark, GOVERNED_SQL, max_rows=10)
+
+
+@register("s4_catalog_profile")
+def s4(wh: Warehouse) -> DataFrame:
+    """Row count and (position, column, type) of every raw table. Types are
+    Spark's names, so this one has no SQL oracle (rows-only check)."""
+    from pitchside.sources import files
+
+    raw = wh.raw
+    return files.catalog_profile(
+        {"matches": raw.matches, "world_cup": raw.world_cup, "schedule": raw.schedule, **raw.rankings}
+    )
