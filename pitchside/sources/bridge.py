@@ -82,95 +82,80 @@ def read_star(spark: SparkSession, sf_dir: str) -> StarTables:
     return StarTables(spark, sf_dir)
 
 
-def _ntz(d: dt.date) -> Column:
-    return F.lit(d.strftime("%Y-%m-%d 00:00:00")).cast("timestamp_ntz")
-
-
-def order_years_predicate(years: tuple[int, ...] | None) -> Column | None:
-    """Range predicate on ``o_orderdate`` for a set of years.
-
-    ``year(o_orderdate) IN (...)`` cannot reach the Parquet reader; the
-    equivalent ranges can (row-group skipping on the scan)."""
+def _years_sql(years: tuple[int, ...] | None) -> str:
+    """``o_orderdate`` ranges for the scope years, as SQL text (years are ints)."""
     if not years:
-        return None
-    pred = None
-    for y in sorted(set(years)):
-        one = (F.col("o_orderdate") >= _ntz(dt.date(y, 1, 1))) & (F.col("o_orderdate") < _ntz(dt.date(y + 1, 1, 1)))
-        pred = one if pred is None else pred | one
-    return pred
-
-
-def _round_of_line(line: Column) -> Column:
-    expr = None
-    for n, name in ROUND_BY_LINE:
-        expr = F.when(line == n, F.lit(name)) if expr is None else expr.when(line == n, F.lit(name))
-    return expr
+        return "TRUE"
+    ranges = [
+        f"(o_orderdate >= TIMESTAMP_NTZ '{int(y)}-01-01 00:00:00' AND o_orderdate < TIMESTAMP_NTZ '{int(y) + 1}-01-01 00:00:00')"
+        for y in sorted(set(years))
+    ]
+    return " OR ".join(ranges)
+
+
+def _rounds_sql(col: str) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = {n} THEN '{name}'" for n, name in ROUND_BY_LINE) + " END"
+
+
+_MATCHES_SQL = """
+SELECT
+    CAST(year(o.o_orderdate) AS BIGINT)                                  AS Year,
+    CAST(o.o_orderdate AS DATE)                                          AS Date,
+    concat('HOST_', CAST(CAST(year(o.o_orderdate) AS BIGINT) AS STRING)) AS Host,
+    {rounds}                                                             AS Round,
+    o.o_orderpriority                                                    AS Venue,
+    CAST(floor(l.l_extendedprice) AS BIGINT)                             AS Attendance,
+    hn.n_name                                                            AS home_team,
+    an.n_name                                                            AS away_team,
+    CAST(l.l_quantity AS BIGINT) % 5                                     AS home_score,
+    l.l_partkey % 4                                                      AS away_score,
+    CASE WHEN l.l_tax < 0.08D THEN l.l_discount * 20 END                 AS home_xg,
+    CASE WHEN l.l_tax < 0.08D THEN l.l_tax * 25 END                      AS away_xg,
+    CAST(CASE WHEN l.l_linenumber >= 3 AND CAST(l.l_quantity AS BIGINT) % 5 = l.l_partkey % 4
+              THEN CASE WHEN (l.l_orderkey + l.l_linenumber) % 2 = 0 THEN 5 ELSE 3 END END AS BIGINT)
+                                                                         AS home_penalty,
+    CAST(CASE WHEN l.l_linenumber >= 3 AND CAST(l.l_quantity AS BIGINT) % 5 = l.l_partkey % 4
+              THEN 4 END AS BIGINT)                                      AS away_penalty,
+    c.c_name                                                             AS home_manager,
+    s.s_name                                                             AS away_manager,
+    CAST(NULL AS STRING)                                                 AS home_captain,
+    CAST(NULL AS STRING)                                                 AS away_captain,
+    concat('REF_', CAST(l.l_orderkey % 97 AS STRING))                    AS Referee,
+    o.o_orderstatus                                                      AS Notes
+FROM {{lineitem}} l
+JOIN (SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_orderstatus
+      FROM {{orders}} WHERE {years}) o ON l.l_orderkey = o.o_orderkey
+JOIN {{customer}} c ON o.o_custkey = c.c_custkey
+JOIN {{nation}} hn ON c.c_nationkey = hn.n_nationkey
+JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey
+JOIN {{nation}} an ON s.s_nationkey = an.n_nationkey
+WHERE c.c_nationkey <> s.s_nationkey
+"""
 
 
 def raw_matches(star: dict[str, DataFrame], years: tuple[int, ...] | None = None) -> DataFrame:
     """One row per match with the column names of the raw match file.
 
-    ``years`` only prunes the scan of orders; it never changes a value."""
-    orders = star["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    pred = order_years_predicate(years)
-    if pred is not None:
-        orders = orders.where(pred)
-    nation = star["nation"].select("n_nationkey", "n_name")
-    home = (
-        star["customer"]
-        .select("c_custkey", "c_nationkey", "c_name")
-        .join(nation.withColumnsRenamed({"n_nationkey": "c_nationkey", "n_name": "home_team"}), "c_nationkey")
-    )
-    away = (
-        star["supplier"]
-        .select("s_suppkey", "s_nationkey", "s_name")
-        .join(nation.withColumnsRenamed({"n_nationkey": "s_nationkey", "n_name": "away_team"}), "s_nationkey")
-    )
-    li = star["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax",
-    )
-    joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(home, orders.o_custkey == home.c_custkey)
-        .join(away, li.l_suppkey == away.s_suppkey)
-        .where(F.col("c_nationkey") != F.col("s_nationkey"))
-    )
-    home_score = F.col("l_quantity").cast("bigint") % 5
-    away_score = F.col("l_partkey") % 4
-    shootout = (F.col("l_linenumber") >= 3) & (home_score == away_score)
-    with_xg = F.col("l_tax") < 0.08
-    year = F.year("o_orderdate").cast("bigint")
-    return joined.select(
-        year.alias("Year"),
-        F.col("o_orderdate").cast("date").alias("Date"),
-        F.concat(F.lit("HOST_"), year.cast("string")).alias("Host"),
-        _round_of_line(F.col("l_linenumber")).alias("Round"),
-        F.col("o_orderpriority").alias("Venue"),
-        F.floor("l_extendedprice").cast("bigint").alias("Attendance"),
-        "home_team",
-        "away_team",
-        home_score.alias("home_score"),
-        away_score.alias("away_score"),
-        F.when(with_xg, F.col("l_discount") * 20).alias("home_xg"),
-        F.when(with_xg, F.col("l_tax") * 25).alias("away_xg"),
-        F.when(shootout, F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 2 == 0, 5).otherwise(3))
-        .cast("bigint")
-        .alias("home_penalty"),
-        F.when(shootout, F.lit(4)).cast("bigint").alias("away_penalty"),
-        F.col("c_name").alias("home_manager"),
-        F.col("s_name").alias("away_manager"),
-        F.lit(None).cast("string").alias("home_captain"),
-        F.lit(None).cast("string").alias("away_captain"),
-        F.concat(F.lit("REF_"), (F.col("l_orderkey") % 97).cast("string")).alias("Referee"),
-        F.col("o_orderstatus").alias("Notes"),
+    ``years`` only prunes the scan of orders (date ranges the Parquet reader
+    can use); it never changes a value. One SQL statement over the star
+    DataFrames: parsed and analysed once."""
+    spark = star["lineitem"].sparkSession
+    text = _MATCHES_SQL.format(rounds=_rounds_sql("l.l_linenumber"), years=_years_sql(years))
+    return spark.sql(
+        text,
+        lineitem=star["lineitem"], orders=star["orders"], customer=star["customer"],
+        nation=star["nation"], supplier=star["supplier"],
     )
 
 
-def raw_world_cup(star: dict[str, DataFrame]) -> DataFrame:
-    """One row per year of orders (an edition)."""
+def raw_world_cup(star: dict[str, DataFrame], years: tuple[int, ...] | None = None) -> DataFrame:
+    """One row per year of orders (an edition). ``years`` prunes the scan of
+    orders to those years (the same date ranges as the match table)."""
     year = F.year("o_orderdate").cast("bigint")
-    per_year = star["orders"].groupBy(year.alias("Year")).agg(
+    orders = star["orders"].select("o_orderdate", "o_totalprice")
+    if years:
+        orders = orders.where(F.expr(_years_sql(years)))
+    per_year = orders.groupBy(year.alias("Year")).agg(
         F.count(F.lit(1)).alias("Matches"),
         F.sum(F.floor("o_totalprice")).cast("bigint").alias("Attendance"),
         F.avg(F.floor("o_totalprice")).alias("AttendanceAvg"),
@@ -269,7 +254,7 @@ class LazyRawTables:
 
     @cached_property
     def world_cup(self) -> DataFrame:
-        return raw_world_cup(self.star)
+        return raw_world_cup(self.star, self.years)
 
     @cached_property
     def schedule(self) -> DataFrame:
