@@ -7,9 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pitchside.plans import questions as q
 from pitchside.plans.layers import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -90,3 +90,35 @@ def test_dense_index_splits_a_hot_group_of_copies(spark):
     assert got == rows(one_block)
     hot = [r[0] for r in got if r[2] == "hot"]
     assert hot == list(range(hot[0], hot[0] + 300))
+
+
+def _broadcast_subtrees(plan: str) -> list[str]:
+    """Text of every subtree below a BroadcastExchange (by indentation)."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :|+-"))
+        sub = []
+        for nxt in lines[i + 1 :]:
+            if len(nxt) - len(nxt.lstrip(" :|+-")) <= depth:
+                break
+            sub.append(nxt)
+        out.append("\n".join(sub))
+    return out
+
+
+def test_draws_are_never_the_broadcast_side(spark):
+    """The n x B draws must stream; only the n-row metric side may be broadcast."""
+    from pitchside.sources.store import materialize
+
+    n = 2000
+    df = spark.createDataFrame([(i, float(i % 2)) for i in range(n)], "row_idx long, v double")
+    indexed = materialize(df, "test_idx")
+    means = resample.bootstrap_means(indexed, ["v"], 200, 1)
+    means.write.format("noop").mode("overwrite").save()
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    for sub in _broadcast_subtrees(plan):
+        assert "Range (" not in sub, plan
