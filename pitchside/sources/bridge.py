@@ -176,67 +176,64 @@ def raw_world_cup(star: dict[str, DataFrame], years: tuple[int, ...] | None = No
     )
 
 
-def _ranking_team(nation_key: Column, nation_name: Column) -> Column:
-    # The ranking source spells the first three nations differently (see the crosswalk seed).
-    return F.when(nation_key < 3, F.concat(F.lit("N"), nation_key.cast("string"))).otherwise(nation_name)
+# Ranking rules per snapshot: (rank, previous rank, points, previous points,
+# rated matches) for nations (n = nation key) and regions (r = region key).
+# The first three nations are spelt differently in the ranking source
+# (see the crosswalk seed).
+_RANKING_RULES = {
+    "ranking_old": (
+        ("(n * 7) % 25 + 1", "(n * 3) % 25 + 1", "1000 + n * 30", "1000 + n * 30 - 15", None),
+        ("r + 26", "r + 26", "900 - r * 10", "900 - r * 10", None),
+    ),
+    "ranking_new": (
+        ("(n * 11) % 25 + 1", "(n * 7) % 25 + 1", "1010 + ((n * 13) % 25) * 28", "1000 + n * 30", "n + 20"),
+        ("r + 26", "r + 26", "880 - r * 12", "900 - r * 10", "r + 8"),
+    ),
+}
+_RANKING_COLS = (("rank", "BIGINT"), ("previous_rank", "BIGINT"), ("points", "DOUBLE"),
+                 ("previous_points", "DOUBLE"), ("rated_matches", "BIGINT"))
+
+
+def _ranking_cols(rules: tuple[str | None, ...]) -> str:
+    return ", ".join(
+        f"CAST({expr} AS {typ}) AS {name}" for expr, (name, typ) in zip(rules, _RANKING_COLS) if expr is not None
+    )
 
 
 def raw_ranking(star: dict[str, DataFrame], which: str) -> DataFrame:
     """Ranking snapshot ``ranking_old`` or ``ranking_new``: nations, then regions."""
-    nation = star["nation"].select("n_nationkey", "n_name", "n_regionkey")
-    region = star["region"].select("r_regionkey", "r_name")
-    n = F.col("n_nationkey")
-    r = F.col("r_regionkey")
-    old_rank_n = (n * 7) % 25 + 1
-    old_points_n = F.lit(1000.0) + n * 30
-    old_rank_r = r + 26
-    old_points_r = F.lit(900.0) - r * 10
-    nations = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    if which == "ranking_old":
-        cols_n = [old_rank_n, (n * 3) % 25 + 1, old_points_n, old_points_n - 15]
-        cols_r = [old_rank_r, old_rank_r, old_points_r, old_points_r]
-    elif which == "ranking_new":
-        cols_n = [(n * 11) % 25 + 1, old_rank_n, F.lit(1010.0) + ((n * 13) % 25) * 28, old_points_n, n + 20]
-        cols_r = [old_rank_r, old_rank_r, F.lit(880.0) - r * 12, old_points_r, r + 8]
-    else:
+    if which not in _RANKING_RULES:
         raise ValueError(f"unknown ranking snapshot {which!r}")
-    names = ["rank", "previous_rank", "points", "previous_points", "rated_matches"][: len(cols_n)]
-    types = ["bigint", "bigint", "double", "double", "bigint"]
-    part_n = nations.select(
-        _ranking_team(n, F.col("n_name")).alias("team"),
-        F.concat(F.lit("T"), F.lpad(n.cast("string"), 2, "0")).alias("team_code"),
-        F.col("r_name").alias("association"),
-        *[c.cast(t).alias(a) for c, a, t in zip(cols_n, names, types)],
-    )
-    part_r = region.select(
-        F.col("r_name").alias("team"),
-        F.concat(F.lit("R"), r.cast("string")).alias("team_code"),
-        F.col("r_name").alias("association"),
-        *[c.cast(t).alias(a) for c, a, t in zip(cols_r, names, types)],
-    )
-    return part_n.unionByName(part_r)
+    nations, regions = _RANKING_RULES[which]
+    text = f"""
+        SELECT CASE WHEN n < 3 THEN concat('N', CAST(n AS STRING)) ELSE n_name END AS team,
+               concat('T', lpad(CAST(n AS STRING), 2, '0')) AS team_code,
+               r_name AS association, {_ranking_cols(nations)}
+        FROM (SELECT n_nationkey AS n, n_name, n_regionkey FROM {{nation}}) x
+        JOIN {{region}} ON n_regionkey = r_regionkey
+        UNION ALL
+        SELECT r_name, concat('R', CAST(r AS STRING)), r_name, {_ranking_cols(regions)}
+        FROM (SELECT r_regionkey AS r, r_name FROM {{region}}) y
+    """
+    return star["nation"].sparkSession.sql(text, nation=star["nation"], region=star["region"])
+
+
+_SCHEDULE_SQL = """
+    SELECT 'Group stage' AS Round, date_add(DATE '{start}', CAST(n.n_nationkey % 14 AS INT)) AS Date,
+           n.n_name AS home_team, r.r_name AS away_team, CAST(NULL AS STRING) AS Notes
+    FROM {{nation}} n JOIN {{region}} r ON n.n_regionkey = r.r_regionkey
+    UNION ALL
+    SELECT 'Group stage', date_add(DATE '{start}', CAST((n.n_nationkey + 7) % 14 AS INT)),
+           n.n_name, m.n_name, CAST(NULL AS STRING)
+    FROM {{nation}} n JOIN {{nation}} m ON m.n_nationkey = n.n_nationkey + 1
+"""
 
 
 def raw_schedule(star: dict[str, DataFrame]) -> DataFrame:
     """Future fixtures: each nation against its region (a cold-start team)
-    and against the next nation key."""
-    nation = star["nation"].select("n_nationkey", "n_name", "n_regionkey")
-    region = star["region"].select("r_regionkey", "r_name")
-    start = F.lit(SCHEDULE_START)
-    vs_region = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.lit("Group stage").alias("Round"),
-        F.date_add(start, (F.col("n_nationkey") % 14).cast("int")).alias("Date"),
-        F.col("n_name").alias("home_team"),
-        F.col("r_name").alias("away_team"),
-    )
-    nxt = nation.select(F.col("n_nationkey").alias("k2"), F.col("n_name").alias("name2"))
-    vs_next = nation.join(nxt, nxt.k2 == nation.n_nationkey + 1).select(
-        F.lit("Group stage").alias("Round"),
-        F.date_add(start, ((F.col("n_nationkey") + 7) % 14).cast("int")).alias("Date"),
-        F.col("n_name").alias("home_team"),
-        F.col("name2").alias("away_team"),
-    )
-    return vs_region.unionByName(vs_next).withColumn("Notes", F.lit(None).cast("string"))
+    and against the next nation key (both equi-joins)."""
+    text = _SCHEDULE_SQL.format(start=SCHEDULE_START.isoformat())
+    return star["nation"].sparkSession.sql(text, nation=star["nation"], region=star["region"])
 
 
 class LazyRawTables:
