@@ -232,6 +232,11 @@ def _inspect(spark: SparkSession, sql: str, allowed: frozenset[str]) -> None:
             raise QueryRejected("only read-only SELECT queries are allowed")
         if is_a(node, _ANALYSIS + "UnresolvedTableValuedFunction"):
             raise QueryRejected("table-valued functions are not allowed")
+        kind = str(node.getClass().getSimpleName())
+        if "UnresolvedIdentifier" in kind or "ExecuteImmediate" in kind:
+            # IDENTIFIER('...') names a relation only at analysis time, and
+            # EXECUTE IMMEDIATE runs a statement given as text: neither can be checked here
+            raise QueryRejected("dynamic table names and statements are not allowed")
         if is_a(node, _LOGICAL + "UnresolvedWith"):
             for pair in _seq(node.cteRelations()):
                 cte_names.add(str(pair._1()).lower())
@@ -244,6 +249,8 @@ def _inspect(spark: SparkSession, sql: str, allowed: frozenset[str]) -> None:
             e = exprs.pop()
             if is_a(e, _EXPRESSIONS + "SubqueryExpression"):
                 plans.append(e.plan())
+            if "UnresolvedIdentifier" in str(e.getClass().getSimpleName()):
+                raise QueryRejected("dynamic identifiers are not allowed")
             if is_a(e, _ANALYSIS + "UnresolvedFunction"):
                 name = ".".join(str(p) for p in _seq(e.nameParts())).lower()
                 if name.rsplit(".", 1)[-1] in _FORBIDDEN_FUNCTIONS:

@@ -39,6 +39,13 @@ REJECTED = [
     "SELECT reflect('java.lang.System', 'exit', '0') FROM mart.edition_kpis",
     "WITH x AS (SELECT * FROM raw.matches) SELECT * FROM x",
     "SELECT * FROM mart.edition_kpis WHERE year IN (SELECT year FROM stg.matches)",
+    "SELECT * FROM mart.edition_kpis JOIN IDENTIFIER('raw.matches') USING (year)",
+    "SELECT * FROM IDENTIFIER('mart.edition_kpis')",
+    "EXECUTE IMMEDIATE 'DROP TABLE mart.edition_kpis'",
+    "SELECT * FROM mart.edition_kpis, LATERAL (SELECT * FROM raw.matches)",
+    "SELECT * FROM mart.edition_kpis WHERE EXISTS (SELECT 1 FROM raw.matches)",
+    "SELECT * FROM json.`/etc/hosts`",
+    "VALUES (1)",
 ]
 
 
