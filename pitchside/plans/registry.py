@@ -24,6 +24,7 @@ def register(name: str, materialize: bool = False):
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
+        run.materialize = materialize
         _REGISTRY[name] = run
         return fn
 

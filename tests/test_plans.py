@@ -36,7 +36,9 @@ def test_no_python_udf_and_no_cross_join_in_registered_queries(spark):
     import __spark_entry__ as entry
 
     for name, fn in entry.queries().items():
-        if name in ("m14_backtest",):  # runs jobs while planning; covered by the oracle test
+        # queries that write intermediate tables run jobs while planning; their
+        # plans are checked by the sweep and bootstrap tests and the oracle test
+        if getattr(fn, "materialize", False) or name in ("g1_governed_query", "s4_catalog_profile"):
             continue
         plan = _plan(fn(spark, SF_SMALL))
         for bad in ("ArrowEvalPython", "BatchEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
