@@ -72,30 +72,3 @@ def log_loss_term(p: Column, eps: float = config.LOG_LOSS_EPS) -> Column:
 def poisson_pmf(k: Column, mu: Column) -> Column:
     """exp(-mu) * mu^k / k!"""
     return F.exp(-mu) * F.pow(mu, k) / F.factorial(k).cast("double")
-
-
-def _pmf_vector(mu: Column, max_goals: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(max_goals)), lambda k: poisson_pmf(k, mu))
-
-
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def _cdf_below(p: Column) -> Column:
-    # element i = sum of p[0 .. i-1]
-    return F.transform(p, lambda _x, i: F.aggregate(F.slice(p, 1, i), F.lit(0.0), lambda acc, v: acc + v))
-
-
-def pmf_vectors(mu_home: Column, mu_away: Column, max_goals: int = config.MAX_GOALS) -> tuple[Column, Column]:
-    return _pmf_vector(mu_home, max_goals), _pmf_vector(mu_away, max_goals)
-
-
-def outcome_probs_from_pmfs(ph: Column, pa: Column) -> tuple[Column, Column, Column]:
-    """(home win, draw, away win) of independent scores, renormalised by the
-    mass of the truncated grid. Row-local: no join, no shuffle, no UDF."""
-    home = _dot(ph, _cdf_below(pa))
-    draw = _dot(ph, pa)
-    away = _dot(pa, _cdf_below(ph))
-    total = home + draw + away
-    return home / total, draw / total, away / total

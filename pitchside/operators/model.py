@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchside import config
-from pitchside.functions.columns import clip, col, outcome_probs_from_pmfs, pmf_vectors
+from pitchside.functions.columns import clip, col, poisson_pmf
 from pitchside.operators import marts
 
 GRID_KEYS = ("k", "w")
@@ -196,12 +196,47 @@ def expected_goals(league_avg: Column, attack: Column, defense_opponent: Column)
 
 
 def outcome_probs(df: DataFrame, mu_home: str = "mu_home", mu_away: str = "mu_away", max_goals: int = config.MAX_GOALS) -> DataFrame:
-    """M8/M9: add prob_home_win, prob_draw, prob_away_win (row-local
-    higher-order functions over the truncated, renormalised score grid)."""
-    ph, pa = pmf_vectors(col(mu_home), col(mu_away), max_goals)
-    staged = df.withColumns({"_ph": ph, "_pa": pa})
-    home, draw, away = outcome_probs_from_pmfs(F.col("_ph"), F.col("_pa"))
-    return staged.withColumns({"prob_home_win": home, "prob_draw": draw, "prob_away_win": away}).drop("_ph", "_pa")
+    """M8/M9: add prob_home_win, prob_draw, prob_away_win.
+
+    The truncated score grid is unrolled into plain arithmetic columns (one
+    projection for the 2 x (G+1) pmf values, one for the sums, one for the
+    renormalisation), so it runs inside whole-stage codegen; no array, no
+    lambda, no UDF, no join. Summation order: home = sum_i ph_i * (sum_{j<i} pa_j)."""
+    g = range(max_goals + 1)
+    ph = [f"_ph{i}" for i in g]
+    pa = [f"_pa{i}" for i in g]
+    staged = df.select(
+        "*",
+        *[poisson_pmf(F.lit(i), col(mu_home)).alias(ph[i]) for i in g],
+        *[poisson_pmf(F.lit(i), col(mu_away)).alias(pa[i]) for i in g],
+    )
+
+    def running(p: list[str]) -> list:
+        out, acc = [], F.lit(0.0)
+        for name in p:
+            out.append(acc)
+            acc = acc + F.col(name)
+        return out
+
+    def dot(xs: list[str], ys: list) -> Column:
+        acc = F.lit(0.0)
+        for x, y in zip(xs, ys):
+            acc = acc + F.col(x) * (F.col(y) if isinstance(y, str) else y)
+        return acc
+
+    sums = staged.select(
+        *df.columns,
+        dot(ph, running(pa)).alias("_home"),
+        dot(ph, pa).alias("_draw"),
+        dot(pa, running(ph)).alias("_away"),
+    )
+    total = F.col("_home") + F.col("_draw") + F.col("_away")
+    return sums.select(
+        *df.columns,
+        (F.col("_home") / total).alias("prob_home_win"),
+        (F.col("_draw") / total).alias("prob_draw"),
+        (F.col("_away") / total).alias("prob_away_win"),
+    )
 
 
 def score_pairs(pairs: DataFrame, full_features: DataFrame, league: DataFrame, max_goals: int = config.MAX_GOALS) -> DataFrame:
