@@ -33,7 +33,8 @@ MATCH_HASH = (
 METRICS = ("model_acc", "model_ll", "naive_acc", "naive_ll", "favorite_acc")
 
 
-def test_matches(wh: Warehouse) -> DataFrame:
+def holdout_matches(wh: Warehouse) -> DataFrame:
+    """Matches of the test (hold-out) edition."""
     return wh.int_match_stages.where(F.col("year") == wh.scope.test_year)
 
 
@@ -79,7 +80,7 @@ def scored_test_matches(wh: Warehouse, k: float = config.SHRINKAGE_K, w: float =
     Scoring runs on distinct (home, away) pairs and is joined back, so the
     Poisson grid is evaluated once per pairing, not once per match."""
     sm = backtest_model(wh, model.default_grid(k, w))
-    test = test_matches(wh)
+    test = holdout_matches(wh)
     pairs = test.select("home_team", "away_team").distinct()
     scores = sm.score(pairs).select("home_team", "away_team", "prob_home_win", "prob_draw", "prob_away_win")
     ranks = sm.rankings
@@ -174,7 +175,7 @@ def sweep(
     outcome), scored once per pair and grid point, then weighted back."""
     grid = model.sweep_grid(ks, ws)
     sm = backtest_model(wh, grid)
-    test = test_matches(wh)
+    test = holdout_matches(wh)
     counts = test.groupBy("home_team", "away_team", F.col("result_regulation").alias("actual")).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -279,7 +279,7 @@ def j6(wh: Warehouse) -> DataFrame:
 def m9(wh: Warehouse) -> DataFrame:
     """Expected goals and W/D/L probabilities of every distinct test pairing."""
     sm = bt.backtest_model(wh, model.default_grid())
-    pairs = bt.test_matches(wh).select("home_team", "away_team").distinct()
+    pairs = bt.holdout_matches(wh).select("home_team", "away_team").distinct()
     return sm.score(pairs).select("home_team", "away_team", "mu_home", "mu_away", "prob_home_win", "prob_draw", "prob_away_win")
 
 
