@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pitchside.llm import lines, url_filter
+from pitchside.llm import lines, packing, quality, records, secrets, url_filter
 
 QUERIES = {
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_url_reputation": url_filter.op5_url_reputation,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op8_binary_records": records.op8_binary_records,
+    "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLES = {
     "op4_line_dedup": lines.OP4_SQL,
     "op5_url_reputation": url_filter.OP5_SQL,
+    "op10_quality_rules": quality.OP10_SQL,
 }
