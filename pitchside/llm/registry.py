@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pitchside.llm import lines, packing, quality, records, secrets, url_filter
+from pitchside.llm import decontaminate, lines, packing, quality, records, secrets, url_filter
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_url_reputation": url_filter.op5_url_reputation,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
@@ -13,6 +14,7 @@ QUERIES = {
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLES = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
     "op4_line_dedup": lines.OP4_SQL,
     "op5_url_reputation": url_filter.OP5_SQL,
     "op10_quality_rules": quality.OP10_SQL,
