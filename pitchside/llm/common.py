@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +43,44 @@ def with_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     sorted; it holds one small row per document of the partition.
     """
     return docs.join(decisions.hint("SHUFFLE_HASH"), "_id", "left")
+
+
+MAP_BITS = 1 << 27  # at most: 16 MB
+
+
+def bit_map(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bit map of a long column's low bits: one OR per 64-bit word on the cluster, at
+    most bits / 64 rows to the driver."""
+    bit = f"({column} & {bits - 1}L)"
+    rows = keys.groupBy(F.expr(f"shiftright({bit}, 6)").alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, CAST({bit} & 63 AS INT)))").alias("v")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[rows["word"].to_numpy()] = rows["v"].to_numpy().view(np.uint64)
+    return out
+
+
+def bits_set(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys.astype(np.uint64) & np.uint64(len(table) * 64 - 1)
+    return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """(documents whose _id may be among ``ids``, documents whose _id is not).
+
+    A bounded bit map over hashed ids is sent to the tasks, so that texts which no
+    decision touches are not exchanged. It lets some others through, which the join
+    that follows sorts out; the second part is exact.
+    """
+    bits = min(MAP_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
+    hashed = ids.select(F.xxhash64("_id").alias("k"))
+    sent = docs.sparkSession.sparkContext.broadcast(bit_map(hashed, "k", bits))
+
+    def part(inside: bool):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keep = bits_set(sent.value, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) == inside
+                yield b.filter(pa.array(keep)).select(range(1, b.num_columns))
+
+        return work
+
+    rows = docs.select(F.xxhash64("_id").alias("_k"), *docs.columns)
+    return rows.mapInArrow(part(True), docs.schema), rows.mapInArrow(part(False), docs.schema)

@@ -29,11 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import identified, public_id, stored
+from pitchside.llm.common import MAP_BITS, bit_map, bits_set, identified, public_id, stored
 
 WINDOW = 10
 GRAM = 5
-MAP_BITS = 1 << 27  # at most: 16 MB
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] = np.arange(97, 123, dtype=np.uint8)
 
@@ -89,19 +88,9 @@ def item_prints(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     return items.mapInArrow(work, "fp long, size int, before int, words string, item_id string").distinct()
 
 
-def _bit_map(fps: DataFrame, bits: int) -> np.ndarray:
-    """Bit map of the fingerprints: one OR per 64-bit word on the cluster, at most
-    bits / 64 rows to the driver."""
-    bit = F.col("fp").bitwiseAND(F.lit(bits - 1))
-    rows = fps.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, CAST((fp & {bits - 1}L) & 63 AS INT)))").alias("v")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[rows["word"].to_numpy()] = rows["v"].to_numpy().view(np.uint64)
-    return out
-
-
-def document_hits(docs: DataFrame, bit_map, bits: int, short: list[int], window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def document_hits(docs: DataFrame, table: np.ndarray, short: list[int], window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """One row per document (its word count, fp null) and one per fingerprint whose bit is set."""
-    sent = docs.sparkSession.sparkContext.broadcast(bit_map)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bit = sent.value
@@ -109,8 +98,7 @@ def document_hits(docs: DataFrame, bit_map, bits: int, short: list[int], window:
             for t in K.runs(b.column(1)):
                 w = K.words(t, K.ALNUM, K.FOLDED_VALUES)
                 pos, size, fp = _prints(w, window, gram, short, False)
-                at = fp & np.uint64(bits - 1)
-                hit = (bit[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+                hit = bits_set(bit, fp)
                 pos, size, fp = pos[hit], size[hit], fp[hit]
                 texts, before, start = _contexts(t, w, pos, size, window, gram)
                 n, m = len(t), len(pos)
@@ -160,7 +148,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     n = contexts.count()
     short = [-r["size"] for r in contexts.where("size < 0").select("size").distinct().collect()]  # at most window - 1 rows
     bits = min(MAP_BITS, max(1 << 16, 1 << (1024 * n).bit_length()))
-    hits = stored(document_hits(docs, _bit_map(contexts, bits), bits, sorted(short), window, gram), "document_hits")
+    hits = stored(document_hits(docs, bit_map(contexts, "fp", bits), sorted(short), window, gram), "document_hits")
     theirs = contexts.select("fp", "size", F.col("before").alias("item_before"), F.col("words").alias("item_words"), "ctx")
     spans = stored(extended(hits.where("fp IS NOT NULL").join(theirs, ["fp", "size"]), window), "shared_spans")
     items = spans.select("_id", "ctx").distinct().join(prints.select(F.xxhash64(*key).alias("ctx"), "item_id").distinct(), "ctx").select("_id", "item_id").distinct()

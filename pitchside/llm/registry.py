@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pitchside.llm import decontaminate, lines, packing, quality, records, secrets, url_filter
+from pitchside.llm import decontaminate, lines, packing, quality, records, secrets, substrings, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_url_reputation": url_filter.op5_url_reputation,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_decontaminate": decontaminate.OP1_SQL,
+    "op2_substring_dedup": substrings.OP2_SQL,
     "op4_line_dedup": lines.OP4_SQL,
     "op5_url_reputation": url_filter.OP5_SQL,
     "op10_quality_rules": quality.OP10_SQL,
