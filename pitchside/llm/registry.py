@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitchside.llm import decontaminate, lines, packing, quality, records, secrets, substrings, url_filter
+from pitchside.llm import decontaminate, lines, packing, quality, records, secrets, substrings, suffix_array, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_url_reputation": url_filter.op5_url_reputation,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_suffix_array": suffix_array.op7_suffix_array,
     "op8_binary_records": records.op8_binary_records,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_quality_rules": quality.op10_quality_rules,

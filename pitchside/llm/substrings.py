@@ -99,18 +99,33 @@ class SuffixAutomaton:
         return out
 
 
+def _stretches(group: list[tuple]) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(_id, first word's position, words): contexts of one document that overlap are one
+    stretch, so that no word of the corpus is met twice."""
+    doc, start, words = None, 0, []
+    for _, d, pos, before, content in group:
+        new, at = content.split(b" "), pos - before
+        if d == doc and at <= start + len(words):
+            words = words + new[start + len(words) - at :]
+            continue
+        if doc is not None:
+            yield doc, start, words
+        doc, start, words = d, at, new
+    if doc is not None:
+        yield doc, start, words
+
+
 def shard_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
     """(_id, from, to) of repeated words in the contexts of one anchor, in corpus order."""
     if group[0][4] is None:  # windows of one content: all but the first
         first = (group[0][1], group[0][2])
         return [(g[1], g[2], g[2] + window) for g in group if (g[1], g[2]) != first]
     auto, out = SuffixAutomaton(), []
-    for _, doc, pos, before, content in group:
-        words = content.split(b" ")
+    for doc, start, words in _stretches(group):
         stats = auto.statistics(words)
         if min(stats[window - 1 :]) < window:
             stats = auto.add(words)
-        start, run = pos - before, None
+        run = None
         for i, n in enumerate(stats):
             if n >= window:
                 a, b = start + i + 1 - window, start + i + 1
