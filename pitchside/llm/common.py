@@ -63,8 +63,16 @@ def bits_set(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def split_by_ids(docs: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """(documents whose _id may be among ``ids``, documents whose _id is not).
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have (in any case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame, n: int, column: str = "_id") -> tuple[DataFrame, DataFrame]:
+    """(documents whose id may be among ``ids`` (_id), documents whose id is not).
 
     A bounded bit map over hashed ids is sent to the tasks, so that texts which no
     decision touches are not exchanged. It lets some others through, which the join
@@ -82,5 +90,18 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, Da
 
         return work
 
-    rows = docs.select(F.xxhash64("_id").alias("_k"), *docs.columns)
+    hashed_id = F.xxhash64(docs[column]).alias(unused(docs, "_k"))
+    rows = docs.select(hashed_id, *[docs[c] for c in docs.columns])
     return rows.mapInArrow(part(True), docs.schema), rows.mapInArrow(part(False), docs.schema)
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` with all their columns, less the documents whose id is in ``rejected`` (_id).
+    Only documents that may be rejected are exchanged."""
+    rejected = stored(rejected.select("_id").distinct(), "rejected")
+    key = unused(docs, "_id")
+    base = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    maybe, clean = split_by_ids(base, rejected, rejected.count(), key)
+    gone = unused(base, "_rejected")
+    left = maybe.join(rejected.withColumnRenamed("_id", gone).hint("SHUFFLE_HASH"), F.col(key) == F.col(gone), "left_anti")
+    return left.unionByName(clean).drop(key)

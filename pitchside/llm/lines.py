@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm.common import identified, public_id, stored, with_decisions
+from pitchside.llm.common import NULL_ID, identified, public_id, split_by_ids, stored, unused, with_decisions
 from pitchside.llm.kernels import mix
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -155,7 +155,7 @@ def insert_documents(held: DataFrame, docs: DataFrame) -> DataFrame:
 def delete_documents(held: DataFrame, doc_ids: DataFrame) -> DataFrame:
     """Holder table after deleting documents (``doc_ids``: a doc_id column): exactly the
     table that never saw them."""
-    gone = doc_ids.select(F.coalesce(doc_ids["doc_id"].cast("long"), F.lit((1 << 63) - 1)).alias("_id"))
+    gone = doc_ids.select(F.coalesce(doc_ids["doc_id"].cast("long"), F.lit(NULL_ID)).alias("_id"))
     return held.join(gone, "_id", "left_anti").select("hi", "lo", "_id")
 
 
@@ -225,6 +225,48 @@ def dropped_keys(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return likely.join(hot, ["hi", "lo"]).where(F.col("_id") != F.col("last")).select("_id", "hi", "lo")
 
 
+def kept_lines(text: str | None, keys: list[dict] | None, min_points: int) -> tuple[list[str], int]:
+    """(lines that stay, number of lines) of a text whose keys to drop are given."""
+    lines = (text or "").split("\n")
+    if not keys:
+        return lines, len(lines)
+    gone = {k["hi"].to_bytes(8, "little", signed=True) + k["lo"].to_bytes(8, "little", signed=True) for k in keys}
+    return [x for x in lines if len(x) < min_points or line_key(x, min_points) not in gone], len(lines)
+
+
+def documents_without(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN_POINTS) -> DataFrame:
+    """``docs`` with all their columns and the text without its repeated lines (n_chars
+    follows). Only documents that lose lines are exchanged."""
+    held = stored(holders(identified(docs), min_points).distinct(), "line_holders")
+    drops = stored(dropped_keys(held, min_docs), "line_drops")
+    key = unused(docs, "_id")
+    base = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    maybe, clean = split_by_ids(base, drops.select("_id"), drops.count(), key)
+    lost, at = unused(base, "_drops"), unused(base, "_drop_id")
+    keys = drops.groupBy("_id").agg(F.collect_list(F.struct("hi", "lo")).alias(lost)).withColumnRenamed("_id", at)
+    i_text, names = base.columns.index("text"), [*base.columns]
+    i_chars = names.index("n_chars") if "n_chars" in names else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = list(b.columns[: len(names)])
+            texts, chars = [], cols[i_chars].to_pylist() if i_chars is not None else None
+            for i, (text, keys) in enumerate(zip(cols[i_text].to_pylist(), b.column(len(names)).to_pylist())):
+                stay, n = kept_lines(text, keys, min_points)
+                if len(stay) < n:
+                    text = "\n".join(stay)
+                    if chars is not None:
+                        chars[i] = len(text)
+                texts.append(text)
+            cols[i_text] = pa.array(texts, cols[i_text].type)
+            if chars is not None:
+                cols[i_chars] = pa.array(chars, cols[i_chars].type)
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    joined = maybe.join(keys.hint("SHUFFLE_HASH"), F.col(key) == F.col(at), "left").select(*[maybe[c] for c in names], lost)
+    return joined.mapInArrow(cut, base.schema).unionByName(clean).drop(key)
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN_POINTS) -> DataFrame:
     """``_id``, text, kept text, n_lines, n_dropped of every document row."""
     base = identified(docs)
@@ -235,15 +277,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN
         for b in batches:
             kept, n_lines, n_dropped = [], [], []
             for text, keys in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                lines = (text or "").split("\n")
-                if keys:
-                    gone = {k["hi"].to_bytes(8, "little", signed=True) + k["lo"].to_bytes(8, "little", signed=True) for k in keys}
-                    stay = [x for x in lines if len(x) < min_points or line_key(x, min_points) not in gone]
-                else:
-                    stay = lines
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(stay))
-                kept.append(text if len(stay) == len(lines) else "\n".join(stay))
+                stay, n = kept_lines(text, keys, min_points)
+                n_lines.append(n)
+                n_dropped.append(n - len(stay))
+                kept.append("\n".join(stay) if len(stay) < n else text)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], ["_id", "kept_text", "n_lines", "n_dropped"])
 
     return with_decisions(base, drops).mapInArrow(cut, "_id long, kept_text string, n_lines long, n_dropped long")

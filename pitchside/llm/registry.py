@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pitchside.llm import decontaminate, lines, packing, quality, records, secrets, substrings, suffix_array, url_filter
+from pitchside.llm import decontaminate, lines, near_dup, packing, quality, records, secrets, substrings, suffix_array, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_substring_dedup": substrings.op2_substring_dedup,
+    "op3_near_duplicates": near_dup.op3_near_duplicates,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_url_reputation": url_filter.op5_url_reputation,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
