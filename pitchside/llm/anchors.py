@@ -79,8 +79,10 @@ def repeated(found: DataFrame) -> DataFrame:
     group = Window.partitionBy("anchor")
     order = group.orderBy("ctx", "_id", "pos")
     same = lambda c: F.coalesce(c == F.col("ctx"), F.lit(False))
+    again = same(F.lag("ctx").over(order)) & (F.lag("_id").over(order) == F.col("_id")) & (F.lag("pos").over(order) == F.col("pos"))
     return (
-        found.withColumns({"later": same(F.lag("ctx").over(order)), "next": same(F.lead("ctx").over(order))})
+        found.withColumn("again", again).where(~F.col("again"))  # rows that repeat a document
+        .withColumns({"later": same(F.lag("ctx").over(order)), "next": same(F.lead("ctx").over(order))})
         .withColumn("n_ctx", F.sum((~F.col("later")).cast("long")).over(group))
         .withColumns({"twin": F.col("later") | F.col("next"), "check": ~F.col("later") & (F.col("n_ctx") > 1)})
         .where("twin OR check")
@@ -141,14 +143,15 @@ def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
 
 
 def group_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Groups of equal first column from batches sorted by it, as lists of row tuples."""
+    """Groups of equal first column from batches sorted by (anchor, _id, pos), as lists of row tuples."""
     group: list[tuple] = []
     for b in batches:
         for row in zip(*[c.to_pylist() for c in b.columns]):
             if group and group[0][0] != row[0]:
                 yield group
                 group = []
-            group.append(row)
+            if not group or group[-1][1:3] != row[1:3]:  # else a row that repeats a document
+                group.append(row)
     if group:
         yield group
 

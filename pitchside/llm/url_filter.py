@@ -11,7 +11,7 @@ come first. Everything is DataFrame expressions.
 Edge cases: a null url, or one without ``://``, has empty host and path, no rule
 and no reputation, and is allowed. Hosts without labelled pages take the prior of
 their domain, suffix or corpus. No labels at all: everything that no rule blocks
-is allowed. Repeated rows count as often as they occur. Only the named columns
+is allowed. A label that is null, or unknown because one of its parts is, is no outcome. Repeated rows count as often as they occur. Only the named columns
 are read, so extra columns cannot clash.
 """
 
@@ -169,8 +169,8 @@ WITH cut AS (
   SELECT page_id, host, path, doc_id, array_to_string(CASE WHEN wide THEN ls[-3:] ELSE ls[-2:] END, '.') AS domain,
     array_to_string(CASE WHEN wide THEN ls[-2:] ELSE ls[-1:] END, '.') AS suffix FROM levels
 ), lab AS (
-  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
-), out AS (SELECT page_id, max(bad) AS bad FROM p JOIN lab USING (doc_id) WHERE page_id IS NOT NULL GROUP BY page_id),
+  SELECT doc_id, max(CAST(quality = 0 OR toxic = 1 AS INT)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), out AS (SELECT page_id, max(bad) AS bad FROM p JOIN lab USING (doc_id) WHERE page_id IS NOT NULL AND bad IS NOT NULL GROUP BY page_id),
 h AS (SELECT host, domain, suffix, count(o.bad) AS n, coalesce(sum(o.bad), 0) AS bad FROM p LEFT JOIN out o USING (page_id) GROUP BY ALL),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
