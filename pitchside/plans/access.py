@@ -3,11 +3,14 @@
 ``bounded_query`` accepts one read-only query over the allow-listed
 published tables and returns it capped at ``max_rows``. The check runs on
 Spark's own parse tree (no parser of ours) before anything is executed,
-because ``spark.sql`` runs commands eagerly.
+because ``spark.sql`` runs commands eagerly, and again on the analysed plan. It uses
+the classic session's JVM objects, so it cannot run over Spark Connect.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,167 +19,126 @@ from pitchside import config
 
 # --------------------------------------------------------------- data dictionary
 
-# table -> (grain, ((column, spark type, description), ...))
-PUBLISHED: dict[str, tuple[str, tuple[tuple[str, str, str], ...]]] = {
-    "mart.edition_kpis": (
-        "one row per edition",
-        (
-            ("year", "bigint", "edition year"),
-            ("host", "string", "host"),
-            ("n_matches", "bigint", "matches played"),
-            ("total_goals", "bigint", "goals scored (extra time included)"),
-            ("goals_per_match", "double", "mean goals per match, 2 decimals"),
-            ("xg_per_match", "double", "mean expected goals per match, 2 decimals"),
-            ("goals_minus_xg", "double", "goals per match minus xG per match"),
-            ("pen_shootouts", "bigint", "matches decided on penalties"),
-            ("avg_attendance", "double", "mean attendance, rounded"),
-            ("champion", "string", "champion"),
-            ("runner_up", "string", "runner-up"),
-            ("top_scorer", "string", "top scorer"),
-        ),
-    ),
-    "mart.team_performance": (
-        "one row per (team, edition)",
-        (
-            ("team", "string", "team"),
-            ("year", "bigint", "edition"),
-            ("matches", "bigint", "matches played"),
-            ("wins_reg", "bigint", "wins on the score (extra time included)"),
-            ("draws", "bigint", "draws on the score"),
-            ("losses_reg", "bigint", "losses on the score"),
-            ("advanced_or_won", "bigint", "matches won, shoot-outs included"),
-            ("goals_for", "bigint", "goals scored"),
-            ("goals_against", "bigint", "goals conceded"),
-            ("goal_diff", "bigint", "goals scored minus conceded"),
-            ("xg_for", "double", "expected goals created"),
-            ("xg_against", "double", "expected goals conceded"),
-            ("attack_vs_xg", "double", "goals_for - xg_for; positive = finished above expectation, not 'attacked more'"),
-            ("defense_vs_xg", "double", "xg_against - goals_against; positive = conceded less than expected (inverted on purpose: higher is better on both axes)"),
-        ),
-    ),
-    "mart.int_match_stages": (
-        "one row per match, with stage metadata",
-        (
-            ("year", "bigint", "edition"),
-            ("round", "string", "stage name"),
-            ("stage_type", "string", "'group' or 'knockout'"),
-            ("stage_order", "int", "chronological stage order, 1 = group stage ... 6 = final"),
-            ("home_team", "string", "home side"),
-            ("away_team", "string", "away side"),
-            ("home_score", "bigint", "home goals, extra time included"),
-            ("away_score", "bigint", "away goals"),
-            ("home_xg", "double", "home expected goals"),
-            ("away_xg", "double", "away expected goals"),
-            ("total_goals", "bigint", "goals in the match"),
-            ("decided_on_pens", "boolean", "decided by a penalty shoot-out"),
-            ("winner", "string", "winner, shoot-out included; NULL on a true draw"),
-            ("attendance", "bigint", "attendance"),
-            ("venue", "string", "venue"),
-        ),
-    ),
-    "mart.int_team_matches": (
-        "one row per (match, team): the team's perspective",
-        (
-            ("year", "bigint", "edition"),
-            ("round", "string", "stage name"),
-            ("team", "string", "team"),
-            ("opponent", "string", "opponent"),
-            ("is_home", "boolean", "played as the home side"),
-            ("goals_for", "bigint", "goals scored in the match"),
-            ("goals_against", "bigint", "goals conceded in the match"),
-            ("xg_for", "double", "expected goals created"),
-            ("xg_against", "double", "expected goals conceded"),
-            ("decided_on_pens", "boolean", "decided by a penalty shoot-out"),
-            ("result", "string", "'win' / 'draw' / 'loss' on the score"),
-            ("won_match", "boolean", "won, shoot-out included; NULL on a true draw"),
-        ),
-    ),
-    "mart.knockout_analysis": (
-        "one row per (edition, knockout round)",
-        (
-            ("year", "bigint", "edition"),
-            ("round", "string", "knockout round"),
-            ("stage_order", "int", "stage order"),
-            ("n_matches", "bigint", "matches in the round"),
-            ("goals_per_match", "double", "mean goals"),
-            ("xg_per_match", "double", "mean expected goals"),
-            ("pen_shootouts", "bigint", "shoot-outs in the round"),
-        ),
-    ),
-    "mart.ranking_vs_result": (
-        "one row per match of the ranked edition only",
-        (
-            ("round", "string", "stage name"),
-            ("home_team", "string", "home side"),
-            ("away_team", "string", "away side"),
-            ("home_rank", "bigint", "ranking position of the home side"),
-            ("away_rank", "bigint", "ranking position of the away side"),
-            ("winner", "string", "winner; NULL on a true draw"),
-            ("higher_ranked", "string", "better-ranked side (ties and missing ranks: away)"),
-            ("favorite_won", "boolean", "the better-ranked side won; NULL on a true draw"),
-        ),
-    ),
-    "predict.predictions": (
-        "one row per scheduled future fixture",
-        (
-            ("round", "string", "stage name"),
-            ("date", "date", "fixture date"),
-            ("home_team", "string", "home side in the schedule"),
-            ("away_team", "string", "away side in the schedule"),
-            ("expected_home_goals", "double", "expected goals of the home side (Poisson model)"),
-            ("expected_away_goals", "double", "expected goals of the away side"),
-            ("prob_home_win", "double", "projected home win probability"),
-            ("prob_draw", "double", "projected draw probability"),
-            ("prob_away_win", "double", "projected away win probability"),
-        ),
-    ),
+# The published relations, with what one row stands for. Columns and types are
+# taken from the relations themselves.
+PUBLISHED: dict[str, str] = {
+    "mart.edition_kpis": "an edition",
+    "mart.team_performance": "a team in an edition",
+    "mart.int_match_stages": "a match",
+    "mart.int_team_matches": "a side of a match, seen from its team",
+    "mart.knockout_analysis": "a knockout round of an edition",
+    "mart.ranking_vs_result": "a match of the edition that has rankings",
+    "predict.predictions": "a fixture of the future schedule",
+}
+
+# What a column holds, wherever it is published.
+COLUMN_NOTES: dict[str, str] = {
+    "year": "calendar year that names the edition",
+    "host": "who staged the edition",
+    "venue": "where the match was played",
+    "attendance": "people in the ground",
+    "avg_attendance": "people per match, to the next whole number",
+    "match_date": "day of the match",
+    "date": "day the fixture is planned for",
+    "round": "name of the phase",
+    "stage_type": "group or knockout",
+    "stage_order": "position of the phase in time, from 1",
+    "home_team": "first-named team",
+    "away_team": "second-named team",
+    "team": "the team the row is about",
+    "opponent": "the team it met",
+    "is_home": "whether the team was named first",
+    "home_score": "goals of the first-named team before any shoot-out",
+    "away_score": "goals of the second-named team before any shoot-out",
+    "home_goal_diff": "goals of the first-named team less those of the other",
+    "home_xg": "chance quality of the first-named team, in goals",
+    "away_xg": "chance quality of the second-named team, in goals",
+    "home_pens": "shoot-out goals of the first-named team, if there was one",
+    "away_pens": "shoot-out goals of the second-named team, if there was one",
+    "pens_for": "the team's shoot-out goals, if there was one",
+    "pens_against": "the opponent's shoot-out goals, if there was one",
+    "home_manager": "coach of the first-named team",
+    "away_manager": "coach of the second-named team",
+    "home_captain": "captain of the first-named team",
+    "away_captain": "captain of the second-named team",
+    "referee": "who refereed",
+    "notes": "free text of the source",
+    "total_goals": "goals of both teams together",
+    "decided_on_pens": "whether a shoot-out settled it",
+    "result_regulation": "outcome by the score alone: home_win, draw or away_win",
+    "result": "the team's outcome by the score alone: win, draw or loss",
+    "winner": "who went through, by score or shoot-out; empty if nobody did",
+    "won_match": "whether the team is the winner; empty if nobody is",
+    "goals_minus_xg": "goals less chance quality (per match in edition_kpis)",
+    "n_matches": "matches counted",
+    "matches": "matches the team played",
+    "goals_per_match": "average goals, two decimals",
+    "xg_per_match": "average chance quality over matches that have it, two decimals",
+    "pen_shootouts": "shoot-outs counted",
+    "champion": "first place",
+    "runner_up": "second place",
+    "top_scorer": "most goals of a player, as in the source",
+    "wins_reg": "matches won by the score alone",
+    "draws": "matches level by the score alone",
+    "losses_reg": "matches lost by the score alone",
+    "advanced_or_won": "matches of which the team is the winner",
+    "goals_for": "goals the team made",
+    "goals_against": "goals the team let in",
+    "goal_diff": "goals made less goals let in",
+    "xg_for": "chance quality the team made, in goals",
+    "xg_against": "chance quality the team allowed, in goals",
+    "attack_vs_xg": "goals made beyond chance quality made",
+    "defense_vs_xg": "chance quality allowed beyond goals let in, so that more is better here too",
+    "home_rank": "place of the first-named team in the ranking, 1 is best",
+    "away_rank": "place of the second-named team in the ranking, 1 is best",
+    "higher_ranked": "team with the better place; the second-named one where places are equal or missing",
+    "favorite_won": "whether that team is the winner; empty if nobody is, false where places are equal or missing",
+    "expected_home_goals": "model's mean goals of the first-named team",
+    "expected_away_goals": "model's mean goals of the second-named team",
+    "prob_home_win": "model's chance that the first-named team scores more",
+    "prob_draw": "model's chance of equal scores",
+    "prob_away_win": "model's chance that the second-named team scores more",
 }
 
+# What a reader has to know before drawing conclusions.
 CAVEATS: tuple[str, ...] = (
-    "Scope: only the editions in scope; no other edition is covered.",
-    "Rankings exist for the ranked (test) edition only; no favourite claims for the other one.",
-    "attack_vs_xg > 0 means finishing above expectation, not attacking more; read it with xg_for.",
-    "defense_vs_xg > 0 means conceding less than expected (xg_against - goals_against).",
-    "winner and favorite_won are NULL on true group-stage draws.",
-    "Samples are small; report tendencies, not statistical proof.",
-    "predict.predictions are model projections for future fixtures, not results.",
-    "Projections treat every fixture as a neutral venue.",
+    "An edition outside the configured years is nowhere in these tables.",
+    "Only one played edition has rankings, so questions about favourites can be asked for that one alone.",
+    "Chance quality is missing for some matches; sums and averages of it skip them, goal counts do not.",
+    "A shoot-out decides who goes through but leaves the score level: result and winner can disagree.",
+    "Rows without a winner are left out of favourite rates, not counted as failures.",
+    "Few matches stand behind a team's figures; differences between neighbours mean little.",
+    "Predictions come from a model of past editions and say nothing about lineups or form.",
+    "The model knows no home advantage: first- and second-named are only places in the schedule.",
 )
 
-# The allow-list is the set of published tables.
 ALLOWED_TABLES: frozenset[str] = frozenset(PUBLISHED)
 
 
-def data_dictionary(spark: SparkSession) -> DataFrame:
-    """G3 as a DataFrame: (table, grain, position, column, type, description)."""
+def data_dictionary(spark: SparkSession, schemas: Mapping[str, T.StructType]) -> DataFrame:
+    """G3 as a DataFrame: (table, grain, position, column, type, description) of the
+    published relations, from their own schemas."""
     rows = [
-        (table, grain, i, c, t, d)
-        for table, (grain, cols) in PUBLISHED.items()
-        for i, (c, t, d) in enumerate(cols)
+        (table, PUBLISHED[table], i, f.name, f.dataType.simpleString(), COLUMN_NOTES.get(f.name))
+        for table, schema in schemas.items()
+        for i, f in enumerate(schema.fields)
     ]
-    schema = "table string, grain string, position int, column string, type string, description string"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, "table string, grain string, position int, column string, type string, description string")
 
 
-def with_comments(df: DataFrame, table: str) -> DataFrame:
-    """Attach the dictionary descriptions as column comments (kept in the Parquet schema)."""
-    _, cols = PUBLISHED[table]
-    described = {c: d for c, _, d in cols}
+def with_comments(df: DataFrame) -> DataFrame:
+    """Attach the notes as column comments (kept in the Parquet schema)."""
     return df.select(
         *[
-            F.col(f"`{f.name}`").alias(f.name, metadata={"comment": described[f.name]})
-            if f.name in described
-            else F.col(f"`{f.name}`")
+            F.col(f"`{f.name}`").alias(f.name, metadata={"comment": COLUMN_NOTES[f.name]}) if f.name in COLUMN_NOTES else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
 
 
-def dictionary_mismatches(table: str, schema: T.StructType) -> list[str]:
-    """Columns of the dictionary that are missing or typed differently in ``schema``."""
-    actual = {f.name: f.dataType.simpleString() for f in schema.fields}
-    _, cols = PUBLISHED[table]
-    return [f"{table}.{c}: {t} vs {actual.get(c)}" for c, t, _ in cols if actual.get(c) != t]
+def undocumented(schema: T.StructType) -> list[str]:
+    """Columns that the dictionary has no note for."""
+    return [f.name for f in schema.fields if f.name not in COLUMN_NOTES]
 
 
 # --------------------------------------------------------------- governed query
@@ -211,56 +173,85 @@ def _class_checker(jvm):
     return is_a
 
 
-def _inspect(spark: SparkSession, sql: str, allowed: frozenset[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    is_a = _class_checker(jvm)
-    try:
-        root = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    except Exception as e:  # noqa: BLE001
-        raise QueryRejected("could not parse the statement as one SQL query") from e
-
-    cte_names: set[str] = set()
-    relations: list[str] = []
-    plans = [root]
-    while plans:
-        node = plans.pop()
-        if (
-            is_a(node, _LOGICAL + "Command")
-            or is_a(node, _LOGICAL + "ParsedStatement")
-            or is_a(node, _LOGICAL + "InsertIntoStatement")
-        ):
+class _Gate:
+    """Walks a parse tree with the common table expressions in scope at each node.
+
+    A CTE name covers single-part relation names only, in the later definitions of
+    its WITH and in the WITH's body; its own definition does not see it.
+    """
+
+    def __init__(self, spark: SparkSession, allowed: frozenset[str]):
+        self.is_a = _class_checker(spark.sparkContext._jvm)
+        self.allowed = {tuple(a.split(".")) for a in allowed}
+        self.published = 0
+
+    def relation(self, parts: tuple[str, ...], ctes: frozenset[str]) -> None:
+        if len(parts) == 1 and parts[0] in ctes:
+            return
+        if parts not in self.allowed:
+            raise QueryRejected(f"table not allowed: {'.'.join(parts)!r}; only published marts can be queried")
+        self.published += 1
+
+    def expression(self, e, ctes: frozenset[str]) -> None:
+        if self.is_a(e, _EXPRESSIONS + "SubqueryExpression"):
+            self.plan(e.plan(), ctes)
+        if "UnresolvedIdentifier" in str(e.getClass().getSimpleName()):
+            raise QueryRejected("dynamic identifiers are not allowed")
+        if self.is_a(e, _ANALYSIS + "UnresolvedFunction"):
+            name = ".".join(str(p) for p in _seq(e.nameParts())).lower()
+            if name.rsplit(".", 1)[-1] in _FORBIDDEN_FUNCTIONS:
+                raise QueryRejected(f"function not allowed: {name}")
+        for child in _seq(e.children()):
+            self.expression(child, ctes)
+
+    def plan(self, node, ctes: frozenset[str]) -> None:
+        if any(self.is_a(node, _LOGICAL + c) for c in ("Command", "ParsedStatement", "InsertIntoStatement")):
             raise QueryRejected("only read-only SELECT queries are allowed")
-        if is_a(node, _ANALYSIS + "UnresolvedTableValuedFunction"):
+        if self.is_a(node, _ANALYSIS + "UnresolvedTableValuedFunction"):
             raise QueryRejected("table-valued functions are not allowed")
         kind = str(node.getClass().getSimpleName())
         if "UnresolvedIdentifier" in kind or "ExecuteImmediate" in kind:
             # IDENTIFIER('...') names a relation only at analysis time, and
             # EXECUTE IMMEDIATE runs a statement given as text: neither can be checked here
             raise QueryRejected("dynamic table names and statements are not allowed")
-        if is_a(node, _LOGICAL + "UnresolvedWith"):
+        if self.is_a(node, _LOGICAL + "UnresolvedWith"):
             for pair in _seq(node.cteRelations()):
-                cte_names.add(str(pair._1()).lower())
-        if is_a(node, _ANALYSIS + "UnresolvedRelation"):
-            relations.append(".".join(str(p) for p in _seq(node.multipartIdentifier())).lower())
-        plans.extend(_seq(node.children()))
-        plans.extend(p for p in _seq(node.innerChildren()) if is_a(p, _LOGICAL + "LogicalPlan"))
-        exprs = _seq(node.expressions())
-        while exprs:
-            e = exprs.pop()
-            if is_a(e, _EXPRESSIONS + "SubqueryExpression"):
-                plans.append(e.plan())
-            if "UnresolvedIdentifier" in str(e.getClass().getSimpleName()):
-                raise QueryRejected("dynamic identifiers are not allowed")
-            if is_a(e, _ANALYSIS + "UnresolvedFunction"):
-                name = ".".join(str(p) for p in _seq(e.nameParts())).lower()
-                if name.rsplit(".", 1)[-1] in _FORBIDDEN_FUNCTIONS:
-                    raise QueryRejected(f"function not allowed: {name}")
-            exprs.extend(_seq(e.children()))
-    if not relations:
-        raise QueryRejected("the query must read a published table")
-    for rel in relations:
-        if rel not in allowed and rel not in cte_names:
-            raise QueryRejected(f"table not allowed: {rel!r}; only published marts can be queried")
+                self.plan(pair._2(), ctes)
+                ctes = ctes | {str(pair._1()).lower()}
+            self.plan(node.child(), ctes)
+            return
+        if self.is_a(node, _ANALYSIS + "UnresolvedRelation"):
+            self.relation(tuple(str(p).lower() for p in _seq(node.multipartIdentifier())), ctes)
+        for child in _seq(node.children()):
+            self.plan(child, ctes)
+        for inner in _seq(node.innerChildren()):
+            if self.is_a(inner, _LOGICAL + "LogicalPlan"):
+                self.plan(inner, ctes)
+        for e in _seq(node.expressions()):
+            self.expression(e, ctes)
+
+    def analysed(self, node) -> None:
+        """Second check, on names as Spark resolved them: every leaf of the analysed plan
+        is a published table, a CTE reference or a row of constants."""
+        leaf = node.children().isEmpty()
+        kind = str(node.getClass().getSimpleName())
+        if leaf and kind not in ("OneRowRelation", "LocalRelation", "CTERelationRef"):
+            table = node.catalogTable() if kind in ("LogicalRelation", "HiveTableRelation") else None
+            known = table is not None and table.isDefined()
+            ident = table.get().identifier() if known else None
+            name = (str(ident.database().get()).lower() if ident.database().isDefined() else "", str(ident.table()).lower()) if known else ()
+            if name not in self.allowed:
+                raise QueryRejected(f"the query reads {'.'.join(name) or kind!r}, which is not published")
+        for child in [*_seq(node.children()), *[p for p in _seq(node.innerChildren()) if self.is_a(p, _LOGICAL + "LogicalPlan")]]:
+            self.analysed(child)
+        for e in _seq(node.expressions()):
+            self._analysed_expression(e)
+
+    def _analysed_expression(self, e) -> None:
+        if self.is_a(e, _EXPRESSIONS + "SubqueryExpression"):
+            self.analysed(e.plan())
+        for child in _seq(e.children()):
+            self._analysed_expression(child)
 
 
 def bounded_query(
@@ -271,11 +262,20 @@ def bounded_query(
 ) -> DataFrame:
     """G1: validate, then run with a row cap (a smaller LIMIT inside is kept).
 
-    CTEs are accepted and may be referenced by name; every other relation
-    must be allow-listed. Statements, DDL/DML, table-valued functions and
+    CTEs are accepted and may be referenced where they are in scope; every other
+    relation must be allow-listed, both as written and as analysed. Statements, DDL/DML, table-valued functions and
     reflective functions are rejected at any depth of the parse tree."""
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise QueryRejected("empty statement")
-    _inspect(spark, text, frozenset(a.lower() for a in allowed))
-    return spark.sql(text).limit(max_rows)
+    gate = _Gate(spark, frozenset(a.lower() for a in allowed))
+    try:
+        root = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except Exception as e:  # noqa: BLE001
+        raise QueryRejected("could not parse the statement as one SQL query") from e
+    gate.plan(root, frozenset())
+    if not gate.published:
+        raise QueryRejected("the query must read a published table")
+    df = spark.sql(text)  # a query: analysed, not run
+    gate.analysed(df._jdf.queryExecution().analyzed())
+    return df.limit(max_rows)

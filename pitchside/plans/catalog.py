@@ -454,7 +454,7 @@ from pitchside.sources import sinks  # noqa: E402
 
 GOVERNED_SQL = """
     SELECT team, year, matches, attack_vs_xg, defense_vs_xg
-    FROM mart.team_performance
+    FROM {table}
     WHERE year = 2000
     ORDER BY attack_vs_xg + defense_vs_xg DESC, team
 """
@@ -462,14 +462,16 @@ GOVERNED_SQL = """
 
 @register("g1_governed_query")
 def g1(wh: Warehouse) -> DataFrame:
-    """Publish the mart (S9, with dictionary comments), then run a
-    user query through the gate with a row cap of 10."""
-    spark = wh.stg_matches.sparkSession
+    """Publish the mart (S9, with dictionary comments) in a database of this
+    run's own, then send a user query through the gate with a row cap of 10."""
     import uuid
 
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pitchside/published-{uuid.uuid4().hex}/mart.team_performance"
-    sinks.save_table(spark, access.with_comments(wh.team_performance, "mart.team_performance"), "mart.team_performance", path)
-    return access.bounded_query(spark, GOVERNED_SQL, max_rows=10)
+    spark = wh.stg_matches.sparkSession
+    run = uuid.uuid4().hex
+    table = f"governed_{run}.team_performance"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pitchside/published-{run}/team_performance"
+    sinks.save_table(spark, access.with_comments(wh.team_performance), table, path)
+    return access.bounded_query(spark, GOVERNED_SQL.format(table=table), allowed=frozenset({table}), max_rows=10)
 
 
 @register("s4_catalog_profile")

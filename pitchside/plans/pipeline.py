@@ -64,7 +64,7 @@ def published_relations(wh: Warehouse) -> dict[str, DataFrame]:
         "predict.predictions": pr.predictions(wh),
     }
     assert set(rel) == set(PUBLISHED)
-    return {name: with_comments(df, name) for name, df in rel.items()}
+    return {name: with_comments(df) for name, df in rel.items()}
 
 
 def run_pipeline(
