@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import TEST_CYCLE, TEST_YEAR, with_ctes
+from oracle.base import SCOPE_YEARS, TEST_CYCLE, TEST_YEAR, with_ctes
 
 MK = "year, match_date, round, home_team, away_team"
 
@@ -63,9 +63,42 @@ _BODIES: dict[str, str] = {
 }
 
 
+# Raw tables and their columns, in file order, for the catalogue profile.
+_RAW = {
+    "matches": ("raw_matches", "Year Date Host Round Venue Attendance home_team away_team home_score away_score home_xg away_xg home_penalty away_penalty home_manager away_manager home_captain away_captain Referee Notes"),
+    "world_cup": ("raw_world_cup", "Year Host Teams Champion Runner-Up TopScorrer Attendance AttendanceAvg Matches"),
+    "schedule": ("raw_schedule", "Round Date home_team away_team Notes"),
+    "ranking_old": ("raw_ranking_old", "team team_code association rank previous_rank points previous_points"),
+    "ranking_new": ("raw_ranking_new", "team team_code association rank previous_rank points previous_points rated_matches"),
+}
+
+
+def _profile() -> str:
+    parts = []
+    for name, (relation, columns) in _RAW.items():
+        cells = ", ".join(f"{{'c': '{c}', 't': typeof(any_value(\"{c}\"))}}" for c in columns.split())
+        parts.append(f"SELECT '{name}' AS \"table\", count(*) AS n_rows, [{cells}] AS cells FROM {relation}")
+    return f"""
+        SELECT "table", CAST(i - 1 AS INTEGER) AS position, cells[i].c AS "column",
+               CASE cells[i].t WHEN 'VARCHAR' THEN 'string' ELSE lower(cells[i].t) END AS type, n_rows
+        FROM (SELECT *, unnest(range(1, len(cells) + 1)) AS i FROM ({" UNION ALL ".join(parts)}))"""
+
+
+_ROUND_TRIPS: dict[str, str] = {
+    "s1_csv_source": f'SELECT * FROM raw_matches WHERE "Year" IN ({SCOPE_YEARS})',
+    "s3_replace_table": f'SELECT * FROM raw_world_cup WHERE "Year" IN ({SCOPE_YEARS})',
+    "s4_catalog_profile": _profile(),
+    "s7_csv_sink": "SELECT * FROM predictions",
+    "s9_publish_snapshot": """
+        SELECT 'team_performance' AS relation, count(*) AS n_rows FROM both_sums
+        UNION ALL SELECT 'knockout_analysis', count(*) FROM knockout_analysis""",
+    "s11_batch_job": "SELECT * FROM predictions",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     from oracle import model  # noqa: I001  registers CTEs; order matters: dashboard reads model CTEs
     from oracle import dashboard
 
-    bodies = {**_BODIES, **model.BODIES, **dashboard.BODIES}
+    bodies = {**_BODIES, **model.BODIES, **dashboard.BODIES, **_ROUND_TRIPS}
     return {name: with_ctes(body) for name, body in bodies.items()}

@@ -49,9 +49,11 @@ def rate_pct(hits: Column, total: Column, digits: int = 1) -> Column:
 
 
 def argmax_label(p_home: Column, p_draw: Column, p_away: Column) -> Column:
-    """Most likely outcome; ties go home_win, then draw, then away_win."""
+    """Most likely outcome; ties go home_win, then draw, then away_win. NULL if any
+    probability is."""
     return (
-        F.when((p_home >= p_draw) & (p_home >= p_away), F.lit("home_win"))
+        F.when(p_home.isNull() | p_draw.isNull() | p_away.isNull(), F.lit(None).cast("string"))
+        .when((p_home >= p_draw) & (p_home >= p_away), F.lit("home_win"))
         .when(p_draw >= p_away, F.lit("draw"))
         .otherwise(F.lit("away_win"))
     )
@@ -66,7 +68,8 @@ def prob_of_outcome(outcome: Column, p_home: Column, p_draw: Column, p_away: Col
 
 
 def log_loss_term(p: Column, eps: float = config.LOG_LOSS_EPS) -> Column:
-    return -F.ln(F.greatest(p, F.lit(eps)))
+    """-ln(p), p at least ``eps``; NULL stays NULL (``greatest`` would skip it)."""
+    return F.when(p.isNotNull(), -F.ln(F.greatest(p, F.lit(eps))))
 
 
 def poisson_pmf(k: Column, mu: Column) -> Column:

@@ -240,7 +240,10 @@ def outcome_probs(df: DataFrame, mu_home: str = "mu_home", mu_away: str = "mu_aw
 
 
 def score_pairs(pairs: DataFrame, full_features: DataFrame, league: DataFrame, max_goals: int = config.MAX_GOALS) -> DataFrame:
-    """Expected goals and outcome probabilities for (home_team, away_team, k, w) rows."""
+    """Expected goals and outcome probabilities for (home_team, away_team, k, w) rows.
+
+    A team without strength (neither history nor ranking points) fails the job with
+    its name instead of leaving an unscored row."""
     h = full_features.select(
         F.col("team").alias("home_team"), *GRID_KEYS,
         F.col("attack").alias("attack_home"), F.col("defense").alias("defense_home"),
@@ -255,6 +258,9 @@ def score_pairs(pairs: DataFrame, full_features: DataFrame, league: DataFrame, m
         .join(broadcast_grid_table(league), list(GRID_KEYS), "left")
     )
     la = F.col("league_avg")
+    for side in ("home", "away"):
+        refuse = F.raise_error(F.concat(F.lit("no strength for team: "), F.coalesce(f"{side}_team", F.lit("NULL")))).cast("double")
+        joined = joined.withColumns({f"{c}_{side}": F.coalesce(F.col(f"{c}_{side}"), refuse) for c in ("attack", "defense")})
     with_mu = joined.withColumns(
         {
             "mu_home": expected_goals(la, F.col("attack_home"), F.col("defense_away")),

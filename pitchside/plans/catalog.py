@@ -476,11 +476,76 @@ def g1(wh: Warehouse) -> DataFrame:
 
 @register("s4_catalog_profile")
 def s4(wh: Warehouse) -> DataFrame:
-    """Row count and (position, column, type) of every raw table. Types are
-    Spark's names, so this one has no SQL oracle (rows-only check)."""
-    from pitchside.sources import files
+    """Row count and (position, column, type) of every raw table, all editions."""
+    from pitchside.sources import bridge, files
 
-    raw = wh.raw
+    raw = bridge.load_raw(wh.raw.spark, wh.raw.star.sf_dir)
     return files.catalog_profile(
         {"matches": raw.matches, "world_cup": raw.world_cup, "schedule": raw.schedule, **raw.rankings}
     )
+
+
+# ---------------------------------------------------------------- round trips of sources and sinks
+
+
+def _run_folder(wh: Warehouse, name: str) -> str:
+    import uuid
+
+    return f"{checkpoint_dir(wh.raw.spark).rstrip('/')}/pitchside/{name}-{uuid.uuid4().hex}"
+
+
+@register("s1_csv_source")
+def s1(wh: Warehouse) -> DataFrame:
+    """The scoped raw matches written as CSV with columns in another order and one
+    more, read back by header name."""
+    from pitchside.sources import files
+    from pitchside.sources.schemas import MATCHES
+
+    folder = _run_folder(wh, "csv")
+    m = wh.raw.matches
+    sinks.write_csv(m.select(F.lit(0).alias("unknown"), *reversed(m.columns)), folder)
+    return files.read_csv(wh.raw.spark, folder, MATCHES)
+
+
+@register("s3_replace_table")
+def s3(wh: Warehouse) -> DataFrame:
+    """S3: a raw table replaced by a new version; the old one does not show."""
+    from pitchside.sources import files
+
+    root = _run_folder(wh, "replaced")
+    files.replace_table(wh.raw.rankings["ranking_old"], root)
+    return files.replace_table(wh.raw.world_cup, root)[0]
+
+
+@register("s7_csv_sink")
+def s7(wh: Warehouse) -> DataFrame:
+    """The predictions as CSV, read back."""
+    from pitchside.sources import files
+
+    preds = pr.predictions(wh)
+    folder = _run_folder(wh, "predictions_csv")
+    sinks.write_csv(preds, folder)
+    return files.read_csv(wh.raw.spark, folder, preds.schema)
+
+
+@register("s9_publish_snapshot")
+def s9(wh: Warehouse) -> DataFrame:
+    """Two marts published twice under a database of this run's own; rows by relation."""
+    folder = _run_folder(wh, "snapshot")
+    db = f"published_{folder.rsplit('-', 1)[1]}"
+    rel = {f"{db}.team_performance": wh.team_performance, f"{db}.knockout_analysis": wh.knockout_analysis}
+    for _ in range(2):
+        sinks.publish(wh.raw.spark, rel, folder)
+    parts = [wh.raw.spark.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t.split(".")[1]).alias("relation"), "n_rows") for t in rel]
+    return parts[0].unionByName(parts[1])
+
+
+@register("s11_batch_job")
+def s11(wh: Warehouse) -> DataFrame:
+    """The whole job into a folder and databases of its own; its published predictions."""
+    from pitchside.plans.pipeline import run_pipeline
+
+    folder = _run_folder(wh, "job")
+    prefix = f"job_{folder.rsplit('-', 1)[1]}_"
+    run_pipeline(wh.raw.spark, folder, sf_dir=wh.raw.star.sf_dir, prefix=prefix)
+    return wh.raw.spark.table(f"{prefix}predict.predictions")

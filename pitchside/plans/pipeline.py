@@ -44,7 +44,9 @@ def ingest(raw: RawTables, raw_dir: str) -> tuple[RawTables, dict[str, str]]:
     """S3: replace each raw table's Parquet files and read them back."""
     tables = {"matches": raw.matches, "world_cup": raw.world_cup, "schedule": raw.schedule, **raw.rankings}
     paths = {name: f"{raw_dir.rstrip('/')}/{name}" for name in tables}
-    loaded = {name: files.replace_table(df, paths[name]) for name, df in tables.items()}
+    loaded = {}
+    for name, df in tables.items():
+        loaded[name], paths[name] = files.replace_table(df, paths[name])
     out = RawTables(
         matches=loaded["matches"], world_cup=loaded["world_cup"], schedule=loaded["schedule"],
         rankings={k: loaded[k] for k in raw.rankings}, crosswalk=raw.crosswalk,
@@ -52,8 +54,9 @@ def ingest(raw: RawTables, raw_dir: str) -> tuple[RawTables, dict[str, str]]:
     return out, paths
 
 
-def published_relations(wh: Warehouse) -> dict[str, DataFrame]:
-    """The relations consumers may read (the G2 allow-list), with column comments."""
+def published_relations(wh: Warehouse, predictions: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The relations consumers may read (the G2 allow-list), with column comments.
+    ``predictions``: those already made, else they are made here."""
     rel = {
         "mart.edition_kpis": wh.edition_kpis,
         "mart.team_performance": wh.team_performance,
@@ -61,7 +64,7 @@ def published_relations(wh: Warehouse) -> dict[str, DataFrame]:
         "mart.int_team_matches": wh.int_team_matches,
         "mart.knockout_analysis": wh.knockout_analysis,
         "mart.ranking_vs_result": wh.ranking_vs_result,
-        "predict.predictions": pr.predictions(wh),
+        "predict.predictions": pr.predictions(wh) if predictions is None else predictions,
     }
     assert set(rel) == set(PUBLISHED)
     return {name: with_comments(df) for name, df in rel.items()}
@@ -75,9 +78,11 @@ def run_pipeline(
     csv_dir: str | None = None,
     scope: Scope = DEFAULT_SCOPE,
     steps: tuple[str, ...] = STEPS,
+    prefix: str = "",
 ) -> PipelineResult:
     """Run the batch job. Inputs come from the star-schema bridge (``sf_dir``)
-    or from raw CSV files (``csv_dir``)."""
+    or from raw CSV files (``csv_dir``). ``prefix`` goes before the database names of
+    what is published, so that a trial run leaves the shared tables alone."""
     if (sf_dir is None) == (csv_dir is None):
         raise ValueError("give exactly one of sf_dir or csv_dir")
     res = PipelineResult()
@@ -90,17 +95,19 @@ def run_pipeline(
         raw, res.raw_paths = ingest(raw, f"{out}/raw")
         res.steps.append("ingest")
     wh = Warehouse(raw, scope)
+    preds = None
     if "build" in steps:
         res.layer_counts = {r["relation"]: r["n_rows"] for r in wh.layer_counts().collect()}
         res.steps.append("build")
     if "predict" in steps:
         preds_path = f"{out}/predict/predictions"
-        preds = sinks.save_table(spark, pr.predictions(wh), "predict.predictions", preds_path)
+        preds, _ = files.replace_table(pr.predictions(wh), preds_path)
         res.predictions_csv = f"{out}/predictions_csv"
         sinks.write_csv(preds, res.predictions_csv)
         res.prob_sum_check = pr.probability_sum_check(preds).first().asDict()
         res.steps.append("predict")
     if "publish" in steps:
-        res.published = sinks.publish(spark, published_relations(wh), f"{out}/snapshot")
+        rel = {prefix + name: df for name, df in published_relations(wh, preds).items()}
+        res.published = sinks.publish(spark, rel, f"{out}/snapshot")
         res.steps.append("publish")
     return res

@@ -53,11 +53,6 @@ class RawTables:
     extra: dict[str, DataFrame] = field(default_factory=dict)
 
 
-# Opened star tables per (application, folder): like catalog tables, a table's
-# file listing and schema are resolved once per application, not per query.
-_OPENED: dict[tuple[str, str, str], DataFrame] = {}
-
-
 class StarTables(dict):
     """The star tables of one folder, each opened on first use (a query that
     needs three tables lists and opens three files)."""
@@ -69,13 +64,8 @@ class StarTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name not in STAR_TABLES:
             raise KeyError(name)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        df = _OPENED.get(key)
-        if df is None or df.sparkSession is not self.spark:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            _OPENED[key] = df
-        self[name] = df
-        return df
+        self[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self[name]
 
 
 def read_star(spark: SparkSession, sf_dir: str) -> StarTables:

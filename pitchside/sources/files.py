@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +29,19 @@ def check_sources(spark: SparkSession, raw_dir: str, sources: Mapping[str, tuple
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV. With a schema there is no inference pass; without one
-    the whole file is sampled (as the reference's full-file inference)."""
+    """Header CSV, columns by their header names.
+
+    With a schema there is no inference pass: the header gives the order, the schema
+    the types; columns that the schema does not name are left out, and one that the file
+    lacks is an error. Without a schema the whole file is sampled."""
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        header = reader.csv(path).columns  # reads the first line only
+        wanted = {f.name: f for f in schema.fields}
+        if lacking := [c for c in wanted if header.count(c) != 1]:
+            raise ValueError(f"{path}: columns missing or repeated in the header: {lacking}")
+        in_file = T.StructType([wanted.get(c, T.StructField(c, T.StringType())) for c in header])
+        return reader.option("enforceSchema", False).schema(in_file).csv(path).select(*[f"`{c}`" for c in wanted])
     return reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(path)
 
 
@@ -42,10 +51,12 @@ def read_raw_csv(spark: SparkSession, raw_dir: str, sources: Mapping[str, tuple[
     return {name: read_csv(spark, os.path.join(raw_dir, f), schema) for name, (f, schema) in sources.items()}
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """S3: CREATE OR REPLACE semantics: overwrite the table's files, read back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def replace_table(df: DataFrame, root: str) -> tuple[DataFrame, str]:
+    """S3: a new version of the table under ``root``, read back, and its path. The old
+    version is whole until the caller points to the new one."""
+    path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def catalog_profile(tables: Mapping[str, DataFrame]) -> DataFrame:

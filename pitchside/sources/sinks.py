@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,19 +17,28 @@ def write_csv(df: DataFrame, out_dir: str) -> None:
 
 
 def save_table(spark: SparkSession, df: DataFrame, table: str, path: str) -> DataFrame:
-    """Replace the table's data and (re)register it: running twice gives
-    the same rows, never duplicates."""
-    df.write.mode("overwrite").parquet(path)
-    register_table(spark, table, path)
+    """Write a new version of the table under ``path`` and switch the name to it:
+    running twice gives the same rows, and a failed write leaves the old table."""
+    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    register_table(spark, table, version)
     return spark.table(table)
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
-    """Point catalog name ``db.table`` at Parquet files (an external table)."""
+    """Point catalog name ``db.table`` at Parquet files (an external table).
+
+    A table of the same schema is switched by one change of its location; only a change
+    of schema drops and creates the name (its files stay)."""
     db, _, _name = table.rpartition(".")
     if db:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    spark.sql(f"DROP TABLE IF EXISTS {_quote(table)}")
+    if spark.catalog.tableExists(table):
+        if spark.table(table).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {_quote(table)} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {_quote(table)}")
     spark.catalog.createTable(table, path=path, source="parquet")
 
 

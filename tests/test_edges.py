@@ -72,3 +72,30 @@ def test_team_perspective_won_match_null_on_draw(spark):
     assert itm.count() == 12
     draws = {r["team"]: r["won_match"] for r in itm.collect() if r["team"] in ("H2", "A2")}
     assert draws == {"H2": None, "A2": None}
+
+
+def test_missing_probabilities_give_no_label_and_no_loss(spark):
+    from pyspark.sql import functions as F
+
+    from pitchside.functions import columns as C
+
+    rows = [(0.2, 0.5, 0.3), (None, 0.5, 0.5), (0.5, None, 0.5), (0.5, 0.5, None), (None, None, None), (0.4, 0.3, 0.3), (0.0, 0.5, 0.5)]
+    df = spark.createDataFrame(rows, "h double, d double, a double")
+    got = df.select(C.argmax_label(F.col("h"), F.col("d"), F.col("a")), C.log_loss_term(F.col("h"))).collect()
+    assert [r[0] for r in got] == ["draw", None, None, None, None, "home_win", "draw"]
+    assert [r[1] is None for r in got] == [False, True, False, False, True, False, False]
+
+
+def test_a_team_without_history_and_points_fails_by_name(spark):
+    import pytest
+
+    from pitchside.operators import model
+
+    stats = spark.createDataFrame([("Old", 3.0, 4.0, 2.0, 4.0, 2.0), ("Older", 3.0, 2.0, 4.0, 2.0, 4.0)], "team string, matches double, goals_for double, goals_against double, xg_for double, xg_against double")
+    rankings = spark.createDataFrame([("Old", 1, 1500.0), ("Older", 2, 1200.0), ("Nobody", None, None)], "team string, rank long, points double")
+    sm = model.StrengthModel(stats, rankings, model.default_grid())
+    pairs = lambda *p: spark.createDataFrame(p, "home_team string, away_team string")
+    assert sm.score(pairs(("Old", "Older"))).first()["prob_home_win"] > 0.4
+    for bad in (("Old", "Nobody"), ("Unheard", "Older")):
+        with pytest.raises(Exception, match="no strength for team: (Nobody|Unheard)"):
+            sm.score(pairs(("Old", "Older"), bad)).collect()

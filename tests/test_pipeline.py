@@ -45,9 +45,39 @@ def test_table_sink_is_idempotent(spark, run, tmp_path):
     df = spark.table("predict.predictions")
     n = df.count()
     path = str(tmp_path / "t")
-    sinks.save_table(spark, df, "predict.scratch_copy", path)
-    sinks.save_table(spark, spark.read.parquet(path), "predict.scratch_copy", str(tmp_path / "t2"))
-    assert spark.table("predict.scratch_copy").count() == n
+    for _ in range(2):
+        sinks.save_table(spark, df, "predict.scratch_copy", path)
+        assert spark.table("predict.scratch_copy").count() == n
+    sinks.save_table(spark, df.limit(1), "predict.scratch_copy", str(tmp_path / "t2"))
+    assert spark.table("predict.scratch_copy").count() == 1
+    sinks.save_table(spark, spark.range(3), "predict.scratch_copy", path)  # another schema
+    assert spark.table("predict.scratch_copy").columns == ["id"]
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.save_table(spark, spark.range(5), "predict.kept", path)
+    bad = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.save_table(spark, bad, "predict.kept", path)
+    assert spark.table("predict.kept").count() == 5
+
+
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    from pitchside.sources.schemas import SCHEDULE
+
+    def read(name, text):
+        (tmp_path / name).write_text(text)
+        return files.read_csv(spark, str(tmp_path / name), SCHEDULE)
+
+    got = read("swapped.csv", "Round,Date,away_team,extra,home_team,Notes\nFinal,2002-06-30,Away,1,Home,\n")
+    assert got.columns == SCHEDULE.names
+    row = got.first()
+    assert (row["home_team"], row["away_team"], str(row["Date"]), row["Notes"]) == ("Home", "Away", "2002-06-30", None)
+    with pytest.raises(ValueError, match="home_team"):
+        read("lacking.csv", "Round,Date,away_team,Notes\nFinal,2002-06-30,Away,\n")
+    with pytest.raises(ValueError, match="away_team"):
+        read("twice.csv", "Round,Date,home_team,away_team,away_team,Notes\nFinal,2002-06-30,H,A,B,\n")
 
 
 def test_published_snapshot(spark, run):
