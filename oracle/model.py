@@ -99,10 +99,6 @@ MATCH_ORDER = (
     "home_score", "away_score", "home_xg", "away_xg", "home_pens", "away_pens",
     "home_manager", "away_manager", "home_captain", "away_captain", "referee", "notes",
 )
-MATCH_HASH = (
-    "year", "match_date", "round", "venue", "attendance", "home_team", "away_team",
-    "home_score", "away_score", "home_pens", "away_pens", "home_manager", "away_manager", "referee", "notes",
-)
 METRICS = ("model_acc", "model_ll", "naive_acc", "naive_ll", "favorite_acc")
 def _mix_layers(src: str, col: str, keep: str) -> str:
     """Nested selects: two multiply-xorshift rounds and a final xorshift of ``col``."""
@@ -111,32 +107,40 @@ def _mix_layers(src: str, col: str, keep: str) -> str:
     return f"(SELECT {keep}, xor({col} >> 16, {col}) AS {col} FROM {src})"
 
 
-def _draws_sql(idx: str, n: str, resamples: int, seed: int) -> str:
-    src = f"(SELECT r.b, i.row_idx AS d, xor(CAST({seed} AS BIGINT), r.b & 4294967295) AS h FROM {idx} i, range(0, {resamples}) AS r(b))"
-    src = _mix_layers(src, "h", "b, d")
-    src = _mix_layers(f"(SELECT b, d, xor(h, d & 4294967295) AS h FROM {src})", "h", "b, d")
-    src = _mix_layers(f"(SELECT b, d, xor(h, d >> 32) AS h FROM {src})", "h", "b, d")
-    src = _mix_layers(f"(SELECT b, d, h, xor(h, 2654435769) AS hi FROM {src})", "hi", "b, d, h")
-    return f"SELECT b, ((hi & 2147483647) * 4294967296 + h) % (SELECT n FROM {n}) AS pick FROM {src}"
+def _hash_sql(src: str, keep: str, seed: int) -> str:
+    """``src`` has b and d; adds u, the 63-bit hash of (seed, b, d)."""
+    keep = f"b, d, {keep}" if keep else "b, d"
+    src = _mix_layers(f"(SELECT {keep}, xor(CAST({seed} AS BIGINT), b & 4294967295) AS h FROM {src})", "h", keep)
+    src = _mix_layers(f"(SELECT {keep}, xor(h, d & 4294967295) AS h FROM {src})", "h", keep)
+    src = _mix_layers(f"(SELECT {keep}, xor(h, d >> 32) AS h FROM {src})", "h", keep)
+    src = _mix_layers(f"(SELECT {keep}, h, xor(h, 2654435769) AS hi FROM {src})", "hi", keep + ", h")
+    return f"(SELECT {keep}, (hi & 2147483647) * 4294967296 + h AS u FROM {src})"
+
+
+def _draws_sql(idx: str, n: str, resamples: int, seed: int, block: int = 4096) -> str:
+    """Draws fall into blocks first; inside a block of s rows draw j is hash(seed + 1, b, block, j) mod s."""
+    first = _hash_sql(f"(SELECT r.b, i.row_idx AS d FROM {idx} i, range(0, {resamples}) AS r(b))", "", seed)
+    counts = f"(SELECT b, (u % (SELECT n FROM {n})) // {block} AS blk, count(*) AS c FROM {first} GROUP BY ALL)"
+    inside = f"(SELECT b, blk, (blk << 32) + unnest(range(0, c)) AS d FROM {counts})"
+    return f"SELECT b, blk * {block} + u % least({block}, (SELECT n FROM {n}) - blk * {block}) AS pick FROM {_hash_sql(inside, 'blk', seed + 1)}"
 
 
-def _poisson_sql(idx: str, resamples: int, seed: int) -> str:
+def _poisson_sql(rows: str, resamples: int, seed: int) -> str:
     import math
 
-    cdf = [sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(13)]
-    src = f"(SELECT r.b, i.*, xor(CAST({seed} AS BIGINT), r.b & 4294967295) AS h FROM {idx} i, range(0, {resamples}) AS r(b))"
-    keep = "b, " + ", ".join(METRICS) + ", row_idx"
-    src = _mix_layers(src, "h", keep)
-    src = _mix_layers(f"(SELECT {keep}, xor(h, row_idx & 4294967295) AS h FROM {src})", "h", keep)
-    src = _mix_layers(f"(SELECT {keep}, xor(h, row_idx >> 32) AS h FROM {src})", "h", keep)
-    src = _mix_layers(f"(SELECT {keep}, h, xor(h, 2654435769) AS hi FROM {src})", "hi", keep + ", h")
-    u = "CAST((hi & 2147483647) * 4294967296 + h AS DOUBLE) / 9223372036854775808.0"
+    cdf, term = [math.exp(-1.0)], 1
+    while cdf[-1] + math.exp(-1.0) / math.factorial(term) != cdf[-1]:
+        cdf.append(cdf[-1] + math.exp(-1.0) / math.factorial(term))
+        term += 1
+    hashed = _hash_sql(f"(SELECT r.b, i.row_key AS d, {', '.join(METRICS)} FROM {rows} i, range(0, {resamples}) AS r(b))", ", ".join(METRICS), seed)
     w = " + ".join(f"CAST(u >= {c!r} AS INTEGER)" for c in cdf)
-    return f"SELECT b, {', '.join(METRICS)}, {w} AS w FROM (SELECT *, {u} AS u FROM {src})"
+    return f"SELECT b, {', '.join(METRICS)}, {w} AS w FROM (SELECT * REPLACE (CAST(u AS DOUBLE) / 9223372036854775808.0 AS u) FROM {hashed})"
 
 
 _ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in MATCH_ORDER)
-_HASH_TEXT = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in MATCH_HASH) + ")"
+_HASH_TEXT = "concat_ws('|', " + ", ".join(
+    f"CAST(CAST(floor({c} * 1000000 + 0.5) AS BIGINT) AS VARCHAR)" if c in ("home_xg", "away_xg") else f"CAST({c} AS VARCHAR)" for c in MATCH_ORDER
+) + ")"
 
 register_ctes(
     f"""
@@ -200,16 +204,13 @@ bt_per_match AS (
         LEFT JOIN naive n ON n.outcome = t.result_regulation
     ) z
 ),
-bt_bucketed AS (
-    SELECT *, CAST(('0x' || substr(md5({_HASH_TEXT}), 1, 8)) AS BIGINT) % 64 AS bucket FROM bt_per_match
-),
-bt_offsets AS (
-    SELECT bucket, sum(cnt) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt AS off
-    FROM (SELECT bucket, count(*) AS cnt FROM bt_bucketed GROUP BY bucket)
+bt_hashed AS (
+    SELECT *, {_HASH_TEXT} AS line, row_number() OVER (PARTITION BY {", ".join(MATCH_ORDER)}) - 1 AS copy FROM bt_per_match
 ),
 bt_idx AS (
-    SELECT b.*, CAST(o.off + row_number() OVER (PARTITION BY b.bucket ORDER BY {_ORDER_SQL}) - 1 AS BIGINT) AS row_idx
-    FROM bt_bucketed b JOIN bt_offsets o USING (bucket)
+    SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(line), 1, 8)) AS BIGINT), {_ORDER_SQL}) - 1 AS row_idx,
+           CAST(('0x' || substr(md5(concat_ws('|', line, copy)), 1, 15)) AS BIGINT) AS row_key
+    FROM bt_hashed
 ),
 bt_n AS (SELECT count(*) AS n FROM bt_idx),
 bt_draws AS ({_draws_sql("bt_idx", "bt_n", 1000, 12345)}),

@@ -1,23 +1,22 @@
 """Dense row index and the percentile bootstrap.
 
 Both are built from hashing, joins and aggregates, so they run distributed
-and give the same numbers on every run and every cluster size.
-
-Dense index. A total order over all columns numbers the rows 0..n-1; to
-avoid a global sort in one task, rows are spread over ``buckets`` by an MD5
-of their integer/string/date columns, numbered inside each bucket by the
-total order, and shifted by the row count of the lower buckets. Exact
-copies are collapsed with a multiplicity first and expanded afterwards in
-blocks, so a hot group of copies is split over tasks.
-
-Bootstrap. Draw ``d`` of resample ``b`` picks row ``mix(seed, b, d) mod n``
-(an integer mixing hash, three multiply-xorshift rounds kept below 2^63 so
-no engine overflows); the same picks serve every metric, so the intervals
-are jointly consistent. Draws come from ``spark.range(n * B)``, whose row
-count the planner knows, so only the n-row metric side can be chosen for a
-broadcast (and only if it passes the size threshold); the join on the row
-index is followed by a partial aggregate per (resample). The cost is n x B
-generated rows, the exact method's cost.
+and give the same numbers on every run, cluster size and bucket count.
+
+Dense index. Rows are numbered 0..n-1 in the order (hash of all columns, all
+columns). A bucket is a range of the hash (its high bits), so buckets follow each
+other in that order: rows are numbered inside their bucket and shifted by the row
+count of the lower buckets, and the number of buckets changes the work, never the
+index. Exact copies are collapsed with a multiplicity first and expanded
+afterwards in blocks, so a hot group of copies is split over tasks.
+
+Bootstrap. Draw ``d`` of resample ``b`` falls into the index block of ``mix(seed, b, d) mod n``
+(an integer mixing hash, three multiply-xorshift rounds kept below 2^63 so no engine
+overflows). Draws are only counted per (resample, block), by partial aggregation
+where they are made. The counts meet the blocks, each one row with a bounded array of
+values, and the draws inside a block are made, looked up and summed in place. So
+neither the n x B draws nor the values are exchanged per draw; the same draws serve
+every metric, and the intervals are jointly consistent.
 """
 
 from __future__ import annotations
@@ -31,44 +30,63 @@ from pyspark.sql import functions as F
 from pitchside import config
 
 
+HASH_BITS = 32
+BLOCK_ROWS = 4096  # rows of the index whose values are held as one array
+
+
 def md5_int(text: Column, hex_digits: int = 8) -> Column:
     """Leading ``hex_digits`` of an MD5 digest as a non-negative integer."""
     return F.conv(F.substring(F.md5(text), 1, hex_digits), 16, 10).cast("bigint")
 
 
-def bucket_of(hash_cols: Sequence[str], buckets: int) -> Column:
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in hash_cols])
-    return F.pmod(md5_int(text), F.lit(buckets))
+def row_text(hash_cols: Sequence[str | Column]) -> Column:
+    return F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in hash_cols])
 
 
-def index_buckets(n: int, rows_per_bucket: int = 2_000_000, minimum: int = 64) -> int:
-    """Bucket count of the dense index: a power of two that keeps about
-    ``rows_per_bucket`` rows per window task (64 up to 128M rows)."""
-    b = minimum
-    while b * rows_per_bucket < n:
-        b *= 2
-    return b
+def _expanded(starts: DataFrame, cols: Sequence[str], name: str, block: int) -> DataFrame:
+    """One row per copy: ``_start`` + 0.. of each row's ``_m`` copies, as ``name``.
+
+    Small groups expand where they are. Large ones are cut into blocks that are spread
+    over tasks (only the few block rows are exchanged) and expanded there."""
+    small = starts.where(F.col("_m") <= block).select(
+        *cols, "_start", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_t")
+    ).select(*cols, (F.col("_start") + F.col("_t")).alias(name))
+    blocks = starts.where(F.col("_m") > block).select(
+        *cols, "_start", "_m",
+        F.explode(F.sequence(F.lit(0), ((F.col("_m") - 1) / F.lit(block)).cast("bigint"))).alias("_j"),
+    ).select(
+        *cols,
+        (F.col("_start") + F.col("_j") * F.lit(block)).alias("_from"),
+        F.least(F.lit(block), F.col("_m") - F.col("_j") * F.lit(block)).alias("_len"),
+    )
+    large = (
+        blocks.repartition("_from")
+        .select(*cols, "_from", F.explode(F.sequence(F.lit(0), F.col("_len") - 1)).alias("_t"))
+        .select(*cols, (F.col("_from") + F.col("_t")).alias(name))
+    )
+    return small.unionByName(large)
 
 
 def dense_index(
     df: DataFrame,
     order_cols: Sequence[str],
-    hash_cols: Sequence[str],
-    buckets: int = 64,
+    hash_cols: Sequence[str | Column],
+    buckets: int = 256,
     name: str = "row_idx",
     block: int = 100_000,
 ) -> DataFrame:
-    """Add ``name`` = rank of the row (0-based) in the order (bucket, order_cols).
-
-    Exact copies are first collapsed to one row with a multiplicity, so a
-    group of copies holding a large share of the data is never sorted or
-    buffered by one window task; each distinct row gets the contiguous range
-    of ranks its copies would have had, and the range is expanded in two
-    steps (blocks of ``block`` ranks, spread over tasks, then ranks), so no
-    single task generates a hot group either."""
+    """Add ``name`` = rank of the row (0-based) in the order (hash, order_cols).
+
+    ``buckets``: a power of two, the number of windows the numbering is spread over;
+    the result does not depend on it. Copies take the contiguous range of ranks they
+    would have had one by one."""
+    if buckets & (buckets - 1) or not 0 < buckets <= 1 << 20:
+        raise ValueError("buckets must be a power of two, at most 2^20")
+    shift = HASH_BITS - (buckets.bit_length() - 1)
     cols = list(df.columns)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).withColumn("_bucket", bucket_of(hash_cols, buckets))
+    order = [F.col("_h").asc(), *[F.col(c).asc_nulls_first() for c in order_cols]]
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).withColumn("_h", md5_int(row_text(hash_cols)))
+    distinct = distinct.withColumn("_bucket", F.shiftright("_h", shift))
     w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = distinct.withColumn("_local", F.sum("_m").over(w) - F.col("_m"))
     counts = distinct.groupBy("_bucket").agg(F.sum("_m").alias("_n"))
@@ -80,26 +98,16 @@ def dense_index(
     starts = local.join(F.broadcast(offsets), "_bucket").select(
         *cols, (F.col("_off") + F.col("_local")).alias("_start"), "_m"
     )
-    # small groups (the common case: single rows) expand where they are
-    small = starts.where(F.col("_m") <= block).select(
-        *cols, "_start", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_t")
-    ).select(*cols, (F.col("_start") + F.col("_t")).alias(name))
-    # large groups of copies: cut into blocks, spread the blocks over tasks,
-    # then expand each block (only the few block rows are shuffled)
-    blocks = starts.where(F.col("_m") > block).select(
-        *cols, "_start", "_m",
-        F.explode(F.sequence(F.lit(0), ((F.col("_m") - 1) / F.lit(block)).cast("bigint"))).alias("_j"),
-    ).select(
-        *cols,
-        (F.col("_start") + F.col("_j") * F.lit(block)).alias("_from"),
-        F.least(F.lit(block), F.col("_m") - F.col("_j") * F.lit(block)).alias("_len"),
-    )
-    large = (
-        blocks.repartition("_from")
-        .select(*cols, "_from", F.explode(F.sequence(F.lit(0), F.col("_len") - 1)).alias("_t"))
-        .select(*cols, (F.col("_from") + F.col("_t")).alias(name))
-    )
-    return small.unionByName(large)
+    return _expanded(starts, cols, name, block)
+
+
+def keyed_rows(df: DataFrame, hash_cols: Sequence[str | Column], name: str = "row_key", block: int = 100_000) -> DataFrame:
+    """Add ``name`` = a 60-bit key from the row's content and its copy number: stable, and
+    different for copies, without ranking or counting the rows."""
+    cols = list(df.columns)
+    starts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).withColumn("_start", F.lit(0).cast("bigint"))
+    copies = _expanded(starts, cols, "_copy", block)
+    return copies.select(*cols, md5_int(F.concat_ws("|", row_text(hash_cols), F.col("_copy").cast("string")), 15).alias(name))
 
 
 _M32 = 0xFFFFFFFF
@@ -130,31 +138,71 @@ def with_mix_hash(df: DataFrame, seed: int, b: str, d: str, out: str) -> DataFra
     ).drop("_h", "_hi")
 
 
-def bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx") -> DataFrame:
-    """Mean of each metric per resample: columns ``resample`` and the metrics."""
-    spark = indexed.sparkSession
-    n = indexed.count()  # one number to the driver: the size of the draw space
+def _mix_array(x: Column) -> Column:
+    """``_mix32`` on every entry of an array column."""
+    for _ in range(2):
+        x = F.transform(x, lambda v: (F.shiftright(v, 16).bitwiseXOR(v) * F.lit(_MIX)).bitwiseAND(F.lit(_M32)))
+    return F.transform(x, lambda v: F.shiftright(v, 16).bitwiseXOR(v))
+
+
+def block_counts(spark, n: int, n_resamples: int, seed: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(resample, block, c): how many of the n draws of each resample fall into each block."""
     total = n * n_resamples
     parts = max(spark.sparkContext.defaultParallelism, -(-total // 4_000_000))
     draws = spark.range(0, total, 1, parts).select(
         (F.col("id") / F.lit(n)).cast("bigint").alias("resample"),
         (F.col("id") % F.lit(n)).alias("_d"),
     )
-    # non-nullable key: otherwise the join's inferred IS NOT NULL filter is
-    # pushed below the staged projections with every alias substituted
-    draws = with_mix_hash(draws, seed, "resample", "_d", "_u").select(
-        "resample", F.coalesce(F.pmod(F.col("_u"), F.lit(n)), F.lit(-1)).alias(idx)
-    )
-    values = indexed.select(idx, *metrics)
-    return draws.join(values, idx).groupBy("resample").agg(*[F.avg(m).alias(m) for m in metrics])
+    draws = with_mix_hash(draws, seed, "resample", "_d", "_u")
+    # non-nullable key: otherwise the join's inferred IS NOT NULL filter is pushed below
+    # the staged projections with every alias substituted
+    block = F.coalesce((F.pmod(F.col("_u"), F.lit(n)) / F.lit(block_rows)).cast("bigint"), F.lit(-1))
+    return draws.select("resample", block.alias("block")).groupBy("resample", "block").agg(F.count(F.lit(1)).alias("c"))
+
 
+def bootstrap_means(
+    indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Mean of each metric per resample: columns ``resample`` and the metrics.
 
-# Poisson(1) cumulative probabilities P(X <= k), k = 0..POISSON_MAX_K, built
-# from the rule e^-1 * sum 1/j!; the mass above the last one is below 1e-10.
-POISSON_MAX_K = 12
-POISSON1_CDF: tuple[float, ...] = tuple(
-    sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(POISSON_MAX_K + 1)
-)
+    A metric that is NULL in a row is left out of its means, as AVG does."""
+    spark = indexed.sparkSession
+    n = indexed.count()  # one number to the driver: the size of the draw space
+    block = (F.col(idx) / F.lit(block_rows)).cast("bigint")
+    blocks = indexed.select(block.alias("block"), F.struct(idx, *metrics).alias("_v")).groupBy("block").agg(
+        F.sort_array(F.collect_list("_v")).alias("_values")  # at most block_rows entries
+    )
+    drawn = block_counts(spark, n, n_resamples, seed, block_rows).join(blocks, "block")
+    # the j-th draw inside a block: hash of (seed + 1, resample, block, j)
+    drawn = _mix32(drawn.withColumn("_h", F.lit((seed + 1) & _M32).cast("bigint").bitwiseXOR(F.col("resample").bitwiseAND(F.lit(_M32)))), "_h")
+    h = _mix_array(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1), lambda j: F.col("_h").bitwiseXOR(j)))
+    drawn = drawn.withColumn("_lo", _mix_array(F.transform(h, lambda v: v.bitwiseXOR(F.col("block")))))
+    hi = _mix_array(F.transform("_lo", lambda v: v.bitwiseXOR(F.lit(_SALT))))
+    at = F.zip_with(hi, F.col("_lo"), lambda a, b: F.pmod(a.bitwiseAND(F.lit(0x7FFFFFFF)) * F.lit(1 << 32) + b, F.size("_values")).cast("int"))
+    drawn = drawn.withColumn("_at", at)
+    zero = F.lit(0.0)
+    # the value arrays are columns of their own, so that each is made once per row
+    for i, m in enumerate(metrics):
+        drawn = drawn.withColumn(f"_v{i}", F.col("_values").getField(m).cast("array<double>"))
+    add = lambda i: F.aggregate("_at", zero, lambda s, p: s + F.coalesce(F.get(F.col(f"_v{i}"), p), zero))
+    known = lambda i: F.aggregate("_at", zero, lambda s, p: s + F.get(F.col(f"_v{i}"), p).isNotNull().cast("double"))
+    parts = drawn.select("resample", *[add(i).alias(f"_s{i}") for i in range(len(metrics))], *[known(i).alias(f"_n{i}") for i in range(len(metrics))])
+    total = lambda i: F.sum(f"_s{i}") / F.nullif(F.sum(f"_n{i}"), F.lit(0.0))
+    return parts.groupBy("resample").agg(*[total(i).alias(m) for i, m in enumerate(metrics)])
+
+
+def _poisson1_cdf() -> tuple[float, ...]:
+    """Cumulative probabilities P(X <= k), k = 0.., until a term no longer changes the
+    double sum: no weight that a double can tell is cut off."""
+    out, total, k = [], 0.0, 0
+    while not out or total + math.exp(-1.0) / math.factorial(k) != out[-1]:
+        total += math.exp(-1.0) / math.factorial(k)
+        out.append(total)
+        k += 1
+    return tuple(out)
+
+
+POISSON1_CDF = _poisson1_cdf()
 _TWO63 = float(2**63)
 
 
@@ -169,8 +217,8 @@ def poisson_weight(u: Column) -> Column:
 
 def poisson_bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx") -> DataFrame:
     """Poisson bootstrap: every row gets an independent Poisson(1) weight per
-    resample; the resample mean is sum(w * x) / sum(w). No join and no row
-    count: the n x B weights are generated next to their rows and reduced by
+    resample, from a hash of its key ``idx``; the resample mean is sum(w * x) / sum(w).
+    Neither index nor row count is needed (see ``keyed_rows``): the n x B weights are generated next to their rows and reduced by
     partial aggregation, so only B rows per task are shuffled. An
     approximation of the multinomial draw, for data too large for it."""
     rows = indexed.select(idx, *metrics, F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("resample"))
@@ -196,7 +244,8 @@ def bootstrap_cis(
 ) -> DataFrame:
     """Percentile interval of the mean of each metric: (metric, ci_lo, ci_hi).
 
-    ``indexed`` has one row per observation and a dense ``idx`` column.
+    ``indexed`` has one row per observation and a dense ``idx`` column (for the Poisson
+    method, any key that differs between rows).
     ``method="exact"`` resamples n rows with replacement (the reference's
     method); ``method="poisson"`` uses independent Poisson(1) weights."""
     if method == "exact":

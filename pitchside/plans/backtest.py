@@ -25,11 +25,14 @@ MATCH_ORDER = (
     "home_score", "away_score", "home_xg", "away_xg", "home_pens", "away_pens",
     "home_manager", "away_manager", "home_captain", "away_captain", "referee", "notes",
 )
-# The subset hashed into index buckets (integer, string and date columns).
-MATCH_HASH = (
-    "year", "match_date", "round", "venue", "attendance", "home_team", "away_team",
-    "home_score", "away_score", "home_pens", "away_pens", "home_manager", "away_manager", "referee", "notes",
-)
+
+
+def match_hash() -> list:
+    """What is hashed of a match row: every column, doubles as scaled integers so that
+    the text is the same in any engine."""
+    return [F.floor(F.col(c) * 1_000_000 + 0.5).cast("bigint") if c in ("home_xg", "away_xg") else F.col(c) for c in MATCH_ORDER]
+
+
 METRICS = ("model_acc", "model_ll", "naive_acc", "naive_ll", "favorite_acc")
 
 
@@ -73,43 +76,70 @@ def naive_baseline(wh: Warehouse) -> DataFrame:
     )
 
 
-def scored_test_matches(wh: Warehouse, k: float = config.SHRINKAGE_K, w: float = config.BLEND_WEIGHT) -> DataFrame:
-    """One row per test match with actual outcome, model probabilities
-    and label, favourite label and the per-match metrics.
-
-    Scoring runs on distinct (home, away) pairs and is joined back, so the
-    Poisson grid is evaluated once per pairing, not once per match."""
+def scored_pairs(wh: Warehouse, k: float = config.SHRINKAGE_K, w: float = config.BLEND_WEIGHT) -> DataFrame:
+    """One row per (home, away) pairing of the test edition: model probabilities and both
+    labels. Written once, so that its true size is known: Spark then broadcasts it by
+    its own size check, and match rows are not exchanged."""
     sm = backtest_model(wh, model.default_grid(k, w))
-    test = holdout_matches(wh)
-    pairs = test.select("home_team", "away_team").distinct()
+    pairs = holdout_matches(wh).select("home_team", "away_team").distinct()
     scores = sm.score(pairs).select("home_team", "away_team", "prob_home_win", "prob_draw", "prob_away_win")
     ranks = sm.rankings
     rh = ranks.select(F.col("team").alias("home_team"), F.col("rank").alias("home_rank"))
     ra = ranks.select(F.col("team").alias("away_team"), F.col("rank").alias("away_rank"))
+    full = predicted_label(scores.join(rh, "home_team", "left").join(ra, "away_team", "left"))
+    return store.materialize(
+        full.withColumn("favorite_pred", favorite_label(F.col("home_rank"), F.col("away_rank"))).drop("home_rank", "away_rank"), "scored_pairs"
+    )
+
+
+def _with_metrics(rows: DataFrame, wh: Warehouse, pairs: DataFrame) -> DataFrame:
+    """Adds the labels, probabilities and metrics to rows of (home_team, away_team, actual)."""
     naive = F.broadcast(  # three rows, one per outcome
         naive_baseline(wh).select(
             F.col("outcome").alias("actual"), F.col("share").alias("naive_p"), F.col("is_predicted").alias("_naive_hit")
         )
     )
-    scored = (
-        test.select(*MATCH_ORDER, F.col("result_regulation").alias("actual"))
-        .join(scores, ["home_team", "away_team"], "left")
-        .join(rh, "home_team", "left")
-        .join(ra, "away_team", "left")
+    p_actual = prob_of_outcome(F.col("actual"), F.col("prob_home_win"), F.col("prob_draw"), F.col("prob_away_win"))
+    return (
+        rows.join(pairs, ["home_team", "away_team"], "left")
         .join(naive, "actual", "left")
+        .withColumns(
+            {
+                "model_acc": (F.col("predicted") == F.col("actual")).cast("double"),
+                "model_ll": log_loss_term(p_actual),
+                "naive_acc": F.col("_naive_hit").cast("double"),
+                "naive_ll": log_loss_term(F.col("naive_p")),
+                "favorite_acc": (F.col("favorite_pred") == F.col("actual")).cast("double"),
+            }
+        )
     )
-    scored = predicted_label(scored).withColumn("favorite_pred", favorite_label(F.col("home_rank"), F.col("away_rank")))
-    p_actual = prob_of_outcome(F.col("actual"), F.col("prob_home_win"), F.col("prob_draw"), F.col("prob_away_win"))
-    return scored.select(
-        *MATCH_ORDER, "actual", "prob_home_win", "prob_draw", "prob_away_win", "predicted", "favorite_pred",
-        (F.col("predicted") == F.col("actual")).cast("double").alias("model_acc"),
-        log_loss_term(p_actual).alias("model_ll"),
-        F.col("_naive_hit").cast("double").alias("naive_acc"),
-        log_loss_term(F.col("naive_p")).alias("naive_ll"),
-        (F.col("favorite_pred") == F.col("actual")).cast("double").alias("favorite_acc"),
+
+
+def scored_test_matches(
+    wh: Warehouse, k: float = config.SHRINKAGE_K, w: float = config.BLEND_WEIGHT, pairs: DataFrame | None = None
+) -> DataFrame:
+    """One row per test match with actual outcome, model probabilities
+    and label, favourite label and the per-match metrics.
+
+    Scoring runs on distinct (home, away) pairs, so the Poisson grid is evaluated once
+    per pairing; matches take the result by one join with the written pair frame."""
+    test = holdout_matches(wh).select(*MATCH_ORDER, F.col("result_regulation").alias("actual"))
+    return _with_metrics(test, wh, scored_pairs(wh, k, w) if pairs is None else pairs).select(
+        *MATCH_ORDER, "actual", "prob_home_win", "prob_draw", "prob_away_win", "predicted", "favorite_pred", *METRICS
     )
 
 
+def metric_means(
+    wh: Warehouse, k: float = config.SHRINKAGE_K, w: float = config.BLEND_WEIGHT, pairs: DataFrame | None = None
+) -> DataFrame:
+    """The mean of every metric over the test matches, one row. Matches are first
+    counted per (home, away, outcome); metrics are weighed with the counts."""
+    counts = holdout_matches(wh).groupBy("home_team", "away_team", F.col("result_regulation").alias("actual")).agg(F.count(F.lit(1)).alias("n"))
+    rows = _with_metrics(counts, wh, scored_pairs(wh, k, w) if pairs is None else pairs)
+    mean = lambda m: F.sum(F.col("n") * F.col(m)) / F.sum(F.when(F.col(m).isNotNull(), F.col("n")))
+    return rows.agg(*[mean(m).alias(m) for m in METRICS])
+
+
 def _metric_rows() -> list[tuple[str, str, str]]:
     return [
         ("poisson", "accuracy", "model_acc"),
@@ -127,7 +157,7 @@ def backtest(
     n_resamples: int = config.BOOTSTRAP_RESAMPLES,
     seed: int = config.BOOTSTRAP_SEED,
     percentiles: tuple[float, float] = config.BOOTSTRAP_PERCENTILES,
-    buckets: int | None = None,
+    buckets: int = 256,
     digits: int = 6,
     method: str = "exact",
 ) -> DataFrame:
@@ -135,20 +165,19 @@ def backtest(
     baselines (A17 accuracy, A18 log-loss, M15 intervals). Values are
     reported to ``digits`` decimals. ``method`` picks the bootstrap (exact
     multinomial resampling, or Poisson weights for very large test sets)."""
-    # written once: the point estimates and the bootstrap index both read it
-    per_match = store.materialize(
-        scored_test_matches(wh, k, w).select(*MATCH_ORDER, *METRICS), "backtest_per_match"
-    )
-    point = per_match.agg(*[F.avg(m).alias(m) for m in METRICS])
+    pairs = scored_pairs(wh, k, w)
     rows = _metric_rows()
-    point_long = point.select(
+    point_long = metric_means(wh, k, w, pairs).select(
         F.inline(F.array(*[F.struct(F.lit(mod).alias("model"), F.lit(met).alias("metric"), F.lit(key).alias("key"), F.col(key).alias("value")) for mod, met, key in rows]))
     )
-    # written once: the draws, the values and the row count all read it
-    if buckets is None:
-        buckets = resample.index_buckets(per_match.count())
-    indexed = store.materialize(resample.dense_index(per_match, MATCH_ORDER, MATCH_HASH, buckets), "bootstrap_input")
-    cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles, method=method).withColumnRenamed(
+    # written once: short lineage for what follows, which reads it more than once
+    per_match = store.materialize(scored_test_matches(wh, k, w, pairs).select(*MATCH_ORDER, *METRICS), "backtest_per_match")
+    if method == "poisson":
+        indexed, idx = resample.keyed_rows(per_match, match_hash()), "row_key"
+    else:
+        # written once: the draws, the values and the row count all read it
+        indexed, idx = store.materialize(resample.dense_index(per_match, MATCH_ORDER, match_hash(), buckets), "bootstrap_input"), "row_idx"
+    cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles, idx=idx, method=method).withColumnRenamed(
         "metric", "key"
     )
     return (

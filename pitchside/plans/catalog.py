@@ -318,14 +318,12 @@ def a16(wh: Warehouse) -> DataFrame:
 
 @register("a17_accuracy", materialize=True)
 def a17(wh: Warehouse) -> DataFrame:
-    per = bt.scored_test_matches(wh)
-    return per.agg(*[round_half_away(F.avg(m), 6).alias(m) for m in ("model_acc", "naive_acc", "favorite_acc")])
+    return bt.metric_means(wh).select(*[round_half_away(m, 6).alias(m) for m in ("model_acc", "naive_acc", "favorite_acc")])
 
 
 @register("a18_log_loss", materialize=True)
 def a18(wh: Warehouse) -> DataFrame:
-    per = bt.scored_test_matches(wh)
-    return per.agg(*[round_half_away(F.avg(m), 6).alias(m) for m in ("model_ll", "naive_ll")])
+    return bt.metric_means(wh).select(*[round_half_away(m, 6).alias(m) for m in ("model_ll", "naive_ll")])
 
 
 @register("m14_backtest", materialize=True)
