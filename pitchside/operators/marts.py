@@ -96,28 +96,33 @@ def team_strength_inputs(performance: DataFrame) -> DataFrame:
 
 
 def edition_kpis(stg_matches: DataFrame, stg_world_cup: DataFrame) -> DataFrame:
-    """A1 (J1): one row per edition. ``any_value`` skips NULLs, like the
-    reference engine's. The edition table is one row per year, so the left
-    join is a lookup; AQE broadcasts it after checking its real size."""
-    m = stg_matches.select("year", "host", "total_goals", "home_xg", "away_xg", "decided_on_pens", "attendance")
-    w = stg_world_cup.select("year", "champion", "runner_up", "top_scorer")
+    """A1 (J1): one row per edition.
+
+    Matches are reduced by a hash aggregate over numbers per (year, host); the host (any
+    one that is not NULL) and the edition's facts come to those few rows afterwards, so
+    match rows are neither sorted nor joined."""
     xg = F.col("home_xg") + F.col("away_xg")
-    return (
-        m.join(w, "year", "left")
-        .groupBy("year")
-        .agg(
-            F.any_value("host", True).alias("host"),
-            F.count(F.lit(1)).alias("n_matches"),
-            F.sum("total_goals").alias("total_goals"),
-            round_half_away(F.avg("total_goals"), 2).alias("goals_per_match"),
-            round_half_away(F.avg(xg), 2).alias("xg_per_match"),
-            round_half_away(F.avg("total_goals") - F.avg(xg), 2).alias("goals_minus_xg"),
-            F.count_if(F.col("decided_on_pens")).alias("pen_shootouts"),
-            round_half_away(F.avg("attendance"), 0).alias("avg_attendance"),
-            F.any_value("champion", True).alias("champion"),
-            F.any_value("runner_up", True).alias("runner_up"),
-            F.any_value("top_scorer", True).alias("top_scorer"),
-        )
+    per_host = stg_matches.groupBy("year", "host").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("total_goals").alias("goals"), F.count("total_goals").alias("n_goals"),
+        F.sum(xg).alias("xg"), F.count(xg).alias("n_xg"),
+        F.count_if(F.col("decided_on_pens")).alias("pens"),
+        F.sum("attendance").alias("people"), F.count("attendance").alias("n_people"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n", "goals", "n_goals", "xg", "n_xg", "pens", "people", "n_people")]
+    years = per_host.groupBy("year").agg(F.any_value("host", True).alias("host"), *sums)
+    mean = lambda total, n: F.col(total) / F.nullif(F.col(n), F.lit(0))
+    facts = stg_world_cup.select("year", "champion", "runner_up", "top_scorer")
+    return years.join(facts, "year", "left").select(
+        "year", "host",
+        F.col("n").alias("n_matches"),
+        F.col("goals").alias("total_goals"),
+        round_half_away(mean("goals", "n_goals"), 2).alias("goals_per_match"),
+        round_half_away(mean("xg", "n_xg"), 2).alias("xg_per_match"),
+        round_half_away(mean("goals", "n_goals") - mean("xg", "n_xg"), 2).alias("goals_minus_xg"),
+        F.col("pens").alias("pen_shootouts"),
+        round_half_away(mean("people", "n_people"), 0).alias("avg_attendance"),
+        "champion", "runner_up", "top_scorer",
     )
 
 
@@ -139,10 +144,10 @@ def knockout_analysis(match_stages: DataFrame) -> DataFrame:
 def reconcile(df: DataFrame, name_col: str, crosswalk: DataFrame, out_col: str) -> DataFrame:
     """Ranking-side name of a team = crosswalk entry, else the name itself.
 
-    The crosswalk is a hand-kept seed (size bounded by its literal rows), so
-    it is broadcast; the seed loader refuses duplicate match names."""
+    The join strategy is left to Spark's size check; the seed loader refuses duplicate
+    match names."""
     m, r = f"_{out_col}_match", f"_{out_col}_rank"
-    cw = F.broadcast(crosswalk.select(F.col("match_name").alias(m), F.col("ranking_name").alias(r)))
+    cw = crosswalk.select(F.col("match_name").alias(m), F.col("ranking_name").alias(r))
     return (
         df.join(cw, F.col(name_col) == F.col(m), "left")
         .withColumn(out_col, F.coalesce(F.col(r), F.col(name_col)))

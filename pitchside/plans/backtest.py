@@ -43,7 +43,7 @@ def holdout_matches(wh: Warehouse) -> DataFrame:
 
 def backtest_model(wh: Warehouse, grid: model.Grid) -> model.StrengthModel:
     """Train on ``train_years``; the universe is the test edition's teams."""
-    stats = model.team_stats(wh.int_team_matches, wh.scope.train_years)
+    stats = store.materialize(model.team_stats(wh.int_team_matches, wh.scope.train_years), "team_stats")
     rankings = model.team_rankings(
         model.edition_teams(wh.int_team_matches, wh.scope.test_year),
         wh.crosswalk, wh.stg_rankings, wh.scope.test_cycle,

@@ -440,7 +440,7 @@ def s13p(wh: Warehouse) -> DataFrame:
     return db.predictions_extract(wh)
 
 
-@register("s5_layer_counts")
+@register("s5_layer_counts", materialize=True)
 def s5(wh: Warehouse) -> DataFrame:
     return wh.layer_counts()
 

@@ -20,13 +20,17 @@ FIXTURE_SEPARATOR = " × "
 
 
 def matches_eda(wh: Warehouse) -> DataFrame:
-    """Match grain with xg_total, ordered by year, stage, date."""
+    """Match grain with xg_total, ordered by year, stage, date; the other columns break
+    ties, so the order is total and the ranges of the sort can split a busy day."""
     return wh.int_match_stages.select(
         "year", "round", "stage_type", "stage_order", "home_team", "away_team",
         "home_score", "away_score", "home_xg", "away_xg", "total_goals",
         (F.col("home_xg") + F.col("away_xg")).alias("xg_total"),
         "decided_on_pens", "winner", "match_date",
-    ).orderBy("year", F.col("stage_order").asc_nulls_last(), "match_date").drop("match_date")
+    ).orderBy(
+        "year", F.col("stage_order").asc_nulls_last(), "match_date", "home_team", "away_team",
+        "home_score", "away_score", "home_xg", "away_xg", "winner", "round",
+    ).drop("match_date")
 
 
 def matches_extract(wh: Warehouse) -> DataFrame:
@@ -44,7 +48,7 @@ def shootouts(wh: Warehouse) -> DataFrame:
     return (
         wh.int_match_stages.where(F.col("decided_on_pens"))
         .select("year", "round", "stage_order", "home_team", "away_team", "home_score", "away_score", "winner")
-        .orderBy("year", F.col("stage_order").asc_nulls_last(), "home_team", "away_team")
+        .orderBy("year", F.col("stage_order").asc_nulls_last(), "home_team", "away_team", "home_score", "away_score", "winner", "round")
     )
 
 
@@ -71,7 +75,7 @@ def calibration(wh: Warehouse) -> DataFrame:
         F.concat(F.col("home_team"), F.lit(FIXTURE_SEPARATOR), F.col("away_team")).alias("fixture"),
         "total_goals", "xg_total",
         round_half_away(F.col("total_goals") - F.col("xg_total"), 2).alias("delta"),
-    ).orderBy(F.col("xg_total").asc_nulls_last(), "fixture", "year")
+    ).orderBy(F.col("xg_total").asc_nulls_last(), "fixture", "year", "round", "total_goals")
 
 
 def goals_histogram(wh: Warehouse) -> DataFrame:

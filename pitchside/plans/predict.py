@@ -14,6 +14,7 @@ from pitchside import config
 from pitchside.functions.columns import round_half_away
 from pitchside.operators import model
 from pitchside.plans.layers import Warehouse
+from pitchside.sources import store
 
 PREDICTION_COLUMNS = (
     "round", "date", "home_team", "away_team",
@@ -23,7 +24,8 @@ PREDICTION_COLUMNS = (
 
 
 def prediction_model(wh: Warehouse, grid: model.Grid | None = None) -> model.StrengthModel:
-    stats = model.team_stats(wh.int_team_matches, None, wh.team_strength_inputs)
+    # one row per team, written once: the model's branches read a tiny file
+    stats = store.materialize(model.team_stats(wh.int_team_matches, None, wh.team_strength_inputs), "team_stats")
     rankings = model.team_rankings(
         model.schedule_teams(wh.raw.schedule), wh.crosswalk, wh.stg_rankings, wh.scope.predict_cycle
     )

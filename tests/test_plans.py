@@ -41,6 +41,37 @@ def test_no_python_udf_and_no_cross_join_in_registered_queries(spark):
             assert bad not in plan, (name, bad)
 
 
+def _final_plan(df) -> str:
+    """The plan after adaptive execution, exchanges included."""
+    df.collect()
+    return _plan(df)
+
+
+def test_match_rows_are_not_sorted_for_the_edition_figures(spark):
+    from pitchside.operators import marts
+
+    wh = Warehouse.from_star(spark, SF_SMALL, materialize=True)
+    per_host = wh.edition_kpis
+    assert marts and "HashAggregate(keys=[year" in _plan(per_host)
+    below = _plan(per_host).split("HashAggregate(keys=[year", 1)[1]
+    assert "any_value" not in below.split("FileScan")[0].split("partial_count(1)")[-1]
+
+
+def test_match_rows_are_not_exchanged_on_teams(spark):
+    wh = Warehouse.from_star(spark, SF_SMALL, materialize=True)
+    plan = _final_plan(backtest.scored_test_matches(wh))
+    final = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final
+    assert "hashpartitioning(home_team" not in final and "hashpartitioning(away_team" not in final
+
+
+def test_layer_counts_scan_the_matches_once(spark):
+    from pitchside.plans.registry import queries
+
+    plan = _final_plan(queries()["s5_layer_counts"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    assert "lineitem" not in plan
+
+
 def test_top_k_is_a_per_partition_top_k(spark):
     wh = Warehouse.from_star(spark, SF_SMALL)
     assert "TakeOrderedAndProject" in _plan(questions.q2_top_attack(wh))
