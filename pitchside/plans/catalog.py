@@ -447,8 +447,7 @@ def s5(wh: Warehouse) -> DataFrame:
 
 # ---------------------------------------------------------------- governed access
 from pitchside.plans import access  # noqa: E402
-from pitchside.session import checkpoint_dir  # noqa: E402
-from pitchside.sources import sinks  # noqa: E402
+from pitchside.sources import sinks, store  # noqa: E402
 
 GOVERNED_SQL = """
     SELECT team, year, matches, attack_vs_xg, defense_vs_xg
@@ -467,7 +466,7 @@ def g1(wh: Warehouse) -> DataFrame:
     spark = wh.stg_matches.sparkSession
     run = uuid.uuid4().hex
     table = f"governed_{run}.team_performance"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pitchside/published-{run}/team_performance"
+    path = f"{store.folder(spark)}/published-{run}/team_performance"
     sinks.save_table(spark, access.with_comments(wh.team_performance), table, path)
     return access.bounded_query(spark, GOVERNED_SQL.format(table=table), allowed=frozenset({table}), max_rows=10)
 
@@ -489,7 +488,7 @@ def s4(wh: Warehouse) -> DataFrame:
 def _run_folder(wh: Warehouse, name: str) -> str:
     import uuid
 
-    return f"{checkpoint_dir(wh.raw.spark).rstrip('/')}/pitchside/{name}-{uuid.uuid4().hex}"
+    return f"{store.folder(wh.raw.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @register("s1_csv_source")

@@ -4,21 +4,33 @@ A frame that several branches of a plan read (the scoped match table, the
 indexed bootstrap input) is written once as Parquet under
 ``spark.checkpoint.dir`` and read back: lineage is cut, a lost executor
 re-reads files instead of recomputing joins, and later scans get column
-pruning and filter pushdown.
+pruning and filter pushdown. What an application writes lies in a folder of its
+own, which ``discard`` deletes once the results are consumed.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from pitchside.session import checkpoint_dir
 
 
+def folder(spark: SparkSession) -> str:
+    """This application's folder for intermediate files."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/pitchside/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
-    root = checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/pitchside/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete this application's intermediate files. Frames that still read them fail
+    afterwards, so call it when their results have been written or collected."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -51,3 +51,22 @@ def test_local_mode_gets_a_scratch_folder():
     s = _Session("local[4]")
     path = checkpoint_dir(s)
     assert path and s.sparkContext.getCheckpointDir() == path
+
+
+def test_discard_removes_what_the_application_wrote(spark):
+    import os
+
+    from pitchside.sources import store
+
+    kept = store.materialize(spark.range(4), "numbers")
+    path = kept.inputFiles()[0].removeprefix("file://")
+    assert kept.count() == 4 and os.path.exists(path)
+    other = store.folder(spark).replace(spark.sparkContext.applicationId, "another-application").removeprefix("file:")
+    os.makedirs(other, exist_ok=True)
+    real, store.folder = store.folder, lambda s: f"{real(s)}/inner"  # other tests' files stay
+    try:
+        store.materialize(spark.range(2), "inner")
+        store.discard(spark)
+        assert not os.path.exists(real(spark).removeprefix("file:") + "/inner") and os.path.exists(path) and os.path.exists(other)
+    finally:
+        store.folder = real
