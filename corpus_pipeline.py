@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import common, decontaminate, lines, near_dup, packing, quality, tokens
-from pitchside.session import checkpoint_dir
+from pitchside.sources import store
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -62,7 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    root = f"{checkpoint_dir(spark).rstrip('/')}/llm/pipeline-{uuid.uuid4().hex}"
+    root = f"{store.folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         path = f"{root}/{i}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchside.session import checkpoint_dir
+from pitchside.sources import store
 
 # A null doc_id is one more document that sorts after all others; inside the
 # operators it is carried as this value and turned back into null on the way out.
@@ -30,10 +29,7 @@ def public_id(col: str = "_id"):
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: lineage is cut, and a
     lost executor re-reads files."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store.materialize(df, f"llm-{name}")
 
 
 def with_decisions(docs: DataFrame, decisions: DataFrame) -> DataFrame:

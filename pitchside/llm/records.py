@@ -30,12 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
 from pitchside.llm import tokens
-from pitchside.llm.common import NULL_ID, identified, public_id
-from pitchside.session import checkpoint_dir
+from pitchside.llm.common import identified, public_id
+from pitchside.sources import store
 
 HEAD = struct.Struct("<qBI")
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("n", "<u4")])
@@ -92,8 +91,8 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str, end_id: int, wi
         from pyspark import TaskContext
 
         enc = tokens.encoder(vocabulary, spaced=False)
-        store, root = file_system(folder)
-        store.create_dir(root, recursive=True)
+        files_of, root = file_system(folder)
+        files_of.create_dir(root, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}"
         own = f"{root}/.{name}-{uuid.uuid4().hex}"
         index, at, n_tokens = [], 0, 0
@@ -101,7 +100,7 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str, end_id: int, wi
         for b in batches:
             ids_col = b.column(0).to_numpy(zero_copy_only=False)
             for t in K.runs(b.column(1)):
-                out = out or store.open_output_stream(f"{own}.rec")
+                out = out or files_of.open_output_stream(f"{own}.rec")
                 ids, off = enc.encode(t)
                 parts = []
                 for i in range(len(t)):
@@ -116,10 +115,10 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str, end_id: int, wi
         if out is None:
             return
         out.close()
-        with store.open_output_stream(f"{own}.idx") as f:
+        with files_of.open_output_stream(f"{own}.idx") as f:
             f.write(np.array(index, INDEX).tobytes())
         for kind in ("rec", "idx"):
-            store.move(f"{own}.{kind}", f"{root}/{name}.{kind}")
+            files_of.move(f"{own}.{kind}", f"{root}/{name}.{kind}")
         yield pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.int64()) for x in (index[0][0], len(index), n_tokens)]], ["file", "first_id", "n_docs", "n_tokens"])
 
     return identified(docs).repartitionByRange(files, "_id").sortWithinPartitions("_id").mapInArrow(work, FILE_ROWS)
@@ -137,13 +136,13 @@ def read_records(spark: SparkSession, folder: str, written: list) -> DataFrame:
         start += r["n_tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = file_system(folder)
+        files_of, root = file_system(folder)
         for b in batches:
             for name, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                with store.open_input_stream(f"{root}/{name}.idx") as f:
+                with files_of.open_input_stream(f"{root}/{name}.idx") as f:
                     index = np.frombuffer(f.read(), INDEX)
                 starts = start + np.cumsum(index["n"].astype(np.int64)) - index["n"]
-                with store.open_input_file(f"{root}/{name}.rec") as f:
+                with files_of.open_input_file(f"{root}/{name}.rec") as f:
                     for lo in range(0, len(index), 512):
                         part = index[lo : lo + 512]
                         crc = []
@@ -162,9 +161,7 @@ def read_records(spark: SparkSession, folder: str, written: list) -> DataFrame:
 
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/llm/records-{uuid.uuid4().hex}"
+    folder = f"{store.folder(spark)}/records-{uuid.uuid4().hex}"
     written = write_records(docs, folder, tokens.vocabulary("word_bpe_49k.json"), end_id=2).collect()  # one row per file
-    return read_records(spark, folder, written).select(F.when(F.col("_id") != NULL_ID, F.col("_id")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    return read_records(spark, folder, written).select(public_id(), "start", "n_tokens", "ids_crc32")
 
-
-__all__ = ["op8_binary_records", "public_id", "read_records", "write_records"]
