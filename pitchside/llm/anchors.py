@@ -20,10 +20,6 @@ from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
 
-# more different contexts than this under one anchor are split by window content
-HOT_CONTEXTS = 8_000
-
-
 @dataclass(frozen=True)
 class Scheme:
     """What an item is, how long a repeated window is, and the gram of the anchors."""
@@ -31,6 +27,8 @@ class Scheme:
     words: bool  # items are white-space separated words; else bytes
     window: int
     gram: int
+    hot: int  # more different contexts than this under one anchor are split by window content
+    run_bytes: int = K.CHUNK_BYTES  # texts worked on at once
 
     def items(self, t: K.Texts) -> tuple[np.ndarray, np.ndarray, K.Words | None]:
         """(value per item, item offsets of documents, word borders)."""
@@ -57,7 +55,7 @@ def anchors(docs: DataFrame, s: Scheme) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in K.runs(b.column(1)):
+            for t in K.runs(b.column(1), s.run_bytes):
                 values, bounds, _ = s.items(t)
                 a = anchors_of(values, bounds, s)
                 yield pa.RecordBatch.from_arrays(
@@ -105,7 +103,7 @@ def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
     Under an anchor with too many contexts, every window of the context is a row of its
     own with null content, keyed by anchor and window hash: equal keys are equal windows.
     """
-    wanted = checks.groupBy("_id").agg(F.collect_list(F.struct("anchor", "pos", "before", "after", (F.col("n_ctx") > HOT_CONTEXTS).alias("hot"))).alias("at"))
+    wanted = checks.groupBy("_id").agg(F.collect_list(F.struct("anchor", "pos", "before", "after", (F.col("n_ctx") > s.hot).alias("hot"))).alias("at"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -113,7 +111,7 @@ def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
             off = at.offsets.to_numpy()
             f = at.values
             cols = {k: f.field(k).to_numpy(zero_copy_only=False) for k in ("anchor", "pos", "before", "after", "hot")}
-            for t in K.runs(b.column(1)):
+            for t in K.runs(b.column(1), s.run_bytes):
                 values, bounds, w = s.items(t)
                 pre = K.prefix(values, K.WORD_POWERS)
                 rows, hot_rows = [], []

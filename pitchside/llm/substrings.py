@@ -21,7 +21,6 @@ gives an empty result. Only doc_id and text are read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from pitchside.llm import anchors as A
 from pitchside.llm import kernels as K
 from pitchside.llm.common import identified, public_id, split_by_ids, stored
 
-SCHEME = A.Scheme(words=True, window=20, gram=6)
+SCHEME = A.Scheme(words=True, window=20, gram=6, hot=8_000)
 
 
 class SuffixAutomaton:
@@ -177,7 +176,7 @@ def apply_spans(docs: DataFrame, spans: DataFrame, s: A.Scheme) -> DataFrame:
                 col = b.column(2)  # null rows have no entries
                 off, frm, to = col.offsets.to_numpy(), col.values.field("from").to_numpy().astype(np.int64), col.values.field("to").to_numpy().astype(np.int64)
                 marks = (off, frm, to)
-            for t in K.runs(b.column(1)):
+            for t in K.runs(b.column(1), s.run_bytes):
                 _, bounds, w = s.items(t)
                 rows = []
                 for i in range(len(t)):

@@ -34,7 +34,8 @@ from pitchside.llm import anchors as A
 from pitchside.llm.common import identified, public_id, split_by_ids, stored
 from pitchside.llm.substrings import apply_spans
 
-SCHEME = A.Scheme(words=False, window=200, gram=32)
+# a context is about 1.5 KB in the tree, so the largest takes some 75 MB
+SCHEME = A.Scheme(words=False, window=200, gram=32, hot=50_000, run_bytes=(1 << 18) - 64)
 
 
 def lcp_intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
