@@ -9,11 +9,14 @@ similarity of 0.8 the distance is 16 on average (standard deviation 3.6), and as
 errors are not spread evenly a pair at 0.8 misses all 16 chunks with probability
 5e-10. Bucket pairs within ``MAX_DISTANCE`` are confirmed on the full shingle sets.
 
-Documents with equal sets are one class beforehand. Confirming runs in two steps, so
-that a bucket of n documents costs about n pairs, not n squared: first each
-class with the nearest of the smallest members of its buckets; the links give
-components; then every pair of a bucket whose members are still in different components.
-A pair inside a component could add nothing to it.
+Documents with equal sets are one class beforehand. Confirming runs in steps, so
+that a bucket of n documents costs about n pairs, not n squared: first each class with the
+nearest of the smallest members of its buckets; the links give components. Then, a few
+times, every class outside the commonest component of a large bucket with its nearest
+bucket mates of other components. Last, every pair of a bucket whose members are still in
+different components, so that no link is lost (a pair inside a component could add
+nothing to it): those of small buckets as pairs, those of large ones inside tasks that
+hold a component's texts, so that no task emits the pairs of a group.
 
 Edge cases: null or empty texts, and texts without words, have an empty set and are
 linked with nothing. A text of fewer words than a shingle is one shingle. Rows that repeat
@@ -37,7 +40,12 @@ CHUNKS = 16
 CHUNK = 5
 HASHES = CHUNKS * CHUNK
 MAX_DISTANCE = 36  # 5.6 standard deviations above the mean at 0.8
-BLOCK = 4096  # bucket members compared in one task at once
+BLOCK = 4096  # bucket members compared in one task at once ...
+ACTIVE = 1024  # ... with so many that are outside the bucket's commonest component
+SMALL = 32  # buckets up to this size are compared whole, many at a time
+NEAREST = 4  # bucket mates tried per round before all are
+ROUNDS = 1
+SET_BYTES = 32 << 20  # shingle sets a task keeps while it confirms pairs
 _MULT = K.stream(101, HASHES) | np.uint64(1)
 _ADD = K.stream(102, HASHES)
 _SALT = K.stream(103, HASHES)
@@ -158,13 +166,23 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     side = lambda x: near.select(F.col("_id").alias(x), F.col("text").alias(f"text_{x}"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}  # of documents met; started afresh when full
+        held = 0
+
+        def set_of(doc: int, texts: pa.Array, i: int) -> np.ndarray:
+            nonlocal held
+            if doc not in sets:
+                if held > SET_BYTES:
+                    sets.clear()
+                    held = 0
+                sets[doc] = shingle_sets(next(K.runs(texts.slice(i, 1))), size)[0]
+                held += sets[doc].nbytes
+            return sets[doc]
+
         for x in batches:
             keep = np.zeros(x.num_rows, bool)
-            last, mine = None, None
-            for i, a in enumerate(x.column(0).to_pylist()):
-                if a != last:
-                    last, mine = a, shingle_sets(next(K.runs(x.column(2).slice(i, 1))), size)[0]
-                theirs = shingle_sets(next(K.runs(x.column(3).slice(i, 1))), size)[0]
+            for i, (a, b) in enumerate(zip(x.column(0).to_pylist(), x.column(1).to_pylist())):
+                mine, theirs = set_of(a, x.column(2), i), set_of(b, x.column(3), i)
                 both = len(np.intersect1d(mine, theirs, assume_unique=True))
                 keep[i] = 100 * both >= percent * (len(mine) + len(theirs) - both)
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(keep))
@@ -197,40 +215,159 @@ def components(links: DataFrame) -> DataFrame:
     return labels.join(low, "at").select("node", "comp")
 
 
-def open_pairs(members: DataFrame, comps: DataFrame, classes: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Bucket pairs in different components that were not confirmed or refused yet.
+def small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all pairs of buckets up to SMALL members that are in different components
+    and that sizes and signatures allow. Buckets are streamed from sorted partitions; all pairs of a batch are compared at once."""
 
-    Of a bucket with several components, members outside the commonest one are compared
-    with all members. Large buckets are dealt in blocks: a block has its share of the
-    commonest component and all the others.
-    """
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        key, rep, comp, size = (t[c].to_numpy() for c in ("key", "rep", "comp", "size"))
+        sig = _sig_matrix(t["sig"])
+        found = [np.zeros((2, 0), np.int64)]
+        for shift in range(1, SMALL):
+            i = np.flatnonzero(key[shift:] == key[:-shift])
+            if not len(i):
+                break
+            j = i + shift
+            ok = (comp[i] != comp[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+            i, j = i[ok], j[ok]
+            same = sig[i] == sig[j]
+            ok = HASHES - same.sum(1) <= MAX_DISTANCE
+            i, j = i[ok], j[ok]
+            found.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]))
+        a, b = np.concatenate(found, 1)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for b in batches:
+            t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
+            if not t.num_rows:
+                continue
+            t = t.combine_chunks()
+            key = t["key"].to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))  # the last bucket may go on
+            rest = t.slice(cut)
+            if cut:
+                yield pairs(t.slice(0, cut))
+        if rest is not None:
+            yield pairs(rest)
+
+    return rows.repartition("key").sortWithinPartitions("key").select("key", "rep", "comp", "size", "sig").mapInArrow(work, "a long, b long")
+
+
+def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, rep, n, comp) of buckets with several components, and their commonest one:
+    main, with m members."""
     rows = members.select("key", "rep", "n").join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    rows = stored(rows, "bucket_components")
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rows = rows.join(mixed, "key")
     sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"))
-    sig = classes.select("rep", F.col("n_shingles").alias("size"), "sig")
-    rows = rows.join(main, "key").join(sig, "rep")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    dealt = F.when(F.col("comp") == F.col("main"), F.array(F.pmod(F.hash("rep"), blocks))).otherwise(F.sequence(F.lit(0), blocks - 1))
-    rows = rows.select("key", F.explode(dealt).alias("block"), "rep", "comp", "main", "size", "sig")
+    main = sizes.groupBy("key").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.max("m").alias("m"), F.count(F.lit(1)).alias("parts"))
+    return rows.join(main.where("parts > 1").select(F.col("key").alias("mixed"), "main", "m"), F.col("key") == F.col("mixed")).drop("mixed")
+
+
+def _dealt(rows: DataFrame, n, outside, *columns: str) -> DataFrame:
+    """Deal the members of large groups to tasks: every member is a mate in one of the
+    group's blocks of BLOCK, every outside member is active in one of its ACTIVE parts; each
+    (block, part) is a task. ``n`` members, ``outside`` of them active."""
+    last = F.ceil(n / F.lit(BLOCK)).cast("int") - 1
+    subs = F.ceil(outside / F.lit(ACTIVE)).cast("int") - 1
+    spot = lambda block, sub, active: F.struct(block.alias("block"), sub.alias("sub"), F.lit(active).alias("active"))
+    as_mate = F.transform(F.sequence(F.lit(0), subs), lambda i: spot(F.pmod(F.hash("rep"), last + 1), i, False))
+    as_active = F.transform(F.sequence(F.lit(0), last), lambda i: spot(i, F.pmod(F.hash("rep"), subs + 1), True))
+    rows = rows.select(F.explode(F.when(F.col("outside"), F.concat(as_mate, as_active)).otherwise(as_mate)).alias("at"), "outside", *columns)
+    return rows.select("at.block", "at.sub", "at.active", "outside", *columns)
+
+
+def _sized(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    return rows.join(classes.select(F.col("rep").alias("r"), F.col("n_shingles").alias("size"), "sig"), F.col("rep") == F.col("r")).drop("r")
+
+
+def _likely(i: int, mate: np.ndarray, comp, size, sig, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mates of member i in other components that sizes and signatures allow; distances."""
+    at = mate[(comp[mate] != comp[i]) & (100 * np.minimum(size[mate], size[i]) >= percent * np.maximum(size[mate], size[i]))]
+    d = (sig[at] != sig[i]).sum(1)
+    return at[d <= MAX_DISTANCE], d[d <= MAX_DISTANCE]
+
+
+def nearest_pairs(members: DataFrame, comps: DataFrame, classes: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members outside the commonest component of a bucket over SMALL, each with
+    its NEAREST untested mates of other components."""
+    rows = _labelled(members.where(F.col("n") > SMALL), comps).withColumn("outside", F.col("comp") != F.col("main"))
+    rows = _dealt(_sized(rows, classes), F.col("n"), F.col("n") - F.col("m"), "key", "rep", "comp", "size", "sig")
 
     def work(key, t):
-        rep, comp, size = (t[c].to_numpy() for c in ("rep", "comp", "size"))
+        rep, comp, size, active = (t[c].to_numpy() for c in ("rep", "comp", "size", "active"))
         sig = _sig_matrix(t["sig"])
-        out = []
-        for i in np.flatnonzero(comp != t["main"].to_numpy()):
-            other = (comp != comp[i]) & ((comp == t["main"][0].as_py()) | (rep > rep[i]))
-            other &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
-            at = np.flatnonzero(other)
-            at = at[(sig[at] != sig[i]).sum(1) <= MAX_DISTANCE]
-            out.append(np.stack([np.minimum(rep[at], rep[i]), np.maximum(rep[at], rep[i])]))
-        found = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+        mate = np.flatnonzero(~active)
+        found = [np.zeros((3, 0), np.int64)]
+        for i in np.flatnonzero(active):
+            at, d = _likely(i, mate, comp, size, sig, percent)
+            best = np.lexsort((rep[at], d))[:NEAREST]
+            found.append(np.stack([np.full(len(best), rep[i]), rep[at[best]], d[best]]))
+        a, b, d = np.concatenate(found, 1)
+        return pa.table({"active": pa.array(a, pa.int64()), "mate": pa.array(b, pa.int64()), "distance": pa.array(d, pa.int64())})
+
+    pairs = rows.groupBy("key", "block", "sub").applyInArrow(work, "active long, mate long, distance long")
+    ordered = (F.least("active", "mate").alias("a"), F.greatest("active", "mate").alias("b"))
+    fresh = pairs.groupBy("active", "mate").agg(F.min("distance").alias("distance")).select("active", "distance", *ordered).join(tested, ["a", "b"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("active").orderBy("distance", "a", "b"))
+    return fresh.withColumn("place", place).where(F.col("place") <= NEAREST).select("a", "b").distinct()
+
+
+def group_links(docs: DataFrame, members: DataFrame, comps: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Links (a, b) of buckets over SMALL that are still in several components.
+
+    A bucket's outside members are compared, on the full sets, with all members of its
+    commonest component and with the others that are outside of a bucket of that
+    component. Texts go to the tasks of the component once, and only links leave them, so
+    what is exchanged grows with the members, not with their pairs."""
+    related = stored(_labelled(members.where(F.col("n") > SMALL), comps).where("comp <> main").select("rep", "main").distinct(), "near_outside")
+    if related.isEmpty():
+        return None
+    label = classes.select("rep").join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    mains = related.select(F.col("main").alias("comp")).distinct()
+    inside = label.join(mains, "comp").select("rep", F.col("comp").alias("main"), F.lit(False).alias("outside"))
+    rows = stored(inside.unionByName(related.withColumn("outside", F.lit(True))).join(label, "rep"), "near_groups")
+    counts = rows.groupBy("main").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("n_out"))
+    near, _ = split_by_ids(docs, rows.select(F.col("rep").alias("_id")), rows.count())
+    rows = _sized(rows.join(counts, "main"), classes).join(near.withColumnRenamed("_id", "rep"), "rep")
+    rows = _dealt(rows, F.col("n"), F.col("n_out"), "main", "rep", "comp", "size", "sig", "text")
+
+    def work(key, t):
+        rep, comp, n, active, outside = (t[c].to_numpy() for c in ("rep", "comp", "size", "active", "outside"))
+        sig, texts, sets = _sig_matrix(t["sig"]), t["text"].combine_chunks(), {}
+
+        def set_of(i):
+            if i not in sets:
+                sets[i] = shingle_sets(next(K.runs(texts.slice(i, 1))), size)[0]
+            return sets[i]
+
+        mate, a, b = np.flatnonzero(~active), [], []
+        for i in np.flatnonzero(active).tolist():
+            at, _ = _likely(i, mate, comp, n, sig, percent)
+            for j in at[~outside[at] | (rep[at] > rep[i])].tolist():
+                both = len(np.intersect1d(set_of(i), set_of(j), assume_unique=True))
+                if 100 * both >= percent * (len(set_of(i)) + len(set_of(j)) - both):
+                    a.append(min(rep[i], rep[j]))
+                    b.append(max(rep[i], rep[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    pairs = rows.groupBy("key", "block").applyInArrow(work, "a long, b long").distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    return rows.groupBy("main", "block", "sub").applyInArrow(work, "a long, b long").distinct()
+
+
+def small_pairs(members: DataFrame, comps: DataFrame, classes: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """(a, b): untested pairs of buckets up to SMALL that are in different components."""
+    rows = _sized(_labelled(members.where(F.col("n") <= SMALL), comps), classes)
+    return stored(small_bucket_pairs(rows, percent).distinct(), "near_open").join(tested, ["a", "b"], "left_anti")
+
+
+def joined_components(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after more links, which may name nodes without a component so far."""
+    c = lambda x: comps.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+    raised = links.join(c("a"), "a", "left").join(c("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    top = components(raised).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+    known = comps.join(top, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
+    fresh = top.join(comps, top["comp"] == comps["node"], "left_anti").select(F.col("comp").alias("node"), F.col("top").alias("comp"))
+    return stored(known.unionByName(fresh), "near_components")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -242,16 +379,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = stored(feats.where("n_shingles > 0").groupBy(*name).agg(F.min("_id").alias("rep"), F.first("sig").alias("sig")), "near_classes")
     members = stored(buckets(classes), "near_buckets")
     stars = near_pairs(members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), classes, percent)
-    nearest = stored(stars.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b"), "near_stars")
-    links = stored(confirmed(base, nearest, size, percent), "near_links")
-    comps = stored(components(links), "near_components")
-    more = confirmed(base, open_pairs(members, comps, classes, nearest, percent), size, percent)
-    # links between the components of the first step join them
-    c = lambda x: comps.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
-    raised = more.join(c("a"), "a", "left").join(c("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    final = components(raised).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+    tested = stored(stars.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b"), "near_stars")
+    comps = stored(components(stored(confirmed(base, tested, size, percent), "near_links")), "near_components")
+    for _ in range(ROUNDS):
+        pairs = stored(nearest_pairs(members, comps, classes, tested, percent), "near_pairs")
+        if pairs.isEmpty():
+            break
+        comps = joined_components(comps, stored(confirmed(base, pairs, size, percent), "near_links"))
+        tested = tested.unionByName(pairs)
+    links = confirmed(base, small_pairs(members, comps, classes, tested, percent), size, percent)
+    large = group_links(base, members, comps, classes, size, percent)
+    comps = joined_components(comps, stored(links if large is None else links.unionByName(large), "near_links"))
     every = classes.select(*name, "rep").join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    every = every.join(final, "comp", "left").select(*name, F.col("rep").alias("class_id"), F.coalesce("top", "comp").alias("comp"))
+    every = every.select(*name, F.col("rep").alias("class_id"), "comp")
     return feats.select("_id", *name).join(every, name, "left").select(
         "_id", "n_shingles", F.coalesce("class_id", "_id").alias("class_id"), F.coalesce("comp", "_id").alias("comp")
     )
