@@ -15,7 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = (1 << 19) - 64  # with its borders, within one doubling of the power tables
+SLICE_ROWS = 512
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -114,6 +115,13 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Short views of batches, for work on Python strings: only a view's texts are objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def runs(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
     """Cut a text column into runs of about ``limit`` bytes (a longer text is its own run)."""
     data, off = buffers(col)

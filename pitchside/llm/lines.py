@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm.common import NULL_ID, identified, public_id, split_by_ids, stored, unused, with_decisions
-from pitchside.llm.kernels import mix
+from pitchside.llm.kernels import mix, slices
 
 STRIP = " \t\n\x0b\x0c\r"
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -121,7 +121,7 @@ def holders(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
     """(hi, lo, _id): one row for each line key a document row holds."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             hi, lo, ids = [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 keys = {k for line in (text or "").split("\n") if len(line) >= min_points and (k := line_key(line, min_points))}
@@ -248,7 +248,7 @@ def documents_without(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int
     i_chars = names.index("n_chars") if "n_chars" in names else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             cols = list(b.columns[: len(names)])
             texts, chars = [], cols[i_chars].to_pylist() if i_chars is not None else None
             for i, (text, keys) in enumerate(zip(cols[i_text].to_pylist(), b.column(len(names)).to_pylist())):
@@ -274,7 +274,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN
     drops = dropped_keys(held, min_docs).groupBy("_id").agg(F.collect_list(F.struct("hi", "lo")).alias("drops"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             kept, n_lines, n_dropped = [], [], []
             for text, keys in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 stay, n = kept_lines(text, keys, min_points)

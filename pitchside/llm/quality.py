@@ -157,7 +157,7 @@ def remove_frequent_lines(docs: DataFrame, host: str = "source", rules: Rules =
     gone = gone.groupBy("_id").agg(F.collect_list("line").alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in K.slices(batches):
             out = []
             for text, bad in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 if bad and text:

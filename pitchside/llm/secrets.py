@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchside.llm import kernels as K
 from pitchside.llm.common import identified, public_id
 
 KINDS = ("assign", "access", "hex", "novel")
@@ -93,7 +94,7 @@ def scan(docs: DataFrame, conf: Novelty = Novelty(), dictionary: bytes = IDENTIF
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marginal = marginal_bytes(dictionary)
-        for b in batches:
+        for b in K.slices(batches):
             counts, base, every = ([], [], []), [], []
             for text in b.column(1).to_pylist():
                 text = text or ""

@@ -15,9 +15,9 @@ import numpy as np
 
 from pitchside.llm import kernels as K
 
-TABLE_BITS = 22
-MAX_PIECES = 1_500_000
-MAX_IDS = 16_000_000
+TABLE_BITS = 21
+MAX_PIECES = 1_000_000
+MAX_IDS = 6_000_000
 _SPACE_NL = np.zeros(256, bool)
 _SPACE_NL[[0x20, 0x0A]] = True
 _ODD = np.zeros(256, bool)  # other ASCII white space
