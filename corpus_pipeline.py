@@ -22,7 +22,7 @@ SIMILARITY_PERCENT = 80
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return common.without(docs, quality.judged(docs).where(~F.col("kept")))
+    return common.without(docs, quality.judged(docs, copies_once=True).where(~F.col("kept")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ documents are counted per host (the ``source`` column) and line. A line held by
 more than ``max_docs`` documents of one host is boilerplate there and is removed;
 a document that keeps less than ``min_left`` of its word characters is depleted
 and rejected, as is one that fails the base rules (fewer than 10 words, or over
-20 % of the words inside 5-word windows that occur twice in the text).
+20 % of the words inside 5-word windows that occur twice in the text). The pipeline
+counts the different texts that hold a line, not the documents (``copies_once``): copies
+of one text are for its near-dedup stage to settle, and no boilerplate.
 
 Edge cases: a null or empty text has no words and fails the base rules. A null
 host is one host of its own. Rows that repeat a doc_id count as one document in
@@ -121,18 +123,24 @@ def features(docs: DataFrame, host: str = "source", window: int = 5) -> DataFram
     )
 
 
-def frequent_lines(rows: DataFrame, max_docs: int) -> DataFrame:
-    """(host, line) held by more than ``max_docs`` documents of the host. Each task
-    sends one partial count per line it saw."""
-    held = rows.select("host", "_id", F.explode(F.array_distinct("line")).alias("line"))
+def frequent_lines(rows: DataFrame, max_docs: int, copies_once: bool = False) -> DataFrame:
+    """(host, line) held by more than ``max_docs`` documents of the host, or with
+    ``copies_once`` by more than ``max_docs`` different texts (128-bit hashes of their
+    normalised lines). Each task sends one partial count per line it saw."""
+    held = rows.select("host", "_id", "line")
+    if copies_once:
+        text = [F.xxhash64("line").alias("t1"), F.xxhash64(F.lit(1), "line").alias("t2")]
+        held = held.select("host", *text, F.explode(F.array_distinct("line")).alias("line")).distinct()
+    else:
+        held = held.select("host", F.explode(F.array_distinct("line")).alias("line"))
     return held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
 
 
-def judged(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:
+def judged(docs: DataFrame, host: str = "source", rules: Rules = Rules(), copies_once: bool = False) -> DataFrame:
     """The features of every document row, what frequent lines take, and the verdict."""
     rows = stored(features(docs, host, rules.window), "quality_features")
     one = rows.dropDuplicates(["_id"])
-    hot = frequent_lines(one, rules.max_docs).select(F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))
+    hot = frequent_lines(one, rules.max_docs, copies_once).select(F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))
     lines = one.select("_id", "host", F.explode(F.arrays_zip("line", "line_chars")).alias("l")).select("_id", "host", "l.line", "l.line_chars")
     lost = (
         lines.join(hot, F.col("host").eqNullSafe(F.col("hot_host")) & (F.col("line") == F.col("hot_line")))
