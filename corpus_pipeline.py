@@ -3,11 +3,14 @@
 Every stage takes what the one before kept and returns documents with all their
 columns; the last returns the packed pieces. ``run`` writes each stage as Parquet in the
 shared checkpoint folder and reads it back, so a lost executor costs a stage's tasks at
-most. Rows that repeat a doc_id stay or go together.
+most. Every stage that rejects rows judges each text for itself: equal rows (doc_id and
+text) stay or go together; rows without a doc_id, or with one doc_id and different texts,
+do not.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,22 +23,38 @@ SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
 
 
+def _each_text(stage):
+    """The stage over rows whose doc_id stands for one text; doc_ids come back as given."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows, own = common.with_own_ids(docs)
+        return common.with_given_ids(stage(spark, rows, sf_dir), own, docs.columns)
+
+    return run_stage
+
+
+@_each_text
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return common.without(docs, quality.judged(docs, copies_once=True).where(~F.col("kept")))
 
 
+@_each_text
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents hold stay in the last of them only."""
     return lines.documents_without(docs)
 
 
+@_each_text
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of each group of near-duplicates the document with the smallest id stays
+    (rows without a doc_id come after all others)."""
     found = near_dup.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
     return common.without(docs, found.where("_id <> comp"))
 
 
+@_each_text
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     _, spans, _ = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

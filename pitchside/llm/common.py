@@ -101,3 +101,48 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     gone = unused(base, "_rejected")
     left = maybe.join(rejected.withColumnRenamed("_id", gone).hint("SHUFFLE_HASH"), F.col(key) == F.col(gone), "left_anti")
     return left.unionByName(clean).drop(key)
+
+
+def with_own_ids(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(``docs`` where a doc_id stands for one text, name of an added column with the
+    doc_id as it was).
+
+    Rows without a doc_id, and those whose doc_id also has a text that sorts before
+    theirs, get numbers above all doc_ids, one per (doc_id, 128-bit hash of the text):
+    equal rows share theirs. Only these rows' texts are exchanged.
+    """
+    own, key, at = unused(docs, "_doc"), unused(docs, "_id"), unused(docs, "_number")
+    digest = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    rows = stored(docs.select(docs["doc_id"].cast("long").alias("doc"), digest.alias("text")).distinct(), "row_keys")
+    known, unknown = rows.where("doc IS NOT NULL"), rows.where("doc IS NULL")
+    clash = known.groupBy("doc").agg(F.min("text").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", "first")
+    later = known.join(clash, "doc").where("text <> first").select("doc", "text")
+    todo = later.unionByName(unknown).select(F.coalesce("doc", F.lit(NULL_ID)).alias("doc"), "text")
+    # ranks by (doc, text): the same in every run
+    order = todo.repartitionByRange("doc", "text").sortWithinPartitions("doc", "text")
+    placed = stored(order.withColumn("at", F.monotonically_increasing_id()), "row_ranks")
+    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())  # one row per partition
+    base = docs.withColumn(own, docs["doc_id"])
+    if not sizes:
+        return base, own
+    n, first, starts = sum(n for _, n in sizes), (rows.agg(F.max("doc")).first()[0] or 0) + 1, []
+    if first + n > NULL_ID:
+        raise ValueError(f"no numbers above the largest doc_id ({first - 1}) for {n} rows that need one")
+    for part, size in sizes:
+        starts.append((part, first))
+        first += size
+    start = docs.sparkSession.createDataFrame(starts, "part long, start long")
+    numbers = placed.join(F.broadcast(start), F.shiftright(placed["at"], 33) == start["part"]).select(
+        F.col("doc").alias(f"{at}doc"), F.col("text").alias(f"{at}text"), (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias(at)
+    )
+    keyed = base.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    maybe, clean = split_by_ids(keyed, placed.select(F.col("doc").alias("_id")).distinct(), n, key)
+    hashed = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = maybe.join(numbers.hint("SHUFFLE_HASH"), (F.col(key) == F.col(f"{at}doc")) & (hashed == F.col(f"{at}text")), "left")
+    found = found.select(*[F.coalesce(at, key).alias(c) if c == "doc_id" else F.col(c) for c in base.columns])
+    return found.unionByName(clean.select(*[F.col(key).alias(c) if c == "doc_id" else F.col(c) for c in base.columns])), own
+
+
+def with_given_ids(docs: DataFrame, own: str, columns: list[str]) -> DataFrame:
+    """The rows of ``with_own_ids`` under the doc_ids they came with."""
+    return docs.select(*[F.col(own).alias(c) if c == "doc_id" else F.col(c) for c in columns])

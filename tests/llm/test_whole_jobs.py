@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 
 
@@ -25,3 +27,29 @@ def test_copies_in_one_source_are_left_to_near_dedup(spark):
     # a line of many different texts is still boilerplate
     pages = _docs(spark, [(i, f"{copy}\npage {i}", "hot") for i in range(101)])
     assert P.quality_rules(spark, pages, "").count() == 0
+
+
+def test_rows_without_a_doc_id_are_judged_one_by_one(spark):
+    rng = random.Random(12)
+    texts = [_text(rng) for _ in range(8)]
+    near = texts[0] + " more"
+    item = _text(rng, 12)
+    rows = [(1, texts[0], "a"), (None, near, "a"), (None, None, "a"), (None, "short", "a"), (None, f"{texts[6]} {item}", "a"), (7, "short", "a"), (7, texts[7], "a")]
+    rows += [(None, t, "a") for t in texts[1:6]] + [(None, texts[1], "a")]
+    docs = _docs(spark, [(d, t or "", s) for d, t, s in rows]).withColumn("text", F.when(F.col("n_chars") > 0, F.col("text")))
+    left = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    clean = [(1, texts[0]), (7, texts[7]), *[(None, t) for t in texts[1:6]]]
+    good = P.quality_rules(spark, docs, "")
+    assert left(good) == sorted([*clean, (None, near), (None, texts[1]), (None, f"{texts[6]} {item}")], key=str)
+    own = P.near_dedup(spark, good, "")
+    assert left(own) == sorted([*clean, (None, texts[1]), (None, f"{texts[6]} {item}")], key=str)  # equal rows share an identity
+
+
+def test_lines_and_hits_of_rows_without_a_doc_id(spark, tmp_path):
+    rng = random.Random(13)
+    line, item = _text(rng, 12), _text(rng, 12)
+    docs = _docs(spark, [(None, f"{line}\n{_text(rng)}", "a") for _ in range(6)] + [(None, f"{_text(rng)} {item}", "a"), (3, _text(rng), "a")])
+    assert sum(line in r["text"] for r in P.line_dedup(spark, docs, "").collect()) == 1
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = [r["text"] for r in P.decontamination(spark, docs, str(tmp_path)).collect()]
+    assert len(kept) == 7 and not any(item in t for t in kept)
