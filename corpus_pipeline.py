@@ -14,7 +14,6 @@ import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pitchside.llm import common, decontaminate, lines, near_dup, packing, quality, tokens
 from pitchside.sources import store
@@ -36,8 +35,8 @@ def _each_text(stage):
 
 @_each_text
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return common.without(docs, quality.judged(docs, copies_once=True).where(~F.col("kept")))
+    """Documents that the quality rules reject go; the others lose their frequent lines."""
+    return quality.kept_documents(docs, copies_once=True)
 
 
 @_each_text

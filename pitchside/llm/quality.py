@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import identified, public_id, stored
+from pitchside.llm.common import NULL_ID, identified, public_id, split_by_ids, stored, unused
 
 
 @dataclass(frozen=True)
@@ -144,17 +144,56 @@ def judged(docs: DataFrame, host: str = "source", rules: Rules = Rules(), copies
     lines = one.select("_id", "host", F.explode(F.arrays_zip("line", "line_chars")).alias("l")).select("_id", "host", "l.line", "l.line_chars")
     lost = (
         lines.join(hot, F.col("host").eqNullSafe(F.col("hot_host")) & (F.col("line") == F.col("hot_line")))
-        .groupBy("_id").agg(F.sum("line_chars").alias("lost_chars"), F.count(F.lit(1)).alias("n_frequent_lines"))
+        .groupBy("_id").agg(F.sum("line_chars").alias("lost_chars"), F.count(F.lit(1)).alias("n_frequent_lines"), F.collect_set("line").alias("frequent"))
     )
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     left = F.col("word_chars") - F.coalesce("lost_chars", F.lit(0))
     return rows.drop("line", "line_chars").join(lost, "_id", "left").select(
         "_id", *_FEATURES, failed.alias("base_failed"),
         (~failed & (left >= F.lit(rules.min_left) * F.col("word_chars"))).alias("kept"),
-        F.coalesce("n_frequent_lines", F.lit(0).cast("long")).alias("n_frequent_lines"),
+        F.coalesce("n_frequent_lines", F.lit(0).cast("long")).alias("n_frequent_lines"), "frequent",
     )
 
 
+def without_lines(text: str | None, gone: list[int] | None, window: int) -> str | None:
+    """The text less its lines whose hashes are given."""
+    if not gone or not text:
+        return text
+    every = text.split("\n")
+    data, off = K.buffers(pa.array(every))
+    f = base_features(K.Texts(data, off, 0), window)
+    at, bad = f["line_bounds"], set(gone)
+    return "\n".join(x for i, x in enumerate(every) if at[i] == at[i + 1] or int(f["line"][at[i]]) not in bad)
+
+
+def kept_documents(docs: DataFrame, host: str = "source", rules: Rules = Rules(), copies_once: bool = False) -> DataFrame:
+    """``docs`` that stay, with all their columns and the text without its frequent lines
+    (n_chars follows). Only documents that go or lose lines are exchanged."""
+    verdict = judged(docs, host, rules, copies_once).where(~F.col("kept") | F.col("frequent").isNotNull())
+    verdict = stored(verdict.select("_id", "kept", "frequent").dropDuplicates(["_id"]), "quality_verdicts")
+    key = unused(docs, "_id")
+    base = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    maybe, clean = split_by_ids(base, verdict, verdict.count(), key)
+    at, stay, gone = unused(base, "_at"), unused(base, "_stay"), unused(base, "_gone")
+    names = base.columns
+    i_text, i_chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in K.slices(batches):
+            cols = list(b.columns[: len(names)])
+            old = cols[i_text].to_pylist()
+            new = [without_lines(text, lines, rules.window) for text, lines in zip(old, b.column(len(names)).to_pylist())]
+            cols[i_text] = pa.array(new, cols[i_text].type)
+            if i_chars is not None:
+                chars = [n if x == y else len(y) for n, x, y in zip(cols[i_chars].to_pylist(), old, new)]
+                cols[i_chars] = pa.array(chars, cols[i_chars].type)
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    decided = verdict.select(F.col("_id").alias(at), F.col("kept").alias(stay), F.col("frequent").alias(gone))
+    joined = maybe.join(decided.hint("SHUFFLE_HASH"), F.col(key) == F.col(at), "left").where(F.coalesce(stay, F.lit(True)))
+    return joined.select(*[maybe[c] for c in names], gone).mapInArrow(cut, base.schema).unionByName(clean).drop(key)
+
+
 def remove_frequent_lines(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:
     """doc_id, text without the lines over the limit, and whether the document stays."""
     rows = stored(features(docs, host, rules.window), "quality_features")
@@ -168,14 +207,7 @@ def remove_frequent_lines(docs: DataFrame, host: str = "source", rules: Rules =
         for b in K.slices(batches):
             out = []
             for text, bad in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if bad and text:
-                    every = text.split("\n")
-                    data, off = K.buffers(pa.array(every))
-                    f = base_features(K.Texts(data, off, 0), rules.window)
-                    hashes = [f["line"][f["line_bounds"][i]] if f["line_bounds"][i] < f["line_bounds"][i + 1] else None for i in range(len(every))]
-                    gone = set(bad)
-                    text = "\n".join(x for x, h in zip(every, hashes) if h is None or int(h) not in gone)
-                out.append(text)
+                out.append(without_lines(text, bad, rules.window))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["_id", "text"])
 
     stay = judged(docs, host, rules).select("_id", "kept").dropDuplicates(["_id"])

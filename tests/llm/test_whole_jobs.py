@@ -53,3 +53,12 @@ def test_lines_and_hits_of_rows_without_a_doc_id(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = [r["text"] for r in P.decontamination(spark, docs, str(tmp_path)).collect()]
     assert len(kept) == 7 and not any(item in t for t in kept)
+
+
+def test_kept_documents_lose_their_frequent_lines(spark):
+    rng = random.Random(14)
+    own = [_text(rng) for _ in range(101)]
+    docs = _docs(spark, [(i, f"Home  About\n\n{t}\nhome about", "hot") for i, t in enumerate(own)] + [(500, f"home about\n{own[0]} x", "other")])
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in P.quality_rules(spark, docs, "").collect()}
+    expected = {i: f"\n{t}" for i, t in enumerate(own)} | {500: f"home about\n{own[0]} x"}
+    assert got == {i: (t, len(t)) for i, t in expected.items()}
