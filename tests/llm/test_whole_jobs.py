@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+from collections import Counter
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 
+from . import brute
+
 
 def _text(rng, n=30):
     return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(3, 9))) for _ in range(n))
@@ -62,3 +67,18 @@ def test_kept_documents_lose_their_frequent_lines(spark):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in P.quality_rules(spark, docs, "").collect()}
     expected = {i: f"\n{t}" for i, t in enumerate(own)} | {500: f"home about\n{own[0]} x"}
     assert got == {i: (t, len(t)) for i, t in expected.items()}
+
+
+def test_pipeline_with_rows_without_a_doc_id_against_brute_force(spark, corpus, docs):
+    last = 10**9
+    nulls = sorted({hashlib.md5((t or "").encode()).hexdigest() for d, t, _ in docs if d is None})
+    every = [(last + nulls.index(hashlib.md5((t or "").encode()).hexdigest()) if d is None else d, t, s) for d, t, s in docs]
+    left = [d for d, q in zip(every, brute.quality(every)) if q[-1]]
+    assert any(d >= last for d, _, _ in left)
+    cut = [(d, t, None) for d, _, _, t in brute.lines_cut(left)]
+    comp = brute.near_components(cut, 5)
+    left = [x for x in cut if comp[x[0]][1] == x[0]]
+    t = pq.read_table(f"{corpus}/benchmark.parquet")
+    hit = {r[0] for r in brute.decontaminated(left, list(zip(t["item_id"].to_pylist(), t["text"].to_pylist()))) if r[-1]}
+    expected = brute.cut_pieces([(d if d < last else None, t, s) for d, t, s in left if d not in hit])
+    assert Counter(tuple(r)[:5] for r in P.run(spark, corpus).collect()) == Counter(expected)
