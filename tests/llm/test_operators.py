@@ -145,7 +145,7 @@ def test_op10(spark, corpus, docs):
     assert sum(r[0] is None for r in rows) == 2
 
 
-@pytest.mark.parametrize("name", [f"op{n}" for n in range(1, 11)])
+@pytest.mark.parametrize("name", [f"op{n}" for n in range(1, 14)])
 def test_empty_tables(spark, empty, name):
     assert run(spark, name, empty)[1] == []
 
