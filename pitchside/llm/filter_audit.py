@@ -89,7 +89,9 @@ def masks(docs: DataFrame, part: str = "source", limits: Limits = Limits()) -> D
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(mask, pa.int64())], ["_id", "part", "digest", "mask"])
 
     seen = stored(rows.mapInArrow(work, "_id long, part string, digest binary, mask long"), "audit_masks")
-    first = seen.groupBy("digest").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # written: joins with an aggregate on the same key take its partitions, which Spark cannot
+    # split where a group of copies is large
+    first = stored(seen.groupBy("digest").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "audit_repeats")
     late = F.coalesce(F.col("_id") > F.col("first"), F.lit(False)).cast("long")
     return seen.join(first, "digest", "left").select("_id", "part", (F.col("mask") + F.lit(1 << LETTERS.index("E")) * late).alias("mask"))
 
@@ -151,7 +153,7 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "source", limits: Limi
     said = labels.where(labels["doc_id"].isNotNull()).groupBy(labels["doc_id"].cast("long").alias("_id")).agg(
         F.coalesce(F.max(labels["quality"] == 1), F.lit(False)).alias("good"), F.coalesce(F.max(labels["toxic"] == 1), F.lit(False)).alias("toxic")
     )
-    rows = masks(docs, part, limits).join(said, "_id", "left")
+    rows = masks(docs, part, limits).join(stored(said, "audit_labels"), "_id", "left")
     no = F.lit(False)
     counts = rows.groupBy("part", "mask", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")).agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("part").applyInArrow(part_rows, "part string, filter_order string, step int, " + ", ".join(f"{c} long" for c in _COUNTS))
