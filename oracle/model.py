@@ -117,12 +117,10 @@ def _hash_sql(src: str, keep: str, seed: int) -> str:
     return f"(SELECT {keep}, (hi & 2147483647) * 4294967296 + h AS u FROM {src})"
 
 
-def _draws_sql(idx: str, n: str, resamples: int, seed: int, block: int = 4096) -> str:
-    """Draws fall into blocks first; inside a block of s rows draw j is hash(seed + 1, b, block, j) mod s."""
-    first = _hash_sql(f"(SELECT r.b, i.row_idx AS d FROM {idx} i, range(0, {resamples}) AS r(b))", "", seed)
-    counts = f"(SELECT b, (u % (SELECT n FROM {n})) // {block} AS blk, count(*) AS c FROM {first} GROUP BY ALL)"
-    inside = f"(SELECT b, blk, (blk << 32) + unnest(range(0, c)) AS d FROM {counts})"
-    return f"SELECT b, blk * {block} + u % least({block}, (SELECT n FROM {n}) - blk * {block}) AS pick FROM {_hash_sql(inside, 'blk', seed + 1)}"
+def _draws_sql(n: str, resamples: int, seed: int) -> str:
+    """Draw d of resample b is the rank hash(seed, b, d) mod n."""
+    src = f"(SELECT r.b, i.d FROM range(0, {resamples}) AS r(b), (SELECT unnest(range(0, n)) AS d FROM {n}) i)"
+    return f"SELECT b, u % (SELECT n FROM {n}) AS pick FROM {_hash_sql(src, '', seed)}"
 
 
 def _poisson_sql(rows: str, resamples: int, seed: int) -> str:
@@ -137,7 +135,6 @@ def _poisson_sql(rows: str, resamples: int, seed: int) -> str:
     return f"SELECT b, {', '.join(METRICS)}, {w} AS w FROM (SELECT * REPLACE (CAST(u AS DOUBLE) / 9223372036854775808.0 AS u) FROM {hashed})"
 
 
-_ORDER_SQL = ", ".join(f"{c} ASC NULLS FIRST" for c in MATCH_ORDER)
 _HASH_TEXT = "concat_ws('|', " + ", ".join(
     f"CAST(CAST(floor({c} * 1000000 + 0.5) AS BIGINT) AS VARCHAR)" if c in ("home_xg", "away_xg") else f"CAST({c} AS VARCHAR)" for c in MATCH_ORDER
 ) + ")"
@@ -204,19 +201,19 @@ bt_per_match AS (
         LEFT JOIN naive n ON n.outcome = t.result_regulation
     ) z
 ),
-bt_hashed AS (
-    SELECT *, {_HASH_TEXT} AS line, row_number() OVER (PARTITION BY {", ".join(MATCH_ORDER)}) - 1 AS copy FROM bt_per_match
+bt_classes AS (
+    SELECT home_team, away_team, actual, count(*) AS n, {", ".join(f"any_value({m}) AS {m}" for m in METRICS)} FROM bt_per_match GROUP BY home_team, away_team, actual
 ),
-bt_idx AS (
-    SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(line), 1, 8)) AS BIGINT), {_ORDER_SQL}) - 1 AS row_idx,
-           CAST(('0x' || substr(md5(concat_ws('|', line, copy)), 1, 15)) AS BIGINT) AS row_key
-    FROM bt_hashed
+bt_ranges AS (
+    SELECT *, sum(n) OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws('|', home_team, away_team, actual)), 1, 8)) AS BIGINT), home_team, away_team, actual) - n AS first_rank
+    FROM bt_classes
 ),
-bt_n AS (SELECT count(*) AS n FROM bt_idx),
-bt_draws AS ({_draws_sql("bt_idx", "bt_n", 1000, 12345)}),
+bt_ranked AS (SELECT CAST(first_rank AS BIGINT) + unnest(range(0, n)) AS rank, {", ".join(METRICS)} FROM bt_ranges),
+bt_n AS (SELECT count(*) AS n FROM bt_per_match),
+bt_draws AS ({_draws_sql("bt_n", 1000, 12345)}),
 bt_means AS (
     SELECT d.b, {", ".join(f"avg(x.{m}) AS {m}" for m in METRICS)}
-    FROM bt_draws d JOIN bt_idx x ON x.row_idx = d.pick GROUP BY d.b
+    FROM bt_draws d JOIN bt_ranked x ON x.rank = d.pick GROUP BY d.b
 ),
 bt_ci AS (
     {" UNION ALL ".join(f"SELECT '{m}' AS key, quantile_cont({m}, 0.05) AS ci_lo, quantile_cont({m}, 0.95) AS ci_hi FROM bt_means" for m in METRICS)}
@@ -233,9 +230,13 @@ backtest AS (
         round(c.ci_lo, 6) AS ci_lo, round(c.ci_hi, 6) AS ci_hi
     FROM bt_point p CROSS JOIN bt_means_all a JOIN bt_ci c ON c.key = p.key
 ),
-bt_pw AS ({_poisson_sql("bt_idx", 1000, 12345)}),
+bt_copies AS (
+    SELECT *, {_HASH_TEXT} AS line, row_number() OVER (PARTITION BY {", ".join(MATCH_ORDER)}) - 1 AS copy FROM bt_per_match
+),
+bt_keyed AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', line, copy)), 1, 15)) AS BIGINT) AS row_key FROM bt_copies),
+bt_pw AS ({_poisson_sql("bt_keyed", 1000, 12345)}),
 bt_pmeans AS (
-    SELECT b, {", ".join(f"sum(w * {m}) / nullif(sum(w), 0) AS {m}" for m in METRICS)} FROM bt_pw GROUP BY b
+    SELECT b, {", ".join(f"sum(w * {m}) / nullif(sum(w) FILTER ({m} IS NOT NULL), 0) AS {m}" for m in METRICS)} FROM bt_pw GROUP BY b
 ),
 bt_pci AS (
     {" UNION ALL ".join(f"SELECT '{m}' AS key, quantile_cont({m}, 0.05) AS ci_lo, quantile_cont({m}, 0.95) AS ci_hi FROM bt_pmeans" for m in METRICS)}

@@ -3,20 +3,22 @@
 Both are built from hashing, joins and aggregates, so they run distributed
 and give the same numbers on every run, cluster size and bucket count.
 
-Dense index. Rows are numbered 0..n-1 in the order (hash of all columns, all
-columns). A bucket is a range of the hash (its high bits), so buckets follow each
-other in that order: rows are numbered inside their bucket and shifted by the row
-count of the lower buckets, and the number of buckets changes the work, never the
-index. Exact copies are collapsed with a multiplicity first and expanded
-afterwards in blocks, so a hot group of copies is split over tasks.
-
-Bootstrap. Draw ``d`` of resample ``b`` falls into the index block of ``mix(seed, b, d) mod n``
-(an integer mixing hash, three multiply-xorshift rounds kept below 2^63 so no engine
-overflows). Draws are only counted per (resample, block), by partial aggregation
-where they are made. The counts meet the blocks, each one row with a bounded array of
-values, and the draws inside a block are made, looked up and summed in place. So
-neither the n x B draws nor the values are exchanged per draw; the same draws serve
-every metric, and the intervals are jointly consistent.
+Rank ranges. Rows are ordered by (hash of their columns, their columns), and equal rows
+are one class with a count, which takes a contiguous range of ranks. A bucket is a range
+of the hash (its high bits), so buckets follow each other in that order: classes are
+placed inside their bucket and shifted by the row count of the lower buckets, and the
+number of buckets changes the work, never the ranks. ``dense_index`` gives every copy
+its own rank, expanded in blocks, so a hot group of copies is split over tasks.
+
+Bootstrap. Draw ``d`` of resample ``b`` is the rank ``mix(seed, b, d) mod n`` (an integer mixing
+hash, three multiply-xorshift rounds kept below 2^63 so no engine overflows). The metrics of a
+row depend on its class only, so a draw is looked up in the classes' ranges where it is made, and
+what leaves the task is a count per (resample, class). The ranks are cut into cells of about
+n / classes ranks, each class has a row per cell that it reaches, and the lookup is an equi-join on
+the cell with the range as a condition: at most two rows a class, in plain columns inside
+codegen. Spark broadcasts that table by its own size check (it does not grow with the rows,
+only with the classes); where it is larger, the draws are exchanged by cell. The same draws
+serve every metric, so the intervals are jointly consistent.
 """
 
 from __future__ import annotations
@@ -24,14 +26,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchside import config
+from pitchside.sources import store
 
-
+DRAWS_PER_TASK = 4_000_000
 HASH_BITS = 32
-BLOCK_ROWS = 4096  # rows of the index whose values are held as one array
 
 
 def md5_int(text: Column, hex_digits: int = 8) -> Column:
@@ -67,38 +69,42 @@ def _expanded(starts: DataFrame, cols: Sequence[str], name: str, block: int) ->
     return small.unionByName(large)
 
 
-def dense_index(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    hash_cols: Sequence[str | Column],
-    buckets: int = 256,
-    name: str = "row_idx",
-    block: int = 100_000,
+def rank_ranges(
+    classes: DataFrame, order_cols: Sequence[str], hash_cols: Sequence[str | Column], count: str, buckets: int = 256, name: str = "start"
 ) -> DataFrame:
-    """Add ``name`` = rank of the row (0-based) in the order (hash, order_cols).
-
-    ``buckets``: a power of two, the number of windows the numbering is spread over;
-    the result does not depend on it. Copies take the contiguous range of ranks they
-    would have had one by one."""
+    """Add ``name`` = the first of the ``count`` ranks (0-based) that each row takes in the
+    order (hash, order_cols). ``buckets``: a power of two, the number of windows the ranks
+    are spread over; the result does not depend on it."""
     if buckets & (buckets - 1) or not 0 < buckets <= 1 << 20:
         raise ValueError("buckets must be a power of two, at most 2^20")
     shift = HASH_BITS - (buckets.bit_length() - 1)
-    cols = list(df.columns)
+    cols = list(classes.columns)
     order = [F.col("_h").asc(), *[F.col(c).asc_nulls_first() for c in order_cols]]
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).withColumn("_h", md5_int(row_text(hash_cols)))
-    distinct = distinct.withColumn("_bucket", F.shiftright("_h", shift))
+    placed = classes.withColumn("_h", md5_int(row_text(hash_cols))).withColumn("_bucket", F.shiftright("_h", shift))
     w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = distinct.withColumn("_local", F.sum("_m").over(w) - F.col("_m"))
-    counts = distinct.groupBy("_bucket").agg(F.sum("_m").alias("_n"))
+    local = placed.withColumn("_local", F.sum(count).over(w) - F.col(count))
+    counts = placed.groupBy("_bucket").agg(F.sum(count).alias("_n"))
     # at most ``buckets`` rows: a one-task running sum and a bounded broadcast
     offsets = counts.select(
         "_bucket",
         (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_off"),
     )
-    starts = local.join(F.broadcast(offsets), "_bucket").select(
-        *cols, (F.col("_off") + F.col("_local")).alias("_start"), "_m"
-    )
-    return _expanded(starts, cols, name, block)
+    return local.join(F.broadcast(offsets), "_bucket").select(*cols, (F.col("_off") + F.col("_local")).alias(name))
+
+
+def dense_index(
+    df: DataFrame,
+    order_cols: Sequence[str],
+    hash_cols: Sequence[str | Column],
+    buckets: int = 256,
+    name: str = "row_idx",
+    block: int = 100_000,
+) -> DataFrame:
+    """Add ``name`` = rank of the row (0-based) in the order (hash, order_cols). Copies take
+    the contiguous range of ranks they would have had one by one."""
+    cols = list(df.columns)
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    return _expanded(rank_ranges(distinct, order_cols, hash_cols, "_m", buckets, "_start"), cols, name, block)
 
 
 def keyed_rows(df: DataFrame, hash_cols: Sequence[str | Column], name: str = "row_key", block: int = 100_000) -> DataFrame:
@@ -138,57 +144,58 @@ def with_mix_hash(df: DataFrame, seed: int, b: str, d: str, out: str) -> DataFra
     ).drop("_h", "_hi")
 
 
-def _mix_array(x: Column) -> Column:
-    """``_mix32`` on every entry of an array column."""
-    for _ in range(2):
-        x = F.transform(x, lambda v: (F.shiftright(v, 16).bitwiseXOR(v) * F.lit(_MIX)).bitwiseAND(F.lit(_M32)))
-    return F.transform(x, lambda v: F.shiftright(v, 16).bitwiseXOR(v))
-
-
-def block_counts(spark, n: int, n_resamples: int, seed: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(resample, block, c): how many of the n draws of each resample fall into each block."""
+def draws(spark: SparkSession, n: int, n_resamples: int, seed: int) -> DataFrame:
+    """(resample, rank): n draws with replacement from the ranks 0..n-1 for each resample."""
     total = n * n_resamples
-    parts = max(spark.sparkContext.defaultParallelism, -(-total // 4_000_000))
-    draws = spark.range(0, total, 1, parts).select(
+    parts = max(spark.sparkContext.defaultParallelism, -(-total // DRAWS_PER_TASK))
+    made = spark.range(0, total, 1, parts).select(
         (F.col("id") / F.lit(n)).cast("bigint").alias("resample"),
         (F.col("id") % F.lit(n)).alias("_d"),
     )
-    draws = with_mix_hash(draws, seed, "resample", "_d", "_u")
-    # non-nullable key: otherwise the join's inferred IS NOT NULL filter is pushed below
-    # the staged projections with every alias substituted
-    block = F.coalesce((F.pmod(F.col("_u"), F.lit(n)) / F.lit(block_rows)).cast("bigint"), F.lit(-1))
-    return draws.select("resample", block.alias("block")).groupBy("resample", "block").agg(F.count(F.lit(1)).alias("c"))
+    # non-nullable: otherwise a join's inferred IS NOT NULL filter is pushed below the staged
+    # projections with every alias substituted
+    rank = F.coalesce(F.pmod(F.col("_u"), F.lit(n)), F.lit(-1))
+    return with_mix_hash(made, seed, "resample", "_d", "_u").select("resample", rank.alias("rank"))
+
+
+def cells(classes: DataFrame, width: int, start: str = "start", count: str = "n") -> DataFrame:
+    """(cell, class, end): one row for every cell of ``width`` ranks that a class's range
+    [class, end) reaches."""
+    last = ((F.col(start) + F.col(count) - 1) / F.lit(width)).cast("bigint")
+    first = (F.col(start) / F.lit(width)).cast("bigint")
+    return classes.where(F.col(count) > 0).select(
+        F.explode(F.sequence(first, last)).alias("cell"), F.col(start).alias("class"), (F.col(start) + F.col(count)).alias("end")
+    )
+
+
+def class_counts(classes: DataFrame, n_resamples: int, seed: int, start: str = "start", count: str = "n") -> DataFrame:
+    """(resample, class, c): how often each resample draws from each class; a class is named by its
+    first rank. Partial counts are taken where the draws are made."""
+    spark = classes.sparkSession
+    size = classes.agg(F.sum(count), F.count(F.lit(1))).first()  # two numbers to the driver
+    n, n_classes = size[0] or 0, size[1]
+    if n == 0:
+        return spark.createDataFrame([], "resample long, class long, c long")
+    width = max(1, n // n_classes)
+    # written, so that its true size decides how it is joined
+    table = store.materialize(cells(classes, width, start, count), "bootstrap_cells")
+    made = draws(spark, n, n_resamples, seed)
+    made = made.withColumn("cell", F.coalesce((F.col("rank") / F.lit(width)).cast("bigint"), F.lit(-1)))
+    found = made.join(table, (made["cell"] == table["cell"]) & (made["rank"] >= table["class"]) & (made["rank"] < table["end"]))
+    return found.groupBy("resample", "class").agg(F.count(F.lit(1)).alias("c"))
 
 
 def bootstrap_means(
-    indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx", block_rows: int = BLOCK_ROWS
+    classes: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, start: str = "start", count: str = "n"
 ) -> DataFrame:
     """Mean of each metric per resample: columns ``resample`` and the metrics.
 
-    A metric that is NULL in a row is left out of its means, as AVG does."""
-    spark = indexed.sparkSession
-    n = indexed.count()  # one number to the driver: the size of the draw space
-    block = (F.col(idx) / F.lit(block_rows)).cast("bigint")
-    blocks = indexed.select(block.alias("block"), F.struct(idx, *metrics).alias("_v")).groupBy("block").agg(
-        F.sort_array(F.collect_list("_v")).alias("_values")  # at most block_rows entries
-    )
-    drawn = block_counts(spark, n, n_resamples, seed, block_rows).join(blocks, "block")
-    # the j-th draw inside a block: hash of (seed + 1, resample, block, j)
-    drawn = _mix32(drawn.withColumn("_h", F.lit((seed + 1) & _M32).cast("bigint").bitwiseXOR(F.col("resample").bitwiseAND(F.lit(_M32)))), "_h")
-    h = _mix_array(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1), lambda j: F.col("_h").bitwiseXOR(j)))
-    drawn = drawn.withColumn("_lo", _mix_array(F.transform(h, lambda v: v.bitwiseXOR(F.col("block")))))
-    hi = _mix_array(F.transform("_lo", lambda v: v.bitwiseXOR(F.lit(_SALT))))
-    at = F.zip_with(hi, F.col("_lo"), lambda a, b: F.pmod(a.bitwiseAND(F.lit(0x7FFFFFFF)) * F.lit(1 << 32) + b, F.size("_values")).cast("int"))
-    drawn = drawn.withColumn("_at", at)
-    zero = F.lit(0.0)
-    # the value arrays are columns of their own, so that each is made once per row
-    for i, m in enumerate(metrics):
-        drawn = drawn.withColumn(f"_v{i}", F.col("_values").getField(m).cast("array<double>"))
-    add = lambda i: F.aggregate("_at", zero, lambda s, p: s + F.coalesce(F.get(F.col(f"_v{i}"), p), zero))
-    known = lambda i: F.aggregate("_at", zero, lambda s, p: s + F.get(F.col(f"_v{i}"), p).isNotNull().cast("double"))
-    parts = drawn.select("resample", *[add(i).alias(f"_s{i}") for i in range(len(metrics))], *[known(i).alias(f"_n{i}") for i in range(len(metrics))])
-    total = lambda i: F.sum(f"_s{i}") / F.nullif(F.sum(f"_n{i}"), F.lit(0.0))
-    return parts.groupBy("resample").agg(*[total(i).alias(m) for i, m in enumerate(metrics)])
+    ``classes``: rows of equal metrics, ``count`` of them with the ranks from ``start`` on. A
+    metric that is NULL in a class is left out of its means, as AVG does."""
+    counts = class_counts(classes, n_resamples, seed, start, count)
+    values = classes.select(F.col(start).alias("class"), *metrics)
+    mean = lambda m: F.sum(F.col("c") * F.col(m)) / F.nullif(F.sum(F.when(F.col(m).isNotNull(), F.col("c"))), F.lit(0))
+    return counts.join(values, "class").groupBy("resample").agg(*[mean(m).alias(m) for m in metrics])
 
 
 def _poisson1_cdf() -> tuple[float, ...]:
@@ -215,9 +222,10 @@ def poisson_weight(u: Column) -> Column:
     return w
 
 
-def poisson_bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_idx") -> DataFrame:
+def poisson_bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_key") -> DataFrame:
     """Poisson bootstrap: every row gets an independent Poisson(1) weight per
-    resample, from a hash of its key ``idx``; the resample mean is sum(w * x) / sum(w).
+    resample, from a hash of its key ``idx``; the resample mean is sum(w * x) / sum(w), over
+    the rows whose metric is known.
     Neither index nor row count is needed (see ``keyed_rows``): the n x B weights are generated next to their rows and reduced by
     partial aggregation, so only B rows per task are shuffled. An
     approximation of the multinomial draw, for data too large for it."""
@@ -226,32 +234,29 @@ def poisson_bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamp
     weighted = rows.select(
         "resample", *metrics, poisson_weight(F.col("_u").cast("double") / F.lit(_TWO63)).alias("_w")
     )
-    sums = [F.sum(F.col("_w") * F.col(m)).alias(f"_s_{m}") for m in metrics]
-    agg = weighted.groupBy("resample").agg(F.sum("_w").alias("_sw"), *sums)
-    return agg.select(
-        "resample", *[(F.col(f"_s_{m}") / F.nullif(F.col("_sw"), F.lit(0))).alias(m) for m in metrics]
-    )
+    mean = lambda m: F.sum(F.col("_w") * F.col(m)) / F.nullif(F.sum(F.when(F.col(m).isNotNull(), F.col("_w"))), F.lit(0))
+    return weighted.groupBy("resample").agg(*[mean(m).alias(m) for m in metrics])
 
 
 def bootstrap_cis(
-    indexed: DataFrame,
+    rows: DataFrame,
     metrics: Sequence[str],
     n_resamples: int = config.BOOTSTRAP_RESAMPLES,
     seed: int = config.BOOTSTRAP_SEED,
     percentiles: tuple[float, float] = config.BOOTSTRAP_PERCENTILES,
-    idx: str = "row_idx",
+    idx: str = "row_key",
     method: str = "exact",
 ) -> DataFrame:
     """Percentile interval of the mean of each metric: (metric, ci_lo, ci_hi).
 
-    ``indexed`` has one row per observation and a dense ``idx`` column (for the Poisson
-    method, any key that differs between rows).
-    ``method="exact"`` resamples n rows with replacement (the reference's
-    method); ``method="poisson"`` uses independent Poisson(1) weights."""
+    ``method="exact"`` resamples n rows with replacement (the reference's method): ``rows``
+    are classes with ``start`` and ``n`` (see ``rank_ranges``; single rows are classes of one).
+    ``method="poisson"`` uses independent Poisson(1) weights: one row per observation, with a key
+    ``idx`` that differs between rows."""
     if method == "exact":
-        means = bootstrap_means(indexed, metrics, n_resamples, seed, idx)
+        means = bootstrap_means(rows, metrics, n_resamples, seed)
     elif method == "poisson":
-        means = poisson_bootstrap_means(indexed, metrics, n_resamples, seed, idx)
+        means = poisson_bootstrap_means(rows, metrics, n_resamples, seed, idx)
     else:
         raise ValueError(f"unknown bootstrap method {method!r}")
     long = means.select(

@@ -34,6 +34,7 @@ def match_hash() -> list:
 
 
 METRICS = ("model_acc", "model_ll", "naive_acc", "naive_ll", "favorite_acc")
+CLASS_KEY = ("home_team", "away_team", "actual")  # matches with these in common have equal metrics
 
 
 def holdout_matches(wh: Warehouse) -> DataFrame:
@@ -129,13 +130,21 @@ def scored_test_matches(
     )
 
 
-def metric_means(
+def scored_classes(
     wh: Warehouse, k: float = config.SHRINKAGE_K, w: float = config.BLEND_WEIGHT, pairs: DataFrame | None = None
 ) -> DataFrame:
-    """The mean of every metric over the test matches, one row. Matches are first
-    counted per (home, away, outcome); metrics are weighed with the counts."""
+    """One row per (home, away, outcome) of the test matches: their number ``n`` and the metrics
+    that they share."""
     counts = holdout_matches(wh).groupBy("home_team", "away_team", F.col("result_regulation").alias("actual")).agg(F.count(F.lit(1)).alias("n"))
-    rows = _with_metrics(counts, wh, scored_pairs(wh, k, w) if pairs is None else pairs)
+    return _with_metrics(counts, wh, scored_pairs(wh, k, w) if pairs is None else pairs).select(*CLASS_KEY, "n", *METRICS)
+
+
+def metric_means(
+    wh: Warehouse, k: float = config.SHRINKAGE_K, w: float = config.BLEND_WEIGHT, classes: DataFrame | None = None
+) -> DataFrame:
+    """The mean of every metric over the test matches, one row: the metrics of each
+    class weighed with its count."""
+    rows = scored_classes(wh, k, w) if classes is None else classes
     mean = lambda m: F.sum(F.col("n") * F.col(m)) / F.sum(F.when(F.col(m).isNotNull(), F.col("n")))
     return rows.agg(*[mean(m).alias(m) for m in METRICS])
 
@@ -167,19 +176,18 @@ def backtest(
     multinomial resampling, or Poisson weights for very large test sets)."""
     pairs = scored_pairs(wh, k, w)
     rows = _metric_rows()
-    point_long = metric_means(wh, k, w, pairs).select(
+    ranked = resample.rank_ranges(scored_classes(wh, k, w, pairs), CLASS_KEY, CLASS_KEY, "n", buckets)
+    # written once: the means, the cells of the lookup and the values of the resamples read it
+    classes = store.materialize(ranked, "backtest_classes")
+    point_long = metric_means(wh, k, w, classes).select(
         F.inline(F.array(*[F.struct(F.lit(mod).alias("model"), F.lit(met).alias("metric"), F.lit(key).alias("key"), F.col(key).alias("value")) for mod, met, key in rows]))
     )
-    # written once: short lineage for what follows, which reads it more than once
-    per_match = store.materialize(scored_test_matches(wh, k, w, pairs).select(*MATCH_ORDER, *METRICS), "backtest_per_match")
     if method == "poisson":
-        indexed, idx = resample.keyed_rows(per_match, match_hash()), "row_key"
+        per_match = scored_test_matches(wh, k, w, pairs).select(*MATCH_ORDER, *METRICS)
+        observed = resample.keyed_rows(store.materialize(per_match, "backtest_per_match"), match_hash())
     else:
-        # written once: the draws, the values and the row count all read it
-        indexed, idx = store.materialize(resample.dense_index(per_match, MATCH_ORDER, match_hash(), buckets), "bootstrap_input"), "row_idx"
-    cis = resample.bootstrap_cis(indexed, METRICS, n_resamples, seed, percentiles, idx=idx, method=method).withColumnRenamed(
-        "metric", "key"
-    )
+        observed = classes
+    cis = resample.bootstrap_cis(observed, METRICS, n_resamples, seed, percentiles, method=method).withColumnRenamed("metric", "key")
     return (
         point_long.join(F.broadcast(cis), "key")  # one row per metric
         .select(

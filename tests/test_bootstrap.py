@@ -1,46 +1,92 @@
-"""Bootstrap and dense index: determinism, shared draws, interval sanity."""
+"""Bootstrap and rank ranges: properties of the intervals, draws and ranks."""
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from pitchside.operators import resample
 
-ACC = [1.0, 0.0, 1.0, 1.0, 0.0, 1.0, 0.0, 1.0, 1.0, 0.0]  # mean 0.6
 
+def _classes(spark, values, counts=None):
+    """Classes of ``counts`` rows (1 if not given) with values v and their negatives w."""
+    start, rows = 0, []
+    for v, n in zip(values, counts or [1] * len(values)):
+        rows.append((start, n, v, -v if v is not None else None))
+        start += n
+    return spark.createDataFrame(rows, "start long, n long, v double, w double")
 
-def _indexed(spark, values, extra=None):
-    rows = [(i, v, (extra[i] if extra else v)) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "row_idx long, a double, b double")
 
+def _cis(df, metrics=("v",), **kw):
+    return {r["metric"]: (r["ci_lo"], r["ci_hi"]) for r in resample.bootstrap_cis(df, list(metrics), **kw).collect()}
 
-def _cis(df, metrics, **kw):
-    return {r["metric"]: (r["ci_lo"], r["ci_hi"]) for r in resample.bootstrap_cis(df, metrics, **kw).collect()}
 
+def _waves(n):
+    """Values in [0, 3) without a pattern that a linear pick could match."""
+    return [(i * i * 37 % 101) / 101 * 3 for i in range(n)]
 
-def test_deterministic_given_seed(spark):
-    df = _indexed(spark, ACC)
-    assert _cis(df, ["a"], n_resamples=500, seed=42) == _cis(df, ["a"], n_resamples=500, seed=42)
 
+def test_same_seed_same_interval_other_seed_another(spark):
+    df = _classes(spark, _waves(90))
+    first = _cis(df, n_resamples=200, seed=3)
+    assert first == _cis(df.repartition(5), n_resamples=200, seed=3)
+    assert first != _cis(df, n_resamples=200, seed=4)
 
-def test_interval_brackets_point_estimate(spark):
-    lo, hi = _cis(_indexed(spark, ACC), ["a"], n_resamples=1000, seed=7)["a"]
-    assert lo <= 0.6 <= hi
-    assert lo < hi
 
+def test_interval_narrows_with_the_square_root_of_n(spark):
+    width = []
+    for n in (60, 960):
+        lo, hi = _cis(_classes(spark, _waves(n)), n_resamples=500, seed=8)["v"]
+        assert lo < sum(_waves(n)) / n < hi
+        width.append(hi - lo)
+    assert 3 < width[0] / width[1] < 5.3
 
-def test_shared_draws_across_metrics(spark):
-    res = _cis(_indexed(spark, ACC), ["a", "b"], n_resamples=300, seed=3)
-    assert res["a"] == res["b"]
 
+def test_interval_shifts_scales_and_mirrors_with_the_data(spark):
+    base = _waves(150)
+    lo, hi = _cis(_classes(spark, base), n_resamples=150, seed=2)["v"]
+    moved = _cis(_classes(spark, [5 * x + 7 for x in base]), ("v", "w"), n_resamples=150, seed=2)
+    assert moved["v"] == pytest.approx((5 * lo + 7, 5 * hi + 7))
+    assert moved["w"] == pytest.approx((-moved["v"][1], -moved["v"][0]))  # the same draws serve every metric
 
-def test_draws_are_not_a_permutation(spark):
-    """Each resample must repeat some rows (a linear pick would not)."""
-    n = 50
-    df = spark.createDataFrame([(i, float(i)) for i in range(n)], "row_idx long, v double")
-    means = resample.bootstrap_means(df, ["v"], 20, 12345)
-    distinct_means = {round(r["v"], 9) for r in means.collect()}
-    assert len(distinct_means) > 1
+
+def test_classes_and_their_single_rows_give_the_same_means(spark):
+    values, counts = [0.25, 4.0, None, 1.5], [40, 1, 17, 200]
+    rows = [v for v, n in zip(values, counts) for _ in range(n)]
+    means = lambda df: {r["resample"]: round(r["v"], 9) for r in resample.bootstrap_means(df, ["v"], 60, 11).collect()}
+    assert means(_classes(spark, values, counts)) == means(_classes(spark, rows))
+
+
+def test_class_counts_are_multinomial(spark):
+    """Every resample draws n rows; a class is drawn in proportion to its rows."""
+    counts = [300, 1, 0, 99, 600]
+    rows = resample.class_counts(_classes(spark, [0.0] * 5, counts), 400, 21).collect()
+    total, by_class = {}, {}
+    for r in rows:
+        total[r["resample"]] = total.get(r["resample"], 0) + r["c"]
+        by_class[r["class"]] = by_class.get(r["class"], 0) + r["c"]
+    assert len(total) == 400 and set(total.values()) == {1000}
+    for start, n in zip((0, 300, 301, 400), (300, 1, 99, 600)):
+        assert abs(by_class[start] - 400 * n) < 5 * (400 * n) ** 0.5
+
+
+def test_no_rows_no_intervals(spark):
+    assert _cis(_classes(spark, [1.0], [0])) == {}
+    assert _cis(_classes(spark, [1.0]).limit(0)) == {}
+
+
+def test_ranges_and_intervals_do_not_depend_on_the_buckets(spark):
+    df = spark.range(300).select((F.col("id") % 11).alias("g"), (F.col("id") * 7).alias("x"), (F.col("id") % 9 + 1).alias("n"), (F.col("id") % 5).cast("double").alias("v"))
+    got = []
+    for buckets in (1, 64, 128, 4096):
+        ranked = resample.rank_ranges(df, ["g", "x"], ["g", "x"], "n", buckets)
+        rows = sorted(map(tuple, ranked.select("start", "n", "g", "x").collect()))
+        at = 0
+        for start, n, _, _ in rows:
+            assert start == at
+            at += n
+        got.append((rows, _cis(ranked, n_resamples=50, seed=5)))
+    assert all(x == got[0] for x in got[1:])
 
 
 def test_dense_index_is_a_bijection(spark):
@@ -56,19 +102,7 @@ def test_dense_index_is_a_bijection(spark):
     assert key(idx) == key(again)
 
 
-def test_poisson_method_deterministic_and_brackets_mean(spark):
-    df = _indexed(spark, ACC)
-    a = _cis(df, ["a", "b"], n_resamples=400, seed=11, method="poisson")
-    b = _cis(df, ["a", "b"], n_resamples=400, seed=11, method="poisson")
-    assert a == b
-    lo, hi = a["a"]
-    assert lo <= 0.6 <= hi and lo < hi
-    assert a["a"] == a["b"]  # the same weights serve every metric
-
-
 def test_poisson_weights_have_unit_mean(spark):
-    from pyspark.sql import functions as F
-
     u = spark.range(200_000).select((F.col("id").cast("double") + 0.5) / F.lit(200_000.0)).toDF("u")
     mean = u.select(resample.poisson_weight(F.col("u")).alias("w")).agg(F.avg("w")).first()[0]
     assert abs(mean - 1.0) < 1e-3
@@ -77,8 +111,6 @@ def test_poisson_weights_have_unit_mean(spark):
 def test_dense_index_splits_a_hot_group_of_copies(spark):
     """A third of the rows are exact copies; they keep contiguous ranks and the
     index is still the same bijection as without the split."""
-    from pyspark.sql import functions as F
-
     base = spark.range(600).select((F.col("id") % 11).alias("g"), F.col("id").cast("string").alias("s"))
     copies = spark.range(300).select(F.lit(5).cast("bigint").alias("g"), F.lit("hot").alias("s"))
     df = base.unionByName(copies)
@@ -92,31 +124,6 @@ def test_dense_index_splits_a_hot_group_of_copies(spark):
     assert hot == list(range(hot[0], hot[0] + 300))
 
 
-def test_index_and_intervals_do_not_depend_on_the_buckets(spark):
-    df = spark.range(3000).select((F.col("id") % 11).alias("g"), (F.col("id") * 7 % 500).alias("v"), (F.col("id") % 5).cast("double").alias("m"))
-    got = []
-    for buckets in (1, 64, 128, 4096):
-        idx = resample.dense_index(df, ["g", "v", "m"], ["g", "v", "m"], buckets=buckets)
-        got.append((sorted(map(tuple, idx.collect())), _cis(idx, ["m"], n_resamples=100, seed=5)))
-    assert all(x == got[0] for x in got[1:])
-
-
-def test_draws_and_blocks_give_uniform_picks(spark):
-    """Means over many resamples agree with the data's mean and standard error, whatever the block size."""
-    values = [float(i % 7) for i in range(500)]
-    df = spark.createDataFrame(list(enumerate(values)), "row_idx long, v double")
-    mean = sum(values) / 500
-    error = (sum((v - mean) ** 2 for v in values) / 500 / 500) ** 0.5
-    for block_rows in (64, 4096):
-        out = resample.bootstrap_means(df, ["v"], 400, 9, block_rows=block_rows).agg(F.avg("v"), F.stddev("v")).first()
-        assert abs(out[0] - mean) < 4 * error / 20 and 0.85 < out[1] / error < 1.15
-
-
-def test_null_metrics_are_left_out_of_the_means(spark):
-    df = spark.createDataFrame([(i, 1.0 if i % 2 else None) for i in range(50)], "row_idx long, v double")
-    assert {round(r["v"], 12) for r in resample.bootstrap_means(df, ["v"], 20, 1).collect()} == {1.0}
-
-
 def test_keys_of_copies_differ_and_are_stable(spark):
     df = spark.range(900).select((F.col("id") % 3).alias("g"), F.lit("x").alias("s"))
     keys = sorted(r[0] for r in resample.keyed_rows(df, ["g", "s"], block=50).select("row_key").collect())
@@ -129,15 +136,35 @@ def test_poisson_table_reaches_double_precision():
     assert 1.0 - cdf[-1] < 1e-15 and list(cdf) == sorted(set(cdf))
 
 
+def test_poisson_method_repeats_and_covers_the_mean(spark):
+    values = _waves(200)
+    df = _classes(spark, values).withColumnRenamed("start", "row_key")
+    first = _cis(df, ("v", "w"), n_resamples=300, seed=6, method="poisson")
+    assert first == _cis(df.repartition(3), ("v", "w"), n_resamples=300, seed=6, method="poisson")
+    lo, hi = first["v"]
+    assert lo < sum(values) / len(values) < hi
+    assert first["w"] == pytest.approx((-hi, -lo))
+
+
+def test_poisson_means_leave_out_null_metrics(spark):
+    df = spark.createDataFrame([(i, 2.5 if i % 3 else None) for i in range(60)], "row_key long, v double")
+    assert {round(r["v"], 12) for r in resample.poisson_bootstrap_means(df, ["v"], 20, 1).collect()} == {2.5}
+
+
+def test_unknown_method_is_refused(spark):
+    with pytest.raises(ValueError, match="jackknife"):
+        resample.bootstrap_cis(_classes(spark, [1.0]), ["v"], method="jackknife")
+
+
 def test_draws_are_counted_where_they_are_made(spark):
-    """No exchange carries n x B rows: what leaves the range is a partial count per block."""
+    """No exchange carries n x B rows: what leaves the range is a partial count per class."""
     from pitchside.sources.store import materialize
 
-    n, resamples = 3000, 200
-    indexed = materialize(spark.createDataFrame([(i, float(i % 2)) for i in range(n)], "row_idx long, v double"), "test_idx")
-    means = resample.bootstrap_means(indexed, ["v"], resamples, 1)
-    means.collect()
-    plan = means._jdf.queryExecution().executedPlan()
+    n, resamples, classes = 30_000, 100, 12
+    df = materialize(_classes(spark, _waves(classes), [n // classes] * classes), "test_classes")
+    counts = resample.class_counts(df, resamples, 1)
+    counts.collect()
+    plan = counts._jdf.queryExecution().executedPlan()
     written = []
 
     def walk(node):
@@ -154,4 +181,5 @@ def test_draws_are_counted_where_they_are_made(spark):
             walk(node.plan())
 
     walk(plan)
-    assert written and max(written) <= 4 * resamples * 8 * 2  # partial rows per task, far below n x B = 600,000
+    # two tasks may share a resample: far below n x B = 3,000,000
+    assert written and max(written) <= 2 * resamples * classes
