@@ -465,7 +465,7 @@ def g1(wh: Warehouse) -> DataFrame:
 
     spark = wh.stg_matches.sparkSession
     run = uuid.uuid4().hex
-    table = f"governed_{run}.team_performance"
+    table = f"{store.database_prefix(spark)}governed_{run}.team_performance"
     path = f"{store.folder(spark)}/published-{run}/team_performance"
     sinks.save_table(spark, access.with_comments(wh.team_performance), table, path)
     return access.bounded_query(spark, GOVERNED_SQL.format(table=table), allowed=frozenset({table}), max_rows=10)
@@ -527,13 +527,18 @@ def s7(wh: Warehouse) -> DataFrame:
 
 @register("s9_publish_snapshot")
 def s9(wh: Warehouse) -> DataFrame:
-    """Two marts published twice under a database of this run's own; rows by relation."""
+    """Two marts published twice under a database of this run's own; rows by relation, from
+    the snapshot as readers open it and from the catalog."""
+    spark = wh.raw.spark
     folder = _run_folder(wh, "snapshot")
-    db = f"published_{folder.rsplit('-', 1)[1]}"
+    db = f"{store.database_prefix(spark)}published_{folder.rsplit('-', 1)[1]}"
     rel = {f"{db}.team_performance": wh.team_performance, f"{db}.knockout_analysis": wh.knockout_analysis}
     for _ in range(2):
-        sinks.publish(wh.raw.spark, rel, folder)
-    parts = [wh.raw.spark.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t.split(".")[1]).alias("relation"), "n_rows") for t in rel]
+        sinks.publish(spark, rel, folder)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).join(spark.table(t).agg(F.count(F.lit(1)).alias("n_rows")), "n_rows").select(F.lit(t.split(".")[1]).alias("relation"), "n_rows")
+        for t, df in sinks.open_snapshot(spark, folder).items()
+    ]
     return parts[0].unionByName(parts[1])
 
 
@@ -543,6 +548,6 @@ def s11(wh: Warehouse) -> DataFrame:
     from pitchside.plans.pipeline import run_pipeline
 
     folder = _run_folder(wh, "job")
-    prefix = f"job_{folder.rsplit('-', 1)[1]}_"
+    prefix = f"{store.database_prefix(wh.raw.spark)}job_{folder.rsplit('-', 1)[1]}_"
     run_pipeline(wh.raw.spark, folder, sf_dir=wh.raw.star.sf_dir, prefix=prefix)
     return wh.raw.spark.table(f"{prefix}predict.predictions")

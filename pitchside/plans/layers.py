@@ -18,6 +18,19 @@ from pitchside.sources import bridge, store
 from pitchside.sources.bridge import RawTables
 
 
+# relation -> property, each after those that it reads
+LAYERS = {
+    "stg.matches": "stg_matches",
+    "mart.int_match_stages": "int_match_stages",
+    "mart.int_team_matches": "int_team_matches",
+    "mart.team_performance": "team_performance",
+    "mart.team_strength_inputs": "team_strength_inputs",
+    "mart.edition_kpis": "edition_kpis",
+    "mart.knockout_analysis": "knockout_analysis",
+    "mart.ranking_vs_result": "ranking_vs_result",
+}
+
+
 class Warehouse:
     def __init__(self, raw: RawTables | bridge.LazyRawTables, scope: Scope = DEFAULT_SCOPE):
         self.raw = raw
@@ -98,6 +111,21 @@ class Warehouse:
             "mart.ranking_vs_result": self.ranking_vs_result,
         }
 
+    def write_layers(self, path, comments=lambda df: df) -> dict[str, int]:
+        """Write every layer under ``path(name)``, each from the files of those before it, and go on
+        with the files. Returns row counts, taken by the tasks that write."""
+        counts = {}
+        for name, attribute in LAYERS.items():
+            counts[name] = store.write_observed(comments(getattr(self, attribute)), path(name))["n_rows"]
+            self.use_layers({name: path(name)})
+        return counts
+
+    def use_layers(self, paths: dict[str, str]) -> None:
+        """Read layers from files instead of deriving them."""
+        spark = self.crosswalk.sparkSession
+        for name, path in paths.items():
+            self.__dict__[LAYERS[name]] = spark.read.parquet(path)
+
     def layer_counts(self) -> DataFrame:
         """Row count of each relation, as one DataFrame (one job)."""
         parts = [

@@ -1,7 +1,10 @@
 """End-to-end batch job (S10, S11): ingest -> build -> predict -> publish.
 
-Every step is DataFrame in, DataFrame out; the only actions are the writes
-(and the small layer summary), so a lost executor recomputes from files.
+Every step is DataFrame in, DataFrame out; the only actions are the writes. Each relation is
+written once, with its counts and checks taken by the tasks that write it, and what follows reads
+its files, so a lost executor recomputes from files. Finished steps are in a ledger: a driver that
+was ended starts again with the first unfinished step. Marts and predictions are written into one
+new version of the snapshot folder, which the last step makes current by one commit.
 """
 
 from __future__ import annotations
@@ -10,14 +13,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitchside import config
 from pitchside.config import DEFAULT_SCOPE, Scope
 from pitchside.plans import predict as pr
 from pitchside.plans.access import PUBLISHED, with_comments
 from pitchside.plans.layers import Warehouse
-from pitchside.sources import bridge, files, sinks
+from pitchside.sources import bridge, files, sinks, store
 from pitchside.sources.bridge import RawTables
+from pitchside.sources.ledger import Ledger, fingerprint
+from pitchside.sources.versions import Conflict, Draft, Versions
 
 STEPS = ("ingest", "build", "predict", "publish")
+PREDICTIONS = "predict.predictions"
 
 
 @dataclass
@@ -28,6 +35,8 @@ class PipelineResult:
     predictions_csv: str | None = None
     published: dict[str, str] = field(default_factory=dict)
     prob_sum_check: dict | None = None
+    raw_counts: dict[str, int] = field(default_factory=dict)
+    skipped: list[str] = field(default_factory=list)  # steps that an earlier run had finished
 
 
 def raw_from_csv(spark: SparkSession, csv_dir: str, crosswalk: DataFrame) -> RawTables:
@@ -40,18 +49,21 @@ def raw_from_csv(spark: SparkSession, csv_dir: str, crosswalk: DataFrame) -> Raw
     )
 
 
-def ingest(raw: RawTables, raw_dir: str) -> tuple[RawTables, dict[str, str]]:
-    """S3: replace each raw table's Parquet files and read them back."""
+def ingest(raw: RawTables, raw_dir: str) -> dict:
+    """A new version of every raw table; paths and row counts (taken while writing)."""
     tables = {"matches": raw.matches, "world_cup": raw.world_cup, "schedule": raw.schedule, **raw.rankings}
-    paths = {name: f"{raw_dir.rstrip('/')}/{name}" for name in tables}
-    loaded = {}
+    paths, counts = {}, {}
     for name, df in tables.items():
-        loaded[name], paths[name] = files.replace_table(df, paths[name])
-    out = RawTables(
-        matches=loaded["matches"], world_cup=loaded["world_cup"], schedule=loaded["schedule"],
-        rankings={k: loaded[k] for k in raw.rankings}, crosswalk=raw.crosswalk,
-    )
-    return out, paths
+        version = Versions(df.sparkSession, f"{raw_dir.rstrip('/')}/{name}").write({"table": df})
+        paths[name], counts[name] = version.tables["table"], version.info["n_rows"]["table"]
+    return {"paths": paths, "n_rows": counts}
+
+
+def ingested(spark: SparkSession, paths: dict[str, str], crosswalk: DataFrame) -> RawTables:
+    """The raw tables that ``ingest`` wrote."""
+    loaded = {name: spark.read.parquet(path) for name, path in paths.items()}
+    fixed = {name: loaded.pop(name) for name in ("matches", "world_cup", "schedule")}
+    return RawTables(**fixed, rankings=loaded, crosswalk=crosswalk)
 
 
 def published_relations(wh: Warehouse, predictions: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -79,35 +91,76 @@ def run_pipeline(
     scope: Scope = DEFAULT_SCOPE,
     steps: tuple[str, ...] = STEPS,
     prefix: str = "",
+    resume: bool = True,
 ) -> PipelineResult:
     """Run the batch job. Inputs come from the star-schema bridge (``sf_dir``)
     or from raw CSV files (``csv_dir``). ``prefix`` goes before the database names of
-    what is published, so that a trial run leaves the shared tables alone."""
+    what is published, so that a trial run leaves the shared tables alone. Steps that a run with
+    the same input files, scope and parameters has finished are skipped, unless ``resume`` is False."""
     if (sf_dir is None) == (csv_dir is None):
         raise ValueError("give exactly one of sf_dir or csv_dir")
     res = PipelineResult()
     out = out_dir.rstrip("/")
-    if sf_dir is not None:
-        raw = bridge.load_raw(spark, sf_dir)
-    else:
-        raw = raw_from_csv(spark, csv_dir, bridge.seeds.team_crosswalk(spark))
+    crosswalk = bridge.seeds.team_crosswalk(spark)
+    key = fingerprint(spark, sf_dir or csv_dir, scope, config.SHRINKAGE_K, config.BLEND_WEIGHT, config.MAX_GOALS)
+    ledger = Ledger(spark, f"{out}/ledger", key)
+
+    def step(name: str, work, outputs=lambda r: list(r["paths"].values())) -> dict:
+        if not resume:
+            ledger.forget(name)
+        record, ran = ledger.run(name, work, outputs)
+        (res.steps if ran else res.skipped).append(name)
+        return record
+
+    def source() -> RawTables:
+        return bridge.load_raw(spark, sf_dir) if sf_dir is not None else raw_from_csv(spark, csv_dir, crosswalk)
+
     if "ingest" in steps:
-        raw, res.raw_paths = ingest(raw, f"{out}/raw")
-        res.steps.append("ingest")
-    wh = Warehouse(raw, scope)
-    preds = None
+        record = step("ingest", lambda: ingest(source(), f"{out}/raw"))
+        res.raw_paths, res.raw_counts = record["paths"], record["n_rows"]
+        raw = ingested(spark, record["paths"], crosswalk)
+    else:
+        raw = source()
+
+    snapshot = Versions(spark, f"{out}/snapshot")
+    was = ledger.record("publish")
+    if was and ((now := snapshot.version()) is None or now.number != was["number"]):
+        ledger.forget("build", "predict", "publish")  # other inputs were published since
+    wh, draft = Warehouse(raw, scope), None
     if "build" in steps:
-        res.layer_counts = {r["relation"]: r["n_rows"] for r in wh.layer_counts().collect()}
-        res.steps.append("build")
+
+        def build() -> dict:
+            draft = snapshot.draft()
+            counts = wh.write_layers(draft.path, with_comments)
+            return {"number": draft.number, "folder": draft.folder, "paths": {n: draft.path(n) for n in counts}, "n_rows": counts}
+
+        record = step("build", build)
+        draft = Draft(snapshot, record["number"], record["folder"])
+        wh.use_layers(record["paths"])
+        res.layer_counts = {n: record["n_rows"][n] for n in wh.relations()}
     if "predict" in steps:
-        preds_path = f"{out}/predict/predictions"
-        preds, _ = files.replace_table(pr.predictions(wh), preds_path)
-        res.predictions_csv = f"{out}/predictions_csv"
-        sinks.write_csv(preds, res.predictions_csv)
-        res.prob_sum_check = pr.probability_sum_check(preds).first().asDict()
-        res.steps.append("predict")
+
+        def predict() -> dict:
+            into = draft or snapshot.draft()
+            path = into.path(PREDICTIONS)
+            check = store.write_observed(with_comments(pr.predictions(wh)), path, *pr.probability_sum_columns())
+            sinks.write_csv(spark.read.parquet(path), f"{out}/predictions_csv")
+            return {"paths": {PREDICTIONS: path}, "csv": f"{out}/predictions_csv", "check": {k: v for k, v in check.items() if k != "n_rows"}}
+
+        record = step("predict", predict, lambda r: [*r["paths"].values(), r["csv"]])
+        res.predictions_csv, res.prob_sum_check = record["csv"], record["check"]
     if "publish" in steps:
-        rel = {prefix + name: df for name, df in published_relations(wh, preds).items()}
-        res.published = sinks.publish(spark, rel, f"{out}/snapshot")
-        res.steps.append("publish")
+        if draft is None or "predict" not in steps:
+            raise ValueError("publish needs the build and predict steps")
+
+        def publish() -> dict:
+            names = {n: prefix + n for n in PUBLISHED}
+            try:
+                version = sinks.publish_draft(spark, draft, names)
+            except Conflict:
+                ledger.forget("build", "predict")  # their folder can no longer become a version
+                raise
+            return {"number": version.number, "paths": {prefix + n: p for n, p in version.tables.items()}}
+
+        res.published = step("publish", publish)["paths"]
     return res

@@ -7,7 +7,7 @@ venue. Sinks (CSV and table) are in :mod:`pitchside.sources.sinks`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchside import config
@@ -58,12 +58,17 @@ def predictions(
     ).orderBy("date", "home_team", "away_team")
 
 
-def probability_sum_check(preds: DataFrame) -> DataFrame:
-    """Min and max of the rounded probability sums (about 1.0000)."""
+def probability_sum_columns() -> list[Column]:
+    """A20 as aggregates, for a frame of predictions or for the tasks that write one."""
     s = F.col("prob_home_win") + F.col("prob_draw") + F.col("prob_away_win")
-    return preds.agg(
+    return [
         F.count(F.lit(1)).alias("n_fixtures"),
         round_half_away(F.min(s), 4).alias("min_prob_sum"),
         round_half_away(F.max(s), 4).alias("max_prob_sum"),
         F.count_if(F.col("prob_home_win").isNull()).alias("unscored"),
-    )
+    ]
+
+
+def probability_sum_check(preds: DataFrame) -> DataFrame:
+    """Min and max of the rounded probability sums (about 1.0000)."""
+    return preds.agg(*probability_sum_columns())

@@ -3,27 +3,20 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchside.sources import hadoop
 from pitchside.sources.schemas import RAW_SOURCES
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's file system (works for HDFS/S3/ABFS and local)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+from pitchside.sources.versions import KEEP, Versions
 
 
 def check_sources(spark: SparkSession, raw_dir: str, sources: Mapping[str, tuple[str, T.StructType]] = RAW_SOURCES) -> None:
     """Fail before any read if a registered source file is missing."""
-    missing = [f for f, _ in sources.values() if not _exists(spark, os.path.join(raw_dir, f))]
+    missing = [f for f, _ in sources.values() if not hadoop.exists(spark, os.path.join(raw_dir, f))]
     if missing:
         raise FileNotFoundError(f"missing raw sources in {raw_dir}: {missing}")
 
@@ -51,14 +44,19 @@ def read_raw_csv(spark: SparkSession, raw_dir: str, sources: Mapping[str, tuple[
     return {name: read_csv(spark, os.path.join(raw_dir, f), schema) for name, (f, schema) in sources.items()}
 
 
-def replace_table(df: DataFrame, root: str) -> tuple[DataFrame, str]:
-    """S3: a new version of the table under ``root``, read back, and its path. The old
-    version is whole until the caller points to the new one."""
-    path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def replace_table(df: DataFrame, root: str, keep: int = KEEP) -> tuple[DataFrame, str]:
+    """S3: a new version of the table under ``root``, read back, and its path. The version
+    before is current until the new one is whole; a second writer at the same time is refused, and
+    the newest ``keep`` versions stay."""
+    path = Versions(df.sparkSession, root, keep).write({"table": df}).tables["table"]
     return df.sparkSession.read.parquet(path), path
 
 
+def current_table(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of a table that ``replace_table`` or ``save_table`` writes."""
+    return Versions(spark, root).tables()["table"]
+
+
 def catalog_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per table its row count and (position, column, type) list.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitchside.sources.versions import KEEP, Draft, Version, Versions
+
+TABLE = "table"  # name of the only table of a versioned table folder
+
 
 def write_csv(df: DataFrame, out_dir: str) -> None:
     """Header CSV files under ``out_dir`` (one directory, overwritten).
@@ -16,12 +19,12 @@ def write_csv(df: DataFrame, out_dir: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(out_dir)
 
 
-def save_table(spark: SparkSession, df: DataFrame, table: str, path: str) -> DataFrame:
+def save_table(spark: SparkSession, df: DataFrame, table: str, path: str, keep: int = KEEP) -> DataFrame:
     """Write a new version of the table under ``path`` and switch the name to it:
-    running twice gives the same rows, and a failed write leaves the old table."""
-    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    register_table(spark, table, version)
+    running twice gives the same rows, a failed write leaves the old table, of two writers at
+    once the second is refused, and the newest ``keep`` versions stay."""
+    version = Versions(spark, path, keep).write({TABLE: df})
+    register_table(spark, table, version.tables[TABLE])
     return spark.table(table)
 
 
@@ -46,15 +49,31 @@ def _quote(table: str) -> str:
     return ".".join(f"`{p}`" for p in table.split("."))
 
 
-def publish(spark: SparkSession, relations: Mapping[str, DataFrame], snapshot_dir: str) -> dict[str, str]:
-    """Write each published relation as Parquet under one snapshot folder
-    and register it under its name, for consumers (dashboard, governed SQL).
-    Returns name -> path."""
+def publish(spark: SparkSession, relations: Mapping[str, DataFrame], snapshot_dir: str, keep: int = KEEP) -> dict[str, str]:
+    """Write every published relation under the snapshot folder and make all of them
+    current by one commit; then point their catalog names at them. Returns name -> path.
+
+    Readers that must not see a mix of two snapshots take ``open_snapshot``; the catalog
+    names (for SQL) follow one by one after the commit, and ``attach`` repeats that."""
     if not relations:
         raise ValueError("nothing to publish")
-    paths = {}
-    for name, df in relations.items():
-        path = f"{snapshot_dir.rstrip('/')}/{name}"
-        save_table(spark, df, name, path)
-        paths[name] = path
-    return paths
+    return attach(spark, Versions(spark, snapshot_dir, keep).write(relations))
+
+
+def publish_draft(spark: SparkSession, draft: Draft, names: Mapping[str, str], info: Mapping | None = None) -> Version:
+    """S9 for relations that were written into ``draft`` before. ``names``: catalog name by table."""
+    version = draft.commit(list(names), info)
+    attach(spark, version, names)
+    return version
+
+
+def attach(spark: SparkSession, version: Version, names: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Point the catalog names at one version's files."""
+    for table, path in version.tables.items():
+        register_table(spark, (names or {}).get(table, table), path)
+    return dict(version.tables)
+
+
+def open_snapshot(spark: SparkSession, snapshot_dir: str, number: int | None = None) -> dict[str, DataFrame]:
+    """All relations of one published snapshot (the newest without a number)."""
+    return Versions(spark, snapshot_dir).tables(number)

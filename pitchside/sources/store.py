@@ -1,20 +1,23 @@
 """Materialisation in the cluster's shared checkpoint folder.
 
 A frame that several branches of a plan read (the scoped match table, the
-indexed bootstrap input) is written once as Parquet under
+classes of the bootstrap) is written once as Parquet under
 ``spark.checkpoint.dir`` and read back: lineage is cut, a lost executor
 re-reads files instead of recomputing joins, and later scans get column
-pruning and filter pushdown. What an application writes lies in a folder of its
-own, which ``discard`` deletes once the results are consumed.
+pruning and filter pushdown. What an application writes lies in a folder and in
+databases of its own, which ``discard`` deletes once the results are consumed.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from pitchside.session import checkpoint_dir
+from pitchside.sources import hadoop
 
 
 def folder(spark: SparkSession) -> str:
@@ -22,6 +25,19 @@ def folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/pitchside/{spark.sparkContext.applicationId}"
 
 
+def database_prefix(spark: SparkSession) -> str:
+    """How the names of this application's own databases begin."""
+    return "pitchside_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower() + "_"
+
+
+def write_observed(df: DataFrame, path: str, *more: Column) -> dict:
+    """Write ``df`` and return its row count (``n_rows``) and the aggregates ``more``, taken by
+    the tasks that write it: no second scan."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *more).write.parquet(path)
+    return seen.get
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -30,7 +46,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(spark: SparkSession) -> None:
-    """Delete this application's intermediate files. Frames that still read them fail
-    afterwards, so call it when their results have been written or collected."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete this application's intermediate files and databases. Frames that still read them
+    fail afterwards, so call it when their results have been written or collected."""
+    for db in spark.catalog.listDatabases(f"{database_prefix(spark)}*"):
+        spark.sql(f"DROP DATABASE `{db.name}` CASCADE")
+    hadoop.delete(spark, folder(spark))

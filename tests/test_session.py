@@ -61,12 +61,17 @@ def test_discard_removes_what_the_application_wrote(spark):
     kept = store.materialize(spark.range(4), "numbers")
     path = kept.inputFiles()[0].removeprefix("file://")
     assert kept.count() == 4 and os.path.exists(path)
+    spark.sql(f"CREATE DATABASE {store.database_prefix(spark)}gone")
+    spark.range(2).write.saveAsTable(f"{store.database_prefix(spark)}gone.t")
+    spark.sql("CREATE DATABASE IF NOT EXISTS staying")
     other = store.folder(spark).replace(spark.sparkContext.applicationId, "another-application").removeprefix("file:")
     os.makedirs(other, exist_ok=True)
     real, store.folder = store.folder, lambda s: f"{real(s)}/inner"  # other tests' files stay
     try:
         store.materialize(spark.range(2), "inner")
         store.discard(spark)
+        left = {d.name for d in spark.catalog.listDatabases()}
+        assert "staying" in left and not any(d.startswith(store.database_prefix(spark)) for d in left)
         assert not os.path.exists(real(spark).removeprefix("file:") + "/inner") and os.path.exists(path) and os.path.exists(other)
     finally:
         store.folder = real
