@@ -27,7 +27,7 @@ BODIES: dict[str, str] = {
         SELECT mx.*, i.stage_order FROM mx JOIN stage_list i USING (round)""",
     "p15_calibration": """
         SELECT year, round, concat_ws(' × ', home_team, away_team) AS fixture, total_goals, xg_total, round(total_goals - xg_total, 2) AS delta FROM mx""",
-    "p16_min_sample": "SELECT * FROM team_performance WHERE NOT matches < 4",
+    "p16_min_sample": "SELECT * FROM team_performance WHERE matches >= 4",
     "p17_team_lookup": """
         SELECT * EXCLUDE (wins_reg, draws, losses_reg, advanced_or_won) FROM team_performance WHERE team ILIKE 'nation_7' AND year = 2000""",
     "p18_fixture_lookup": """
@@ -42,7 +42,7 @@ BODIES: dict[str, str] = {
         SELECT CAST(sum(n_matches) AS BIGINT) AS matches, CAST(sum(total_goals) AS BIGINT) AS goals,
                round(avg(goals_per_match), 2) AS avg_goals_per_match, CAST(sum(pen_shootouts) AS BIGINT) AS shootouts
         FROM edition_kpis""",
-    "a12_round_frequency": "SELECT round, len(list(1)) AS n FROM stg_matches GROUP BY round",
+    "a12_round_frequency": "SELECT round, count(*) AS n FROM stg_matches GROUP BY round",
     "a13_team_win_prob": """
         SELECT team, pct AS avg_win_pct, n AS matches FROM (
             SELECT team, count(*) AS n, round(100.0 * avg(win_prob), 1) AS pct, row_number() OVER (ORDER BY round(100.0 * avg(win_prob), 1) DESC, team) AS place
@@ -53,7 +53,7 @@ BODIES: dict[str, str] = {
         SELECT CAST(n AS INTEGER) AS games, round(pow(p, n), 6) AS prob_title
         FROM (SELECT CAST(sum(won) AS DOUBLE) / nullif(sum(decided), 0) AS p, unnest(range(1, 8)) AS n
               FROM favourite_sums JOIN stage_list USING (round) WHERE stage_order > 1)""",
-    "m18_efficiency_quadrant": "SELECT team, year, matches, attack_vs_xg, defense_vs_xg, goal_diff FROM team_performance WHERE NOT matches < 4",
+    "m18_efficiency_quadrant": "SELECT team, year, matches, attack_vs_xg, defense_vs_xg, goal_diff FROM team_performance WHERE matches >= 4",
     "s13_extract_matches": "SELECT * FROM mx",
     "s13_extract_predictions": "SELECT * FROM predictions",
     "g1_governed_query": """

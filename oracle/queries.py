@@ -27,6 +27,15 @@ _BODIES: dict[str, str] = {
     "a2_knockout_analysis": "SELECT * FROM knockout_analysis",
     "a3_team_performance": "SELECT * FROM team_performance",
     "a4_team_strength_inputs": "SELECT * FROM team_strength_inputs",
+    "a1_incremental_kpis": "SELECT * FROM edition_kpis",
+    "a2_incremental_knockout": "SELECT * FROM knockout_analysis",
+    "a3_incremental_performance": "SELECT * FROM team_performance",
+    "a4_incremental_strength": "SELECT * FROM team_strength_inputs",
+    "s1_csv_rejects": f"""
+        SELECT CASE WHEN spoilt = '' THEN 'read' ELSE 'no value of its type: ' || spoilt END AS outcome, count(*) AS n
+        FROM (SELECT concat_ws(', ', if(home_score + away_score >= 5, 'Date', NULL), if("Attendance" > 60000, 'Attendance', NULL)) AS spoilt
+              FROM raw_matches WHERE "Year" IN ({SCOPE_YEARS}))
+        GROUP BY outcome""",
     "a6_filtered_counts": """
         SELECT year, 2 * count(*) AS team_matches, count(winner) AS won, count(winner) AS not_won,
                CAST(2 * sum(CAST(decided_on_pens AS INT)) AS BIGINT) AS on_pens
@@ -42,20 +51,20 @@ _BODIES: dict[str, str] = {
         SELECT * EXCLUDE (place) FROM (
             SELECT team, year, matches, goals_for, xg_for, attack_vs_xg,
                    row_number() OVER (ORDER BY attack_vs_xg DESC NULLS LAST, team, year) AS place
-            FROM team_performance WHERE NOT matches < 4)
+            FROM team_performance WHERE matches >= 4)
         WHERE place <= 8""",
     "q3_top_defense": """
         SELECT * EXCLUDE (place) FROM (
             SELECT team, year, matches, goals_against, xg_against, defense_vs_xg,
                    row_number() OVER (ORDER BY defense_vs_xg DESC NULLS LAST, team, year) AS place
-            FROM team_performance WHERE NOT matches < 4)
+            FROM team_performance WHERE matches >= 4)
         WHERE place <= 8""",
     "q4_knockout": "SELECT * EXCLUDE (stage_order) FROM knockout_analysis",
     "q5_favorite_by_phase": """
         SELECT phase, CAST(d AS BIGINT) AS decided, CAST(w AS BIGINT) AS favorite_won, round(100.0 * w / nullif(d, 0), 1) AS favorite_win_pct
         FROM (SELECT if(stage_order = 1, 'Group stage', 'Knockout') AS phase, sum(decided) AS d, sum(won) AS w
               FROM favourite_sums JOIN stage_list USING (round) GROUP BY phase)""",
-    "d1_round_frequency": "SELECT round, len(list(1)) AS n FROM stg_matches GROUP BY round",
+    "d1_round_frequency": "SELECT round, count(*) AS n FROM stg_matches GROUP BY round",
     "d2_unranked_teams": f"SELECT team FROM (SELECT home_team AS team, year FROM stg_matches UNION SELECT away_team, year FROM stg_matches) p "
     f"ANTI JOIN (SELECT team FROM stg_rankings WHERE cycle = {TEST_CYCLE}) r USING (team) WHERE year = {TEST_YEAR}",
     "e1_team_performance": "SELECT * EXCLUDE (wins_reg, draws, losses_reg, advanced_or_won) FROM team_performance",

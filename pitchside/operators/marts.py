@@ -59,22 +59,23 @@ def int_team_matches(stg_matches: DataFrame) -> DataFrame:
     )
 
 
-def team_performance(team_matches: DataFrame) -> DataFrame:
-    """A3 (with A6 filtered counts): one row per (team, year).
-
-    attack_vs_xg = goals - xG (positive: finished above expectation);
-    defense_vs_xg = xG against - goals against (positive: conceded less than
-    expected), so higher is better on both axes."""
-    gf, ga = F.sum("goals_for"), F.sum("goals_against")
-    xf, xa = F.sum("xg_for"), F.sum("xg_against")
+def team_sums(team_matches: DataFrame) -> DataFrame:
+    """The sums behind A3 per (team, year). They can be added up: see ``incremental``."""
     return team_matches.groupBy("team", "year").agg(
         F.count(F.lit(1)).alias("matches"),
         F.count_if(F.col("result") == "win").alias("wins_reg"),
         F.count_if(F.col("result") == "draw").alias("draws"),
         F.count_if(F.col("result") == "loss").alias("losses_reg"),
         F.count_if(F.col("won_match")).alias("advanced_or_won"),
-        gf.alias("goals_for"),
-        ga.alias("goals_against"),
+        *[F.sum(c).alias(c) for c in ("goals_for", "goals_against", "xg_for", "xg_against")],
+    )
+
+
+def performance_of(sums: DataFrame) -> DataFrame:
+    """A3 from its sums."""
+    gf, ga, xf, xa = (F.col(c) for c in ("goals_for", "goals_against", "xg_for", "xg_against"))
+    return sums.select(
+        "team", "year", "matches", "wins_reg", "draws", "losses_reg", "advanced_or_won", "goals_for", "goals_against",
         (gf - ga).alias("goal_diff"),
         round_half_away(xf, 2).alias("xg_for"),
         round_half_away(xa, 2).alias("xg_against"),
@@ -83,6 +84,15 @@ def team_performance(team_matches: DataFrame) -> DataFrame:
     )
 
 
+def team_performance(team_matches: DataFrame) -> DataFrame:
+    """A3 (with A6 filtered counts): one row per (team, year).
+
+    attack_vs_xg = goals - xG (positive: finished above expectation);
+    defense_vs_xg = xG against - goals against (positive: conceded less than
+    expected), so higher is better on both axes."""
+    return performance_of(team_sums(team_matches))
+
+
 def team_strength_inputs(performance: DataFrame) -> DataFrame:
     """A4: pooled per-team totals over the editions of ``performance``
     (sums of the already rounded per-edition xG)."""
@@ -95,50 +105,74 @@ def team_strength_inputs(performance: DataFrame) -> DataFrame:
     )
 
 
-def edition_kpis(stg_matches: DataFrame, stg_world_cup: DataFrame) -> DataFrame:
-    """A1 (J1): one row per edition.
-
-    Matches are reduced by a hash aggregate over numbers per (year, host); the host (any
-    one that is not NULL) and the edition's facts come to those few rows afterwards, so
-    match rows are neither sorted nor joined."""
+def edition_sums(stg_matches: DataFrame) -> DataFrame:
+    """The sums behind A1 per (year, host): a hash aggregate over numbers."""
     xg = F.col("home_xg") + F.col("away_xg")
-    per_host = stg_matches.groupBy("year", "host").agg(
+    return stg_matches.groupBy("year", "host").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("total_goals").alias("goals"), F.count("total_goals").alias("n_goals"),
         F.sum(xg).alias("xg"), F.count(xg).alias("n_xg"),
         F.count_if(F.col("decided_on_pens")).alias("pens"),
         F.sum("attendance").alias("people"), F.count("attendance").alias("n_people"),
     )
+
+
+def _mean(total: str, n: str) -> Column:
+    return F.col(total) / F.nullif(F.col(n), F.lit(0))
+
+
+def kpis_of(per_host: DataFrame, stg_world_cup: DataFrame) -> DataFrame:
+    """A1 (J1) from its sums."""
     sums = [F.sum(c).alias(c) for c in ("n", "goals", "n_goals", "xg", "n_xg", "pens", "people", "n_people")]
     years = per_host.groupBy("year").agg(F.any_value("host", True).alias("host"), *sums)
-    mean = lambda total, n: F.col(total) / F.nullif(F.col(n), F.lit(0))
     facts = stg_world_cup.select("year", "champion", "runner_up", "top_scorer")
     return years.join(facts, "year", "left").select(
         "year", "host",
         F.col("n").alias("n_matches"),
         F.col("goals").alias("total_goals"),
-        round_half_away(mean("goals", "n_goals"), 2).alias("goals_per_match"),
-        round_half_away(mean("xg", "n_xg"), 2).alias("xg_per_match"),
-        round_half_away(mean("goals", "n_goals") - mean("xg", "n_xg"), 2).alias("goals_minus_xg"),
+        round_half_away(_mean("goals", "n_goals"), 2).alias("goals_per_match"),
+        round_half_away(_mean("xg", "n_xg"), 2).alias("xg_per_match"),
+        round_half_away(_mean("goals", "n_goals") - _mean("xg", "n_xg"), 2).alias("goals_minus_xg"),
         F.col("pens").alias("pen_shootouts"),
-        round_half_away(mean("people", "n_people"), 0).alias("avg_attendance"),
+        round_half_away(_mean("people", "n_people"), 0).alias("avg_attendance"),
         "champion", "runner_up", "top_scorer",
     )
 
 
+def edition_kpis(stg_matches: DataFrame, stg_world_cup: DataFrame) -> DataFrame:
+    """A1 (J1): one row per edition.
+
+    Matches are reduced per (year, host); the host (any one that is not NULL) and the
+    edition's facts come to those few rows afterwards, so match rows are neither sorted nor joined."""
+    return kpis_of(edition_sums(stg_matches), stg_world_cup)
+
+
+def knockout_sums(match_stages: DataFrame) -> DataFrame:
+    """The sums behind A2 per (year, round)."""
+    xg = F.col("home_xg") + F.col("away_xg")
+    return match_stages.where(F.col("stage_type") == "knockout").groupBy("year", "round").agg(
+        F.max("stage_order").alias("stage_order"),  # one per round
+        F.count(F.lit(1)).alias("n"),
+        F.sum("total_goals").alias("goals"), F.count("total_goals").alias("n_goals"),
+        F.sum(xg).alias("xg"), F.count(xg).alias("n_xg"),
+        F.count_if(F.col("decided_on_pens")).alias("pens"),
+    )
+
+
+def knockout_of(sums: DataFrame) -> DataFrame:
+    """A2 from its sums."""
+    return sums.select(
+        "year", "round", "stage_order",
+        F.col("n").alias("n_matches"),
+        round_half_away(_mean("goals", "n_goals"), 2).alias("goals_per_match"),
+        round_half_away(_mean("xg", "n_xg"), 2).alias("xg_per_match"),
+        F.col("pens").alias("pen_shootouts"),
+    )
+
+
 def knockout_analysis(match_stages: DataFrame) -> DataFrame:
     """A2: knockout rounds per edition."""
-    return (
-        match_stages.where(F.col("stage_type") == "knockout")
-        .groupBy("year", "round")
-        .agg(
-            F.any_value("stage_order", True).alias("stage_order"),
-            F.count(F.lit(1)).alias("n_matches"),
-            round_half_away(F.avg("total_goals"), 2).alias("goals_per_match"),
-            round_half_away(F.avg(F.col("home_xg") + F.col("away_xg")), 2).alias("xg_per_match"),
-            F.count_if(F.col("decided_on_pens")).alias("pen_shootouts"),
-        )
-    )
+    return knockout_of(knockout_sums(match_stages))
 
 
 def reconcile(df: DataFrame, name_col: str, crosswalk: DataFrame, out_col: str) -> DataFrame:

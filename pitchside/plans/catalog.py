@@ -504,6 +504,61 @@ def s1(wh: Warehouse) -> DataFrame:
     return files.read_csv(wh.raw.spark, folder, MATCHES)
 
 
+@register("s1_csv_rejects")
+def s1_rejects(wh: Warehouse) -> DataFrame:
+    """The scoped raw matches as CSV in which an attendance over 60,000 is the word "full" and
+    the dates of matches with 5 goals or more are in another format; rows by what became of them."""
+    from pitchside.sources import files
+    from pitchside.sources.schemas import MATCHES
+
+    folder = _run_folder(wh, "csv")
+    m = wh.raw.matches
+    goals = F.col("home_score") + F.col("away_score")
+    spoilt = m.withColumns({
+        "Attendance": F.when(F.col("Attendance") > 60_000, "full").otherwise(F.col("Attendance").cast("string")),
+        "Date": F.when(goals >= 5, F.date_format("Date", "dd.MM.yyyy")).otherwise(F.col("Date").cast("string")),
+    })
+    sinks.write_csv(spoilt, folder)
+    good, rejects, _ = files.load_csv(wh.raw.spark, folder, MATCHES, _run_folder(wh, "staged"), max_error_share=1.0)
+    count = lambda df, reason: df.groupBy(reason.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return count(good, F.lit("read")).unionByName(count(rejects, F.col("reason")))
+
+
+def _incremental(wh: Warehouse) -> dict[str, DataFrame]:
+    """Marts of a state that was folded edition by edition, with one edition first taken from its
+    group stage alone and replaced later."""
+    from pitchside.operators.incremental import MartState
+
+    m = wh.stg_matches
+    state = MartState(wh.raw.spark, _run_folder(wh, "state"))
+    *others, last = wh.scope.years
+    state.fold(m.where((F.col("year") == last) & (F.col("round") == "Group stage")), "early")
+    for year in others:
+        state.fold(m.where(F.col("year") == year), f"edition {year}")
+    state.fold(m.where(F.col("year") == last), "late", replace=[last])
+    return state.marts(wh.stg_world_cup)
+
+
+@register("a1_incremental_kpis", materialize=True)
+def a1_incremental(wh: Warehouse) -> DataFrame:
+    return _incremental(wh)["edition_kpis"]
+
+
+@register("a2_incremental_knockout", materialize=True)
+def a2_incremental(wh: Warehouse) -> DataFrame:
+    return _incremental(wh)["knockout_analysis"]
+
+
+@register("a3_incremental_performance", materialize=True)
+def a3_incremental(wh: Warehouse) -> DataFrame:
+    return _incremental(wh)["team_performance"]
+
+
+@register("a4_incremental_strength", materialize=True)
+def a4_incremental(wh: Warehouse) -> DataFrame:
+    return _incremental(wh)["team_strength_inputs"]
+
+
 @register("s3_replace_table")
 def s3(wh: Warehouse) -> DataFrame:
     """S3: a raw table replaced by a new version; the old one does not show."""

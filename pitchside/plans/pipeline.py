@@ -9,6 +9,7 @@ new version of the snapshot folder, which the last step makes current by one com
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pitchside.plans.layers import Warehouse
 from pitchside.sources import bridge, files, sinks, store
 from pitchside.sources.bridge import RawTables
 from pitchside.sources.ledger import Ledger, fingerprint
+from pitchside.sources.schemas import RAW_SOURCES
 from pitchside.sources.versions import Conflict, Draft, Versions
 
 STEPS = ("ingest", "build", "predict", "publish")
@@ -36,17 +38,31 @@ class PipelineResult:
     published: dict[str, str] = field(default_factory=dict)
     prob_sum_check: dict | None = None
     raw_counts: dict[str, int] = field(default_factory=dict)
+    reject_counts: dict[str, int] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)  # steps that an earlier run had finished
 
 
-def raw_from_csv(spark: SparkSession, csv_dir: str, crosswalk: DataFrame) -> RawTables:
-    """Raw inputs from CSV files of the source registry (S1 + S2)."""
-    t = files.read_raw_csv(spark, csv_dir)
-    return RawTables(
+def raw_from_csv(
+    spark: SparkSession, csv_dir: str, crosswalk: DataFrame, staging: str | None = None, max_error_share: float = 0.0
+) -> tuple[RawTables, dict[str, DataFrame]]:
+    """Raw inputs from CSV files of the source registry (S1 + S2), and the rejects of each.
+
+    Without a ``staging`` folder the files are read where they are used, and a row that does not
+    fit fails the job; with one they are read once, and rejects are kept up to a share."""
+    rejects: dict[str, DataFrame] = {}
+    if staging is None:
+        t = files.read_raw_csv(spark, csv_dir)
+    else:
+        files.check_sources(spark, csv_dir)
+        t = {}
+        for name, (file, schema) in RAW_SOURCES.items():
+            t[name], rejects[name], _ = files.load_csv(spark, f"{csv_dir.rstrip('/')}/{file}", schema, f"{staging}/{name}", max_error_share)
+    raw = RawTables(
         matches=t["matches"], world_cup=t["world_cup"], schedule=t["schedule"],
         rankings={"ranking_old": t["ranking_old"], "ranking_new": t["ranking_new"]},
         crosswalk=crosswalk,
     )
+    return raw, rejects
 
 
 def ingest(raw: RawTables, raw_dir: str) -> dict:
@@ -92,17 +108,20 @@ def run_pipeline(
     steps: tuple[str, ...] = STEPS,
     prefix: str = "",
     resume: bool = True,
+    max_error_share: float = 0.0,
 ) -> PipelineResult:
     """Run the batch job. Inputs come from the star-schema bridge (``sf_dir``)
     or from raw CSV files (``csv_dir``). ``prefix`` goes before the database names of
     what is published, so that a trial run leaves the shared tables alone. Steps that a run with
-    the same input files, scope and parameters has finished are skipped, unless ``resume`` is False."""
+    the same input files, scope and parameters has finished are skipped, unless ``resume`` is False.
+    Of each CSV file a share of rows up to ``max_error_share`` may not fit its schema: they are
+    written, with file and reason, under ``rejects`` of the output."""
     if (sf_dir is None) == (csv_dir is None):
         raise ValueError("give exactly one of sf_dir or csv_dir")
     res = PipelineResult()
     out = out_dir.rstrip("/")
     crosswalk = bridge.seeds.team_crosswalk(spark)
-    key = fingerprint(spark, sf_dir or csv_dir, scope, config.SHRINKAGE_K, config.BLEND_WEIGHT, config.MAX_GOALS)
+    key = fingerprint(spark, sf_dir or csv_dir, scope, config.SHRINKAGE_K, config.BLEND_WEIGHT, config.MAX_GOALS, max_error_share)
     ledger = Ledger(spark, f"{out}/ledger", key)
 
     def step(name: str, work, outputs=lambda r: list(r["paths"].values())) -> dict:
@@ -112,15 +131,21 @@ def run_pipeline(
         (res.steps if ran else res.skipped).append(name)
         return record
 
-    def source() -> RawTables:
-        return bridge.load_raw(spark, sf_dir) if sf_dir is not None else raw_from_csv(spark, csv_dir, crosswalk)
+    def ingest_sources() -> dict:
+        if sf_dir is not None:
+            return ingest(bridge.load_raw(spark, sf_dir), f"{out}/raw") | {"rejects": {}}
+        staging = f"{store.folder(spark)}/csv-{uuid.uuid4().hex}"
+        raw, rejects = raw_from_csv(spark, csv_dir, crosswalk, staging, max_error_share)
+        n = {name: Versions(spark, f"{out}/rejects/{name}").write({"table": df}).info["n_rows"]["table"] for name, df in rejects.items()}
+        return ingest(raw, f"{out}/raw") | {"rejects": n}
 
     if "ingest" in steps:
-        record = step("ingest", lambda: ingest(source(), f"{out}/raw"))
+        record = step("ingest", ingest_sources)
+        res.reject_counts = record["rejects"]
         res.raw_paths, res.raw_counts = record["paths"], record["n_rows"]
         raw = ingested(spark, record["paths"], crosswalk)
     else:
-        raw = source()
+        raw = bridge.load_raw(spark, sf_dir) if sf_dir is not None else raw_from_csv(spark, csv_dir, crosswalk)[0]
 
     snapshot = Versions(spark, f"{out}/snapshot")
     was = ledger.record("publish")

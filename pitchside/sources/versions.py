@@ -90,15 +90,15 @@ class Versions:
         """A new version that follows the newest one of now."""
         return Draft(self, max(self.numbers(), default=0) + 1)
 
-    def write(self, tables: Mapping[str, DataFrame]) -> Version:
+    def write(self, tables: Mapping[str, DataFrame], info: Mapping | None = None) -> Version:
         """Write all tables and make them the current version, or leave everything as it was.
-        ``info`` of the version has the row count of each, taken while it was written."""
+        The version's info also has the row count of each, taken while it was written."""
         if not tables:
             raise ValueError("nothing to write")
         draft = self.draft()
         try:
             counts = {name: store.write_observed(df, draft.path(name))["n_rows"] for name, df in tables.items()}
-            return draft.commit(list(tables), {"n_rows": counts})
+            return draft.commit(list(tables), {**(info or {}), "n_rows": counts})
         except Exception:
             draft.drop()
             raise

@@ -115,3 +115,40 @@ def test_scalar(spark):
     assert files.scalar(spark.range(5).agg(F.sum("id"))) == 10
     with pytest.raises(ValueError):
         files.scalar(spark.range(0))
+
+
+def test_rejects_are_kept_with_file_and_reason(spark, tmp_path):
+    from pitchside.sources.schemas import SCHEDULE
+
+    folder = tmp_path / "s.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('Round,Date,home_team,away_team,Notes,more\nFinal,2002-06-30,"Big, Home",Away,,1\nFinal,30 June,H,A,x,2\nFinal,2002-06-30,H,A\n')
+    (folder / "b.csv").write_text("Round,Date,home_team,away_team,Notes,more\n,,,,,\nFinal,2002-06-30,H,A,n,1,one too many\n")
+    good, rejects, counts = files.load_csv(spark, str(folder), SCHEDULE, str(tmp_path / "staged"), max_error_share=0.6)
+    assert counts == {"n_rows": 2, "n_rejects": 3} and good.count() == 2 and good.columns == SCHEDULE.names
+    assert {tuple(r) for r in good.select("home_team", "Notes").collect()} == {("Big, Home", None), (None, None)}
+    got = {(r["file"].rsplit("/", 1)[1], r["record"], r["reason"]) for r in rejects.collect()}
+    assert got == {
+        ("a.csv", "Final,30 June,H,A,x,2", "no value of its type: Date"),
+        ("a.csv", "Final,2002-06-30,H,A", "not 6 fields"),
+        ("b.csv", "Final,2002-06-30,H,A,n,1,one too many", "not 6 fields"),
+    }
+    with pytest.raises(files.TooManyRejects, match="3 of 5"):
+        files.load_csv(spark, str(folder), SCHEDULE, str(tmp_path / "staged2"), max_error_share=0.5)
+
+
+def test_rejects_of_a_job(spark, run, tmp_path):
+    raw = bridge.load_raw(spark, SF_SMALL)
+    tables = {"matches": raw.matches, "world_cup": raw.world_cup, "schedule": raw.schedule, **raw.rankings}
+    for name, (fname, _) in RAW_SOURCES.items():
+        sinks.write_csv(tables[name], str(tmp_path / fname))
+    bad = tmp_path / RAW_SOURCES["matches"][0] / "part-bad.csv"
+    bad.write_text(",".join(tables["matches"].columns) + "\nnever" + "," * (len(tables["matches"].columns) - 1) + "\n")
+    out = str(tmp_path / "out")
+    with pytest.raises(files.TooManyRejects):
+        run_pipeline(spark, out, csv_dir=str(tmp_path), steps=("ingest", "build"))
+    res = run_pipeline(spark, out, csv_dir=str(tmp_path), steps=("ingest", "build"), max_error_share=0.001)
+    assert res.layer_counts == run[1].layer_counts
+    assert res.reject_counts == {"matches": 1, "world_cup": 0, "schedule": 0, "ranking_old": 0, "ranking_new": 0}
+    row = files.current_table(spark, f"{out}/rejects/matches").first()
+    assert row["file"].endswith("part-bad.csv") and row["reason"] == "no value of its type: Year"
