@@ -32,6 +32,13 @@ BODIES: dict[str, str] = {
         SELECT * EXCLUDE (wins_reg, draws, losses_reg, advanced_or_won) FROM team_performance WHERE team ILIKE 'nation_7' AND year = 2000""",
     "p18_fixture_lookup": """
         SELECT * FROM predictions WHERE list_sort([lower(home_team), lower(away_team)]) = ['europe', 'nation_3']""",
+    "p17_clustered_lookup": """
+        SELECT * EXCLUDE (wins_reg, draws, losses_reg, advanced_or_won) FROM team_performance WHERE lower(team) = 'nation_7' AND year = 2000""",
+    "p18_clustered_fixture": """
+        SELECT * FROM predictions WHERE lower(home_team) IN ('europe', 'nation_3') AND lower(away_team) IN ('europe', 'nation_3') AND home_team <> away_team""",
+    "s13_team_matches": """
+        SELECT year, round, stage_order, match_date, home_team, away_team, home_score, away_score, winner FROM int_match_stages
+        WHERE year = 2000 AND 'NATION_7' IN (home_team, away_team)""",
     "p19_shootouts": """
         SELECT m.year, m.round, s.stage_order, m.home_team, m.away_team, m.home_score, m.away_score, m.winner
         FROM stg_matches m, stage_list s WHERE s.round = m.round AND coalesce(m.home_pens, 0) + coalesce(m.away_pens, 0) > 0""",
@@ -68,3 +75,4 @@ BODIES: dict[str, str] = {
                    (SELECT count(*) FROM ranking_vs_result) AS "mart.ranking_vs_result")
         UNPIVOT (n_rows FOR relation IN (COLUMNS(*)))""",
 }
+BODIES["s2_csv_job"] = BODIES["s5_layer_counts"]

@@ -9,6 +9,7 @@ MK = "year, match_date, round, home_team, away_team"
 _BODIES: dict[str, str] = {
     # staging
     "p1_stg_matches": "SELECT * FROM stg_matches",
+    "p1_colocated_matches": "SELECT * FROM stg_matches",
     "p2_derived_measures": f"SELECT {MK}, home_score, away_score, total_goals, home_goal_diff FROM stg_matches",
     "p3_decided_on_pens": f"SELECT {MK}, home_pens, away_pens, decided_on_pens FROM stg_matches",
     "p4_result_regulation": f"SELECT {MK}, home_score, away_score, result_regulation FROM stg_matches",
@@ -36,6 +37,13 @@ _BODIES: dict[str, str] = {
         FROM (SELECT concat_ws(', ', if(home_score + away_score >= 5, 'Date', NULL), if("Attendance" > 60000, 'Attendance', NULL)) AS spoilt
               FROM raw_matches WHERE "Year" IN ({SCOPE_YEARS}))
         GROUP BY outcome""",
+    "s12_scalar": "SELECT year, count(*) / CAST((SELECT count(*) FROM stg_matches) AS DOUBLE) AS share, (SELECT count(*) FROM stg_matches) AS total FROM stg_matches GROUP BY year",
+    "g3_data_dictionary": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", \"column\", n_known, (SELECT count(*) FROM {cte}) AS n_rows "
+        f"FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {cte}) ON COLUMNS(*) INTO NAME \"column\" VALUE n_known)"
+        for name, cte in (("mart.edition_kpis", "edition_kpis"), ("mart.team_performance", "team_performance"), ("mart.int_match_stages", "int_match_stages"),
+                          ("mart.int_team_matches", "int_team_matches"), ("mart.knockout_analysis", "knockout_analysis"),
+                          ("mart.ranking_vs_result", "ranking_vs_result"), ("predict.predictions", "predictions"))),
     "a6_filtered_counts": """
         SELECT year, 2 * count(*) AS team_matches, count(winner) AS won, count(winner) AS not_won,
                CAST(2 * sum(CAST(decided_on_pens AS INT)) AS BIGINT) AS on_pens

@@ -9,9 +9,11 @@ the classic session's JVM objects, so it cannot run over Spark Connect.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import InheritableThread
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,6 +128,22 @@ def data_dictionary(spark: SparkSession, schemas: Mapping[str, T.StructType]) ->
     return spark.createDataFrame(rows, "table string, grain string, position int, column string, type string, description string")
 
 
+def dictionary_profile(relations: Mapping[str, DataFrame]) -> DataFrame:
+    """G3 with figures: (table, column, n_rows, n_known) of every documented column, one
+    aggregate per relation."""
+    parts = []
+    for table, df in relations.items():
+        if missing := undocumented(df.schema):
+            raise ValueError(f"{table}: no note for {missing}")
+        known = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(f"`{c}`").alias(f"k{i}") for i, c in enumerate(df.columns)])
+        rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"k{i}").alias("n_known")) for i, c in enumerate(df.columns)])
+        parts.append(known.select(F.lit(table).alias("table"), "n_rows", F.inline(rows)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def with_comments(df: DataFrame) -> DataFrame:
     """Attach the notes as column comments (kept in the Parquet schema)."""
     return df.select(
@@ -148,6 +166,10 @@ class QueryRejected(ValueError):
     """The statement broke a rule of the gate; the message is safe to show."""
 
 
+class DeadlineExceeded(TimeoutError):
+    """The statement was ended at its deadline."""
+
+
 _FORBIDDEN_FUNCTIONS = frozenset({"reflect", "java_method", "try_reflect"})
 _LOGICAL = "org.apache.spark.sql.catalyst.plans.logical."
 _ANALYSIS = "org.apache.spark.sql.catalyst.analysis."
@@ -259,12 +281,16 @@ def bounded_query(
     sql: str,
     allowed: frozenset[str] = ALLOWED_TABLES,
     max_rows: int = config.MAX_ROWS_DEFAULT,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """G1: validate, then run with a row cap (a smaller LIMIT inside is kept).
 
     CTEs are accepted and may be referenced where they are in scope; every other
     relation must be allow-listed, both as written and as analysed. Statements, DDL/DML, table-valued functions and
-    reflective functions are rejected at any depth of the parse tree."""
+    reflective functions are rejected at any depth of the parse tree.
+
+    ``max_bytes``: bound on Spark's size estimate of every step of the optimised plan, before anything
+    runs. A row cap does not stop a join without a key, whose estimate is the product of its sides."""
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise QueryRejected("empty statement")
@@ -278,4 +304,51 @@ def bounded_query(
         raise QueryRejected("the query must read a published table")
     df = spark.sql(text)  # a query: analysed, not run
     gate.analysed(df._jdf.queryExecution().analyzed())
+    if max_bytes is not None and (most := _largest_step(df._jdf.queryExecution().optimizedPlan())) > max_bytes:
+        raise QueryRejected(f"the query is too large: a step of it is estimated at {most:,} bytes, {max_bytes:,} are allowed")
     return df.limit(max_rows)
+
+
+def _largest_step(plan) -> int:
+    """The largest size estimate in an optimised plan."""
+    own = int(str(plan.stats().sizeInBytes()))
+    return max([own, *[_largest_step(c) for c in _seq(plan.children())]])
+
+
+def run_bounded(
+    spark: SparkSession,
+    sql: str,
+    allowed: frozenset[str] = ALLOWED_TABLES,
+    max_rows: int = config.MAX_ROWS_DEFAULT,
+    max_bytes: int | None = None,
+    deadline: float = 60.0,
+) -> tuple[list[str], list[Row]]:
+    """G1 with a deadline: (columns, at most ``max_rows`` rows) of a statement that passes the gate.
+
+    The statement's jobs carry a tag of their own. After ``deadline`` seconds the jobs with that
+    tag are cancelled, and only those: other statements of the session go on."""
+    df = bounded_query(spark, sql, allowed, max_rows, max_bytes)
+    tag = f"governed-{uuid.uuid4().hex}"
+    out: dict = {}
+
+    def work() -> None:
+        spark.sparkContext.addJobTag(tag)
+        try:
+            out["rows"] = df.collect()  # at most max_rows
+        except Exception as e:  # noqa: BLE001  (handed to the caller)
+            out["error"] = e
+        finally:
+            spark.sparkContext.removeJobTag(tag)
+
+    thread = InheritableThread(target=work, daemon=True)
+    thread.start()
+    thread.join(deadline)
+    if thread.is_alive():
+        while thread.is_alive():  # a job that starts between two cancellations is met by the next
+            spark.sparkContext.cancelJobsWithTag(tag)
+            thread.join(0.2)
+        if "rows" not in out:
+            raise DeadlineExceeded(f"the statement was ended after {deadline:g} s")
+    if "error" in out:
+        raise out["error"]
+    return df.columns, out["rows"]

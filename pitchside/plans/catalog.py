@@ -559,6 +559,71 @@ def a4_incremental(wh: Warehouse) -> DataFrame:
     return _incremental(wh)["team_strength_inputs"]
 
 
+@register("p1_colocated_matches")
+def p1_colocated(wh: Warehouse) -> DataFrame:
+    """P1 over orders and line items that were bucketed by order key: the join has no exchange."""
+    from pitchside.plans.layers import Warehouse as Layers
+    from pitchside.sources import bridge, colocated
+
+    spark, sf_dir = wh.raw.spark, wh.raw.star.sf_dir
+    raw = bridge.load_raw(spark, sf_dir, wh.scope.years, colocated.colocated_star(spark, sf_dir))
+    return Layers(raw, wh.scope).stg_matches
+
+
+@register("p17_clustered_lookup")
+def p17_clustered(wh: Warehouse) -> DataFrame:
+    folder = _run_folder(wh, "extracts")
+    db.write_lookup_extracts(wh, folder)
+    return db.team_lookup_extract(wh.raw.spark, folder, LOOKUP_TEAM, LOOKUP_YEAR)
+
+
+@register("p18_clustered_fixture")
+def p18_clustered(wh: Warehouse) -> DataFrame:
+    folder = _run_folder(wh, "extracts")
+    db.write_lookup_extracts(wh, folder, pr.predictions(wh))
+    return db.fixture_lookup_extract(wh.raw.spark, folder, FIXTURE_A, FIXTURE_B)
+
+
+@register("s13_team_matches")
+def s13_team_matches(wh: Warehouse) -> DataFrame:
+    """The matches of one team in one edition from the clustered match extract."""
+    folder = _run_folder(wh, "extracts")
+    db.write_lookup_extracts(wh, folder)
+    return db.team_matches_extract(wh.raw.spark, folder, LOOKUP_TEAM, LOOKUP_YEAR)
+
+
+@register("g3_data_dictionary", materialize=True)
+def g3(wh: Warehouse) -> DataFrame:
+    """Every documented column of the published relations with its row and value counts."""
+    from pitchside.plans.pipeline import published_relations
+
+    return access.dictionary_profile(published_relations(wh))
+
+
+@register("s2_csv_job")
+def s2(wh: Warehouse) -> DataFrame:
+    """The raw sources of the scope written as CSV files, checked, and taken through ingest and build
+    of the batch job; the row counts of the layers."""
+    from pitchside.plans.pipeline import run_pipeline
+    from pitchside.sources.schemas import RAW_SOURCES
+
+    spark, folder = wh.raw.spark, _run_folder(wh, "sources")
+    tables = {"matches": wh.raw.matches, "world_cup": wh.raw.world_cup, "schedule": wh.raw.schedule, **wh.raw.rankings}
+    for name, (file, _) in RAW_SOURCES.items():
+        sinks.write_csv(tables[name], f"{folder}/{file}")
+    counts = run_pipeline(spark, f"{folder}/out", csv_dir=folder, steps=("ingest", "build")).layer_counts
+    return spark.createDataFrame(list(counts.items()), "relation string, n_rows long")
+
+
+@register("s12_scalar")
+def s12(wh: Warehouse) -> DataFrame:
+    """The total number of matches as one value, and each edition's share of it."""
+    from pitchside.sources import files
+
+    total = files.scalar(wh.stg_matches.agg(F.count(F.lit(1))))
+    return wh.stg_matches.groupBy("year").agg((F.count(F.lit(1)) / F.lit(float(total))).alias("share"), F.lit(total).cast("long").alias("total"))
+
+
 @register("s3_replace_table")
 def s3(wh: Warehouse) -> DataFrame:
     """S3: a raw table replaced by a new version; the old one does not show."""

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside import config
@@ -11,6 +11,7 @@ from pitchside.functions.columns import round_half_away, stage_order
 from pitchside.plans import predict as pr
 from pitchside.plans.layers import Warehouse
 from pitchside.plans.questions import favorite_rate
+from pitchside.sources import sinks
 
 # Fixed value: separator of the fixture label ("home × away").
 FIXTURE_SEPARATOR = " × "
@@ -171,6 +172,46 @@ def fixture_lookup(preds: DataFrame, team_a: str, team_b: str) -> DataFrame:
     return preds.where(((h == x) & (a == y)) | ((h == y) & (a == x)))
 
 
+# ------------------------------------------------------------------ clustered extracts
+
+
+def write_lookup_extracts(wh: Warehouse, folder: str, preds: DataFrame | None = None, files: int | None = None, row_group_bytes: int = 8 << 20) -> None:
+    """S13 for lookups: matches, team performance and (if given) predictions under ``folder``, clustered by
+    edition, stage and date, with bloom filters on lower-case team names (``*_key``). Lookups
+    compare the keys with a constant, which reaches the Parquet reader; ``lower(team)`` does not."""
+    key = lambda c: F.lower(F.col(c)).alias(f"{c.removesuffix('_team')}_key")
+    options = {"files": files, "row_group_bytes": row_group_bytes}
+    matches = wh.int_match_stages.select("*", key("home_team"), key("away_team"))
+    sinks.write_clustered(matches, f"{folder}/matches", ["year", "stage_order", "match_date"], ["home_key", "away_key"], **options)
+    teams = wh.team_performance.select("*", key("team"))
+    sinks.write_clustered(teams, f"{folder}/teams", ["year", "team_key"], ["team_key"], **options)
+    if preds is not None:
+        fixtures = preds.select("*", key("home_team"), key("away_team"))
+        sinks.write_clustered(fixtures, f"{folder}/fixtures", ["date", "home_key"], ["home_key", "away_key"], **options)
+
+
+def _is(column: str, name: str) -> Column:
+    return F.col(column) == F.lower(F.lit(name))  # folded to a constant
+
+
+def team_lookup_extract(spark: SparkSession, folder: str, team: str, year: int) -> DataFrame:
+    """P17 over the extract."""
+    found = spark.read.parquet(f"{folder}/teams").where((F.col("year") == F.lit(int(year))) & _is("team_key", team))
+    return found.select("team", "year", "matches", "goals_for", "xg_for", "attack_vs_xg", "goals_against", "xg_against", "defense_vs_xg", "goal_diff")
+
+
+def fixture_lookup_extract(spark: SparkSession, folder: str, team_a: str, team_b: str) -> DataFrame:
+    """P18 over the extract."""
+    either = (_is("home_key", team_a) & _is("away_key", team_b)) | (_is("home_key", team_b) & _is("away_key", team_a))
+    return spark.read.parquet(f"{folder}/fixtures").where(either).drop("home_key", "away_key")
+
+
+def team_matches_extract(spark: SparkSession, folder: str, team: str, year: int) -> DataFrame:
+    """All matches of a team in an edition, in the order of the extract."""
+    mine = spark.read.parquet(f"{folder}/matches").where((F.col("year") == F.lit(int(year))) & (_is("home_key", team) | _is("away_key", team)))
+    return mine.select("year", "round", "stage_order", "match_date", "home_team", "away_team", "home_score", "away_score", "winner")
+
+
 def predictions_extract(wh: Warehouse) -> DataFrame:
     """Predictions in dashboard order (date, home team)."""
     return pr.predictions(wh).select(*pr.PREDICTION_COLUMNS)

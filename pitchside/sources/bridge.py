@@ -229,9 +229,9 @@ def raw_schedule(star: dict[str, DataFrame]) -> DataFrame:
 class LazyRawTables:
     """The raw layer over the star tables; each input is defined on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None, star: StarTables | None = None):
         self.spark = spark
-        self.star = read_star(spark, sf_dir)
+        self.star = read_star(spark, sf_dir) if star is None else star
         self.years = years
         self.extra: dict[str, DataFrame] = {}
 
@@ -256,6 +256,6 @@ class LazyRawTables:
         return seeds.team_crosswalk(self.spark)
 
 
-def load_raw(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> LazyRawTables:
-    """The raw layer derived from the star tables under ``sf_dir``."""
-    return LazyRawTables(spark, sf_dir, years)
+def load_raw(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None, star: StarTables | None = None) -> LazyRawTables:
+    """The raw layer derived from the star tables under ``sf_dir`` (or from ``star``: see ``colocated``)."""
+    return LazyRawTables(spark, sf_dir, years, star)
