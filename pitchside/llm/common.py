@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,44 +103,81 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return left.unionByName(clean).drop(key)
 
 
-def with_own_ids(docs: DataFrame) -> tuple[DataFrame, str]:
-    """(``docs`` where a doc_id stands for one text, name of an added column with the
-    doc_id as it was).
-
-    Rows without a doc_id, and those whose doc_id also has a text that sorts before
-    theirs, get numbers above all doc_ids, one per (doc_id, 128-bit hash of the text):
-    equal rows share theirs. Only these rows' texts are exchanged.
-    """
-    own, key, at = unused(docs, "_doc"), unused(docs, "_id"), unused(docs, "_number")
-    digest = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    rows = stored(docs.select(docs["doc_id"].cast("long").alias("doc"), digest.alias("text")).distinct(), "row_keys")
-    known, unknown = rows.where("doc IS NOT NULL"), rows.where("doc IS NULL")
-    clash = known.groupBy("doc").agg(F.min("text").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", "first")
-    later = known.join(clash, "doc").where("text <> first").select("doc", "text")
-    todo = later.unionByName(unknown).select(F.coalesce("doc", F.lit(NULL_ID)).alias("doc"), "text")
-    # ranks by (doc, text): the same in every run
-    order = todo.repartitionByRange("doc", "text").sortWithinPartitions("doc", "text")
+def _own_numbers(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """None where every row has a doc_id of its own or the same text as the others of its doc_id.
+
+    Else (``docs`` whose doc_id stands for one text, numbers given: doc, number). Rows without
+    a doc_id, and those whose doc_id also has a text that sorts before theirs, get numbers above
+    all doc_ids, one per (doc_id, 128-bit hash of the text): equal rows share theirs. Where no
+    numbers are left above the largest doc_id, all documents are numbered in that order. Only
+    doc_ids are read to find such rows, and only their texts are hashed and exchanged."""
+    given = docs.select(docs["doc_id"].cast("long").alias("doc"))
+    shared = stored(given.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc IS NULL").select(F.coalesce("doc", F.lit(NULL_ID)).alias("_id")), "shared_ids")
+    n_shared, last = shared.count(), given.agg(F.max("doc")).first()[0] or 0
+    if not n_shared and last < NULL_ID:
+        return None
+    key, at, null = unused(docs, "_id"), unused(docs, "_number"), unused(docs, "_null")
+    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), null: F.col("doc_id").isNull()})
+    maybe, clean = split_by_ids(keyed, shared, n_shared, key)
+    rows = stored(maybe.select(F.col(null).alias("no_id"), F.col(key).alias("doc"), digest.alias("text")).distinct(), "row_keys")
+    clash = rows.where("NOT no_id").groupBy("doc").agg(F.min("text").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", "first")
+    later = rows.where("NOT no_id").join(clash, "doc").where("text <> first").select("no_id", "doc", "text")
+    todo = later.unionByName(rows.where("no_id"))
+    start = last + 1
+    if start + todo.count() >= NULL_ID:
+        todo = keyed.select(F.col(null).alias("no_id"), F.col(key).alias("doc"), digest.alias("text")).distinct()
+        maybe, clean, start = keyed, keyed.limit(0), 0
+    # ranks by (doc, text), rows without a doc_id last: the same in every run
+    order = todo.repartitionByRange("no_id", "doc", "text").sortWithinPartitions("no_id", "doc", "text")
     placed = stored(order.withColumn("at", F.monotonically_increasing_id()), "row_ranks")
     sizes = sorted((r["part"], r["n"]) for r in placed.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())  # one row per partition
-    base = docs.withColumn(own, docs["doc_id"])
     if not sizes:
-        return base, own
-    n, first, starts = sum(n for _, n in sizes), (rows.agg(F.max("doc")).first()[0] or 0) + 1, []
-    if first + n > NULL_ID:
-        raise ValueError(f"no numbers above the largest doc_id ({first - 1}) for {n} rows that need one")
+        return None
+    starts = []
     for part, size in sizes:
-        starts.append((part, first))
-        first += size
-    start = docs.sparkSession.createDataFrame(starts, "part long, start long")
-    numbers = placed.join(F.broadcast(start), F.shiftright(placed["at"], 33) == start["part"]).select(
-        F.col("doc").alias(f"{at}doc"), F.col("text").alias(f"{at}text"), (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias(at)
+        starts.append((part, start))
+        start += size
+    begin = docs.sparkSession.createDataFrame(starts, "part long, start long")
+    numbers = stored(
+        placed.join(F.broadcast(begin), F.shiftright(placed["at"], 33) == begin["part"]).select(
+            "no_id", "doc", "text", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("number")
+        ),
+        "row_numbers",
     )
-    keyed = base.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-    maybe, clean = split_by_ids(keyed, placed.select(F.col("doc").alias("_id")).distinct(), n, key)
-    hashed = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    found = maybe.join(numbers.hint("SHUFFLE_HASH"), (F.col(key) == F.col(f"{at}doc")) & (hashed == F.col(f"{at}text")), "left")
-    found = found.select(*[F.coalesce(at, key).alias(c) if c == "doc_id" else F.col(c) for c in base.columns])
-    return found.unionByName(clean.select(*[F.col(key).alias(c) if c == "doc_id" else F.col(c) for c in base.columns])), own
+    theirs = numbers.select(F.col("no_id").alias(f"{at}null"), F.col("doc").alias(f"{at}doc"), F.col("text").alias(f"{at}text"), F.col("number").alias(at))
+    same = (F.col(null) == F.col(f"{at}null")) & (F.col(key) == F.col(f"{at}doc")) & (digest == F.col(f"{at}text"))
+    found = maybe.join(theirs.hint("SHUFFLE_HASH"), same, "left")
+    columns = lambda number: [number.alias(c) if c == "doc_id" else F.col(c) for c in docs.columns]
+    numbered = found.select(*columns(F.coalesce(F.col(at), F.col(key)))).unionByName(clean.select(*columns(F.col(key))))
+    return numbered, numbers.select("number", F.when(~F.col("no_id"), F.col("doc")).alias("doc"))
+
+
+def by_text(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *more: str) -> DataFrame:
+    """``work(docs)`` with every text judged for itself: inside, a doc_id stands for one text.
+
+    ``work`` returns rows with a doc_id (and ids in the columns ``more``), which come back as
+    given: null, or the doc_id that several texts share."""
+    own = _own_numbers(docs)
+    if own is None:
+        return work(docs)
+    numbered, numbers = own
+    out = work(numbered)
+    columns = out.columns
+    for c in ("doc_id", *more):
+        number, doc = unused(out, "_number"), unused(out, "_doc")
+        mine = numbers.select(F.col("number").alias(number), F.col("doc").alias(doc))
+        out = out.join(mine, F.col(c) == F.col(number), "left").withColumn(c, F.when(F.col(number).isNotNull(), F.col(doc)).otherwise(F.col(c))).select(*columns)
+    return out
+
+
+def with_own_ids(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(``docs`` where a doc_id stands for one text, see ``_own_numbers``; name of an added column
+    with the doc_id as it was)."""
+    own = unused(docs, "_doc")
+    base = docs.withColumn(own, docs["doc_id"])
+    found = _own_numbers(base)
+    return (base if found is None else found[0]), own
 
 
 def with_given_ids(docs: DataFrame, own: str, columns: list[str]) -> DataFrame:

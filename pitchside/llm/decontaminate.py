@@ -13,8 +13,9 @@ The benchmark's fingerprints are summed into a bit map whose size is bounded
 whose bit is set leave the task, with the few words around them. Against a benchmark
 of any size the join stays exact; a fuller map only lets more rows through.
 
-Edge cases: null or empty texts have no words; such items never occur. Rows that
-repeat a doc_id are one document of the result's joins and each get the result. Items
+Edge cases: null or empty texts have no words; such items never occur. The query judges every text
+for itself: rows without a doc_id, or with one doc_id and different texts, have their own results,
+equal rows equal ones. The operator below it takes a doc_id for one text. Items
 are told apart by item_id; repeated items count once, an item without item_id is
 ignored. Empty tables give no hits. Only doc_id, text and item_id, text are read.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import MAP_BITS, bit_map, bits_set, identified, public_id, stored
+from pitchside.llm.common import MAP_BITS, bit_map, bits_set, by_text, identified, public_id, stored
 
 WINDOW = 10
 GRAM = 5
@@ -166,11 +167,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return out.select(
-        public_id(), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+    def digest(docs: DataFrame) -> DataFrame:
+        return decontaminate(docs, benchmark).select(
+            public_id(), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        )
+
+    return by_text(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest)
 
 
 OP1_SQL = r"""

@@ -20,8 +20,9 @@ hold a component's texts, so that no task emits the pairs of a group.
 
 Edge cases: null or empty texts, and texts without words, have an empty set and are
 linked with nothing. A text of fewer words than a shingle is one shingle. Rows that repeat
-a doc_id with its text are one document and get one result each. A null doc_id sorts
-after all. An empty table gives an empty result. Only doc_id and text are read.
+a doc_id with its text are one document and get one result each. The query judges every text for
+itself: rows without a doc_id, and further texts of a doc_id, come after all others and
+have components of their own. An empty table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import identified, public_id, split_by_ids, stored
+from pitchside.llm.common import by_text, identified, public_id, split_by_ids, stored
 
 CHUNKS = 16
 CHUNK = 5
@@ -398,5 +399,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=2, percent=80)
-    return out.select(public_id(), "n_shingles", public_id("comp").alias("component_id"), (F.col("_id") == F.col("comp")).alias("kept"))
+    def digest(docs: DataFrame) -> DataFrame:
+        out = near_duplicates(docs, size=2, percent=80)
+        return out.select(public_id(), "n_shingles", public_id("comp").alias("component_id"), (F.col("_id") == F.col("comp")).alias("kept"))
+
+    return by_text(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest, "component_id")

@@ -2,16 +2,19 @@
 
 Lines are normalised (lower case, white space collapsed) and hashed; distinct
 documents are counted per host (the ``source`` column) and line. A line held by
-more than ``max_docs`` documents of one host is boilerplate there and is removed;
-a document that keeps less than ``min_left`` of its word characters is depleted
+more than ``max_share`` of a host's documents (and more than ``min_docs``) is boilerplate there
+and is removed; the limit follows the host, so a corpus of any size is judged alike. A
+document that keeps less than ``min_left`` of its word characters is depleted
 and rejected, as is one that fails the base rules (fewer than 10 words, or over
 20 % of the words inside 5-word windows that occur twice in the text). The pipeline
 counts the different texts that hold a line, not the documents (``copies_once``): copies
 of one text are for its near-dedup stage to settle, and no boilerplate.
 
 Edge cases: a null or empty text has no words and fails the base rules. A null
-host is one host of its own. Rows that repeat a doc_id count as one document in
-the line counts, and each gets a result. An empty table gives an empty result.
+host is one host of its own. Rows that repeat a doc_id with its text count as one document in
+the line counts, and each gets a result. The query and the pipeline judge every text for itself: rows
+without a doc_id, or with one doc_id and different texts, are documents of their own; the
+operator below them takes a doc_id for one text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import NULL_ID, identified, public_id, split_by_ids, stored, unused
+from pitchside.llm.common import NULL_ID, by_text, identified, public_id, split_by_ids, stored, unused
 
 
 @dataclass(frozen=True)
@@ -33,7 +36,8 @@ class Rules:
     min_words: int = 10
     max_repeat_percent: int = 20
     window: int = 5
-    max_docs: int = 100  # documents of one host that may hold a line
+    max_share: float = 0.1  # of a host's documents that may hold a line ...
+    min_docs: int = 10  # ... and so many may in any case
     min_left: float = 0.3  # share of word characters that has to stay
 
 
@@ -123,24 +127,25 @@ def features(docs: DataFrame, host: str = "source", window: int = 5) -> DataFram
     )
 
 
-def frequent_lines(rows: DataFrame, max_docs: int, copies_once: bool = False) -> DataFrame:
-    """(host, line) held by more than ``max_docs`` documents of the host, or with
-    ``copies_once`` by more than ``max_docs`` different texts (128-bit hashes of their
-    normalised lines). Each task sends one partial count per line it saw."""
+def frequent_lines(rows: DataFrame, rules: Rules, copies_once: bool = False) -> DataFrame:
+    """(host, line) held by more documents of the host than the rules allow, or with
+    ``copies_once`` by more different texts (128-bit hashes of their normalised lines). Each
+    task sends one partial count per host, and one per line it saw."""
     held = rows.select("host", "_id", "line")
     if copies_once:
         text = [F.xxhash64("line").alias("t1"), F.xxhash64(F.lit(1), "line").alias("t2")]
-        held = held.select("host", *text, F.explode(F.array_distinct("line")).alias("line")).distinct()
-    else:
-        held = held.select("host", F.explode(F.array_distinct("line")).alias("line"))
-    return held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
+        held = held.select("host", *text, "line").dropDuplicates(["host", "t1", "t2"])
+    size = held.groupBy(F.col("host").alias("of_host")).agg(F.greatest(F.lit(float(rules.min_docs)), F.count(F.lit(1)) * F.lit(rules.max_share)).alias("limit"))
+    lines = held.select("host", F.explode(F.array_distinct("line")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
+    many = lines.where(F.col("n_docs") > rules.min_docs)  # most lines end here
+    return many.join(size, F.col("host").eqNullSafe(F.col("of_host"))).where(F.col("n_docs") > F.col("limit")).select("host", "line", "n_docs")
 
 
 def judged(docs: DataFrame, host: str = "source", rules: Rules = Rules(), copies_once: bool = False) -> DataFrame:
     """The features of every document row, what frequent lines take, and the verdict."""
     rows = stored(features(docs, host, rules.window), "quality_features")
     one = rows.dropDuplicates(["_id"])
-    hot = frequent_lines(one, rules.max_docs, copies_once).select(F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))
+    hot = frequent_lines(one, rules, copies_once).select(F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))
     lines = one.select("_id", "host", F.explode(F.arrays_zip("line", "line_chars")).alias("l")).select("_id", "host", "l.line", "l.line_chars")
     lost = (
         lines.join(hot, F.col("host").eqNullSafe(F.col("hot_host")) & (F.col("line") == F.col("hot_line")))
@@ -198,7 +203,7 @@ def remove_frequent_lines(docs: DataFrame, host: str = "source", rules: Rules =
     """doc_id, text without the lines over the limit, and whether the document stays."""
     rows = stored(features(docs, host, rules.window), "quality_features")
     one = rows.dropDuplicates(["_id"])
-    hot = frequent_lines(one, rules.max_docs)
+    hot = frequent_lines(one, rules)
     lines = one.select("_id", "host", F.explode(F.array_distinct("line")).alias("line"))
     gone = lines.join(hot.withColumnsRenamed({"host": "hot_host", "line": "hot_line"}), F.col("host").eqNullSafe(F.col("hot_host")) & (F.col("line") == F.col("hot_line")))
     gone = gone.groupBy("_id").agg(F.collect_list("line").alias("gone"))
@@ -217,7 +222,7 @@ def remove_frequent_lines(docs: DataFrame, host: str = "source", rules: Rules =
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return judged(docs).select(public_id(), *_FEATURES, "base_failed", "kept")
+    return by_text(docs, lambda rows: judged(rows).select(public_id(), *_FEATURES, "base_failed", "kept"))
 
 
 OP10_SQL = r"""
@@ -238,7 +243,8 @@ WITH w AS (
   FROM full_lines WHERE len(lw) > 0
 ), dup AS (
   SELECT doc_id, count(*) AS n_dup_lines FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS r FROM norm) WHERE r > 1 GROUP BY doc_id
-), hot AS (SELECT host, k FROM norm GROUP BY host, k HAVING count(DISTINCT doc_id) > 100),
+), sizes AS (SELECT host, count(DISTINCT doc_id) AS n FROM w GROUP BY host),
+hot AS (SELECT host, k FROM norm JOIN sizes USING (host) GROUP BY host, k, sizes.n HAVING count(DISTINCT doc_id) > greatest(10, 1e-1 * sizes.n)),
 lost AS (SELECT doc_id, sum(n) AS lost FROM norm JOIN hot USING (host, k) GROUP BY doc_id),
 f AS (
   SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,

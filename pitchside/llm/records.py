@@ -7,7 +7,7 @@ A record file is a run of frames::
 (all little-endian; masked: rotated right by 15 bits plus a constant, so that a
 checksum stored inside checked data does not look like one). A payload is
 ``i64 doc_id | u8 bytes per id | u32 ids | ids``, two bytes an id where the vocabulary has at
-most 65,536 ids. Beside each record file an index has one fixed-size entry per
+most 65,536 ids, else four; an id that does not fit is refused. Beside each record file an index has one fixed-size entry per
 record, ``i64 doc_id | u64 offset | u64 frame length | u32 ids``, so that any record can be read
 alone, in any order.
 
@@ -61,7 +61,14 @@ def unframe(raw: bytes) -> bytes:
     return payload
 
 
+def id_width(n_ids: int) -> int:
+    """Bytes that hold the ids 0 .. n_ids - 1."""
+    return 2 if n_ids <= 1 << 16 else 4
+
+
 def payload_of(doc_id: int, ids: np.ndarray, width: int) -> bytes:
+    if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >> 8 * width):
+        raise ValueError(f"an id does not fit in {width} bytes")
     return HEAD.pack(doc_id, width, len(ids)) + ids.astype(f"<u{width}").tobytes()
 
 
@@ -81,45 +88,47 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_records(docs: DataFrame, folder: str, vocabulary: str, end_id: int, width: int = 2, files: int | None = None) -> DataFrame:
+def write_records(docs: DataFrame, folder: str, vocabulary: str, end_id: int, files: int | None = None, plain_specials: bool = False) -> DataFrame:
     """Write all documents; returns one row per file. Tokens are made after the
-    exchange, so the range sampling does not tokenize."""
+    exchange, so the range sampling does not tokenize. Records and index entries are written run
+    by run, so a task holds no more than a run of texts."""
     spark = docs.sparkSession
+    width = id_width(max(tokens.vocabulary_size(vocabulary), end_id + 1))
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc = tokens.encoder(vocabulary, spaced=False)
+        enc = tokens.encoder(vocabulary, spaced=False, plain_specials=plain_specials)
         files_of, root = file_system(folder)
         files_of.create_dir(root, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}"
         own = f"{root}/.{name}-{uuid.uuid4().hex}"
-        index, at, n_tokens = [], 0, 0
-        out = None
+        out, at, n_docs, n_tokens, first = None, 0, 0, 0, 0
         for b in batches:
             ids_col = b.column(0).to_numpy(zero_copy_only=False)
             for t in K.runs(b.column(1)):
-                out = out or files_of.open_output_stream(f"{own}.rec")
+                if out is None:
+                    out = [files_of.open_output_stream(f"{own}.{kind}") for kind in ("rec", "idx")]
+                    first = int(ids_col[t.first])
                 ids, off = enc.encode(t)
-                parts = []
+                parts, index = [], []
                 for i in range(len(t)):
                     doc = int(ids_col[t.first + i])
                     raw = frame(payload_of(doc, np.append(ids[off[i] : off[i + 1]], np.uint32(end_id)), width))
-                    n = int(off[i + 1] - off[i]) + 1
-                    index.append((doc, at, len(raw), n))
+                    index.append((doc, at, len(raw), int(off[i + 1] - off[i]) + 1))
                     parts.append(raw)
                     at += len(raw)
-                    n_tokens += n
-                out.write(b"".join(parts))
+                out[0].write(b"".join(parts))
+                out[1].write(np.array(index, INDEX).tobytes())
+                n_docs += len(t)
+                n_tokens += len(ids) + len(t)
         if out is None:
             return
-        out.close()
-        with files_of.open_output_stream(f"{own}.idx") as f:
-            f.write(np.array(index, INDEX).tobytes())
-        for kind in ("rec", "idx"):
+        for stream, kind in zip(out, ("rec", "idx")):
+            stream.close()
             files_of.move(f"{own}.{kind}", f"{root}/{name}.{kind}")
-        yield pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.int64()) for x in (index[0][0], len(index), n_tokens)]], ["file", "first_id", "n_docs", "n_tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.int64()) for x in (first, n_docs, n_tokens)]], ["file", "first_id", "n_docs", "n_tokens"])
 
     return identified(docs).repartitionByRange(files, "_id").sortWithinPartitions("_id").mapInArrow(work, FILE_ROWS)
 

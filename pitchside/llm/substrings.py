@@ -13,9 +13,10 @@ contexts are sent to their shard instead (see ``anchors``). A context that is an
 copy of an earlier one is marked whole beforehand; an anchor with more different
 contexts than a shard should hold is split by window content.
 
-Edge cases: null or empty texts have no words. A null doc_id sorts after all. Rows that
-repeat a doc_id with its text count as one document and get one result each; two
-texts under one doc_id are compared by their positions as if one. An empty table
+Edge cases: null or empty texts have no words. Rows that repeat a doc_id with its text count as one
+document and get one result each. The query judges every text for itself: rows without a doc_id
+come after all others, in the order of their texts' hashes, as do the further texts of a doc_id
+that has several. The operator below it takes a doc_id for one text. An empty table
 gives an empty result. Only doc_id and text are read.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pitchside.llm import anchors as A
 from pitchside.llm import kernels as K
-from pitchside.llm.common import identified, public_id, split_by_ids, stored
+from pitchside.llm.common import by_text, identified, public_id, split_by_ids, stored
 
 SCHEME = A.Scheme(words=True, window=20, gram=6, hot=8_000)
 
@@ -213,8 +214,11 @@ def dedup_substrings(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select(public_id(), F.col("n_items").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    def digest(docs: DataFrame) -> DataFrame:
+        out = dedup_substrings(docs)
+        return out.select(public_id(), F.col("n_items").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+    return by_text(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest)
 
 
 OP2_SQL = r"""

@@ -16,8 +16,8 @@ the tree once; an anchor with more different contexts than a task should hold is
 split by window content.
 
 Edge cases: null or empty texts have no bytes. Rows that repeat a doc_id with its text
-count as one document and get one result each; two texts under one doc_id are
-compared by their positions as if one. Removed ranges may cut a character; the kept bytes
+count as one document and get one result each. The query judges every text for itself, also
+under one doc_id or none; the operator below it takes a doc_id for one text. Removed ranges may cut a character; the kept bytes
 are exact. An empty table gives an empty result. Only doc_id and text are read.
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import anchors as A
-from pitchside.llm.common import identified, public_id, split_by_ids, stored
+from pitchside.llm.common import by_text, identified, public_id, split_by_ids, stored
 from pitchside.llm.substrings import apply_spans
 
 # a context is about 1.5 KB in the tree, so the largest takes some 75 MB
@@ -186,5 +186,8 @@ def dedup_bytes(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
 
 
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select(public_id(), F.col("n_items").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    def digest(docs: DataFrame) -> DataFrame:
+        out = dedup_bytes(docs)
+        return out.select(public_id(), F.col("n_items").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+    return by_text(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest)

@@ -46,14 +46,20 @@ class Encoder:
     ``spaced``: white space belongs to the tokens (byte-level BPE); pieces keep the
     white space before them, and a text with white space other than space and newline
     is one piece. Otherwise white space is dropped and pieces are what is between.
+    ``plain_specials``: the strings of special tokens in a text are ordinary text; otherwise
+    they get the special ids, as the tokenizer does by itself (its special tokens must not take
+    white space around them, so that they stay inside a piece).
     """
 
-    def __init__(self, path: str, spaced: bool) -> None:
+    def __init__(self, path: str, spaced: bool, plain_specials: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials
+        for t in self.tokenizer.get_added_tokens_decoder().values():
+            if not plain_specials and (t.lstrip or t.rstrip or any(c.isspace() for c in t.content)):
+                raise ValueError(f"the special token {t.content!r} takes white space: texts cannot be cut there")
         self.spaced = spaced
         self.mask = np.uint64((1 << TABLE_BITS) - 1)
         self._clear()
@@ -144,14 +150,21 @@ class Encoder:
         return ids, total[bounds]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, plain_specials: bool = False) -> Encoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = Encoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    key = (path, spaced, plain_specials)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
+
+
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
 
 
 def vocabulary(name: str) -> str:

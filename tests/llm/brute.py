@@ -19,6 +19,26 @@ def key(doc_id):
     return LAST if doc_id is None else doc_id
 
 
+def numbered(docs):
+    """(own id, text, source) rows, and doc_id by own id: a doc_id stands for one text; other texts
+    under it, and those without one, get ids above all, by doc_id and the text's MD5."""
+    md5 = lambda t: hashlib.md5((t or "").encode()).hexdigest()
+    texts = defaultdict(set)
+    for d, t, _ in docs:
+        texts[d].add(md5(t))
+    own = {(d, m): d for d in texts if d is not None for m in [min(texts[d])]}
+    at = max([d for d in texts if d is not None], default=0) + 1
+    for d, m in sorted(((d, m) for d in texts for m in texts[d] if (d, m) not in own), key=lambda x: (x[0] is None, x[0] or 0, x[1])):
+        own[d, m] = at
+        at += 1
+    return [(own[d, md5(t)], t, s) for d, t, s in docs], {i: d for (d, _), i in own.items()}
+
+
+def restored(rows, given, *more):
+    """Result rows with the doc_ids (column 0 and the columns ``more``) as they were."""
+    return [tuple(given.get(x, x) if i in (0, *more) else x for i, x in enumerate(r)) for r in rows]
+
+
 def sha(x) -> str:
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
@@ -126,10 +146,11 @@ def byte_repeats(docs):
     return out
 
 
-def quality(docs, max_docs=100):
-    held = defaultdict(set)
+def quality(docs, share=0.1, floor=10):
+    held, of_host = defaultdict(set), defaultdict(set)
     norm = lambda line: " ".join(words(line)).translate(LOWER)
     for d, t, s in docs:
+        of_host[s].add(key(d))
         for line in (t or "").split("\n"):
             if words(line):
                 held[s, norm(line)].add(key(d))
@@ -146,7 +167,7 @@ def quality(docs, max_docs=100):
             at[tuple(w[i : i + 5])].append(i)
         rep = {i + k for v in at.values() if len(v) > 1 for i in v for k in range(5)}
         chars = sum(map(len, w))
-        lost = sum(sum(map(len, words(x))) for x in every if len(held[s, norm(x)]) > max_docs)
+        lost = sum(sum(map(len, words(x))) for x in every if len(held[s, norm(x)]) > max(floor, share * len(of_host[s])))
         failed = len(w) < 10 or 100 * len(rep) > 20 * len(w)
         out.append((d, len(w), chars, sum(c in "#*$%&|<>" for c in t), dup, len(rep), failed, not failed and chars - lost >= 0.3 * chars))
     return out
@@ -157,7 +178,6 @@ def token_ids(name, texts, end):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(str(public_tokenizers.path(name)))
-    tok.encode_special_tokens = True
     return [np.array([*e.ids, end], "<u4") for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 

@@ -18,6 +18,14 @@ EDGES = [
     (900_021, "same line that is long enough to count as a key here, at least forty\n"), (None, "same line that is long enough to count as a key here, at least forty\nlast"),
     (None, None),
 ]
+# rows that share a doc_id, or have none, with texts of their own
+PASSAGE = " ".join(f"word{i * i % 97}of{i}" for i in range(45))
+ALONE = " ".join(f"nobody{i}" for i in range(40))
+EDGES += [
+    (900_030, f"{PASSAGE} tail"), (900_030, ALONE), (900_031, f"before {PASSAGE}"), (None, f"{PASSAGE}\nnull one"), (None, f"null two {PASSAGE}"), (None, f"null two {PASSAGE}"),
+    (None, " ".join(f"quiet{i}" for i in range(60))), (900_032, "ab long words ab long words ab long words ab long and more words to be long enough"), (900_032, "nothing that an item has, in words enough to be kept by the rules of quality here"),
+    (7, f"{PASSAGE} under the id of a document"),
+]
 BENCH_EDGES = [(9001, "short Item"), (9002, None), (9003, ""), (9004, "two words"), (9005, "ab long words ab long words ab long words ab long"), (9005, "ab long words ab long words ab long words ab long"), (9006, "!!!"), (None, "one")]
 
 

@@ -34,24 +34,23 @@ def items(corpus):
 def test_op1(spark, corpus, docs):
     cols, rows = run(spark, "op1", corpus)
     assert cols == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    same(rows, brute.decontaminated(docs, items(corpus)))
+    own, given = brute.numbered(docs)
+    same(rows, brute.restored(brute.decontaminated(own, items(corpus)), given))
 
 
 def test_op2(spark, corpus, docs):
     cols, rows = run(spark, "op2", corpus)
     assert cols == ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    same(rows, brute.substrings(docs))
+    own, given = brute.numbered(docs)
+    same(rows, brute.restored(brute.substrings(own), given))
 
 
 def test_op3(spark, corpus, docs):
     cols, rows = run(spark, "op3", corpus)
     assert cols == ["doc_id", "n_shingles", "component_id", "kept"]
-    comp = brute.near_components(docs, 2)
-    public = lambda x: None if x == brute.LAST else x
-    by_key = {d: t for d, t in comp.items()}
-    expected = [(d, by_key[brute.key(d)][0], public(by_key[brute.key(d)][1]), by_key[brute.key(d)][1] == brute.key(d)) for d, _, _ in docs if d is not None]
-    same([r for r in rows if r[0] is not None], expected)
-    assert sum(r[0] is None for r in rows) == sum(d is None for d, _, _ in docs)
+    own, given = brute.numbered(docs)
+    comp = brute.near_components(own, 2)
+    same(rows, brute.restored([(d, *comp[d], comp[d][1] == d) for d, _, _ in own], given, 2))
 
 
 def test_op4(spark, corpus, docs):
@@ -105,7 +104,8 @@ def check_packed(rows, capacity):
 def test_op7(spark, corpus, docs):
     cols, rows = run(spark, "op7", corpus)
     assert cols == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    same([r for r in rows if r[0] is not None], brute.byte_repeats([d for d in docs if d[0] is not None]))
+    own, given = brute.numbered(docs)
+    same(rows, brute.restored(brute.byte_repeats(own), given))
 
 
 def test_op8(spark, corpus, docs):
@@ -141,8 +141,8 @@ def test_op9(spark, corpus, docs):
 def test_op10(spark, corpus, docs):
     cols, rows = run(spark, "op10", corpus)
     assert cols == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    same([r for r in rows if r[0] is not None], [r for r in brute.quality(docs) if r[0] is not None])
-    assert sum(r[0] is None for r in rows) == 2
+    own, given = brute.numbered(docs)
+    same(rows, brute.restored(brute.quality(own), given))
 
 
 @pytest.mark.parametrize("name", [f"op{n}" for n in range(1, 14)])
@@ -152,13 +152,15 @@ def test_empty_tables(spark, empty, name):
 
 def test_pipeline_against_brute_force(spark, corpus, docs):
     rows = [tuple(r) for r in QUERIES["pipeline"](spark, corpus).collect()]
-    left = [d for d, q in zip(docs, brute.quality(docs)) if q[-1] and d[0] is not None]
-    cut = [(d, t, None) for d, _, _, t in brute.lines_cut(left)]
-    comp = brute.near_components(cut, 5)
-    left = [x for x in cut if comp[brute.key(x[0])][1] == brute.key(x[0])]
+    left, given = brute.numbered(docs)  # every stage numbers what it gets
+    assert {d for d, t, _ in docs if d is None and t} and len({d for d, _, _ in left}) > len({d for d, _, _ in docs})
+    left, given = brute.numbered([(given[d], t, s) for (d, t, s), q in zip(left, brute.quality(left)) if q[-1]])
+    assert None in given.values()
+    left, given = brute.numbered([(given[d], t, None) for d, _, _, t in brute.lines_cut(left)])
+    comp = brute.near_components(left, 5)
+    left, given = brute.numbered([(given[d], t, s) for d, t, s in left if comp[d][1] == d])
     hit = {r[0] for r in brute.decontaminated(left, items(corpus)) if r[-1]}
-    left = [x for x in left if x[0] not in hit]
-    same([r[:5] for r in rows if r[0] is not None], brute.cut_pieces(left))
+    same([r[:5] for r in rows], brute.cut_pieces([(given[d], t, s) for d, t, s in left if d not in hit]))
     check_packed(rows, 2048)
 
 
@@ -181,9 +183,9 @@ def test_frequent_lines_reject_depleted_documents(spark):
     rows = [(i, "boiler plate of the host in every page it has\n" + (f"{own} {i} {i}" if i % 2 else "Boiler  PLATE of the host in every page it has"), "a") for i in range(30)]
     rows += [(100 + i, "boiler plate of the host in every page it has once", None) for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r["_id"]: (r["kept"], r["base_failed"], r["n_frequent_lines"]) for r in quality.judged(docs, rules=quality.Rules(max_docs=20, max_repeat_percent=100)).collect()}
+    got = {r["_id"]: (r["kept"], r["base_failed"], r["n_frequent_lines"]) for r in quality.judged(docs, rules=quality.Rules(max_share=0.5, max_repeat_percent=100)).collect()}
     assert got[1] == (True, False, 1) and got[2] == (False, False, 2) and got[100] == (True, False, 0)
-    text = {r["doc_id"]: r["text"] for r in quality.remove_frequent_lines(docs, rules=quality.Rules(max_docs=20, max_repeat_percent=100)).collect()}
+    text = {r["doc_id"]: r["text"] for r in quality.remove_frequent_lines(docs, rules=quality.Rules(max_share=0.5, max_repeat_percent=100)).collect()}
     assert text[1] == f"{own} 1 1" and text[2] == "" and "once" in text[100]
 
 

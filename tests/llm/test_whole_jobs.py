@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
-from collections import Counter
 
-import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 
-from . import brute
-
 
 def _text(rng, n=30):
     return " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(3, 9))) for _ in range(n))
@@ -60,6 +55,18 @@ def test_lines_and_hits_of_rows_without_a_doc_id(spark, tmp_path):
     assert len(kept) == 7 and not any(item in t for t in kept)
 
 
+def test_the_limit_of_a_line_follows_its_host(spark):
+    """The verdict on a text does not change when the corpus grows alike."""
+    from pitchside.llm import quality
+
+    rng = random.Random(15)
+    own = [_text(rng) for _ in range(200)]
+    for n in (100, 200):
+        docs = _docs(spark, [(i, f"{own[i]}\nevery tenth page or more" if i % 9 == 0 else f"{own[i]}\nevery twentieth page" if i % 19 == 0 else own[i], "h") for i in range(n)])
+        got = {r["doc_id"]: r["text"] for r in quality.kept_documents(docs).collect()}
+        assert all("tenth" not in t for t in got.values()) and sum("twentieth" in t for t in got.values()) == sum(i % 19 == 0 and i % 9 > 0 for i in range(n))
+
+
 def test_kept_documents_lose_their_frequent_lines(spark):
     rng = random.Random(14)
     own = [_text(rng) for _ in range(101)]
@@ -69,16 +76,32 @@ def test_kept_documents_lose_their_frequent_lines(spark):
     assert got == {i: (t, len(t)) for i, t in expected.items()}
 
 
-def test_pipeline_with_rows_without_a_doc_id_against_brute_force(spark, corpus, docs):
-    last = 10**9
-    nulls = sorted({hashlib.md5((t or "").encode()).hexdigest() for d, t, _ in docs if d is None})
-    every = [(last + nulls.index(hashlib.md5((t or "").encode()).hexdigest()) if d is None else d, t, s) for d, t, s in docs]
-    left = [d for d, q in zip(every, brute.quality(every)) if q[-1]]
-    assert any(d >= last for d, _, _ in left)
-    cut = [(d, t, None) for d, _, _, t in brute.lines_cut(left)]
-    comp = brute.near_components(cut, 5)
-    left = [x for x in cut if comp[x[0]][1] == x[0]]
-    t = pq.read_table(f"{corpus}/benchmark.parquet")
-    hit = {r[0] for r in brute.decontaminated(left, list(zip(t["item_id"].to_pylist(), t["text"].to_pylist()))) if r[-1]}
-    expected = brute.cut_pieces([(d if d < last else None, t, s) for d, t, s in left if d not in hit])
-    assert Counter(tuple(r)[:5] for r in P.run(spark, corpus).collect()) == Counter(expected)
+def test_own_numbers_where_none_are_left_above_the_largest_doc_id(spark):
+    from pitchside.llm import common
+
+    last = (1 << 63) - 1
+    rows = [(last, "the last", "a"), (3, "three", "a"), (None, "no id", "a"), (None, "no id", "a"), (3, "another three", "a"), (None, None, "a"), (last - 1, "before", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    seen = {}
+
+    def work(inside):
+        seen["rows"] = sorted((r["doc_id"], r["text"]) for r in inside.where("text is not null").collect())
+        return inside.select("doc_id", "text", F.col("doc_id").alias("group_id"))
+
+    out = common.by_text(docs, work, "group_id")
+    as_given = sorted(((d, t) for d, t, _ in rows), key=str)
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == as_given
+    assert sorted(((r["group_id"], r["text"]) for r in out.collect()), key=str) == as_given
+    ids = [d for d, _ in seen["rows"]]
+    assert max(ids) < common.NULL_ID and len(set(ids)) == len({(d, t) for d, t, _ in rows if t})
+    order = [t for _, t in seen["rows"]]
+    assert order.index("three") < order.index("before") < order.index("the last") < order.index("no id")
+    numbered, own = common.with_own_ids(docs)
+    assert sorted(((r["doc_id"], r["text"]) for r in common.with_given_ids(numbered, own, docs.columns).collect()), key=str) == as_given
+
+
+def test_documents_of_their_own_are_left_as_they_are(spark):
+    from pitchside.llm import common
+
+    docs = _docs(spark, [(i, f"text {i % 3}", "a") for i in range(20)])
+    assert common.by_text(docs, lambda d: d) is docs
