@@ -54,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir()  # with its scheme, so that workers open it where Spark does
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it to a shared folder (HDFS/S3/ABFS) "
@@ -62,4 +62,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
         )
     path = tempfile.mkdtemp(prefix="pitchside-ckpt-")
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir()
