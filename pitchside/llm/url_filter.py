@@ -5,13 +5,17 @@ a chain of beta-binomial priors: the corpus rate is the prior of each public
 suffix, the suffix's posterior mean the prior of its registered domains, the
 domain's posterior mean the prior of its hosts. The prior strength of each level
 is the moment estimate from the spread of the rates below it. A host is blocked
-where the lower bound of its posterior bad rate exceeds a limit; explicit rules
-come first. Everything is DataFrame expressions.
+where the lower bound of its posterior bad rate exceeds ``lift`` times the corpus rate (held
+between ``least_limit`` and ``most_limit``): it is then surely much worse than the corpus,
+whatever share of it is bad. Where hosts do not differ by more than chance, none is. Explicit
+rules come first. Everything is DataFrame expressions.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, no rule
 and no reputation, and is allowed. Hosts without labelled pages take the prior of
 their domain, suffix or corpus. No labels at all: everything that no rule blocks
-is allowed. A label that is null, or unknown because one of its parts is, is no outcome. Repeated rows count as often as they occur. Only the named columns
+is allowed. A label that is null, or unknown because one of its parts is, is no outcome. Repeated rows count
+as often as they occur. Very long urls are read whole by expressions. Of rules that fit, the
+longest wins, and of equally long ones the last in text order. Only the named columns
 are read, so extra columns cannot clash.
 """
 
@@ -37,7 +41,9 @@ TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au",
 
 @dataclass(frozen=True)
 class Reputation:
-    limit: float = 0.5  # blocked where the posterior lower bound is above
+    lift: float = 2.0  # blocked where the posterior lower bound is above so many corpus rates ...
+    least_limit: float = 0.05
+    most_limit: float = 0.9
     z: float = 1.645  # normal bound, 95 % one-sided
     least_strength: float = 1.0  # of a prior, in pages
     most_strength: float = 1000.0
@@ -95,7 +101,8 @@ def _strength(groups: DataFrame, conf: Reputation) -> tuple[float, float]:
 
 
 def reputations(counts: DataFrame, conf: Reputation = Reputation()) -> DataFrame:
-    """(host, domain, suffix, n, bad) to the posterior of each host: rate, lower bound."""
+    """(host, domain, suffix, n, bad) to the posterior of each host: rate, lower bound, and the
+    limit that the corpus sets."""
     suffixes = counts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = counts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     mean, s_suffix = _strength(suffixes, conf)
@@ -111,7 +118,8 @@ def reputations(counts: DataFrame, conf: Reputation = Reputation()) -> DataFrame
     return (
         counts.join(domain_rate, ["suffix", "domain"])
         .withColumns({"rate": rate, "lower": F.round(rate - F.lit(conf.z) * sd, 9)})
-        .select("host", "n", "bad", "rate", "lower")
+        .withColumn("limit", F.lit(min(conf.most_limit, max(conf.least_limit, conf.lift * mean))))
+        .select("host", "n", "bad", "rate", "lower", "limit")
     )
 
 
@@ -133,7 +141,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, conf: Reputa
     )
     rep = reputations(counts, conf)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    by_method = F.when((F.col("host") != "") & (F.col("lower") > conf.limit), F.lit("block")).otherwise(F.lit("allow"))
+    by_method = F.when((F.col("host") != "") & (F.col("lower") > F.col("limit")), F.lit("block")).otherwise(F.lit("allow"))
     return parts.select("page_id", "host", "path").join(rep, "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"), F.col("lower").alias("bad_rate_bound"),
     )
@@ -192,6 +200,6 @@ ruled AS (SELECT p.page_id, p.host, p.path, rep.lower,
   FROM p LEFT JOIN rep ON p.host = rep.host)
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-       WHEN host <> '' AND lower > 0.5 THEN 'block' ELSE 'allow' END AS verdict, lower AS bad_rate_bound
+       WHEN host <> '' AND lower > (SELECT least(0.9, greatest(0.05, 2 * mean)) FROM tot WHERE lv = 's') THEN 'block' ELSE 'allow' END AS verdict, lower AS bad_rate_bound
 FROM ruled
 """.replace("__SUFFIXES__", ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES))

@@ -261,6 +261,28 @@ def test_url_reputation_shrinks(spark):
     assert verdict[1] == "block" and verdict[300] == "allow" and verdict[900] == "allow"
 
 
+def test_url_reputation_decides_by_the_corpus(spark):
+    """Hosts are blocked for being much worse than their corpus, not for an absolute share; a few
+    bad pages are not enough; siblings of bad hosts are doubted, not blocked unseen."""
+    from pitchside.llm import url_filter as U
+
+    def blocked(rates, n=400):
+        pages, labels = [], []
+        for host, (rate, k) in rates.items():
+            for i in range(k or n):
+                pages.append((len(pages), f"https://{host}/p/{i}"))
+                labels.append((len(labels), int(i % 100 < 100 * rate)))
+        frame = spark.createDataFrame(pages, "page_id long, url string")
+        rows = U.filter_urls(frame, spark.createDataFrame(labels, "page_id long, bad int")).select("host", "verdict").distinct().collect()
+        return {r["host"] for r in rows if r["verdict"] == "block"}
+
+    clean = {f"h{i}.site{i % 7}.com": (0.02, 0) for i in range(30)}
+    assert blocked(clean | {"farm.bad.com": (0.4, 0), "few.site1.com": (1.0, 1), "a.site9.org": (0.02, 0)}) == {"farm.bad.com"}
+    rough = {f"h{i}.site{i % 7}.com": (0.3, 0) for i in range(30)}
+    assert blocked(rough | {"same.site.com": (0.4, 0), "farm.bad.com": (0.95, 0)}) == {"farm.bad.com"}
+    assert blocked(rough) == blocked(clean) == set()
+
+
 def test_best_fit_with_reduction_is_never_worse_than_the_bound():
     from pitchside.llm import packing
 
