@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
+from pitchside.llm.common import split_by_ids, stored
+
 
 @dataclass(frozen=True)
 class Scheme:
@@ -84,7 +86,7 @@ def repeated(found: DataFrame) -> DataFrame:
         .withColumn("n_ctx", F.sum((~F.col("later")).cast("long")).over(group))
         .withColumns({"twin": F.col("later") | F.col("next"), "check": ~F.col("later") & (F.col("n_ctx") > 1)})
         .where("twin OR check")
-        .select("anchor", "_id", "pos", "before", "after", "later", "twin", "check", "n_ctx")
+        .select("anchor", "ctx", "_id", "pos", "before", "after", "later", "twin", "check", "n_ctx")
     )
 
 
@@ -100,8 +102,9 @@ def item_slices(t: K.Texts, s: Scheme, w: K.Words | None, doc: int, start: int,
 def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
     """The contexts to compare, cut out of the texts: (anchor, _id, pos, before, content).
 
-    Under an anchor with too many contexts, every window of the context is a row of its
-    own with null content, keyed by anchor and window hash: equal keys are equal windows.
+    Under an anchor with too many contexts for a task, every window of the context is a row
+    of its own with null content, keyed by anchor and window hash: equal keys are equal windows.
+    Those rows are settled by Spark aggregates (``shards_and_windows``), not in one task.
     """
     wanted = checks.groupBy("_id").agg(F.collect_list(F.struct("anchor", "pos", "before", "after", (F.col("n_ctx") > s.hot).alias("hot"))).alias("at"))
 
@@ -140,6 +143,27 @@ def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
     return docs.join(wanted.hint("SHUFFLE_HASH"), "_id").select("_id", "text", "at").mapInArrow(work, "anchor long, _id long, pos int, before short, content binary")
 
 
+def shards_and_windows(docs: DataFrame, hits: DataFrame, s: Scheme) -> tuple[DataFrame, DataFrame]:
+    """(contexts to compare, sorted by anchor, one task an anchor; places of the windows of hot
+    anchors that repeat: anchor, _id, pos, first)."""
+    checks = hits.where("check")
+    split = {r["hot"]: r["n"] for r in checks.groupBy((F.col("n_ctx") > s.hot).alias("hot")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def part(hot: bool) -> DataFrame:
+        mine = checks.where(F.col("n_ctx") > s.hot) if hot else checks.where(F.col("n_ctx") <= s.hot)
+        near, _ = split_by_ids(docs, mine.select("_id"), split.get(hot, 0))
+        return contexts(near, mine, s)
+
+    shards = part(False).repartition("anchor").sortWithinPartitions("anchor", "_id", "pos")
+    if True not in split:
+        return shards, docs.sparkSession.createDataFrame([], "anchor long, _id long, pos int, first boolean")
+    windows = stored(part(True).select("anchor", "_id", "pos").distinct(), "hot_windows")
+    # first and last places come from partial aggregates; written, so that a join with a large group can be split
+    place = F.struct("_id", "pos")
+    ends = stored(windows.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("anchor", "least"), "hot_ends")
+    return shards, windows.join(ends, "anchor").select("anchor", "_id", "pos", (F.struct("_id", "pos") == F.col("least")).alias("first"))
+
+
 def group_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Groups of equal first column from batches sorted by (anchor, _id, pos), as lists of row tuples."""
     group: list[tuple] = []

@@ -117,9 +117,6 @@ def _stretches(group: list[tuple]) -> Iterator[tuple[int, int, list[bytes]]]:
 
 def shard_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
     """(_id, from, to) of repeated words in the contexts of one anchor, in corpus order."""
-    if group[0][4] is None:  # windows of one content: all but the first
-        first = (group[0][1], group[0][2])
-        return [(g[1], g[2], g[2] + window) for g in group if (g[1], g[2]) != first]
     auto, out = SuffixAutomaton(), []
     for doc, start, words in _stretches(group):
         stats = auto.statistics(words)
@@ -142,9 +139,7 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
     """(_id, from, to) word ranges whose windows all start earlier in the corpus. ``docs``: _id, text."""
     hits = stored(A.repeated(A.anchors(docs, s)), "anchors")
     copies = hits.where("later").select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
-    checks = hits.where("check")
-    n = checks.count()
-    near, _ = split_by_ids(docs, checks.select("_id"), n)
+    shards, windows = A.shards_and_windows(docs, hits, s)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -160,9 +155,8 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
                 out.clear()
         yield batch()
 
-    cut = A.contexts(near, checks, s)
-    shards = cut.repartition("anchor").sortWithinPartitions("anchor", "_id", "pos")
-    return copies.unionByName(shards.mapInArrow(work, "_id long, from int, to int"))
+    again = windows.where("NOT first").select("_id", F.col("pos").alias("from"), (F.col("pos") + s.window).alias("to"))
+    return copies.unionByName(shards.mapInArrow(work, "_id long, from int, to int")).unionByName(again)
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, s: A.Scheme) -> DataFrame:

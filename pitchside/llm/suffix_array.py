@@ -6,10 +6,11 @@ suffixes start at anchors (see ``anchors``), a suffix belongs to the task of its
 anchor, and equal 200-byte strings hold the same anchors at the same offsets. Per
 anchor the suffixes are sorted, the longest common prefixes of neighbours give the
 interval tree by one scan with a stack, and in each interval (prefix length R) the
-left contexts are sorted from the anchor backwards: members whose neighbour shares L
-bytes to the left, L + R >= 200, form a repeat. A repeat is maximal where its members
-come from different children of the interval (they differ to the right) and differ, or
-end, to the left.
+left contexts are sorted from the anchor backwards, and their common prefixes give a second
+tree: members that share L bytes to the left, L + R >= 200, form a repeat. A repeat is maximal
+where its members come from different children of the interval (they differ, or end, to the
+right) and differ, or end, to the left. Removed is what the occurrences of maximal repeats
+cover (``repeat_groups`` returns them).
 
 Contexts that are exact copies of each other are settled by their hashes and enter
 the tree once; an anchor with more different contexts than a task should hold is
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import anchors as A
-from pitchside.llm.common import by_text, identified, public_id, split_by_ids, stored
+from pitchside.llm.common import by_text, identified, public_id, stored
 from pitchside.llm.substrings import apply_spans
 
 # a context is about 1.5 KB in the tree, so the largest takes some 75 MB
@@ -85,21 +86,6 @@ class AnchorTree:
         for length, first, last in lcp_intervals(lcp):
             yield length, o[first : last + 1]
 
-    def chains(self) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """Per interval that has any: (R, [(member, L to its nearest neighbour)]) of the
-        members that share a window with a neighbour in the order of left contexts."""
-        for right, members in self.intervals():
-            need = max(0, self.window - right)
-            members = [m for m in members if self.n_left[m] >= need]
-            if len(members) < 2:
-                continue
-            members.sort(key=self.backward.__getitem__)
-            near = [self._common(self.left, self.n_left, a, b) for a, b in zip(members, members[1:])]
-            best = [max(a, b) for a, b in zip([-1, *near], [*near, -1])]
-            found = [(m, n) for m, n in zip(members, best) if n >= need]
-            if found:
-                yield right, found
-
     def repeats(self) -> Iterator[Repeat]:
         """Maximal repeats: different to the right and to the left among their members."""
         for right, members in self.intervals():
@@ -112,36 +98,39 @@ class AnchorTree:
                     yield Repeat(left, right, group)
 
     def covered(self) -> dict[int, tuple[int, int]]:
-        """Member to the bytes left and right of its anchor that repeats cover (each
-        repeat holds the anchor, so they are one range)."""
+        """Member to the bytes left and right of its anchor that its maximal repeats cover (each
+        holds the anchor, so they are one range). Two members that share a window share the
+        maximal repeat that it extends to, so no repeated byte is missing."""
         out: dict[int, tuple[int, int]] = {}
-        for right, found in self.chains():
-            for m, left in found:
+        for r in self.repeats():
+            for m in r.members:
                 a, b = out.get(m, (0, 0))
-                out[m] = (max(a, left), max(b, right))
+                out[m] = (max(a, r.left), max(b, r.right))
         return out
 
 
+def _tree(group: list[tuple], window: int) -> AnchorTree:
+    return AnchorTree([(g[4][: g[3]], g[4][g[3] :]) for g in group], window)
+
+
 def anchor_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
     """(_id, from, to) of repeated bytes in the contexts of one anchor."""
-    if group[0][4] is None:  # windows of one content
-        places = {(g[1], g[2]) for g in group}
-        return [(d, p, p + window) for d, p in places] if len(places) > 1 else []
-    tree = AnchorTree([(g[4][: g[3]], g[4][g[3] :]) for g in group], window)
-    return [(group[m][1], group[m][2] - a, group[m][2] + b) for m, (a, b) in tree.covered().items()]
+    return [(group[m][1], group[m][2] - a, group[m][2] + b) for m, (a, b) in _tree(group, window).covered().items()]
 
 
-def compared(docs: DataFrame, s: A.Scheme = SCHEME) -> tuple[DataFrame, DataFrame]:
-    """(anchor occurrences that repeat, contexts to compare sorted by anchor)."""
+def compared(docs: DataFrame, s: A.Scheme = SCHEME) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(anchor occurrences that repeat, contexts to compare sorted by anchor, places of the windows of
+    hot anchors that repeat)."""
     hits = stored(A.repeated(A.anchors(docs, s)), "anchors")
-    checks = hits.where("check")
-    near, _ = split_by_ids(docs, checks.select("_id"), checks.count())
-    return hits, A.contexts(near, checks, s).repartition("anchor").sortWithinPartitions("anchor", "_id", "pos")
+    return hits, *A.shards_and_windows(docs, hits, s)
 
 
 def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
-    """(_id, from, to) byte ranges that repeats cover. ``docs``: _id, text."""
-    hits, cut = compared(docs, s)
+    """(_id, from, to) byte ranges that the occurrences of maximal repeats cover. ``docs``: _id, text.
+
+    Occurrences of a context that stands more than once are covered whole; that holds what
+    the trees find for it, so their members need not be joined back here."""
+    hits, trees, windows = compared(docs, s)
     copies = hits.where("twin").select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,25 +147,34 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
                 out.clear()
         yield batch()
 
-    return copies.unionByName(cut.mapInArrow(work, "_id long, from int, to int"))
+    hot = windows.select("_id", F.col("pos").alias("from"), (F.col("pos") + s.window).alias("to"))
+    return copies.unionByName(trees.mapInArrow(work, "_id long, from int, to int")).unionByName(hot)
 
 
 def repeat_groups(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
-    """Maximal repeat groups among different contexts, one row per occurrence: anchor, group
-    (number within the anchor), length, _id, start."""
-    _, cut = compared(identified(docs), s)
+    """Maximal repeat groups with all their occurrences, one row each: anchor, group (text, unique
+    within the anchor), length, _id, start. ``docs``: rows whose doc_id stands for one text.
+
+    Repeats are maximal within the contexts of their anchor: one that is longer than a context comes
+    as a group per anchor in it. Groups are the trees' (of different contexts, whose copies
+    are joined back), the contexts that stand more than once, and, under hot anchors, windows."""
+    hits, trees, windows = compared(identified(docs), s)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in A.group_stream(batches):
-            if group[0][4] is None:
-                found = [Repeat(0, s.window, list(range(len(group))))] if len(group) > 1 else []
-            else:
-                found = AnchorTree([(g[4][: g[3]], g[4][g[3] :]) for g in group], s.window).repeats()
-            rows = [(group[0][0], k, r.left + r.right, group[m][1], group[m][2] - r.left) for k, r in enumerate(found) for m in r.members]
-            cols = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["anchor", "group", "length", "_id", "start"])
-
-    return cut.mapInArrow(work, "anchor long, group long, length long, _id long, start long")
+            rows = [(group[0][0], k, r.left, r.right, group[m][1], group[m][2]) for k, r in enumerate(_tree(group, s.window).repeats()) for m in r.members]
+            cols = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["anchor", "k", "left", "right", "_id", "pos"])
+
+    found = trees.mapInArrow(work, "anchor long, k long, left long, right long, _id long, pos long")
+    contexts = hits.where("check").select("anchor", "ctx", "_id", "pos")
+    members = found.join(contexts, ["anchor", "_id", "pos"]).select("anchor", F.concat(F.lit("tree "), "k").alias("group"), "left", "right", "ctx")
+    whole = hits.where("twin AND NOT later").select("anchor", F.concat(F.lit("context "), "ctx").alias("group"), F.col("before").alias("left"), F.col("after").alias("right"), "ctx")
+    groups = stored(members.unionByName(whole), "repeat_groups")
+    every = hits.select("anchor", "ctx", "_id", "pos").join(groups, ["anchor", "ctx"])
+    out = every.select("anchor", "group", (F.col("left") + F.col("right")).cast("long").alias("length"), "_id", (F.col("pos") - F.col("left")).cast("long").alias("start"))
+    hot = windows.select("anchor", F.lit("window").alias("group"), F.lit(s.window).cast("long").alias("length"), "_id", F.col("pos").cast("long").alias("start"))
+    return out.unionByName(hot)
 
 
 def dedup_bytes(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:

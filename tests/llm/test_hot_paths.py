@@ -66,6 +66,55 @@ def test_repeat_groups_list_all_occurrences(shared):
         assert length >= 200 and len({texts[d][s : s + length] for d, s in places}) == 1 and len(set(places)) == len(places) > 1
 
 
+def _maximal_repeats(texts, least):
+    """string -> places, of the repeats that differ, or end, on both sides."""
+    places: dict = {}
+    for d, t in texts.items():
+        for n in range(least, len(t) + 1):
+            for i in range(len(t) - n + 1):
+                places.setdefault(t[i : i + n], []).append((d, i))
+    end = iter(range(10**9))
+    side = lambda d, i: texts[d][i] if 0 <= i < len(texts[d]) else -1 - next(end)
+    return {
+        x: p for x, p in places.items()
+        if len(p) > 1 and len({side(d, i - 1) for d, i in p}) > 1 and len({side(d, i + len(x)) for d, i in p}) > 1
+    }
+
+
+@pytest.mark.parametrize("hot", [50_000, 3])
+def test_repeat_groups_are_the_maximal_repeats_with_their_copies(spark, hot):
+    """Against all maximal repeats of a small window: every one that fits around an anchor of its own is a
+    group with all its places, exact copies included."""
+    from pitchside.llm import suffix_array as X
+
+    scheme = dataclasses.replace(X.SCHEME, window=12, gram=4, hot=hot)
+    rng = random.Random(6)
+    rows, common = [], "".join(rng.choice("abcdef") for _ in range(16))
+    for i in range(14):
+        own = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 16)))
+        rows.append((i, own + common[rng.randint(0, 2) : rng.randint(14, 16)] + own[:3] if i % 3 else rows[0][1] if i == 9 else own + common))
+    texts = {d: t.encode() for d, t in rows}
+    groups: dict = {}
+    for r in X.repeat_groups(spark.createDataFrame(rows, "doc_id long, text string"), scheme).collect():
+        groups.setdefault((r["anchor"], r["group"]), []).append((r["_id"], r["start"], r["length"]))
+    found = {}
+    for members in groups.values():
+        strings = {texts[d][s : s + n] for d, s, n in members}
+        assert len(strings) == 1 and len(set(members)) == len(members) > 1
+        found.setdefault(strings.pop(), set()).update((d, s) for d, s, _ in members)
+    expected = _maximal_repeats(texts, scheme.window)
+    assert any(len({texts[d] for d, _ in p}) < len(p) for p in expected.values())  # copies of a document
+    if hot == 3:
+        assert {x for x in found if len(x) == scheme.window}
+        covered = lambda places: {(d, k) for x, p in places.items() for d, s in p for k in range(s, s + len(x))}
+        assert covered(found) == covered(expected)
+        return
+    for x, places in expected.items():
+        if len(x) == scheme.window:  # never cut by a context
+            assert found[x] == set(places), x
+    assert all(found[x] <= {(d, i) for d, t in texts.items() for i in range(len(t)) if t.startswith(x, i)} for x in found)
+
+
 @pytest.mark.parametrize(("block", "active", "small"), [(4096, 1024, 32), (4096, 1024, 2), (3, 2, 1)])
 def test_near_duplicates_in_blocks(shared, monkeypatch, block, active, small):
     from pitchside.llm import near_dup as N
