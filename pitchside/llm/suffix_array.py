@@ -54,59 +54,95 @@ def lcp_intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
 
 @dataclass
 class Repeat:
-    """A maximal repeat around one anchor: bytes to its left and right, and its members."""
+    """A maximal repeat around one anchor: bytes to its left and right, and its members:
+    ``order[first : last + 1]``, sorted by their left contexts."""
 
     left: int
     right: int
-    members: list[int]
+    order: list[int]
+    first: int
+    last: int
+
+    @property
+    def members(self) -> list[int]:
+        return self.order[self.first : self.last + 1]
+
+
+def _common(a: int, b: int, width: int) -> int:
+    """Equal leading bytes of two numbers of ``width`` bytes."""
+    return width - ((a ^ b).bit_length() + 7) // 8
 
 
 class AnchorTree:
-    """The sorted suffixes of one anchor, with their left contexts."""
+    """The sorted suffixes of one anchor, with their left contexts as numbers (read backwards from
+    the anchor, padded), so that order and common prefixes of any two are plain arithmetic."""
 
     def __init__(self, parts: list[tuple[bytes, bytes]], window: int) -> None:
         self.window = window
-        self.parts = parts
-        wide = window
-        self.right = [int.from_bytes(r.ljust(wide, b"\0"), "big") for _, r in parts]
-        backward = [left[::-1] for left, _ in parts]
-        self.left = [int.from_bytes(x.ljust(wide, b"\0"), "big") for x in backward]
-        self.n_left = [len(x) for x in backward]
-        self.n_right = [len(r) for _, r in parts]
-        self.backward = backward
-        self.order = sorted(range(len(parts)), key=lambda i: parts[i][1])
-
-    def _common(self, number: list[int], size: list[int], i: int, j: int) -> int:
-        same = self.window - ((number[i] ^ number[j]).bit_length() + 7) // 8
-        return min(same, size[i], size[j])
+        self.right = [r for _, r in parts]
+        self.n_left = [len(left) for left, _ in parts]
+        self.wide = max([window, *self.n_left])
+        self.left = [int.from_bytes(left[::-1].ljust(self.wide, b"\0"), "big") for left, _ in parts]
+        self.rank = [0] * len(parts)
+        for k, i in enumerate(sorted(range(len(parts)), key=self.left.__getitem__)):
+            self.rank[i] = k
 
     def intervals(self) -> Iterator[tuple[int, list[int]]]:
-        o = self.order
-        lcp = [self._common(self.right, self.n_right, a, b) for a, b in zip(o, o[1:])]
+        """(prefix length, members) of the intervals of the suffix array."""
+        right, wide = self.right, max([self.window, *map(len, self.right)])
+        order = sorted(range(len(right)), key=right.__getitem__)
+        lcp, before = [], None
+        for i in order:
+            number = int.from_bytes(right[i].ljust(wide, b"\0"), "big")
+            if before is not None:
+                lcp.append(min(_common(number, before[0], wide), len(right[i]), before[1]))
+            before = number, len(right[i])
         for length, first, last in lcp_intervals(lcp):
-            yield length, o[first : last + 1]
+            yield length, order[first : last + 1]
 
     def repeats(self) -> Iterator[Repeat]:
         """Maximal repeats: different to the right and to the left among their members."""
+        left, n_left, nexts = self.left, self.n_left, self.right
         for right, members in self.intervals():
             need = max(0, self.window - right)
-            members = sorted((m for m in members if self.n_left[m] >= need), key=self.backward.__getitem__)
-            near = [self._common(self.left, self.n_left, a, b) for a, b in zip(members, members[1:])]
-            for left, first, last in lcp_intervals(near):
-                group = members[first : last + 1]
-                if left >= need and len({self.parts[m][1][right : right + 1] or m for m in group}) > 1:
-                    yield Repeat(left, right, group)
+            order = sorted((m for m in members if n_left[m] >= need), key=self.rank.__getitem__)
+            if len(order) < 2:
+                continue
+            near = [min(_common(left[a], left[b], self.wide), n_left[a], n_left[b]) for a, b in zip(order, order[1:])]
+            if max(near) < need:
+                continue
+            # members of different children of the interval: the next byte differs, or a suffix ends
+            byte = [nexts[m][right] if right < len(nexts[m]) else 256 + m for m in order]
+            changes = [0]
+            for x, y in zip(byte, byte[1:]):
+                changes.append(changes[-1] + (x != y))
+            for length, first, last in lcp_intervals(near):
+                if length >= need and changes[last] > changes[first]:
+                    yield Repeat(length, right, order, first, last)
 
     def covered(self) -> dict[int, tuple[int, int]]:
         """Member to the bytes left and right of its anchor that its maximal repeats cover (each
         holds the anchor, so they are one range). Two members that share a window share the
-        maximal repeat that it extends to, so no repeated byte is missing."""
-        out: dict[int, tuple[int, int]] = {}
+        maximal repeat that it extends to, so no repeated byte is missing.
+
+        Repeats of one interval come inner ones first, with more to the left; a member
+        takes the first that it is in and is passed over after that."""
+        most_left, most_right = [-1] * len(self.right), [0] * len(self.right)
+        order, free = None, []
         for r in self.repeats():
-            for m in r.members:
-                a, b = out.get(m, (0, 0))
-                out[m] = (max(a, r.left), max(b, r.right))
-        return out
+            if r.order is not order:
+                order, free = r.order, list(range(len(r.order) + 1))  # the next place not taken
+            k = r.first
+            while True:
+                while free[k] != k:
+                    free[k] = free[free[k]]
+                    k = free[k]
+                if k > r.last:
+                    break
+                m = order[k]
+                most_left[m], most_right[m] = max(most_left[m], r.left), max(most_right[m], r.right)
+                free[k] = k + 1
+        return {m: (a, b) for m, (a, b) in enumerate(zip(most_left, most_right)) if a >= 0}
 
 
 def _tree(group: list[tuple], window: int) -> AnchorTree:
