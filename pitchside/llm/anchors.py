@@ -66,7 +66,7 @@ def anchors(docs: DataFrame, s: Scheme) -> DataFrame:
                     ["anchor", "ctx", "_id", "pos", "before", "after"],
                 )
 
-    return docs.mapInArrow(work, "anchor long, ctx long, _id long, pos int, before short, after short")
+    return docs.mapInArrow(K.tidy(work), "anchor long, ctx long, _id long, pos int, before short, after short")
 
 
 def repeated(found: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
                     ["anchor", "_id", "pos", "before", "content"],
                 )
 
-    return docs.join(wanted.hint("SHUFFLE_HASH"), "_id").select("_id", "text", "at").mapInArrow(work, "anchor long, _id long, pos int, before short, content binary")
+    return docs.join(wanted.hint("SHUFFLE_HASH"), "_id").select("_id", "text", "at").mapInArrow(K.tidy(work), "anchor long, _id long, pos int, before short, content binary")
 
 
 def shards_and_windows(docs: DataFrame, hits: DataFrame, s: Scheme) -> tuple[DataFrame, DataFrame]:

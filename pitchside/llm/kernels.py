@@ -9,6 +9,8 @@ span two lookups.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +43,23 @@ BYTE_VALUES = stream(11, 256)
 FOLDED_VALUES = BYTE_VALUES.copy()  # A-Z hash like a-z
 FOLDED_VALUES[65:91] = BYTE_VALUES[97:123]
 
+def tidy(work):
+    """``work`` for mapInArrow whose worker gives its memory back after each task: workers are
+    used again, and what one stage held would else stay beside the next one's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 # byte classes; every byte of a multi-byte character is >= 0x80, so classes that
 # hold all non-ASCII characters can be decided byte by byte
 SPACE = np.zeros(256, bool)

@@ -156,7 +156,7 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
         yield batch()
 
     again = windows.where("NOT first").select("_id", F.col("pos").alias("from"), (F.col("pos") + s.window).alias("to"))
-    return copies.unionByName(shards.mapInArrow(work, "_id long, from int, to int")).unionByName(again)
+    return copies.unionByName(shards.mapInArrow(K.tidy(work), "_id long, from int, to int")).unionByName(again)
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, s: A.Scheme) -> DataFrame:
@@ -198,7 +198,7 @@ def apply_spans(docs: DataFrame, spans: DataFrame, s: A.Scheme) -> DataFrame:
 
     touched, clean = split_by_ids(docs, spans.select("_id"), spans.count())
     joined = touched.join(A.spans_by_document(spans).hint("SHUFFLE_HASH"), "_id", "left").select("_id", "text", "spans")
-    return joined.mapInArrow(work, schema).unionByName(clean.mapInArrow(work, schema))
+    return joined.mapInArrow(K.tidy(work), schema).unionByName(clean.mapInArrow(K.tidy(work), schema))
 
 
 def dedup_substrings(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:

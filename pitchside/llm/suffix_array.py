@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm import anchors as A
+from pitchside.llm import kernels as K
 from pitchside.llm.common import by_text, identified, public_id, stored
 from pitchside.llm.substrings import apply_spans
 
@@ -184,7 +185,7 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
         yield batch()
 
     hot = windows.select("_id", F.col("pos").alias("from"), (F.col("pos") + s.window).alias("to"))
-    return copies.unionByName(trees.mapInArrow(work, "_id long, from int, to int")).unionByName(hot)
+    return copies.unionByName(trees.mapInArrow(K.tidy(work), "_id long, from int, to int")).unionByName(hot)
 
 
 def repeat_groups(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
@@ -202,7 +203,7 @@ def repeat_groups(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
             cols = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["anchor", "k", "left", "right", "_id", "pos"])
 
-    found = trees.mapInArrow(work, "anchor long, k long, left long, right long, _id long, pos long")
+    found = trees.mapInArrow(K.tidy(work), "anchor long, k long, left long, right long, _id long, pos long")
     contexts = hits.where("check").select("anchor", "ctx", "_id", "pos")
     members = found.join(contexts, ["anchor", "_id", "pos"]).select("anchor", F.concat(F.lit("tree "), "k").alias("group"), "left", "right", "ctx")
     whole = hits.where("twin AND NOT later").select("anchor", F.concat(F.lit("context "), "ctx").alias("group"), F.col("before").alias("left"), F.col("after").alias("right"), "ctx")
