@@ -309,9 +309,11 @@ def nearest_pairs(members: DataFrame, comps: DataFrame, classes: DataFrame, test
 
     pairs = rows.groupBy("key", "block", "sub").applyInArrow(work, "active long, mate long, distance long")
     ordered = (F.least("active", "mate").alias("a"), F.greatest("active", "mate").alias("b"))
-    fresh = pairs.groupBy("active", "mate").agg(F.min("distance").alias("distance")).select("active", "distance", *ordered).join(tested, ["a", "b"], "left_anti")
-    place = F.row_number().over(Window.partitionBy("active").orderBy("distance", "a", "b"))
-    return fresh.withColumn("place", place).where(F.col("place") <= NEAREST).select("a", "b").distinct()
+    near = lambda df, n: df.withColumn("place", F.row_number().over(Window.partitionBy("active").orderBy("distance", "a", "b"))).where(F.col("place") <= n)
+    # a member is met in many buckets: its nearest over all of them first, with one to spare for the
+    # pair that the first step tested
+    best = near(pairs.groupBy("active", "mate").agg(F.min("distance").alias("distance")).select("active", "distance", *ordered), NEAREST + 1)
+    return near(best.drop("place").join(tested, ["a", "b"], "left_anti"), NEAREST).select("a", "b").distinct()
 
 
 def group_links(docs: DataFrame, members: DataFrame, comps: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
