@@ -44,7 +44,8 @@ MAX_DISTANCE = 36  # 5.6 standard deviations above the mean at 0.8
 BLOCK = 4096  # bucket members compared in one task at once ...
 ACTIVE = 1024  # ... with so many that are outside the bucket's commonest component
 SMALL = 32  # buckets up to this size are compared whole, many at a time
-NEAREST = 4  # bucket mates tried per round before all are
+NEAREST = 4  # mates tried per round before all are ...
+PER_BUCKET = 2  # ... the nearest of so many from each bucket that a member is in
 ROUNDS = 1
 SET_BYTES = 32 << 20  # shingle sets a task keeps while it confirms pairs
 _MULT = K.stream(101, HASHES) | np.uint64(1)
@@ -302,7 +303,7 @@ def nearest_pairs(members: DataFrame, comps: DataFrame, classes: DataFrame, test
         found = [np.zeros((3, 0), np.int64)]
         for i in np.flatnonzero(active):
             at, d = _likely(i, mate, comp, size, sig, percent)
-            best = np.lexsort((rep[at], d))[:NEAREST]
+            best = np.lexsort((rep[at], d))[:PER_BUCKET]
             found.append(np.stack([np.full(len(best), rep[i]), rep[at[best]], d[best]]))
         a, b, d = np.concatenate(found, 1)
         return pa.table({"active": pa.array(a, pa.int64()), "mate": pa.array(b, pa.int64()), "distance": pa.array(d, pa.int64())})
