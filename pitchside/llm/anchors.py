@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import split_by_ids, stored
+from pitchside.llm.common import split_by_ids, stored, with_group
 
 
 @dataclass(frozen=True)
@@ -69,25 +69,25 @@ def anchors(docs: DataFrame, s: Scheme) -> DataFrame:
     return docs.mapInArrow(K.tidy(work), "anchor long, ctx long, _id long, pos int, before short, after short")
 
 
-def repeated(found: DataFrame) -> DataFrame:
-    """Occurrences of anchors that occur more than once: whether the context has an
-    earlier copy or any other copy, and whether it must be compared with others.
+def repeated(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(contexts to compare with others, occurrences of contexts that stand more than once).
 
-    ``later``: the same context starts earlier. ``twin``: the same context occurs elsewhere.
-    ``check``: first of its context, and the anchor has other contexts; ``n_ctx`` counts them.
+    The first: the first place (_id, pos) of every context of an anchor that has several;
+    ``n_ctx`` counts them. The second: rows of ``found`` whose context also stands at another
+    place; ``later``: at an earlier one. Places are found by partial aggregates, and rows meet
+    them by joins that take no large group into one task, so an anchor or a context that a
+    third of all documents hold is no task of its own.
     """
-    group = Window.partitionBy("anchor")
-    order = group.orderBy("ctx", "_id", "pos")
-    same = lambda c: F.coalesce(c == F.col("ctx"), F.lit(False))
-    again = same(F.lag("ctx").over(order)) & (F.lag("_id").over(order) == F.col("_id")) & (F.lag("pos").over(order) == F.col("pos"))
-    return (
-        found.withColumn("again", again).where(~F.col("again"))  # rows that repeat a document
-        .withColumns({"later": same(F.lag("ctx").over(order)), "next": same(F.lead("ctx").over(order))})
-        .withColumn("n_ctx", F.sum((~F.col("later")).cast("long")).over(group))
-        .withColumns({"twin": F.col("later") | F.col("next"), "check": ~F.col("later") & (F.col("n_ctx") > 1)})
-        .where("twin OR check")
-        .select("anchor", "ctx", "_id", "pos", "before", "after", "later", "twin", "check", "n_ctx")
-    )
+    found = stored(found, "occurrences")
+    place = F.struct("_id", "pos")
+    both = found.groupBy("anchor", "ctx").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.min("before").alias("before"), F.min("after").alias("after"), F.count(F.lit(1)).alias("n"))
+    seen = stored(both.withColumn("twin", F.col("least") != F.col("most")).drop("most"), "contexts")
+    several = stored(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_ctx")).where("n_ctx > 1"), "several")
+    n_seen, n_found = seen.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    checks = with_group(seen, several, ["anchor"], "n_ctx", n_seen).select("anchor", "ctx", "least._id", "least.pos", "before", "after", "n_ctx")
+    copied = seen.where("twin").select("anchor", "ctx", "least", "n")
+    copies = with_group(found, copied, ["anchor", "ctx"], "n", n_found).withColumn("later", F.struct("_id", "pos") != F.col("least"))
+    return stored(checks, "checks"), copies.select("anchor", "ctx", "_id", "pos", "before", "after", "later")
 
 
 def item_slices(t: K.Texts, s: Scheme, w: K.Words | None, doc: int, start: int, end: int) -> bytes:
@@ -143,10 +143,9 @@ def contexts(docs: DataFrame, checks: DataFrame, s: Scheme) -> DataFrame:
     return docs.join(wanted.hint("SHUFFLE_HASH"), "_id").select("_id", "text", "at").mapInArrow(K.tidy(work), "anchor long, _id long, pos int, before short, content binary")
 
 
-def shards_and_windows(docs: DataFrame, hits: DataFrame, s: Scheme) -> tuple[DataFrame, DataFrame]:
+def shards_and_windows(docs: DataFrame, checks: DataFrame, s: Scheme) -> tuple[DataFrame, DataFrame]:
     """(contexts to compare, sorted by anchor, one task an anchor; places of the windows of hot
     anchors that repeat: anchor, _id, pos, first)."""
-    checks = hits.where("check")
     split = {r["hot"]: r["n"] for r in checks.groupBy((F.col("n_ctx") > s.hot).alias("hot")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def part(hot: bool) -> DataFrame:
@@ -158,10 +157,9 @@ def shards_and_windows(docs: DataFrame, hits: DataFrame, s: Scheme) -> tuple[Dat
     if True not in split:
         return shards, docs.sparkSession.createDataFrame([], "anchor long, _id long, pos int, first boolean")
     windows = stored(part(True).select("anchor", "_id", "pos").distinct(), "hot_windows")
-    # first and last places come from partial aggregates; written, so that a join with a large group can be split
     place = F.struct("_id", "pos")
-    ends = stored(windows.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("anchor", "least"), "hot_ends")
-    return shards, windows.join(ends, "anchor").select("anchor", "_id", "pos", (F.struct("_id", "pos") == F.col("least")).alias("first"))
+    ends = stored(windows.groupBy("anchor").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most").drop("most"), "hot_ends")
+    return shards, with_group(windows, ends, ["anchor"], "n", windows.count()).select("anchor", "_id", "pos", (F.struct("_id", "pos") == F.col("least")).alias("first"))
 
 
 def group_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:

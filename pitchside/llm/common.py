@@ -59,6 +59,22 @@ def bits_set(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+SHARE = 1024
+
+
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` joined with the row of their group (inner join on ``keys``).
+
+    ``size`` of ``groups`` counts a group's rows among the ``total`` rows. Fewer than ``SHARE``
+    groups can hold more than that share of them: these are broadcast, and their rows stay
+    where they are; the others meet in an exchange where no group is large.
+    """
+    large = F.col(size) * SHARE > total
+    mine = rows.join(F.broadcast(groups.where(large)), keys)
+    rest = rows.join(F.broadcast(groups.where(large).select(*keys)), keys, "left_anti")
+    return mine.unionByName(rest.join(groups.where(~large), keys))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame does not have (in any case)."""
     have = {c.lower() for c in df.columns}

@@ -137,9 +137,9 @@ def shard_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
 
 def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
     """(_id, from, to) word ranges whose windows all start earlier in the corpus. ``docs``: _id, text."""
-    hits = stored(A.repeated(A.anchors(docs, s)), "anchors")
-    copies = hits.where("later").select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
-    shards, windows = A.shards_and_windows(docs, hits, s)
+    checks, again = A.repeated(A.anchors(docs, s))
+    copies = again.where("later").select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
+    shards, windows = A.shards_and_windows(docs, checks, s)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -155,8 +155,8 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
                 out.clear()
         yield batch()
 
-    again = windows.where("NOT first").select("_id", F.col("pos").alias("from"), (F.col("pos") + s.window).alias("to"))
-    return copies.unionByName(shards.mapInArrow(K.tidy(work), "_id long, from int, to int")).unionByName(again)
+    hot = windows.where("NOT first").select("_id", F.col("pos").alias("from"), (F.col("pos") + s.window).alias("to"))
+    return copies.unionByName(shards.mapInArrow(K.tidy(work), "_id long, from int, to int")).unionByName(hot)
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, s: A.Scheme) -> DataFrame:

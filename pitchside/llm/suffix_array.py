@@ -155,11 +155,11 @@ def anchor_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
     return [(group[m][1], group[m][2] - a, group[m][2] + b) for m, (a, b) in _tree(group, window).covered().items()]
 
 
-def compared(docs: DataFrame, s: A.Scheme = SCHEME) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(anchor occurrences that repeat, contexts to compare sorted by anchor, places of the windows of
-    hot anchors that repeat)."""
-    hits = stored(A.repeated(A.anchors(docs, s)), "anchors")
-    return hits, *A.shards_and_windows(docs, hits, s)
+def compared(docs: DataFrame, s: A.Scheme = SCHEME) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(first places of contexts to compare, occurrences of contexts that stand more than once, contexts to
+    compare sorted by anchor, places of the windows of hot anchors that repeat)."""
+    checks, again = A.repeated(A.anchors(docs, s))
+    return checks, again, *A.shards_and_windows(docs, checks, s)
 
 
 def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
@@ -167,8 +167,8 @@ def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
 
     Occurrences of a context that stands more than once are covered whole; that holds what
     the trees find for it, so their members need not be joined back here."""
-    hits, trees, windows = compared(docs, s)
-    copies = hits.where("twin").select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
+    _, again, trees, windows = compared(docs, s)
+    copies = again.select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -195,7 +195,8 @@ def repeat_groups(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
     Repeats are maximal within the contexts of their anchor: one that is longer than a context comes
     as a group per anchor in it. Groups are the trees' (of different contexts, whose copies
     are joined back), the contexts that stand more than once, and, under hot anchors, windows."""
-    hits, trees, windows = compared(identified(docs), s)
+    checks, again, trees, windows = compared(identified(docs), s)
+    again = stored(again.distinct(), "copies")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in A.group_stream(batches):
@@ -204,11 +205,11 @@ def repeat_groups(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["anchor", "k", "left", "right", "_id", "pos"])
 
     found = trees.mapInArrow(K.tidy(work), "anchor long, k long, left long, right long, _id long, pos long")
-    contexts = hits.where("check").select("anchor", "ctx", "_id", "pos")
+    contexts = checks.select("anchor", "ctx", "_id", "pos")
     members = found.join(contexts, ["anchor", "_id", "pos"]).select("anchor", F.concat(F.lit("tree "), "k").alias("group"), "left", "right", "ctx")
-    whole = hits.where("twin AND NOT later").select("anchor", F.concat(F.lit("context "), "ctx").alias("group"), F.col("before").alias("left"), F.col("after").alias("right"), "ctx")
+    whole = again.where("NOT later").select("anchor", F.concat(F.lit("context "), "ctx").alias("group"), F.col("before").alias("left"), F.col("after").alias("right"), "ctx")
     groups = stored(members.unionByName(whole), "repeat_groups")
-    every = hits.select("anchor", "ctx", "_id", "pos").join(groups, ["anchor", "ctx"])
+    every = contexts.unionByName(again.select("anchor", "ctx", "_id", "pos")).distinct().join(groups, ["anchor", "ctx"])
     out = every.select("anchor", "group", (F.col("left") + F.col("right")).cast("long").alias("length"), "_id", (F.col("pos") - F.col("left")).cast("long").alias("start"))
     hot = windows.select("anchor", F.lit("window").alias("group"), F.lit(s.window).cast("long").alias("length"), "_id", F.col("pos").cast("long").alias("start"))
     return out.unionByName(hot)

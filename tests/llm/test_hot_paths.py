@@ -35,6 +35,30 @@ def _kept(df):
     return sorted((r["_id"], r["n_items"], r["n_removed"], r["h"]) for r in df.select("_id", "n_items", "n_removed", F.sha2("kept", 256).alias("h")).collect())
 
 
+@pytest.mark.parametrize("share", [1, 8, 1024])
+def test_rows_meet_their_group_on_both_ways(spark, monkeypatch, share):
+    from pitchside.llm import common
+
+    monkeypatch.setattr(common, "SHARE", share)
+    rows = [(0, i) for i in range(40)] + [(i % 12, i) for i in range(1, 30)] + [(99, 0)]
+    count = {k: sum(r[0] == k for r in rows) for k, _ in rows}
+    groups = [(k, n, -k) for k, n in count.items() if k != 99]
+    out = common.with_group(spark.createDataFrame(rows, "k long, v long"), spark.createDataFrame(groups, "k long, n long, w long"), ["k"], "n", len(rows))
+    assert sorted((r["k"], r["v"], r["w"]) for r in out.collect()) == sorted((k, v, -k) for k, v in rows if k != 99)
+
+
+@pytest.mark.parametrize("share", [1, 40])
+def test_large_contexts_in_substring_and_suffix_array_dedup(shared, monkeypatch, share):
+    from pitchside.llm import common
+    from pitchside.llm import substrings as S
+    from pitchside.llm import suffix_array as X
+
+    monkeypatch.setattr(common, "SHARE", share)
+    docs, rows = shared
+    assert _kept(S.dedup_substrings(docs, dataclasses.replace(S.SCHEME, hot=2))) == sorted(brute.substrings(rows))
+    assert _kept(X.dedup_bytes(docs, dataclasses.replace(X.SCHEME, hot=2))) == sorted((d, n, k, h) for d, n, k, _, h in brute.byte_repeats(rows))
+
+
 def test_split_anchors_in_substring_dedup(shared):
     from pitchside.llm import substrings as S
 
