@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchside.llm import kernels as K
-from pitchside.llm.common import split_by_ids, stored, with_group
+from pitchside.llm.common import MAP_BITS, bit_map, bits_set, split_by_ids, stored, with_group
 
 
 @dataclass(frozen=True)
@@ -52,14 +52,20 @@ def anchors_of(values: np.ndarray, bounds: np.ndarray, s: Scheme) -> dict[str, n
     return {"doc": doc, "anchor": h[pos], "ctx": ctx, "pos": pos - bounds[doc], "before": before, "after": after}
 
 
-def anchors(docs: DataFrame, s: Scheme) -> DataFrame:
-    """(anchor, ctx, _id, pos, before, after) of every text; positions in items of the text."""
+def anchors(docs: DataFrame, s: Scheme, known: np.ndarray | None = None) -> DataFrame:
+    """(anchor, ctx, _id, pos, before, after) of every text; positions in items of the text.
+
+    ``known``: a bit map of contexts; anchors whose context is not in it are left out."""
+    sent = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t in K.runs(b.column(1), s.run_bytes):
                 values, bounds, _ = s.items(t)
                 a = anchors_of(values, bounds, s)
+                if sent is not None:
+                    keep = bits_set(sent.value, a["ctx"])
+                    a = {k: v[keep] for k, v in a.items()}
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a["anchor"].view(np.int64)), pa.array(a["ctx"].view(np.int64)), b.column(0).take(pa.array(a["doc"] + t.first)),
                      pa.array(a["pos"], pa.int32()), pa.array(a["before"], pa.int16()), pa.array(a["after"], pa.int16())],
@@ -69,24 +75,26 @@ def anchors(docs: DataFrame, s: Scheme) -> DataFrame:
     return docs.mapInArrow(K.tidy(work), "anchor long, ctx long, _id long, pos int, before short, after short")
 
 
-def repeated(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated(docs: DataFrame, s: Scheme) -> tuple[DataFrame, DataFrame]:
     """(contexts to compare with others, occurrences of contexts that stand more than once).
 
     The first: the first place (_id, pos) of every context of an anchor that has several;
-    ``n_ctx`` counts them. The second: rows of ``found`` whose context also stands at another
+    ``n_ctx`` counts them. The second: anchors whose context also stands at another
     place; ``later``: at an earlier one. Places are found by partial aggregates, and rows meet
     them by joins that take no large group into one task, so an anchor or a context that a
-    third of all documents hold is no task of its own.
+    third of all documents hold is no task of its own. The second is read from the texts
+    again behind a bounded bit map, so other anchors are neither written nor exchanged.
     """
-    found = stored(found, "occurrences")
     place = F.struct("_id", "pos")
-    both = found.groupBy("anchor", "ctx").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.min("before").alias("before"), F.min("after").alias("after"), F.count(F.lit(1)).alias("n"))
+    both = anchors(docs, s).groupBy("anchor", "ctx").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.min("before").alias("before"), F.min("after").alias("after"), F.count(F.lit(1)).alias("n"))
     seen = stored(both.withColumn("twin", F.col("least") != F.col("most")).drop("most"), "contexts")
     several = stored(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_ctx")).where("n_ctx > 1"), "several")
-    n_seen, n_found = seen.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_seen, n_copied = seen.agg(F.count(F.lit(1)), F.count_if("twin")).first()
     checks = with_group(seen, several, ["anchor"], "n_ctx", n_seen).select("anchor", "ctx", "least._id", "least.pos", "before", "after", "n_ctx")
     copied = seen.where("twin").select("anchor", "ctx", "least", "n")
-    copies = with_group(found, copied, ["anchor", "ctx"], "n", n_found).withColumn("later", F.struct("_id", "pos") != F.col("least"))
+    known = bit_map(copied, "ctx", min(MAP_BITS, max(1 << 12, 1 << (16 * n_copied).bit_length())))
+    found = stored(anchors(docs, s, known), "occurrences")
+    copies = with_group(found, copied, ["anchor", "ctx"], "n", found.count()).withColumn("later", F.struct("_id", "pos") != F.col("least"))
     return stored(checks, "checks"), copies.select("anchor", "ctx", "_id", "pos", "before", "after", "later")
 
 

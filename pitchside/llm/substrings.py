@@ -137,7 +137,7 @@ def shard_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
 
 def repeated_spans(docs: DataFrame, s: A.Scheme = SCHEME) -> DataFrame:
     """(_id, from, to) word ranges whose windows all start earlier in the corpus. ``docs``: _id, text."""
-    checks, again = A.repeated(A.anchors(docs, s))
+    checks, again = A.repeated(docs, s)
     copies = again.where("later").select("_id", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("to"))
     shards, windows = A.shards_and_windows(docs, checks, s)
 

@@ -158,7 +158,7 @@ def anchor_spans(group: list[tuple], window: int) -> list[tuple[int, int, int]]:
 def compared(docs: DataFrame, s: A.Scheme = SCHEME) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(first places of contexts to compare, occurrences of contexts that stand more than once, contexts to
     compare sorted by anchor, places of the windows of hot anchors that repeat)."""
-    checks, again = A.repeated(A.anchors(docs, s))
+    checks, again = A.repeated(docs, s)
     return checks, again, *A.shards_and_windows(docs, checks, s)
 
 
