@@ -645,12 +645,23 @@ def s7(wh: Warehouse) -> DataFrame:
     return files.read_csv(wh.raw.spark, folder, preds.schema)
 
 
+# what team performance and knockout analysis need of a match
+MART_MATCH_COLS = (
+    "year", "match_date", "round", "host", "home_team", "away_team", "home_score", "away_score", "home_xg", "away_xg",
+    "home_pens", "away_pens", "total_goals", "decided_on_pens", "winner",
+)
+
+
 @register("s9_publish_snapshot")
 def s9(wh: Warehouse) -> DataFrame:
     """Two marts published twice under a database of this run's own; rows by relation, from
-    the snapshot as readers open it and from the catalog."""
+    the snapshot as readers open it and from the catalog.
+
+    The matches are joined once: what the marts read of them is written, and all four writes of
+    marts start from these files."""
     spark = wh.raw.spark
     folder = _run_folder(wh, "snapshot")
+    wh = wh.with_written_matches(MART_MATCH_COLS)
     db = f"{store.database_prefix(spark)}published_{folder.rsplit('-', 1)[1]}"
     rel = {f"{db}.team_performance": wh.team_performance, f"{db}.knockout_analysis": wh.knockout_analysis}
     for _ in range(2):

@@ -7,6 +7,7 @@ lineage itself and nothing is computed until an action needs it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,6 +127,14 @@ class Warehouse:
         for name, path in paths.items():
             self.__dict__[LAYERS[name]] = spark.read.parquet(path)
 
+    def with_written_matches(self, cols: Sequence[str]) -> Warehouse:
+        """The same layers over these columns of stg.matches, written once: relations that are
+        written one by one do not join the raw matches again each time, and columns that none of
+        them reads take no part in that join."""
+        out = Warehouse(self.raw, self.scope)
+        out.__dict__["stg_matches"] = store.materialize(self.stg_matches.select(*cols), "stg_matches")
+        return out
+
     def layer_counts(self) -> DataFrame:
         """Row count of each relation, as one DataFrame (one job)."""
         parts = [

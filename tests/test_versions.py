@@ -7,7 +7,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from pitchside.plans import pipeline, predict
+from pitchside.plans import catalog, pipeline, predict
+from pitchside.plans.layers import Warehouse
 from pitchside.sources import bridge, files, hadoop, sinks, store
 from pitchside.sources.ledger import Ledger, fingerprint
 from pitchside.sources.versions import Conflict, Versions
@@ -155,3 +156,47 @@ def test_a_job_whose_draft_lost_its_number_builds_again(spark, tmp_path, monkeyp
     Versions(spark, f"{out}/snapshot").write({"other": spark.range(1)})
     done = pipeline.run_pipeline(spark, out, sf_dir=SF_SMALL, prefix="lost_")
     assert done.skipped == ["ingest"] and Versions(spark, f"{out}/snapshot").version().number == 2
+
+
+@pytest.fixture(scope="module")
+def star(spark, tmp_path_factory):
+    """Star tables with a repeated order and lines without a supplier, a quantity or a tax."""
+    where = str(tmp_path_factory.mktemp("star"))
+    spark.range(3).selectExpr("id AS r_regionkey", "concat('REGION_', id) AS r_name").write.parquet(f"{where}/region.parquet")
+    spark.range(6).selectExpr("id AS n_nationkey", "concat('NATION_', id) AS n_name", "id % 3 AS n_regionkey").write.parquet(f"{where}/nation.parquet")
+    spark.range(12).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "id % 6 AS c_nationkey").write.parquet(f"{where}/customer.parquet")
+    spark.range(8).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name", "(id * 5) % 6 AS s_nationkey").write.parquet(f"{where}/supplier.parquet")
+    orders = spark.range(60).selectExpr(
+        "id AS o_orderkey", "id % 12 AS o_custkey", "'O' AS o_orderstatus", "id * 10.5D AS o_totalprice",
+        "make_timestamp_ntz(1997 + CAST(id % 4 AS INT), 1 + CAST(id % 12 AS INT), 3, 0, 0, 0) AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    orders.unionByName(orders.where("o_orderkey = 7")).write.parquet(f"{where}/orders.parquet")
+    spark.range(900).selectExpr(
+        "id % 60 AS l_orderkey", "id * 7 AS l_partkey", "nullif(id % 9, 8) AS l_suppkey", "CAST(1 + id % 7 AS INT) AS l_linenumber",
+        "CAST(nullif(id % 11, 10) AS DOUBLE) AS l_quantity", "id * 1.5D AS l_extendedprice", "(id % 8) / 16.0D AS l_discount", "nullif((id % 5) / 32.0D, 0.0D) AS l_tax",
+    ).write.parquet(f"{where}/lineitem.parquet")
+    return where
+
+
+def test_published_marts_do_not_join_the_raw_matches_again(spark, star, monkeypatch):
+    """Every write of a mart starts from the written matches, not from the star tables."""
+    read, publish = [], sinks.publish
+
+    def seen(spark, relations, *args, **options):
+        read.extend(f for df in relations.values() for f in df.inputFiles())
+        return publish(spark, relations, *args, **options)
+
+    monkeypatch.setattr(sinks, "publish", seen)
+    wh = Warehouse.from_star(spark, star)
+    got = {r["relation"]: r["n_rows"] for r in catalog.s9(wh).collect()}
+    assert got == {"team_performance": wh.team_performance.count(), "knockout_analysis": wh.knockout_analysis.count()}
+    assert min(got.values()) > 0
+    assert read and not [f for f in read if star in f]
+
+
+def test_written_matches_give_the_same_marts(spark, star):
+    wh = Warehouse.from_star(spark, star)
+    narrow = wh.with_written_matches(catalog.MART_MATCH_COLS)
+    for name in ("team_performance", "knockout_analysis"):
+        rows = [sorted(map(str, getattr(w, name).collect())) for w in (wh, narrow)]
+        assert rows[0] == rows[1] and rows[0]
