@@ -24,8 +24,10 @@ serve every metric, so the intervals are jointly consistent.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -222,20 +224,104 @@ def poisson_weight(u: Column) -> Column:
     return w
 
 
+_WEIGHT_BITS = 16  # leading bits of a hash that nearly always tell its weight
+_BLOCK = 64  # rows whose weights are made at once: the numbers stay in the processor's cache
+
+
+def _mix32_np(x: np.ndarray, spare: np.ndarray) -> None:
+    """``_mix32`` on unsigned 32-bit integers, in place."""
+    for _ in range(2):
+        np.right_shift(x, 16, out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        np.multiply(x, np.uint32(_MIX), out=x)
+    np.right_shift(x, 16, out=spare)
+    np.bitwise_xor(x, spare, out=x)
+
+
+def _weight_of(u: np.ndarray) -> np.ndarray:
+    """``poisson_weight`` of 63-bit integers as numbers in [0, 1)."""
+    return np.searchsorted(np.array(POISSON1_CDF), u.astype(np.float64) / _TWO63, side="right")
+
+
+def poisson_weights(keys: np.ndarray, n_resamples: int, seed: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Weights of rows (64-bit keys) by resample, as float matrices for a few rows at a time: the
+    numbers that ``with_mix_hash`` and ``poisson_weight`` give. A matrix is used again."""
+    rest = 63 - _WEIGHT_BITS
+    cell = np.arange(1 << _WEIGHT_BITS, dtype=np.int64) << rest
+    low, high = _weight_of(cell), _weight_of(cell + ((1 << rest) - 1))
+    table = np.where(low == high, low, 255).astype(np.uint8)  # 255: the rest of the hash decides
+    resample = np.arange(n_resamples, dtype=np.int64).astype(np.uint32) ^ np.uint32(seed & _M32)
+    _mix32_np(resample, np.empty_like(resample))
+    bits = keys.astype(np.int64).view(np.uint64)
+    first = (bits & np.uint64(_M32)).astype(np.uint32)
+    # the signed shift of a negative key has its ones above bit 31 as well: they come down in the first shift
+    second, signs = (bits >> np.uint64(32)).astype(np.uint32), keys < 0
+    shape = (min(_BLOCK, len(keys)), n_resamples)
+    h_, hi_, spare_ = (np.empty(shape, np.uint32) for _ in range(3))
+    w_, out_ = np.empty(shape, np.uint8), np.empty(shape, np.float64)
+    for lo in range(0, len(keys), _BLOCK):
+        part = slice(lo, min(lo + _BLOCK, len(keys)))
+        n = part.stop - lo
+        h, hi, spare, w, out = h_[:n], hi_[:n], spare_[:n], w_[:n], out_[:n]
+        np.bitwise_xor(resample[None, :], first[part, None], out=h)
+        _mix32_np(h, spare)
+        np.bitwise_xor(h, second[part, None], out=h)
+        if signs[part].any():
+            spare[:] = h >> np.uint32(16)
+            spare[signs[part]] |= np.uint32(0xFFFF0000)
+            np.bitwise_xor(h, spare, out=h)
+            np.multiply(h, np.uint32(_MIX), out=h)
+            np.bitwise_xor(h, h >> np.uint32(16), out=h)
+            np.multiply(h, np.uint32(_MIX), out=h)
+            np.bitwise_xor(h, h >> np.uint32(16), out=h)
+        else:
+            _mix32_np(h, spare)
+        np.bitwise_xor(h, np.uint32(_SALT), out=hi)
+        _mix32_np(hi, spare)
+        np.bitwise_and(hi, np.uint32(0x7FFFFFFF), out=hi)
+        np.right_shift(hi, 31 - _WEIGHT_BITS, out=spare)
+        np.take(table, spare, out=w, mode="clip")
+        out[:] = w
+        open_ = np.flatnonzero(w.ravel() == 255)
+        if len(open_):
+            i, j = np.divmod(open_, n_resamples)
+            out[i, j] = _weight_of((hi[i, j].astype(np.int64) << 32) | h[i, j].astype(np.int64))
+        yield part, out
+
+
 def poisson_bootstrap_means(indexed: DataFrame, metrics: Sequence[str], n_resamples: int, seed: int, idx: str = "row_key") -> DataFrame:
     """Poisson bootstrap: every row gets an independent Poisson(1) weight per
     resample, from a hash of its key ``idx``; the resample mean is sum(w * x) / sum(w), over
     the rows whose metric is known.
-    Neither index nor row count is needed (see ``keyed_rows``): the n x B weights are generated next to their rows and reduced by
-    partial aggregation, so only B rows per task are shuffled. An
+    Neither index nor row count is needed (see ``keyed_rows``): the n x B weights are generated next to their rows, as
+    matrices of a few rows, and added up there, so only B rows per task are shuffled. An
     approximation of the multinomial draw, for data too large for it."""
-    rows = indexed.select(idx, *metrics, F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("resample"))
-    rows = with_mix_hash(rows, seed, "resample", idx, "_u")
-    weighted = rows.select(
-        "resample", *metrics, poisson_weight(F.col("_u").cast("double") / F.lit(_TWO63)).alias("_w")
-    )
-    mean = lambda m: F.sum(F.col("_w") * F.col(m)) / F.nullif(F.sum(F.when(F.col(m).isNotNull(), F.col("_w"))), F.lit(0))
-    return weighted.groupBy("resample").agg(*[mean(m).alias(m) for m in metrics])
+    m = len(metrics)
+    names = [f"_{kind}{i}" for kind in "sn" for i in range(m)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, rows = np.zeros((n_resamples, 2 * m)), 0
+        for b in batches:
+            rows += b.num_rows
+            known = np.ones((b.num_rows, m), bool)
+            x = np.zeros((b.num_rows, m))
+            keyed = b.column(0).is_valid().to_numpy(zero_copy_only=False)
+            for i in range(m):
+                known[:, i] = keyed & b.column(i + 1).is_valid().to_numpy(zero_copy_only=False)
+                x[known[:, i], i] = b.column(i + 1).fill_null(0.0).to_numpy(zero_copy_only=False)[known[:, i]]
+            whole = bool(known.all())  # then the weights themselves are the count of each metric
+            right = np.concatenate([x, np.ones((b.num_rows, 1)) if whole else known.astype(np.float64)], axis=1)
+            for part, w in poisson_weights(b.column(0).fill_null(0).to_numpy(zero_copy_only=False), n_resamples, seed):
+                got = w.T @ right[part]
+                sums[:, :m] += got[:, :m]
+                sums[:, m:] += got[:, m:]  # one column counts for all where all are known
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_resamples)), *[pa.array(c) for c in sums.T.copy()]], ["resample", *names])
+
+    numbers = indexed.select(F.col(idx).cast("long").alias(idx), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(metrics)])
+    sums = numbers.mapInArrow(work, "resample long, " + ", ".join(f"{n} double" for n in names))
+    mean = lambda i: F.sum(f"_s{i}") / F.nullif(F.sum(f"_n{i}"), F.lit(0.0))
+    return sums.groupBy("resample").agg(*[mean(i).alias(c) for i, c in enumerate(metrics)])
 
 
 def bootstrap_cis(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +154,51 @@ def test_poisson_means_leave_out_null_metrics(spark):
     assert {round(r["v"], 12) for r in resample.poisson_bootstrap_means(df, ["v"], 20, 1).collect()} == {2.5}
 
 
+def _plain_poisson_means(df, metrics, n_resamples, seed):
+    """One row per weight, in Spark's own arithmetic."""
+    rows = df.select("row_key", *metrics, F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("resample"))
+    rows = resample.with_mix_hash(rows, seed, "resample", "row_key", "_u")
+    w = resample.poisson_weight(F.col("_u").cast("double") / F.lit(2.0**63))
+    rows = rows.select("resample", *metrics, w.alias("w"))
+    mean = lambda m: F.sum(F.col("w") * F.col(m)) / F.nullif(F.sum(F.when(F.col(m).isNotNull(), F.col("w"))), F.lit(0))
+    return rows.groupBy("resample").agg(*[mean(m).alias(m) for m in metrics])
+
+
+def test_poisson_means_are_those_of_a_row_per_weight(spark):
+    rng = random.Random(3)
+    keys = [0, 1, -1, 2**63 - 1, -(2**63), None, 5, 5] + [rng.randrange(-(2**63), 2**63) for _ in range(300)] + [rng.randrange(1 << 60) for _ in range(500)]
+    rows = [(k, rng.choice([None, float(i), 0.25]), i if i % 7 else None, None) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "row_key long, v double, i int, never double").repartition(3)
+    metrics = ["v", "i", "never"]
+    got, want = (
+        {r["resample"]: tuple(r[m] for m in metrics) for r in f(df, metrics, 130, 77).collect()}
+        for f in (resample.poisson_bootstrap_means, _plain_poisson_means)
+    )
+    assert got.keys() == want.keys() == set(range(130))
+    for b in got:
+        assert got[b][2] is None and want[b][2] is None
+        assert got[b][:2] == pytest.approx(want[b][:2], rel=1e-12)
+    one = [spark.createDataFrame([(9, 4.0)], "row_key long, v double"), spark.createDataFrame([], "row_key long, v double"), spark.createDataFrame([(None, 4.0)], "row_key long, v double")]
+    for d in one:  # resamples without a row, no rows, no key
+        assert sorted(map(tuple, resample.poisson_bootstrap_means(d, ["v"], 20, 1).collect())) == sorted(map(tuple, _plain_poisson_means(d, ["v"], 20, 1).collect()))
+
+
+def test_poisson_weights_where_the_leading_bits_do_not_tell():
+    """Numbers at the borders of the weights, and the weights of many keys."""
+    u = np.array([int(c * 2**63) + d for c in resample.POISSON1_CDF[:12] for d in (-1025, -1024, -1, 0, 1, 1024)], np.int64)
+    want = [sum(float(int(x)) / 2.0**63 >= c for c in resample.POISSON1_CDF) for x in u]
+    assert resample._weight_of(u).tolist() == want
+    keys = np.arange(5000, dtype=np.int64) * 0x9E3779B97F4A7
+    total = sum(w.sum() for _, w in resample.poisson_weights(keys, 100, 3))
+    assert total / 500_000 == pytest.approx(1.0, abs=0.01)
+
+
+def test_no_row_per_weight_is_made(spark):
+    df = spark.createDataFrame([(1, 2.0)], "row_key long, v double")
+    plan = resample.poisson_bootstrap_means(df, ["v"], 20, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_unknown_method_is_refused(spark):
     with pytest.raises(ValueError, match="jackknife"):
         resample.bootstrap_cis(_classes(spark, [1.0]), ["v"], method="jackknife")
