@@ -86,7 +86,7 @@ def item_prints(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                     ["fp", "size", "before", "words", "item_id"],
                 )
 
-    return items.mapInArrow(work, "fp long, size int, before int, words string, item_id string").distinct()
+    return items.mapInArrow(K.tidy(work), "fp long, size int, before int, words string, item_id string").distinct()
 
 
 def document_hits(docs: DataFrame, table: np.ndarray, short: list[int], window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -111,7 +111,7 @@ def document_hits(docs: DataFrame, table: np.ndarray, short: list[int], window:
                     ["_id", "n_words", "fp", "size", "before", "words", "start"],
                 )
 
-    return identified(docs).mapInArrow(work, "_id long, n_words long, fp long, size int, before int, words string, start long")
+    return identified(docs).mapInArrow(K.tidy(work), "_id long, n_words long, fp long, size int, before int, words string, start long")
 
 
 def extended(pairs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -137,7 +137,7 @@ def extended(pairs: DataFrame, window: int = WINDOW) -> DataFrame:
             cols = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], ["_id", "ctx", "from", "to"])
 
-    return pairs.select("_id", "ctx", "size", "before", "words", "start", "item_before", "item_words").mapInArrow(work, "_id long, ctx long, from long, to long")
+    return pairs.select("_id", "ctx", "size", "before", "words", "start", "item_before", "item_words").mapInArrow(K.tidy(work), "_id long, ctx long, from long, to long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.llm.common import NULL_ID, identified, public_id, split_by_ids, stored, unused, with_decisions
-from pitchside.llm.kernels import mix, slices
+from pitchside.llm.kernels import mix, slices, tidy
 
 STRIP = " \t\n\x0b\x0c\r"
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -131,7 +131,7 @@ def holders(docs: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
                     ids.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(ids, pa.int64())], ["hi", "lo", "_id"])
 
-    return docs.mapInArrow(work, "hi long, lo long, _id long")
+    return docs.mapInArrow(tidy(work), "hi long, lo long, _id long")
 
 
 def counts(held: DataFrame) -> DataFrame:
@@ -210,7 +210,7 @@ def _probe(held: DataFrame, filters: DataFrame) -> DataFrame:
                 keep[at] = f.contains(hi[at])
             yield b.filter(pa.array(keep))
 
-    return held.mapInArrow(work, held.schema)
+    return held.mapInArrow(tidy(work), held.schema)
 
 
 def dropped_keys(held: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -264,7 +264,7 @@ def documents_without(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int
             yield pa.RecordBatch.from_arrays(cols, names)
 
     joined = maybe.join(keys.hint("SHUFFLE_HASH"), F.col(key) == F.col(at), "left").select(*[maybe[c] for c in names], lost)
-    return joined.mapInArrow(cut, base.schema).unionByName(clean).drop(key)
+    return joined.mapInArrow(tidy(cut), base.schema).unionByName(clean).drop(key)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN_POINTS) -> DataFrame:
@@ -283,7 +283,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_points: int = MIN
                 kept.append("\n".join(stay) if len(stay) < n else text)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], ["_id", "kept_text", "n_lines", "n_dropped"])
 
-    return with_decisions(base, drops).mapInArrow(cut, "_id long, kept_text string, n_lines long, n_dropped long")
+    return with_decisions(base, drops).mapInArrow(tidy(cut), "_id long, kept_text string, n_lines long, n_dropped long")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

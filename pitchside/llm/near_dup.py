@@ -122,7 +122,7 @@ def features(docs: DataFrame, size: int) -> DataFrame:
                     ["_id", "n_shingles", "h1", "h2", "sig"],
                 )
 
-    return docs.mapInArrow(work, "_id long, n_shingles long, h1 long, h2 long, sig binary")
+    return docs.mapInArrow(K.tidy(work), "_id long, n_shingles long, h1 long, h2 long, sig binary")
 
 
 def _sig_matrix(col) -> np.ndarray:
@@ -138,7 +138,7 @@ def buckets(classes: DataFrame) -> DataFrame:
                 keys = chunk_keys(_sig_matrix(b.column(1)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), HASHES)))], ["key", "rep"])
 
-    rows = classes.select("rep", "sig").mapInArrow(work, "key long, rep long")
+    rows = classes.select("rep", "sig").mapInArrow(K.tidy(work), "key long, rep long")
     group = Window.partitionBy("key")
     return rows.withColumns({"center": F.min("rep").over(group), "n": F.count(F.lit(1)).over(group)}).where("n > 1")
 
@@ -157,7 +157,7 @@ def near_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 yield out.filter(pa.array(d <= MAX_DISTANCE))
 
     both = pairs.join(a, "a").join(b, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(work, "a long, b long, distance int")
+    return both.select("a", "b", "sa", "sb").mapInArrow(K.tidy(work), "a long, b long, distance int")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -191,7 +191,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
 
     with_b = side("b").join(pairs.hint("SHUFFLE_HASH"), "b")
     rows = with_b.join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(work, "a long, b long").distinct()
+    return rows.mapInArrow(K.tidy(work), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def small_bucket_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if rest is not None:
             yield pairs(rest)
 
-    return rows.repartition("key").sortWithinPartitions("key").select("key", "rep", "comp", "size", "sig").mapInArrow(work, "a long, b long")
+    return rows.repartition("key").sortWithinPartitions("key").select("key", "rep", "comp", "size", "sig").mapInArrow(K.tidy(work), "a long, b long")
 
 
 def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:

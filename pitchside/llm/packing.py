@@ -179,7 +179,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CA
                 row, *rest = zip(*rows)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(rest[0], pa.int32()), *[pa.array(c, pa.int64()) for c in rest[1:]]], ["_id", "piece", "start", "length", "ids_crc32"])
 
-    return identified(docs).mapInArrow(work, "_id long, piece int, start long, length long, ids_crc32 long")
+    return identified(docs).mapInArrow(K.tidy(work, keeps=tokens.ENCODERS), "_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def ranked(cut: DataFrame, n: int) -> DataFrame:
@@ -206,7 +206,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPA
                 seq, at = place(table.value, length, rank)
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("_id", "piece", "start", "length", "ids_crc32")], pa.array(seq), pa.array(at)], ["_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked(cut, sum(histogram.values())).mapInArrow(work, "_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked(cut, sum(histogram.values())).mapInArrow(K.tidy(work, keeps=tokens.ENCODERS), "_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

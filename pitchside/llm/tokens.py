@@ -258,11 +258,13 @@ class Encoder:
         return self._ids(entry), total[bounds]
 
 
-_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
+ENCODERS = "encoders"
+_ENCODERS: dict[tuple[str, bool, bool], Encoder] = K.KEPT.setdefault(ENCODERS, {})
 
 
 def encoder(path: str, spaced: bool, plain_specials: bool = False) -> Encoder:
-    """The worker's encoder for a file; it lives as long as the Python worker."""
+    """The worker's encoder for a file; it stays until the worker takes a tidy task that does
+    not keep ``ENCODERS``."""
     key = (path, spaced, plain_specials)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(*key)
